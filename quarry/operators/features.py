@@ -165,8 +165,8 @@ def pca(df: DataFrame, cols: list[str], k: int = 2, keep: list[str] | None = Non
     model = _PCA(k=k, inputCol="__x", outputCol="__pc").fit(v)
     pcm = model.pc.toArray()
     signs = [1.0 if pcm[np.argmax(np.abs(pcm[:, j])), j] >= 0 else -1.0 for j in range(k)]
-    arr = vector_to_array(model.transform(v)["__pc"])
-    return model.transform(v).select(*(keep or []), *[(arr[j] * signs[j]).alias(f"pc{j + 1}") for j in range(k)])
+    t = model.transform(v).withColumn("__arr", vector_to_array("__pc"))
+    return t.select(*(keep or []), *[(F.col("__arr")[j] * signs[j]).alias(f"pc{j + 1}") for j in range(k)])
 
 
 def rfm(df: DataFrame, customer: str, date: str, order_id: str, amount: str, offset_days: int = 2) -> DataFrame:
@@ -200,11 +200,15 @@ def hash_bucket(key, seed: int, buckets: int = 1_000_000) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets))
 
 
-def split(df: DataFrame, key, frac: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, key, frac: float = 0.8, seed: int = 42, method: str = "xxhash64") -> tuple[DataFrame, DataFrame]:
     """Seeded train/test split by a hash of the key (op 13.12): stable across
-    plans, partitionings and reruns (``randomSplit`` is not), no shuffle."""
-    b = hash_bucket(key, seed)
-    cut = int(frac * 1_000_000)
+    plans, partitionings and reruns (``randomSplit`` is not), no shuffle.
+    ``method='md5'`` uses the portable md5 bucket (same split in any SQL
+    engine with md5; the seed is then ignored)."""
+    if method == "md5":
+        b, cut = md5_bucket(key, 100), int(round(frac * 100))
+    else:
+        b, cut = hash_bucket(key, seed), int(frac * 1_000_000)
     return df.filter(b < cut), df.filter(b >= cut)
 
 
@@ -222,9 +226,13 @@ def ordered_split(df: DataFrame, order, n_train: int) -> tuple[DataFrame, DataFr
     return rn.filter(F.col("__rn") < n_train).drop("__rn"), rn.filter(F.col("__rn") >= n_train).drop("__rn")
 
 
-def assign_folds(df: DataFrame, key, k: int = 5, repeats: int = 1, seed: int = 42, name: str = "fold") -> DataFrame:
+def assign_folds(df: DataFrame, key, k: int = 5, repeats: int = 1, seed: int = 42, name: str = "fold",
+                 method: str = "xxhash64") -> DataFrame:
     """Fold id in [0, k) by a seeded hash of the key; with ``repeats`` > 1
-    one row per (row, repeat) with a ``repeat`` column (op 13.16)."""
+    one row per (row, repeat) with a ``repeat`` column (op 13.16).
+    ``method='md5'``: portable fold = md5 bucket mod k (one repeat)."""
+    if method == "md5":
+        return df.withColumn(name, md5_bucket(key, k).cast("int"))
     if repeats == 1:
         return df.withColumn(name, F.pmod(F.xxhash64(F.lit(seed), *_cols(key)), F.lit(k)).cast("int"))
     r = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
