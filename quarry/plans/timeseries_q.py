@@ -1 +1,153 @@
-"""(filled in below)"""
+"""Time-series analyses (2.15): per event type daily / hourly series from
+``events`` (trips: vendor -> event_type, passengers -> value), monthly
+order series per status."""
+
+from pyspark.sql import functions as F
+
+from quarry.operators import timeseries as Ts
+from quarry.plans.registry import T, query
+
+
+def r6(c):
+    return F.round(F.col(c), 6)
+
+
+def daily_series(spark, sf):
+    """Daily value totals per event type, gap-filled."""
+    e = T(spark, sf, "events")
+    return Ts.resample(e, "ts", "day", {"total": ("sum", "value")}, key="event_type")
+
+
+_DAILY_SQL = """
+select event_type, cast(cast(ts as date) as timestamp) as ts, sum(value) as total from events group by 1, 2
+"""
+
+
+@query("resample_hourly_gaps", """
+with a as (
+  select event_type, date_trunc('hour', ts) as p, round(sum(value), 2) as total, count(*) as n
+  from events where value > 80 group by 1, 2
+), b as (select event_type, min(p) as lo, max(p) as hi from a group by 1),
+s as (select event_type, unnest(generate_series(lo, hi, interval 1 hour)) as p from b)
+select s.event_type, s.p as ts, coalesce(a.total, 0) as total, coalesce(a.n, 0) as n
+from s left join a on a.event_type = s.event_type and a.p = s.p
+""")
+def resample_hourly_gaps(spark, sf):
+    """15.1 hourly resample with empty periods emitted as 0 (T15)."""
+    e = T(spark, sf, "events").filter(F.col("value") > 80)
+    r = Ts.resample(e, "ts", "hour", {"total": ("sum", "value"), "n": ("count", "value")}, key="event_type")
+    return r.withColumn("total", F.round("total", 2))
+
+
+@query("resample_monthly_month_end", """
+with a as (
+  select o_orderstatus, date_trunc('month', o_orderdate) as p, count(*) as n_orders,
+    cast(sum(cast(o_totalprice as decimal(18,2))) as double) as total
+  from orders group by 1, 2
+), b as (select o_orderstatus, min(p) as lo, max(p) as hi from a group by 1),
+s as (select o_orderstatus, unnest(generate_series(lo, hi, interval 1 month)) as p from b)
+select s.o_orderstatus, cast(last_day(s.p) as timestamp) as o_orderdate, coalesce(a.n_orders, 0) as n_orders,
+  coalesce(a.total, 0) as total
+from s left join a on a.o_orderstatus = s.o_orderstatus and a.p = s.p
+""")
+def resample_monthly_month_end(spark, sf):
+    """15.1 monthly resample labelled by month end."""
+    o = T(spark, sf, "orders").withColumn("amt", F.col("o_totalprice").cast("decimal(18,2)"))
+    r = Ts.resample(o, "o_orderdate", "month", {"n_orders": ("count", "o_orderkey"), "total": ("sum", "amt")},
+                    key="o_orderstatus")
+    return r.withColumn("total", F.col("total").cast("double"))
+
+
+@query("daily_totals_no_fill", """
+select cast(cast(ts as date) as timestamp) as day, round(sum(value), 2) as total from events group by 1
+""")
+def daily_totals_no_fill(spark, sf):
+    """15.2 daily aggregate without gap fill."""
+    e = T(spark, sf, "events")
+    return e.groupBy(F.to_date("ts").cast("timestamp_ntz").alias("day")).agg(F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("acf_daily", f"""
+with d as ({_DAILY_SQL}),
+p as (select event_type, total, row_number() over (partition by event_type order by ts) as rn from d),
+m as (select event_type, avg(total) as mu from p group by 1),
+c as (select p.event_type, p.rn, p.total - m.mu as x from p join m using (event_type)),
+l as (select a.event_type, a.rn - b.rn as lag, sum(a.x * b.x) as s from c a join c b
+      on a.event_type = b.event_type and a.rn - b.rn between 0 and 7 group by 1, 2)
+select l.event_type, l.lag::integer as lag, round(l.s / z.s, 6) as acf from l join l z on z.event_type = l.event_type and z.lag = 0
+""")
+def acf_daily(spark, sf):
+    """15.3 autocorrelation of each type's daily totals, lags 0..7."""
+    a = Ts.acf(daily_series(spark, sf), "event_type", "ts", "total", 7)
+    return a.select("event_type", F.col("lag").cast("int").alias("lag"), r6("acf").alias("acf"))
+
+
+@query("pacf_daily", None)
+def pacf_daily(spark, sf):
+    """15.4 partial autocorrelation (Durbin-Levinson on the ACF)."""
+    return Ts.pacf(daily_series(spark, sf), "event_type", "ts", "total", 7)
+
+
+@query("decompose_weekly", f"""
+with d as ({_DAILY_SQL}),
+p as (select *, row_number() over (partition by event_type order by ts) - 1 as pos from d),
+t as (select *, case when count(total) over w = 7 then avg(total) over w end as trend, pos % 7 as phase from p
+      window w as (partition by event_type order by pos rows between 3 preceding and 3 following)),
+ph as (select event_type, phase, avg(total - trend) as pa from t group by 1, 2),
+c as (select event_type, avg(pa) as pm from ph group by 1),
+s as (select ph.event_type, ph.phase, ph.pa - c.pm as seasonal from ph join c using (event_type))
+select t.event_type, t.ts, round(t.total, 6) as total, round(t.trend, 6) as trend, round(s.seasonal, 6) as seasonal,
+  round(t.total - t.trend - s.seasonal, 6) as resid
+from t join s on s.event_type = t.event_type and s.phase = t.phase
+""")
+def decompose_weekly(spark, sf):
+    """15.5 additive decomposition with a weekly period (trend NULL at the edges)."""
+    d = Ts.decompose(daily_series(spark, sf), "event_type", "ts", "total", 7)
+    return d.select("event_type", "ts", *[r6(c).alias(c) for c in ("total", "trend", "seasonal", "resid")])
+
+
+@query("adf_daily", None)
+def adf_daily(spark, sf):
+    """15.6 ADF stationarity test per type (AIC lag choice, MacKinnon p-value)."""
+    return Ts.adf(daily_series(spark, sf), "event_type", "ts", "total")
+
+
+@query("adf_hourly", None)
+def adf_hourly(spark, sf):
+    """15.6 ADF on the hourly value series of every type."""
+    e = T(spark, sf, "events")
+    h = Ts.resample(e, "ts", "hour", {"v": ("sum", "value")}, key="event_type")
+    return Ts.adf(h, "event_type", "ts", "v")
+
+
+@query("ar_forecast_daily", None)
+def ar_forecast_daily(spark, sf):
+    """15.7 AR(2) + weekly lag forecast, 7 days ahead with a 95 % band."""
+    return Ts.ar_forecast(daily_series(spark, sf), "event_type", "ts", "total", p=2, horizon=7,
+                          seasonal_lags=[7], step="1 day")
+
+
+@query("ar_order_search", None)
+def ar_order_search(spark, sf):
+    """15.8 best AR order per type by in-sample RMSE."""
+    return Ts.ar_select(daily_series(spark, sf), "event_type", "ts", "total", max_p=5)
+
+
+@query("history_with_forecast", None)
+def history_with_forecast(spark, sf):
+    """15.10 forecast attached to the history (8.6 + full join)."""
+    hist = daily_series(spark, sf)
+    fc = Ts.ar_forecast(hist, "event_type", "ts", "total", p=1, horizon=5, step="1 day")
+    return Ts.attach_forecast(hist, fc.select("event_type", "ts", "forecast"), "event_type", "ts")
+
+
+@query("demand_forecast_hourly", None)
+def demand_forecast_hourly(spark, sf):
+    """15.9 hourly demand (event count) from calendar features with
+    boosted trees; first 24 days train, the rest test; returns metrics."""
+    e = T(spark, sf, "events")
+    h = Ts.resample(e, "ts", "hour", {"n": ("count", "event_id")})
+    h = h.withColumn("n", F.col("n").cast("double"))
+    cut = h.select(F.min("ts")).scalar() + F.expr("interval 24 days")
+    _, metrics = Ts.demand_forecast(h.filter(F.col("ts") < cut), h.filter(F.col("ts") >= cut), "ts", "n", rounds=20)
+    return metrics
