@@ -56,7 +56,8 @@ def write_csv(df: DataFrame, path: str, with_row_id: str | None = None, mode: st
     if with_row_id:
         from quarry.operators.ranking import row_numbers
 
-        df = row_numbers(df, order=df.columns, name=with_row_id, start=0)
+        cols = df.columns
+        df = row_numbers(df, order=cols, name=with_row_id, start=0).select(with_row_id, *cols)
     df.write.mode(mode).option("header", True).csv(path)
     return path
 
