@@ -87,10 +87,10 @@ def gaussian_nb_sql_form(df: DataFrame, label: str, cols: list[str], id_col: str
     return df.select(id_col, best["cls"].alias("prediction"))
 
 
-def fit_linear_svc(df, cols, label, C_: float = 1.0, n: int | None = None):
+def fit_linear_svc(df, cols, label, C_: float = 1.0, n: int | None = None, max_iter: int = 100):
     """14.7 linear SVM; ``C`` -> ``regParam = 1/(C n)`` (T25)."""
     n = n or df.count()
-    return fit(df, cols, label, C.LinearSVC(regParam=1.0 / (C_ * n), standardization=False, maxIter=200))
+    return fit(df, cols, label, C.LinearSVC(regParam=1.0 / (C_ * n), standardization=False, maxIter=max_iter))
 
 
 def rff_columns(cols: list[str], gamma: float, dims: int, seed: int = 42, prefix: str = "rff") -> dict[str, Column]:
@@ -115,7 +115,7 @@ def fit_rff_svc(df, cols, label, gamma: float = 0.1, dims: int = 100, C_: float
     """14.8 RBF SVM re-aimed: random Fourier features + linear SVM."""
     feats = rff_columns(cols, gamma, dims, seed)
     d = df.withColumns(feats)
-    model = fit_linear_svc(d, list(feats), label, C_)
+    model = fit_linear_svc(d, list(feats), label, C_, max_iter=50)
     return RFFModel(feats, model)
 
 
@@ -123,7 +123,7 @@ def fit_rff_huber(df, cols, label, gamma: float = 0.1, dims: int = 100, reg: flo
     """14.13 RBF SVR re-aimed: random Fourier features + Huber regression."""
     feats = rff_columns(cols, gamma, dims, seed)
     d = df.withColumns(feats)
-    model = fit(d, list(feats), label, Rg.LinearRegression(loss="huber", regParam=reg, maxIter=200))
+    model = fit(d, list(feats), label, Rg.LinearRegression(loss="huber", regParam=reg, maxIter=50))
     return RFFModel(feats, model)
 
 
@@ -281,7 +281,8 @@ def cross_validate(df: DataFrame, cols: list[str], label: str, make_est, key: st
         for i in range(k):
             model = fit(fr.filter(F.col("fold") != i), cols, label, make_est())
             pred = model.transform(fr.filter(F.col("fold") == i))
-            outs.append(pred.select(key, "repeat", "fold", label, F.col("prediction")))
+            keys = [key] if isinstance(key, str) else list(key)
+            outs.append(pred.select(*keys, "repeat", "fold", label, F.col("prediction")))
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
