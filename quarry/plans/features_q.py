@@ -112,14 +112,14 @@ def split_md5_sizes(spark, sf):
 
 @query("ordered_split_sizes", """
 with r as (select *, row_number() over (order by o_orderdate, o_orderkey) - 1 as rn from orders)
-select case when rn < 12000 then 'train' else 'test' end as part, count(*) as n,
+select case when rn < floor(0.8 * (select count(*) from orders)) then 'train' else 'test' end as part, count(*) as n,
   cast(min(o_orderdate) as timestamp) as first_date, cast(max(o_orderdate) as timestamp) as last_date
 from r group by 1
 """)
 def ordered_split_sizes(spark, sf):
-    """13.13 temporal split: the first 12,000 orders by date train, the rest test."""
+    """13.13 temporal split: the first 80 % of orders by date train, the rest test."""
     o = T(spark, sf, "orders")
-    n_train = 12000 if o.count() > 12000 else o.count() * 4 // 5
+    n_train = int(0.8 * o.count())
     tr, te = Fe.ordered_split(o, ["o_orderdate", "o_orderkey"], n_train)
 
     def summ(d, name):
