@@ -52,24 +52,22 @@ class IQRFences:
 
 
 def fit_iqr(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool = False,
-            accuracy: int = 100_000) -> IQRFences:
+            accuracy: int = 100_000, method: str = "auto") -> IQRFences:
     """Sequential Tukey fences (trap T5): the quartiles of column *i* are
     computed on the rows that survived columns < *i*; fences are inclusive.
 
-    One aggregate (a single job with partial aggregation) per column.
-    ``approx=True`` swaps exact ``percentile`` (value->count map per
-    group) for ``percentile_approx`` when a column has too many distinct
-    values for an exact map at scale.
+    Exact quartiles per column (:func:`quarry.operators.profile.quantiles`:
+    a ``percentile`` map when the distinct count is bounded, the sort-based
+    exact method otherwise); ``approx=True`` uses ``percentile_approx``.
     """
+    from quarry.operators.profile import quantiles
+
     fences = []
     cur = df
     for c in cols:
-        if approx:
-            q = F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy)
-        else:
-            q = F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
-        qs = cur.agg(q.alias("q")).first()["q"]
-        if qs is None:
+        rows = quantiles(cur, c, [0.25, 0.75], approx=approx, method=method).collect()
+        qs = [r["value"] for r in sorted(rows, key=lambda r: r["prob"])] if rows else None
+        if not qs or qs[0] is None:
             fences.append((c, None, None))
             cur = cur.filter(F.lit(False))
             continue

@@ -43,6 +43,19 @@ def fit_impute(df: DataFrame, cols: list[str] | None = None, strategy: str = "me
         from quarry.operators.schema import columns_of
 
         cols = columns_of(df, "numeric") if strategy in ("median", "mean") else df.columns
+    if strategy == "median":
+        from quarry.operators.profile import quantile_method, quantiles
+
+        big = [c for c in cols if quantile_method(df, c) == "sort"]
+        small = [c for c in cols if c not in big]
+        vals = {}
+        if small:
+            row = df.agg(*[_STRATS["median"](c).alias(c) for c in small]).first()
+            vals.update({c: row[c] for c in small})
+        for c in big:  # high-cardinality: exact median by rank, no per-group map
+            r = quantiles(df, c, [0.5], method="sort").first()
+            vals[c] = r["value"] if r else None
+        return Imputer(vals)
     row = df.agg(*[_STRATS[strategy](c).alias(c) for c in cols]).first()
     return Imputer({c: row[c] for c in cols})
 

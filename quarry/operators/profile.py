@@ -20,12 +20,65 @@ from pyspark.sql import types as T
 from quarry.operators.schema import columns_of
 
 
+# Exact percentiles keep a value->count map per group that is merged in
+# one task per group; that is bounded by the column's distinct count. Up
+# to this many distinct values the map is used, above it the sort-based
+# exact method (range-partitioned ranks, nothing held per group).
+MAP_DISTINCT_LIMIT = 200_000
+
+
 def _q(col: Column, probs: list[float], approx: bool, accuracy: int = 100_000) -> Column:
     if approx:
         return F.percentile_approx(col.cast("double"), list(probs), accuracy)
     return F.percentile(col.cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
 
 
+def quantile_method(df: DataFrame, col: str, method: str = "auto") -> str:
+    """Resolve 'auto' to 'map' (bounded distinct count, checked with a
+    HyperLogLog sketch) or 'sort'."""
+    if method != "auto":
+        return method
+    nd = df.agg(F.approx_count_distinct(col, 0.05)).first()[0] or 0
+    return "map" if nd <= MAP_DISTINCT_LIMIT else "sort"
+
+
+def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=None) -> DataFrame:
+    """Exact linear-interpolated quantiles by rank, ``(keys..., prob, value)``.
+
+    Rows are numbered globally in (keys, value, row id) order by range
+    partitioning (so a hot key or a hot value still spreads over many
+    tasks); per group the first number and the count give each row's rank;
+    only the rows at ranks floor/ceil((n - 1) p) survive a filter, and a
+    small aggregate interpolates between them. No task ever holds a
+    group's values.
+    """
+    from quarry.operators.joins import broadcast_if_small
+    from quarry.operators.ranking import row_numbers
+
+    keys = [keys] if isinstance(keys, str) else list(keys or [])
+    x = df.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
+    x = x.withColumn("__t", F.monotonically_increasing_id())
+    rn = row_numbers(x, [*keys, "__x", "__t"], "__g", total=False)
+    stats = rn.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"))
+    j = rn.join(broadcast_if_small(stats), keys) if keys else rn.withColumns(
+        {"__g0": stats.select("__g0").scalar(), "__n": stats.select("__n").scalar()})
+    j = j.withColumn("__r", F.col("__g") - F.col("__g0"))
+    h = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
+    need = F.lit(False)
+    for hp in h:
+        need = need | (F.col("__r") == F.floor(hp)) | (F.col("__r") == F.ceil(hp))
+    picked = j.filter(need)
+    aggs = []
+    for i, (p, hp) in enumerate(zip(probs, h)):
+        lo = F.max(F.when(F.col("__r") == F.floor(hp), F.col("__x")))
+        hi = F.max(F.when(F.col("__r") == F.ceil(hp), F.col("__x")))
+        w = F.max(hp - F.floor(hp))
+        aggs.append((lo + (hi - lo) * w).alias(f"__q{i}"))
+    wide = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
+    structs = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"__q{i}").alias("value")) for i, p in enumerate(probs)]
+    return wide.select(*keys, F.explode(F.array(*structs)).alias("__s")).select(*keys, "__s.*")
+
+
 def _long(row_df: DataFrame, cols: list[str], fields: dict[str, callable], keys: list[str] | None = None) -> DataFrame:
     """Turn a one-row-per-group wide aggregate into (keys, column, stats...)."""
     keys = keys or []
@@ -33,18 +86,31 @@ def _long(row_df: DataFrame, cols: list[str], fields: dict[str, callable], keys:
     return row_df.select(*keys, F.explode(F.array(*structs)).alias("s")).select(*keys, "s.*")
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False, keys=None) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False, keys=None,
+                     method: str = "auto") -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column
-    (op 5.23); one aggregate pass, long output."""
+    (op 5.23), long output. Moments are one aggregate pass; quartiles of a
+    column with a bounded distinct count ride in the same pass (exact
+    ``percentile`` map), high-cardinality columns get the sort-based exact
+    quartiles (``method``: auto / map / sort; ``approx`` overrides)."""
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     cols = cols or [c for c in columns_of(df, "numeric") if c not in keys]
+    how = {c: ("approx" if approx else quantile_method(df, c, method)) for c in cols}
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 _q(x, [0.25, 0.5, 0.75], approx).alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if how[c] != "sort":
+            aggs.append(_q(x, [0.25, 0.5, 0.75], how[c] == "approx").alias(f"{c}__q"))
     wide = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    for c in cols:
+        if how[c] == "sort":
+            q = exact_quantiles_sorted(df, c, [0.25, 0.5, 0.75], keys)
+            qa = q.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs")) \
+                if keys else q.agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs"))
+            qa = qa.select(*keys, F.transform("__qs", lambda s: s["value"]).alias(f"{c}__q"))
+            wide = wide.join(qa, keys) if keys else wide.withColumn(f"{c}__q", qa.select(f"{c}__q").scalar())
     return _long(wide, cols, {
         "count": lambda c: F.col(f"{c}__count"), "mean": lambda c: F.col(f"{c}__mean"),
         "std": lambda c: F.col(f"{c}__std"), "min": lambda c: F.col(f"{c}__min"),
@@ -95,10 +161,17 @@ def has_nulls(df: DataFrame) -> bool:
     return bool(row["x"])
 
 
-def quantiles(df: DataFrame, col: str, probs: list[float], keys=None, approx: bool = False) -> DataFrame:
-    """Linear-interpolated quantiles, long ``(keys..., prob, value)`` (op 5.27)."""
+def quantiles(df: DataFrame, col: str, probs: list[float], keys=None, approx: bool = False,
+              method: str = "auto") -> DataFrame:
+    """Linear-interpolated quantiles, long ``(keys..., prob, value)`` (op 5.27).
+    ``method``: 'map' (exact ``percentile``, bounded distinct count),
+    'sort' (exact by rank, unbounded), 'auto' (chooses by a distinct-count
+    sketch); ``approx`` uses ``percentile_approx``."""
     keys = [keys] if isinstance(keys, str) else list(keys or [])
-    q = _q(F.col(col), probs, approx).alias("__q")
+    how = "approx" if approx else quantile_method(df, col, method)
+    if how == "sort":
+        return exact_quantiles_sorted(df, col, probs, keys)
+    q = _q(F.col(col), probs, how == "approx").alias("__q")
     wide = df.groupBy(*keys).agg(q) if keys else df.agg(q)
     return wide.select(*keys, F.posexplode("__q").alias("__i", "value")).select(
         *keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1).alias("prob"), "value")
@@ -151,17 +224,28 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by=None) -> DataFrame:
     return out
 
 
-def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: bool = False,
+              method: str = "auto") -> DataFrame:
     """Box-plot statistics per (group, column): q1, median, q3, fences,
     whiskers (most extreme values inside the fences) and outlier count
-    (op 5.30). Two aggregate passes: quartiles, then conditional min/max/
-    count against the fences (joined back on the group key; one row per
-    group, broadcast when the group count is proven small)."""
+    (op 5.30). Pass 1: quartiles (:func:`quantiles`, exact); pass 2:
+    conditional min/max/count against the fences, joined back on the group
+    key (one row per group, broadcast only under a checked bound)."""
+    from quarry.operators.joins import broadcast_if_small
+
     by = [by] if isinstance(by, str) else list(by or [])
-    q = df.groupBy(*by).agg(*[_q(F.col(c), [0.25, 0.5, 0.75], approx).alias(f"{c}__q") for c in cols])
+    q = None
+    for c in cols:
+        qc = quantiles(df, c, [0.25, 0.5, 0.75], keys=by, approx=approx, method=method)
+        qc = (qc.groupBy(*by) if by else qc.groupBy()).agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("prob", "value"))), lambda s: s["value"]).alias(f"{c}__q"))
+        if q is None:
+            q = qc
+        elif by:
+            q = q.join(qc, by)
+        else:
+            q = q.withColumn(f"{c}__q", qc.select(f"{c}__q").scalar())
     if by:
-        from quarry.operators.joins import broadcast_if_small
-
         j = df.join(broadcast_if_small(q), by, "inner")
     else:
         j = df.withColumns({f"{c}__q": q.select(f"{c}__q").scalar() for c in cols})

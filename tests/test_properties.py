@@ -168,3 +168,20 @@ def test_models_beat_majority(spark):
         pred = Mo.score(m, df).withColumn("prediction", F.col("prediction").cast("int"))
         acc = class_metrics(pred, "y").first().accuracy
         assert acc > max(y.mean(), 1 - y.mean()) + 0.2
+
+
+def test_sorted_exact_quantiles_match_map(spark):
+    from quarry.operators import profile as P
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    o = o.unionByName(o.limit(50))  # duplicated values
+    for keys in (None, "o_orderstatus"):
+        a = P.quantiles(o, "o_totalprice", [0.1, 0.5, 0.9], keys=keys, method="sort").toPandas()
+        b = P.quantiles(o, "o_totalprice", [0.1, 0.5, 0.9], keys=keys, method="map").toPandas()
+        cols = ([keys] if keys else []) + ["prob"]
+        a, b = a.sort_values(cols).reset_index(drop=True), b.sort_values(cols).reset_index(drop=True)
+        assert np.allclose(a["value"], b["value"])
+    d1 = P.describe_numeric(o, ["o_totalprice"], method="sort").first()
+    d2 = P.describe_numeric(o, ["o_totalprice"], method="map").first()
+    assert all(
+        (d1[k] == pytest.approx(d2[k])) if isinstance(d1[k], float) else d1[k] == d2[k] for k in d1.asDict())
