@@ -232,3 +232,17 @@ def trend(df: DataFrame, x: str, y: str, keys=None) -> DataFrame:
     aggs = [F.regr_slope(F.col(y), F.col(x)).alias("slope"),
             F.regr_intercept(F.col(y), F.col(x)).alias("intercept")]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+
+
+def median_vs_overall(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
+    """Per group and column: the group median, the overall median and their
+    difference (op 16.6; the original's ``dist_list`` loop). Long output
+    ``(group, column, median, overall_median, diff)``; group medians are
+    one grouped aggregate, the overall medians one global aggregate
+    (scalar subqueries, no join)."""
+    g = df.groupBy(group).agg(*[F.median(F.col(c)).alias(c) for c in cols])
+    overall = df.agg(*[F.median(F.col(c)).alias(c) for c in cols])
+    structs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("median"),
+                        overall.select(c).scalar().alias("overall_median")) for c in cols]
+    out = g.select(group, F.explode(F.array(*structs)).alias("s")).select(group, "s.*")
+    return out.withColumn("diff", F.col("median") - F.col("overall_median"))

@@ -639,3 +639,60 @@ def monthly_orders_extended(spark, sf):
     m = o.groupBy(F.last_day(F.to_date("o_orderdate")).alias("month_end")).agg(F.count(F.lit(1)).alias("n_orders"))
     out = S.extend_calendar(m, "month_end", 6, unit="month")
     return out.withColumn("month_end", F.col("month_end").cast("timestamp_ntz"))
+
+
+@query("median_vs_overall", """
+with o as (select quantile_cont(c_acctbal, 0.5) as m1, quantile_cont(c_nationkey, 0.5) as m2 from customer)
+select c_mktsegment, 'c_acctbal' as "column", round(quantile_cont(c_acctbal, 0.5), 6) as median,
+  round((select m1 from o), 6) as overall_median, round(quantile_cont(c_acctbal, 0.5) - (select m1 from o), 6) as diff
+from customer group by 1
+union all
+select c_mktsegment, 'c_nationkey', round(quantile_cont(c_nationkey, 0.5), 6), round((select m2 from o), 6),
+  round(quantile_cont(c_nationkey, 0.5) - (select m2 from o), 6)
+from customer group by 1
+""")
+def median_vs_overall(spark, sf):
+    """16.6 per-cluster median against the overall median (segments as clusters)."""
+    c = T(spark, sf, "customer").withColumn("c_nationkey", F.col("c_nationkey").cast("double"))
+    m = A.median_vs_overall(c, "c_mktsegment", ["c_acctbal", "c_nationkey"])
+    return m.select("c_mktsegment", "column", *[F.round(x, 6).alias(x) for x in ("median", "overall_median", "diff")])
+
+
+@query("order_value_lags", """
+select o_custkey, o_orderkey, o_totalprice,
+  lag(o_totalprice, 1) over w as o_totalprice_lag_1, lag(o_totalprice, 2) over w as o_totalprice_lag_2
+from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)
+""")
+def order_value_lags(spark, sf):
+    """6.4 lagged features per customer ordered by date (global position
+    join, no key-partitioned window)."""
+    o = T(spark, sf, "orders").withColumn("ord", F.struct("o_orderdate", "o_orderkey"))
+    out = R.lags(o.select("o_custkey", "o_orderkey", "o_totalprice", "ord"), "o_custkey", "ord", "o_totalprice", 2)
+    return out.select("o_custkey", "o_orderkey", "o_totalprice", "o_totalprice_lag_1", "o_totalprice_lag_2")
+
+
+@query("daily_centred_average", """
+with d as (select event_type, cast(ts as date) as day, sum(value) as total from events group by 1, 2)
+select event_type, cast(day as timestamp) as day, round(total, 6) as total,
+  round((0.5 * lag(total, 2) over w + lag(total, 1) over w + total + lead(total, 1) over w
+         + 0.5 * lead(total, 2) over w) / 4, 6) as trend
+from d window w as (partition by event_type order by day)
+""")
+def daily_centred_average(spark, sf):
+    """6.5 centred moving average, even period 4 (2x4 MA: end weights 1/2)."""
+    e = T(spark, sf, "events")
+    d = e.groupBy("event_type", F.to_date("ts").cast("timestamp_ntz").alias("day")).agg(F.sum("value").alias("total"))
+    m = R.moving_average(d, "event_type", "day", "total", 4)
+    return m.select("event_type", "day", F.round("total", 6).alias("total"), F.round("trend", 6).alias("trend"))
+
+
+@query("train_test_union", f"""
+select *, {"(('0x' || substr(md5(cast(o_orderkey as varchar)), 1, 8))::ubigint % 100)"} < 80 as is_train from orders
+""")
+def train_test_union(spark, sf):
+    """8.2 union of the train and test parts back into one table (by name)."""
+    from quarry.operators.features import split
+
+    o = T(spark, sf, "orders")
+    tr, te = split(o, "o_orderkey", 0.8, method="md5")
+    return S.union(tr.withColumn("is_train", F.lit(True)), te.withColumn("is_train", F.lit(False)))
