@@ -37,14 +37,56 @@ def _order_cols(df: DataFrame, order, total: bool) -> list[Column]:
     return cols
 
 
+# A key-partitioned window is used only when the largest series is proven
+# (by one aggregate) to hold at most this many rows; above it every
+# positional operator switches to the global-position joins.
+SERIES_WINDOW_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, key) -> int:
+    keys = [key] if isinstance(key, str) else list(key or [])
+    if not keys:
+        return df.count()
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
+def use_key_window(df: DataFrame, key, strategy: str = "auto") -> bool:
+    """'window' / 'join' / 'auto' (window iff the largest group is under
+    ``SERIES_WINDOW_ROWS``)."""
+    if strategy in ("window", "join"):
+        return strategy == "window"
+    return largest_group(df, key) <= SERIES_WINDOW_ROWS
+
+
+def _key_window(df: DataFrame, keys: list[str], order) -> Window:
+    order = [order] if isinstance(order, str) else list(order)
+    cols = _order_cols(df.drop(*keys) if keys else df, order, True)
+    return Window.partitionBy(*keys).orderBy(*cols)
+
+
+def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on ``cols`` and tag each row with its partition.
+
+    The tagged rows are checkpointed (reliably, to the shared checkpoint
+    folder) so the two consumers -- per-partition numbering and
+    per-partition counts -- read ONE partition assignment. Without it
+    each consumer would run its own range exchange, and the range bounds
+    (sampled; re-sampled with a per-RDD seed when input partitions are
+    unbalanced) can differ between them.
+    """
+    from quarry.session import cut_lineage
+
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *cols).withColumn("__pid", F.spark_partition_id()))
+
+
 def row_numbers(df: DataFrame, order, name: str = "row_number", start: int = 1,
                 total: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Consecutive global row numbers in ``order`` without a single-task
     window (op 6.7). ``total`` appends the other columns as tie-breakers
     so the numbering is deterministic and a hot value is splittable."""
     cols = _order_cols(df, order, total)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *cols).withColumn("__pid", F.spark_partition_id())
+    ranged = _ranged(df, cols, num_partitions)
     local = ranged.withColumn("__lrn", F.row_number().over(Window.partitionBy("__pid").orderBy(*cols)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     # one row per partition: a window without PARTITION BY is bounded here
@@ -64,23 +106,33 @@ def take_range(df: DataFrame, order, a: int, b: int | None = None) -> DataFrame:
     return rn.filter(cond).drop("__rn")
 
 
-def per_key_numbers(df: DataFrame, key, order, name: str = "rn", start: int = 1) -> DataFrame:
-    """Row number within each key (1-based by default) without a
-    key-partitioned window: global number minus the key's first number."""
+def per_key_numbers(df: DataFrame, key, order, name: str = "rn", start: int = 1,
+                    strategy: str = "auto") -> DataFrame:
+    """Row number within each key (1-based by default). Keys with a proven
+    bounded size use a key window; otherwise global number minus the key's
+    first number (no task holds a whole key)."""
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
+    if use_key_window(df, key, strategy):
+        w = _key_window(df, key, order)
+        return df.withColumn(name, (F.row_number().over(w) + (start - 1)).cast("long"))
     g = row_numbers(df, key + order, "__g")
     first = g.groupBy(*key).agg(F.min("__g").alias("__g0"))
     return (g.join(first, key).withColumn(name, (F.col("__g") - F.col("__g0") + start).cast("long"))
             .drop("__g", "__g0"))
 
 
-def lags(df: DataFrame, key, ts: str, col: str, n: int = 1, prefix: str | None = None) -> DataFrame:
+def lags(df: DataFrame, key, ts: str, col: str, n: int = 1, prefix: str | None = None,
+         strategy: str = "auto") -> DataFrame:
     """``lag(col, k)`` for k = 1..n within each key ordered by ``ts``
-    (op 6.4). One exploded equi-join on the global row number plus a
-    re-aggregation on the same (already partitioned) number."""
+    (op 6.4). Bounded keys: one key window. Otherwise one exploded
+    equi-join on the global row number plus a re-aggregation on the same
+    (already partitioned) number."""
     key = [key] if isinstance(key, str) else list(key or [])
     prefix = prefix or f"{col}_lag"
+    if use_key_window(df, key, strategy):
+        w = _key_window(df, key, [ts])
+        return df.withColumns({f"{prefix}_{k}": F.lag(col, k).over(w) for k in range(1, n + 1)})
     g = row_numbers(df, key + [ts], "__g")
     right = g.select(*[F.col(k).alias(f"__r_{k}") for k in key], F.col(col).alias("__v"),
                      F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__k"), F.col("__g").alias("__rg"))
@@ -96,12 +148,22 @@ def lags(df: DataFrame, key, ts: str, col: str, n: int = 1, prefix: str | None =
     return joined.groupBy("__g").agg(*aggs).drop("__g")
 
 
-def moving_average(df: DataFrame, key, ts: str, y: str, period: int, name: str = "trend") -> DataFrame:
+def moving_average(df: DataFrame, key, ts: str, y: str, period: int, name: str = "trend",
+                   strategy: str = "auto") -> DataFrame:
     """Centred moving average (op 6.5), as used for classical decomposition:
     odd period -> plain mean of ``period`` points; even period -> 2x``period``
-    average (end weights 1/2). Edges without a full window are NULL."""
+    average (end weights 1/2). Edges without a full window are NULL.
+    Bounded keys: a key window frame; otherwise position joins."""
     key = [key] if isinstance(key, str) else list(key or [])
     h = period // 2
+    if use_key_window(df, key, strategy):
+        w = _key_window(df, key, [ts]).rowsBetween(-h, h)
+        x = F.col(y)
+        full = (F.count(F.lit(1)).over(w) == 2 * h + 1) & (F.count(x).over(w) == 2 * h + 1)
+        tot = F.sum(x).over(w)
+        if period % 2 == 0:
+            tot = tot - 0.5 * (F.first(x).over(w) + F.last(x).over(w))
+        return df.withColumn(name, F.when(full, tot / period))
     if period % 2:
         weights = {o: 1.0 / period for o in range(-h, h + 1)}
     else:
@@ -245,8 +307,7 @@ def running_sums(df: DataFrame, order, cols: list[str], suffix: str = "_cum") ->
     partition, per-partition running sums, plus per-partition offsets
     (one row per partition)."""
     ocols = _order_cols(df, order, True)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *ocols).withColumn("__pid", F.spark_partition_id())
+    ranged = _ranged(df, ocols)
     w = Window.partitionBy("__pid").orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({f"__l_{c}": F.sum(c).over(w) for c in cols})
     tot = ranged.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])

@@ -17,7 +17,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.ranking import row_numbers
@@ -73,27 +73,47 @@ def _lag_join(g: DataFrame, keys: list[str], y: str, lags: list[int], ycol: str
                                 *[F.max(F.when(ok & (F.col("__k") == k), F.col("__v"))).alias(f"{ycol}_lag_{k}") for k in lags])
 
 
-def acf(df: DataFrame, key, ts: str, y: str, nlags: int = 10) -> DataFrame:
+def series_frame(df: DataFrame, key, ts: str, y: str, lags: list[int] | None = None,
+                 strategy: str = "auto") -> DataFrame:
+    """``(key..., ts, __x, __pos, __n, __x_lag_k...)``: the value as double,
+    its 0-based position in the series, the series length and lagged
+    values. A key window is used when every series is proven short enough
+    (``ranking.SERIES_WINDOW_ROWS``); otherwise global positions and
+    position equi-joins, so no task holds a whole long series."""
+    from quarry.operators.ranking import _key_window, use_key_window
+
+    keys = _keys(key)
+    lags = list(lags or [])
+    base = df.select(*keys, ts, F.col(y).cast("double").alias("__x"))
+    if use_key_window(base, keys, strategy):
+        w = _key_window(base, keys, [ts])
+        out = base.withColumn("__pos", F.row_number().over(w) - 1).withColumn(
+            "__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        return out.withColumns({f"__x_lag_{k}": F.lag("__x", k).over(w) for k in lags})
+    g = row_numbers(base, keys + [ts], "__g", total=False)
+    if lags:
+        g = _lag_join(g, keys, "__x", lags, "__x")
+    st = g.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"))
+    return g.join(st, keys).withColumn("__pos", F.col("__g") - F.col("__g0")).drop("__g", "__g0")
+
+
+def acf(df: DataFrame, key, ts: str, y: str, nlags: int = 10, strategy: str = "auto") -> DataFrame:
     """Sample autocorrelation (op 15.3), statsmodels' estimator:
     r_k = sum_t (x_t - m)(x_{t-k} - m) / sum_t (x_t - m)^2 per key.
+    Lagged values come from :func:`series_frame`; the cross-products are
+    summed by a partially aggregated ``groupBy(key)``.
     Returns ``(key..., lag, acf)`` for lag 0..nlags."""
     keys = _keys(key)
-    g = _positions(df, keys, ts, y)
-    mean = g.groupBy(*keys).agg(F.avg(y).alias("__m"))
-    c = g.join(mean, keys).withColumn("__x", F.col(y) - F.col("__m")).select(*keys, "__g", "__x")
-    lags = list(range(0, nlags + 1))
-    right = c.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.col("__x").alias("__v"), F.col("__g").alias("__rg"),
-                     F.explode(F.array(*[F.lit(k) for k in lags])).alias("lag"))
-    right = right.withColumn("__g", F.col("__rg") + F.col("lag")).drop("__rg")
-    ok = F.lit(True)
-    for k in keys:
-        ok = ok & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    j = c.join(right, "__g").filter(ok)
-    cov = j.groupBy(*keys, "lag").agg(F.sum(F.col("__x") * F.col("__v")).alias("__c"))
-    var = cov.filter(F.col("lag") == 0).select(*keys, F.col("__c").alias("__c0"))
-    full = _lag_spine(g, keys, nlags)
-    out = full.join(cov, [*keys, "lag"], "left").join(var, keys)
-    return out.select(*keys, "lag", (F.coalesce(F.col("__c"), F.lit(0.0)) / F.col("__c0")).alias("acf"))
+    f = series_frame(df, keys, ts, y, list(range(1, nlags + 1)), strategy)
+    mean = f.groupBy(*keys).agg(F.avg("__x").alias("__m"))
+    c = f.join(mean, keys) if keys else f.withColumn("__m", mean.select("__m").scalar())
+    xc = F.col("__x") - F.col("__m")
+    sums = [F.sum(xc * xc).alias("__c0")]
+    sums += [F.sum(xc * (F.col(f"__x_lag_{k}") - F.col("__m"))).alias(f"__c{k}") for k in range(1, nlags + 1)]
+    cov = c.groupBy(*keys).agg(*sums)
+    structs = [F.struct(F.lit(k).alias("lag"), (F.coalesce(F.col(f"__c{k}"), F.lit(0.0)) / F.col("__c0")).alias("acf"))
+               for k in range(0, nlags + 1)]
+    return cov.select(*keys, F.explode(F.array(*structs)).alias("__s")).select(*keys, "__s.*")
 
 
 def _lag_spine(g: DataFrame, keys: list[str], nlags: int) -> DataFrame:
@@ -132,7 +152,7 @@ def pacf(df: DataFrame, key, ts: str, y: str, nlags: int = 10) -> DataFrame:
     return a.groupBy(*keys).applyInPandas(dl, schema)
 
 
-def decompose(df: DataFrame, key, ts: str, y: str, period: int) -> DataFrame:
+def decompose(df: DataFrame, key, ts: str, y: str, period: int, strategy: str = "auto") -> DataFrame:
     """Additive classical decomposition (op 15.5): trend = centred moving
     average (2 x period when even); seasonal = mean of the detrended
     values at each phase (position mod period), centred to mean 0;
@@ -140,28 +160,29 @@ def decompose(df: DataFrame, key, ts: str, y: str, period: int) -> DataFrame:
     from quarry.operators.ranking import moving_average
 
     keys = _keys(key)
-    g = _positions(df, keys, ts, y)
-    first = g.groupBy(*keys).agg(F.min("__g").alias("__g0"))
-    g = g.join(first, keys).withColumn("phase", F.pmod(F.col("__g") - F.col("__g0"), F.lit(period))).drop("__g0")
-    t = moving_average(g, keys, "__g", y, period, "trend")
-    det = t.withColumn("__d", F.col(y) - F.col("trend"))
+    f = series_frame(df, keys, ts, y, None, strategy).withColumn("phase", F.pmod(F.col("__pos"), F.lit(period)))
+    t = moving_average(f, keys, "__pos", "__x", period, "trend", strategy)
+    det = t.withColumn("__d", F.col("__x") - F.col("trend"))
     ph = det.groupBy(*keys, "phase").agg(F.avg("__d").alias("__pa"))
     centre = ph.groupBy(*keys).agg(F.avg("__pa").alias("__pm"))
-    seas = ph.join(centre, keys).select(*keys, "phase", (F.col("__pa") - F.col("__pm")).alias("seasonal"))
+    seas = (ph.join(centre, keys) if keys else ph.withColumn("__pm", centre.select("__pm").scalar())).select(
+        *keys, "phase", (F.col("__pa") - F.col("__pm")).alias("seasonal"))
     out = det.join(seas, [*keys, "phase"], "left")
-    return out.select(*keys, ts, y, "trend", "seasonal", (F.col(y) - F.col("trend") - F.col("seasonal")).alias("resid"))
+    return out.select(*keys, ts, F.col("__x").alias(y), "trend", "seasonal",
+                      (F.col("__x") - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
 # ----------------------------------------------------------- least squares
 def _gram(d: DataFrame, keys: list[str], cols: list[str], extra_keys: list[str] | None = None) -> DataFrame:
     """Per key: n and every sum of products of ``cols`` (upper triangle),
-    i.e. the Gram matrix of the design, as aggregates."""
+    i.e. the Gram matrix of the design, as aggregates. Expressions are
+    passed as SQL text: one parse each instead of a chain of Column calls."""
     ek = list(extra_keys or [])
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs = ["count(1) AS __n"]
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
-            aggs.append(F.sum(F.col(a) * F.col(cols[j])).alias(f"__s_{i}_{j}"))
-    return d.groupBy(*keys, *ek).agg(*aggs)
+            aggs.append(f"sum(`{a}` * `{cols[j]}`) AS __s_{i}_{j}")
+    return d.groupBy(*keys, *ek).agg(*[F.expr(e) for e in aggs])
 
 
 def _unpack(row, m: int) -> np.ndarray:
@@ -208,7 +229,7 @@ def adf_pvalue(tau: float) -> float:
     return ncdf(sum(ci * tau ** i for i, ci in enumerate(c)))
 
 
-def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None) -> DataFrame:
+def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None, strategy: str = "auto") -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, lag order chosen by
     AIC (op 15.6, re-aimed). Regression dy_t = a + b y_{t-1} +
     sum_{i<=p} c_i dy_{t-i} + e over a sample common to every candidate p;
@@ -219,32 +240,31 @@ def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None) -> Data
     Returns (key..., adf_stat, p_value, used_lag, nobs, crit_1, crit_5, crit_10).
     """
     keys = _keys(key)
-    g = _positions(df, keys, ts, y)
-    nmax = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("__len"))
     if max_lag is None:
-        longest = nmax.select(F.max("__len")).first()[0] or 0
+        from quarry.operators.ranking import largest_group
+
+        longest = largest_group(df, keys)
         max_lag = int(math.ceil(12.0 * (longest / 100.0) ** 0.25))
     L = max_lag
-    g = g.withColumn("__x", F.col(y).cast("double"))
-    lagged = _lag_join(g, keys, y, list(range(1, L + 2)), "__x")
-    # dy_t and its lags, y_{t-1}
-    d = lagged.withColumn("dy", F.col("__x") - F.col("__x_lag_1")).withColumn("y1", F.col("__x_lag_1"))
-    for i in range(1, L + 1):
-        d = d.withColumn(f"dy{i}", F.col(f"__x_lag_{i}") - F.col(f"__x_lag_{i + 1}"))
-    first = d.groupBy(*keys).agg(F.min("__g").alias("__g0"))
-    d = d.join(first, keys).withColumn("__pos", F.col("__g") - F.col("__g0"))
+    f = series_frame(df, keys, ts, y, list(range(1, L + 2)), strategy)
+    lag = {k: F.col(f"__x_lag_{k}") for k in range(1, L + 2)}
+    # one projection (not a withColumn chain: keeps the plan shallow)
+    d = f.select(*keys, "__pos", F.lit(1.0).alias("one"), lag[1].alias("y1"),
+                 *[(lag[i] - lag[i + 1]).alias(f"dy{i}") for i in range(1, L + 1)],
+                 (F.col("__x") - lag[1]).alias("dy"))
     cols = ["one", "y1", *[f"dy{i}" for i in range(1, L + 1)], "dy"]
-    d = d.withColumn("one", F.lit(1.0))
     # common sample for the AIC search: positions > L (all lags defined)
     G1 = _gram(d.filter(F.col("__pos") > L), keys, cols)
     # for the refit: Gram over positions > p for every p, via a per-row
-    # explode of the admissible p (rows with pos > p)
-    d2 = d.filter(F.col("__pos") >= 1).withColumn(
-        "__p", F.explode(F.sequence(F.lit(0), F.least(F.col("__pos") - 1, F.lit(L)))))
-    d2 = d2.withColumns({f"dy{i}": F.when(F.col("__p") >= i, F.col(f"dy{i}")).otherwise(F.lit(0.0)) for i in range(1, L + 1)})
+    # explode of the admissible p (rows with pos > p), lags beyond p zeroed
+    d2 = d.filter(F.col("__pos") >= 1).select(
+        *keys, "one", "y1", "dy", *[f"dy{i}" for i in range(1, L + 1)],
+        F.explode(F.sequence(F.lit(0), F.least(F.col("__pos") - 1, F.lit(L)))).alias("__p"))
+    d2 = d2.select(*keys, "__p", "one", "y1", "dy",
+                   *[F.when(F.col("__p") >= i, F.col(f"dy{i}")).otherwise(F.lit(0.0)).alias(f"dy{i}") for i in range(1, L + 1)])
     G2 = _gram(d2, keys, cols, ["__p"])
     m = len(cols)
-    key_schema = [f"{k} {t}" for k, t in g.dtypes if k in keys]
+    key_schema = [f"{k} {t}" for k, t in df.dtypes if k in keys]
     out_schema = ", ".join(key_schema + ["adf_stat double", "p_value double", "used_lag int", "nobs long",
                                          "crit_1 double", "crit_5 double", "crit_10 double"])
     g1 = G1.withColumn("__which", F.lit(1)).withColumn("__p", F.lit(-1))
@@ -282,16 +302,14 @@ def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None) -> Data
     return both.groupBy(*keys).applyInPandas(solve, out_schema)
 
 
-def _ar_design(df: DataFrame, keys: list[str], ts: str, y: str, lags: list[int]):
-    g = _positions(df, keys, ts, y).withColumn("__x", F.col(y).cast("double"))
-    lagged = _lag_join(g, keys, y, lags, "__x")
-    first = lagged.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.max("__g").alias("__g1"))
-    lagged = lagged.join(first, keys).withColumn("__pos", F.col("__g") - F.col("__g0"))
-    return g, lagged.withColumn("one", F.lit(1.0))
+def _ar_design(df: DataFrame, keys: list[str], ts: str, y: str, lags: list[int], strategy: str = "auto"):
+    d = series_frame(df, keys, ts, y, lags, strategy)
+    return d.withColumn("one", F.lit(1.0))
 
 
 def ar_forecast(df: DataFrame, key, ts: str, y: str, p: int = 1, horizon: int = 12,
-                seasonal_lags: list[int] | None = None, step: str = "1 day", z: float = 1.96) -> DataFrame:
+                seasonal_lags: list[int] | None = None, step: str = "1 day", z: float = 1.96,
+                strategy: str = "auto") -> DataFrame:
     """AR(p) (+ optional seasonal lags) with intercept, least squares, and a
     recursive ``horizon``-step forecast with a +-z sigma sqrt(sum psi^2)
     band (op 15.7; a different estimator than state-space ARIMA: stated).
@@ -299,16 +317,16 @@ def ar_forecast(df: DataFrame, key, ts: str, y: str, p: int = 1, horizon: int =
     keys = _keys(key)
     lags = sorted(set(list(range(1, p + 1)) + list(seasonal_lags or [])))
     L = max(lags)
-    g, d = _ar_design(df, keys, ts, y, lags)
+    d = _ar_design(df, keys, ts, y, lags, strategy)
     cols = ["one", *[f"__x_lag_{k}" for k in lags], "__x"]
     G = _gram(d.filter(F.col("__pos") >= L), keys, cols)
-    # last L values and last ts per key: the rows nearest the end
-    tail = d.filter(F.col("__g") > F.col("__g1") - L).select(*keys, "__g", "__g1", ts, "__x")
-    tail_agg = tail.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__g", "__x"))).alias("__tail"),
+    # last L values and last ts per key: the rows nearest the end (L per key)
+    tail = d.filter(F.col("__pos") >= F.col("__n") - L).select(*keys, "__pos", ts, "__x")
+    tail_agg = tail.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__pos", "__x"))).alias("__tail"),
                                        F.max(ts).alias("__last"))
     both = G.join(tail_agg, keys)
     m = len(cols)
-    key_schema = [f"{k} {t}" for k, t in g.dtypes if k in keys]
+    key_schema = [f"{k} {t}" for k, t in df.dtypes if k in keys]
     out_schema = ", ".join(key_schema + ["step int", "forecast double", "lower double", "upper double", "__last timestamp_ntz"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -340,18 +358,18 @@ def ar_forecast(df: DataFrame, key, ts: str, y: str, p: int = 1, horizon: int =
                       "forecast", "lower", "upper")
 
 
-def ar_select(df: DataFrame, key, ts: str, y: str, max_p: int = 8) -> DataFrame:
+def ar_select(df: DataFrame, key, ts: str, y: str, max_p: int = 8, strategy: str = "auto") -> DataFrame:
     """AR order search (op 15.8): one Gram matrix per key on the sample
     where all ``max_p`` lags exist serves every p; each (key, p) is solved
     and the p with the lowest in-sample RMSE (ties -> smaller p) kept,
     with its AIC. Returns (key..., p, rmse, aic)."""
     keys = _keys(key)
     lags = list(range(1, max_p + 1))
-    g, d = _ar_design(df, keys, ts, y, lags)
+    d = _ar_design(df, keys, ts, y, lags, strategy)
     cols = ["one", *[f"__x_lag_{k}" for k in lags], "__x"]
     G = _gram(d.filter(F.col("__pos") >= max_p), keys, cols)
     m = len(cols)
-    key_schema = [f"{k} {t}" for k, t in g.dtypes if k in keys]
+    key_schema = [f"{k} {t}" for k, t in df.dtypes if k in keys]
     schema = ", ".join(key_schema + ["p int", "rmse double", "aic double"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
