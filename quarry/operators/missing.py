@@ -44,9 +44,10 @@ def fit_impute(df: DataFrame, cols: list[str] | None = None, strategy: str = "me
 
         cols = columns_of(df, "numeric") if strategy in ("median", "mean") else df.columns
     if strategy == "median":
-        from quarry.operators.profile import quantile_method, quantiles
+        from quarry.operators.profile import quantile_methods, quantiles
 
-        big = [c for c in cols if quantile_method(df, c) == "sort"]
+        how = quantile_methods(df, cols)
+        big = [c for c in cols if how[c] == "sort"]
         small = [c for c in cols if c not in big]
         vals = {}
         if small:

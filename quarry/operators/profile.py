@@ -21,10 +21,11 @@ from quarry.operators.schema import columns_of
 
 
 # Exact percentiles keep a value->count map per group that is merged in
-# one task per group; that is bounded by the column's distinct count. Up
-# to this many distinct values the map is used, above it the sort-based
-# exact method (range-partitioned ranks, nothing held per group).
-MAP_DISTINCT_LIMIT = 200_000
+# one task per group; its size is bounded by the column's distinct count.
+# Up to this many distinct values (a map of ~tens of MB) the map is used,
+# above it the sort-based exact method (range-partitioned ranks, nothing
+# held per group).
+MAP_DISTINCT_LIMIT = 1_000_000
 
 
 def _q(col: Column, probs: list[float], approx: bool, accuracy: int = 100_000) -> Column:
@@ -36,10 +37,15 @@ def _q(col: Column, probs: list[float], approx: bool, accuracy: int = 100_000) -
 def quantile_method(df: DataFrame, col: str, method: str = "auto") -> str:
     """Resolve 'auto' to 'map' (bounded distinct count, checked with a
     HyperLogLog sketch) or 'sort'."""
-    if method != "auto":
-        return method
-    nd = df.agg(F.approx_count_distinct(col, 0.05)).first()[0] or 0
-    return "map" if nd <= MAP_DISTINCT_LIMIT else "sort"
+    return quantile_methods(df, [col], method)[col]
+
+
+def quantile_methods(df: DataFrame, cols: list[str], method: str = "auto") -> dict[str, str]:
+    """:func:`quantile_method` for several columns with ONE sketch job."""
+    if method != "auto" or not cols:
+        return {c: method for c in cols}
+    row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+    return {c: ("map" if (row[c] or 0) <= MAP_DISTINCT_LIMIT else "sort") for c in cols}
 
 
 def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=None) -> DataFrame:
@@ -95,7 +101,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool
     quartiles (``method``: auto / map / sort; ``approx`` overrides)."""
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     cols = cols or [c for c in columns_of(df, "numeric") if c not in keys]
-    how = {c: ("approx" if approx else quantile_method(df, c, method)) for c in cols}
+    how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
