@@ -77,9 +77,11 @@ class FreqEncoder:
         self.tables = tables
 
     def transform(self, df: DataFrame, suffix: str = "_freq") -> DataFrame:
+        from quarry.operators.joins import materialize_small
+
         for c, t in self.tables.items():
-            t2 = t.select(F.col(c).alias("__fv"), F.col("share").alias(f"{c}{suffix}"))
-            df = df.join(broadcast_if_small(t2), F.col(c) == F.col("__fv"), "left").drop("__fv")
+            t2 = materialize_small(t.select(F.col(c).alias("__fv"), F.col("share").alias(f"{c}{suffix}")))
+            df = df.join(t2, F.col(c) == F.col("__fv"), "left").drop("__fv")
         return df
 
 

@@ -94,3 +94,20 @@ def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, name
     t = table.select(F.col(key).alias("__lk"), F.col(value).alias(name or value))
     return (df.join(broadcast_if_small(t, broadcast_rows), F.col(col) == F.col("__lk"), "left")
             .drop("__lk"))
+
+
+def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Compute a (usually aggregated) table ONCE and return it ready to join.
+
+    Under ``max_rows`` rows (checked while fetching at most ``max_rows + 1``)
+    the rows come back as a local relation with a broadcast hint, so an
+    expensive aggregate is not recomputed by the size check, the broadcast
+    and every later use. Above the bound the table is checkpointed to the
+    shared folder and joined without a hint.
+    """
+    from quarry.session import cut_lineage
+
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) <= max_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(pdf, schema=df.schema))
+    return cut_lineage(df)

@@ -58,15 +58,15 @@ def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=Non
     small aggregate interpolates between them. No task ever holds a
     group's values.
     """
-    from quarry.operators.joins import broadcast_if_small
+    from quarry.operators.joins import materialize_small
     from quarry.operators.ranking import row_numbers
 
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     x = df.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
     x = x.withColumn("__t", F.monotonically_increasing_id())
     rn = row_numbers(x, [*keys, "__x", "__t"], "__g", total=False)
-    stats = rn.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"))
-    j = rn.join(broadcast_if_small(stats), keys) if keys else rn.withColumns(
+    stats = materialize_small(rn.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n")))
+    j = rn.join(stats, keys) if keys else rn.withColumns(
         {"__g0": stats.select("__g0").scalar(), "__n": stats.select("__n").scalar()})
     j = j.withColumn("__r", F.col("__g") - F.col("__g0"))
     h = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
@@ -237,7 +237,7 @@ def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: b
     (op 5.30). Pass 1: quartiles (:func:`quantiles`, exact); pass 2:
     conditional min/max/count against the fences, joined back on the group
     key (one row per group, broadcast only under a checked bound)."""
-    from quarry.operators.joins import broadcast_if_small
+    from quarry.operators.joins import materialize_small
 
     by = [by] if isinstance(by, str) else list(by or [])
     q = None
@@ -251,8 +251,10 @@ def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: b
             q = q.join(qc, by)
         else:
             q = q.withColumn(f"{c}__q", qc.select(f"{c}__q").scalar())
+    # one row per group: computed once, joined back (broadcast when small)
+    q = materialize_small(q)
     if by:
-        j = df.join(broadcast_if_small(q), by, "inner")
+        j = df.join(q, by, "inner")
     else:
         j = df.withColumns({f"{c}__q": q.select(f"{c}__q").scalar() for c in cols})
     aggs = []
