@@ -60,12 +60,16 @@ def fit_iqr(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool = False
     a ``percentile`` map when the distinct count is bounded, the sort-based
     exact method otherwise); ``approx=True`` uses ``percentile_approx``.
     """
-    from quarry.operators.profile import quantiles
+    from quarry.operators.profile import quantile_methods, quantiles
 
+    # one distinct-count sketch on the unfiltered input bounds every later
+    # (filtered) pass, so the strategy is chosen once for all columns
+    how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method)
     fences = []
     cur = df
     for c in cols:
-        rows = quantiles(cur, c, [0.25, 0.75], approx=approx, method=method).collect()
+        rows = quantiles(cur, c, [0.25, 0.75], approx=approx,
+                         method=how[c] if how[c] != "approx" else "map").collect()
         qs = [r["value"] for r in sorted(rows, key=lambda r: r["prob"])] if rows else None
         if not qs or qs[0] is None:
             fences.append((c, None, None))

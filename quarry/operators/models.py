@@ -111,19 +111,22 @@ def rff_columns(cols: list[str], gamma: float, dims: int, seed: int = 42, prefix
     return out
 
 
-def fit_rff_svc(df, cols, label, gamma: float = 0.1, dims: int = 100, C_: float = 1.0, seed: int = 42):
-    """14.8 RBF SVM re-aimed: random Fourier features + linear SVM."""
+def fit_rff_svc(df, cols, label, gamma: float = 0.1, dims: int = 100, C_: float = 1.0, seed: int = 42,
+                max_iter: int = 20):
+    """14.8 RBF SVM re-aimed: random Fourier features + linear SVM
+    (``max_iter`` optimiser passes; each pass is one distributed job)."""
     feats = rff_columns(cols, gamma, dims, seed)
     d = df.withColumns(feats)
-    model = fit_linear_svc(d, list(feats), label, C_, max_iter=50)
+    model = fit_linear_svc(d, list(feats), label, C_, max_iter=max_iter)
     return RFFModel(feats, model)
 
 
-def fit_rff_huber(df, cols, label, gamma: float = 0.1, dims: int = 100, reg: float = 0.0, seed: int = 42):
+def fit_rff_huber(df, cols, label, gamma: float = 0.1, dims: int = 100, reg: float = 0.0, seed: int = 42,
+                  max_iter: int = 20):
     """14.13 RBF SVR re-aimed: random Fourier features + Huber regression."""
     feats = rff_columns(cols, gamma, dims, seed)
     d = df.withColumns(feats)
-    model = fit(d, list(feats), label, Rg.LinearRegression(loss="huber", regParam=reg, maxIter=50))
+    model = fit(d, list(feats), label, Rg.LinearRegression(loss="huber", regParam=reg, maxIter=max_iter))
     return RFFModel(feats, model)
 
 
