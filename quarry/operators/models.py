@@ -93,49 +93,56 @@ def fit_linear_svc(df, cols, label, C_: float = 1.0, n: int | None = None, max_i
     return fit(df, cols, label, C.LinearSVC(regParam=1.0 / (C_ * n), standardization=False, maxIter=max_iter))
 
 
-def rff_columns(cols: list[str], gamma: float, dims: int, seed: int = 42, prefix: str = "rff") -> dict[str, Column]:
+def rff_vector(cols: list[str], gamma: float, dims: int, seed: int = 42) -> Column:
     """Random Fourier features for an RBF kernel exp(-gamma |x - y|^2)
     (Rahimi & Recht 2007): z_i(x) = sqrt(2/D) cos(w_i . x + b_i),
-    w ~ N(0, 2 gamma I), b ~ U(0, 2 pi). Built as JVM expressions
-    (D x d literals), not a Python UDF."""
+    w ~ N(0, 2 gamma I), b ~ U(0, 2 pi), as ONE vector column.
+
+    The D x d weights are literals of a single SQL higher-order expression
+    (``transform`` over the weight rows), evaluated JVM-side per row; no
+    Python runs per row and no D separate columns are assembled."""
+    from pyspark.ml.functions import array_to_vector
+
     rng = np.random.default_rng(seed)
     W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(dims, len(cols)))
     b = rng.uniform(0.0, 2 * math.pi, size=dims)
-    scale = math.sqrt(2.0 / dims)
-    out = {}
-    for i in range(dims):
-        dot = F.lit(float(b[i]))
-        for j, c in enumerate(cols):
-            dot = dot + F.lit(float(W[i, j])) * F.col(c).cast("double")
-        out[f"{prefix}_{i}"] = F.lit(scale) * F.cos(dot)
-    return out
+    rows = ", ".join(
+        "named_struct('b', CAST({:.17g} AS DOUBLE), 'w', array({}))".format(
+            b[i], ", ".join(f"CAST({v:.17g} AS DOUBLE)" for v in W[i])) for i in range(dims))
+    x = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in cols)
+    expr = (f"transform(array({rows}), r -> {math.sqrt(2.0 / dims):.17g} * cos(r.b + "
+            f"aggregate(zip_with(r.w, array({x}), (a, v) -> a * v), CAST(0 AS DOUBLE), (acc, t) -> acc + t)))")
+    return array_to_vector(F.expr(expr))
+
+
+class RFFModel:
+    """Random-feature map + a linear MLlib model fitted on it."""
+
+    def __init__(self, vec: Column, model):
+        self.vec, self.model = vec, model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(df.withColumn("features", self.vec))
 
 
 def fit_rff_svc(df, cols, label, gamma: float = 0.1, dims: int = 100, C_: float = 1.0, seed: int = 42,
-                max_iter: int = 20):
+                max_iter: int = 50):
     """14.8 RBF SVM re-aimed: random Fourier features + linear SVM
-    (``max_iter`` optimiser passes; each pass is one distributed job)."""
-    feats = rff_columns(cols, gamma, dims, seed)
-    d = df.withColumns(feats)
-    model = fit_linear_svc(d, list(feats), label, C_, max_iter=max_iter)
-    return RFFModel(feats, model)
+    (``C`` -> ``regParam = 1/(C n)``)."""
+    vec = rff_vector(cols, gamma, dims, seed)
+    d = df.withColumn("features", vec)
+    n = df.count()
+    est = C.LinearSVC(labelCol=label, regParam=1.0 / (C_ * n), standardization=False, maxIter=max_iter)
+    return RFFModel(vec, est.fit(d))
 
 
 def fit_rff_huber(df, cols, label, gamma: float = 0.1, dims: int = 100, reg: float = 0.0, seed: int = 42,
-                  max_iter: int = 20):
+                  max_iter: int = 50):
     """14.13 RBF SVR re-aimed: random Fourier features + Huber regression."""
-    feats = rff_columns(cols, gamma, dims, seed)
-    d = df.withColumns(feats)
-    model = fit(d, list(feats), label, Rg.LinearRegression(loss="huber", regParam=reg, maxIter=max_iter))
-    return RFFModel(feats, model)
-
-
-class RFFModel:
-    def __init__(self, feats: dict[str, Column], model: PipelineModel):
-        self.feats, self.model = feats, model
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df.withColumns(self.feats)).drop(*self.feats)
+    vec = rff_vector(cols, gamma, dims, seed)
+    d = df.withColumn("features", vec)
+    est = Rg.LinearRegression(labelCol=label, loss="huber", regParam=reg, maxIter=max_iter)
+    return RFFModel(vec, est.fit(d))
 
 
 def fit_gbt(df, cols, label, rounds: int = 20, depth: int = 3, seed: int = 42):
