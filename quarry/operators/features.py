@@ -17,27 +17,53 @@ from quarry.operators.joins import broadcast_if_small
 
 
 # ---------------------------------------------------------------- encoders
+MAX_COLLECTED_LEVELS = 10_000
+
+
+def _levels(df: DataFrame, c: str, max_levels: int) -> list | None:
+    """Sorted distinct non-NULL levels, or None when there are more than
+    ``max_levels`` (checked by fetching at most ``max_levels + 1``)."""
+    rows = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        return None
+    return sorted(r[0] for r in rows)
+
+
 class LabelEncoder:
-    """Alphabetical codes from 0 (T9); unseen value -> NULL."""
+    """Alphabetical codes from 0 (T9); unseen value -> NULL. Small level
+    sets are applied as a literal map; larger ones as a join with the
+    distributed code table (:func:`quarry.operators.ranking.label_codes`)."""
 
-    def __init__(self, levels: dict[str, list]):
+    def __init__(self, levels: dict[str, list], tables: dict[str, DataFrame] | None = None):
         self.levels = levels
+        self.tables = tables or {}
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
         from quarry.operators.ranking import ordinal_rank
 
-        return df.withColumns({f"{c}{suffix}": ordinal_rank(c, lv).cast("int") for c, lv in self.levels.items()})
+        out = df.withColumns({f"{c}{suffix}": ordinal_rank(c, lv).cast("int") for c, lv in self.levels.items()})
+        for c, t in self.tables.items():
+            t2 = t.select(F.col(c).alias("__lv"), F.col("__code").cast("int").alias(f"{c}{suffix}"))
+            out = out.join(t2, F.col(c) == F.col("__lv"), "left").drop("__lv")
+        return out
+
 
+def fit_label_encoder(df: DataFrame, cols: list[str], max_levels: int = MAX_COLLECTED_LEVELS) -> LabelEncoder:
+    """Distinct levels per column, sorted (op 13.1). At most ``max_levels``
+    levels are brought to the driver; a column with more keeps its codes
+    as a distributed table (numbered by range partitioning), checkpointed."""
+    from quarry.operators.ranking import row_numbers
+    from quarry.session import cut_lineage
 
-def fit_label_encoder(df: DataFrame, cols: list[str]) -> LabelEncoder:
-    """Distinct levels per column, sorted (op 13.1). Levels are collected,
-    so this is for categorical columns; high-cardinality columns use
-    :func:`quarry.operators.ranking.label_codes` (distributed)."""
-    levels = {}
+    levels, tables = {}, {}
     for c in cols:
-        rows = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).collect()
-        levels[c] = [r[0] for r in rows]
-    return LabelEncoder(levels)
+        lv = _levels(df, c, max_levels)
+        if lv is not None:
+            levels[c] = lv
+        else:
+            distinct = df.select(c).filter(F.col(c).isNotNull()).distinct()
+            tables[c] = cut_lineage(row_numbers(distinct, [c], "__code", start=0, total=False))
+    return LabelEncoder(levels, tables)
 
 
 def _slug(v) -> str:
@@ -62,13 +88,19 @@ class OneHot:
 
 
 def fit_one_hot(df: DataFrame, cols: list[str], levels: dict[str, list] | None = None,
-                drop_source: bool = True) -> OneHot:
+                drop_source: bool = True, max_levels: int = 1_000) -> OneHot:
     """Levels per column from the data unless given (ordered categoricals
-    pass their full level list and so yield unseen levels too)."""
+    pass their full level list and so yield unseen levels too). A column
+    with more than ``max_levels`` levels is refused: one indicator column
+    per level would not be a usable projection (use label codes or
+    frequency encoding instead)."""
     levels = dict(levels or {})
     for c in cols:
         if c not in levels:
-            levels[c] = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+            lv = _levels(df, c, max_levels)
+            if lv is None:
+                raise ValueError(f"{c}: more than {max_levels} levels; one-hot refused (use label/frequency encoding)")
+            levels[c] = lv
     return OneHot(levels, drop_source)
 
 

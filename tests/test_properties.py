@@ -222,3 +222,15 @@ def test_window_and_join_strategies_agree(spark):
                 assert np.allclose(a[c], b[c], equal_nan=True, rtol=1e-9, atol=1e-9), c
             else:
                 assert (a[c].astype(str) == b[c].astype(str)).all(), c
+
+
+def test_label_encoder_large_level_set_is_distributed(spark):
+    df = spark.createDataFrame([(f"v{i:04d}",) for i in range(300)] + [(None,)], "x string")
+    small = Fe.fit_label_encoder(df, ["x"])
+    big = Fe.fit_label_encoder(df, ["x"], max_levels=50)
+    assert "x" in small.levels and "x" in big.tables
+    a = sorted((r.x, r.x_code) for r in small.transform(df, "_code").collect() if r.x)
+    b = sorted((r.x, r.x_code) for r in big.transform(df, "_code").collect() if r.x)
+    assert a == b == [(f"v{i:04d}", i) for i in range(300)]
+    with pytest.raises(ValueError):
+        Fe.fit_one_hot(df, ["x"], max_levels=50)
