@@ -77,8 +77,9 @@ def days_between(start, end) -> Column:
 
 
 def minutes_between(start, end) -> Column:
-    """Exact elapsed minutes (fractional), end - start (T18)."""
-    return (F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))) / 6.0e7
+    """Exact elapsed minutes (fractional), end - start (T18); microsecond
+    difference, independent of the session time zone for TIMESTAMP_NTZ."""
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / 6.0e7
 
 
 def add_days(col, n: int) -> Column:

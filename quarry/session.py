@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of released DataFrames are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,7 +51,7 @@ def get_session(master: str | None = None, app: str = "quarry", **conf) -> Spark
 
 def _fill_defaults(spark: SparkSession) -> None:
     for k, v in _DEFAULTS.items():
-        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
+        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress", "spark.cleaner.referenceTracking.cleanCheckpoints"):
             continue  # static; cannot change on a live session
         try:
             if spark.conf.get(k, None) is None:
