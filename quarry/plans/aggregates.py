@@ -60,7 +60,7 @@ def nonnull_count_by_flag(spark, sf):
 
 
 @query("events_by_type_hour", """
-select event_type, hour(ts) as hour, count(*) as n from events group by 1, 2
+select event_type, hour(ts)::integer as hour, count(*) as n from events group by 1, 2
 """)
 def events_by_type_hour(spark, sf):
     """5.5 group size on a derived key."""
@@ -262,7 +262,7 @@ def status_priority_wide(spark, sf):
 
 
 @query("events_hour_type_pivot", """
-select hour(ts) as hour,
+select hour(ts)::integer as hour,
   round(sum(value) filter (where event_type = 'click'), 2) as click,
   round(sum(value) filter (where event_type = 'error'), 2) as error,
   round(sum(value) filter (where event_type = 'purchase'), 2) as purchase,

@@ -68,7 +68,7 @@ def one_hot_ordered_levels(spark, sf):
 with s as (select c_custkey, c_acctbal, c_nationkey, 7.0 as k, {md5b('c_custkey')} < 80 as is_train from customer),
 st as (select min(c_acctbal) as mn, max(c_acctbal) as mx, min(c_nationkey) as nmn, max(c_nationkey) as nmx from s where is_train)
 select c_custkey, round((c_acctbal - mn) / (mx - mn), 6) as c_acctbal,
-  round((c_nationkey - nmn) / (nmx - nmn), 6) as c_nationkey, 0.0 as k
+  round((c_nationkey - nmn) / (nmx - nmn), 6) as c_nationkey, 0.0::double as k
 from s, st where not is_train
 """)
 def minmax_train_test(spark, sf):

@@ -178,9 +178,9 @@ def has_nulls_check(spark, sf):
 
 @query("price_quantiles_by_status", """
 select o_orderstatus, prob, round(value, 6) as value from (
-  select o_orderstatus, 0.1 as prob, quantile_cont(o_totalprice, 0.1) as value from orders group by 1
-  union all select o_orderstatus, 0.5, quantile_cont(o_totalprice, 0.5) from orders group by 1
-  union all select o_orderstatus, 0.9, quantile_cont(o_totalprice, 0.9) from orders group by 1
+  select o_orderstatus, 0.1::double as prob, quantile_cont(o_totalprice, 0.1) as value from orders group by 1
+  union all select o_orderstatus, 0.5::double, quantile_cont(o_totalprice, 0.5) from orders group by 1
+  union all select o_orderstatus, 0.9::double, quantile_cont(o_totalprice, 0.9) from orders group by 1
 )
 """)
 def price_quantiles_by_status(spark, sf):
@@ -256,7 +256,7 @@ def box_stats_by_flag(spark, sf):
 @query("kde_discount", """
 with s as (select count(l_discount) as n, stddev_samp(l_discount) as sd from lineitem),
 h as (select n, sd * pow(n, -0.2) as h from s),
-g as (select 0.01 * i as x from range(0, 11) t(i)),
+g as (select (0.01 * i)::double as x from range(0, 11) t(i)),
 v as (select l_discount as v, count(*) as w from lineitem group by 1)
 select round(x, 6) as x, round(sum(w * exp(-0.5 * pow((x - v) / h, 2))) / (n * h * sqrt(2 * pi())), 6) as density
 from g cross join v cross join h group by x, n, h

@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from tools.oracle_check import rows
+from tools.type_check import MAP
 
 from conftest import SF_SMALL
 
@@ -13,8 +14,12 @@ ORACLE = E.oracle_sql()
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
-    want = duck.execute(ORACLE[name]).df()
+    sdf = E.queries()[name](spark, SF_SMALL)
+    rel = duck.sql(ORACLE[name])
+    stypes = {f.name: MAP.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert stypes == dict(zip(rel.columns, [str(t) for t in rel.types]))
+    got = sdf.toPandas()
+    want = rel.df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert rows(got) == rows(want)
