@@ -154,7 +154,13 @@ def undersample_status(spark, sf):
     return u.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("smote_quality", None)
+@query("smote_quality", """
+with c as (select l.quality, count(*) as n from labels l join documents d on l.doc_id = d.doc_id group by 1),
+m as (select max(n) as mx, min(n) as mn, arg_min(quality, (n, quality)) as minority from c)
+select quality, false as synthetic, n from c
+union all
+select minority, true, mx - mn from m where mx > mn
+""")
 def smote_quality(spark, sf):
     """13.14 SMOTE on document features (label = quality): class counts
     after oversampling (property-checked: balanced; synthetic rows lie

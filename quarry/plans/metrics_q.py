@@ -185,7 +185,9 @@ def daily_prediction_total(spark, sf):
     return d.select(F.col("date").cast("timestamp_ntz").alias("date"), F.round("total", 4).alias("total"))
 
 
-@query("actual_vs_predicted", None)
+@query("actual_vs_predicted", f"""
+with p as ({_PRED_SQL}) select doc_id, label as actual, prediction from p
+""")
 def actual_vs_predicted(spark, sf):
     """14.29 actual vs predicted table."""
     p = predictions(spark, sf)
