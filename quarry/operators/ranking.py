@@ -76,8 +76,13 @@ def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None = None
     """
     from quarry.session import cut_lineage
 
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(df.repartitionByRange(n, *cols).withColumn("__pid", F.spark_partition_id()))
+    if num_partitions is None:
+        # as many ranges as input splits (each ~maxPartitionBytes), never
+        # fewer than the session's shuffle partitions: a range never holds
+        # more than an input split's worth of rows on a big table
+        num_partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                             df.rdd.getNumPartitions())
+    return cut_lineage(df.repartitionByRange(num_partitions, *cols).withColumn("__pid", F.spark_partition_id()))
 
 
 def row_numbers(df: DataFrame, order, name: str = "row_number", start: int = 1,
