@@ -74,7 +74,7 @@ def _lag_join(g: DataFrame, keys: list[str], y: str, lags: list[int], ycol: str
 
 
 def series_frame(df: DataFrame, key, ts: str, y: str, lags: list[int] | None = None,
-                 strategy: str = "auto") -> DataFrame:
+                 strategy: str = "auto", with_mean: bool = False) -> DataFrame:
     """``(key..., ts, __x, __pos, __n, __x_lag_k...)``: the value as double,
     its 0-based position in the series, the series length and lagged
     values. A key window is used when every series is proven short enough
@@ -87,13 +87,15 @@ def series_frame(df: DataFrame, key, ts: str, y: str, lags: list[int] | None = N
     base = df.select(*keys, ts, F.col(y).cast("double").alias("__x"))
     if use_key_window(base, keys, strategy):
         w = _key_window(base, keys, [ts])
-        out = base.withColumn("__pos", F.row_number().over(w) - 1).withColumn(
-            "__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        whole = Window.partitionBy(*keys)
+        extra = {"__m": F.avg("__x").over(whole)} if with_mean else {}
+        out = base.withColumns({"__pos": F.row_number().over(w) - 1, "__n": F.count(F.lit(1)).over(whole), **extra})
         return out.withColumns({f"__x_lag_{k}": F.lag("__x", k).over(w) for k in lags})
     g = row_numbers(base, keys + [ts], "__g", total=False)
     if lags:
         g = _lag_join(g, keys, "__x", lags, "__x")
-    st = g.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"))
+    st = g.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"),
+                              *([F.avg("__x").alias("__m")] if with_mean else []))
     return g.join(st, keys).withColumn("__pos", F.col("__g") - F.col("__g0")).drop("__g", "__g0")
 
 
@@ -104,9 +106,7 @@ def acf(df: DataFrame, key, ts: str, y: str, nlags: int = 10, strategy: str = "a
     summed by a partially aggregated ``groupBy(key)``.
     Returns ``(key..., lag, acf)`` for lag 0..nlags."""
     keys = _keys(key)
-    f = series_frame(df, keys, ts, y, list(range(1, nlags + 1)), strategy)
-    mean = f.groupBy(*keys).agg(F.avg("__x").alias("__m"))
-    c = f.join(mean, keys) if keys else f.withColumn("__m", mean.select("__m").scalar())
+    c = series_frame(df, keys, ts, y, list(range(1, nlags + 1)), strategy, with_mean=True)
     xc = F.col("__x") - F.col("__m")
     sums = [F.sum(xc * xc).alias("__c0")]
     sums += [F.sum(xc * (F.col(f"__x_lag_{k}") - F.col("__m"))).alias(f"__c{k}") for k in range(1, nlags + 1)]
