@@ -111,7 +111,7 @@ def roc_points(spark, sf):
 with p as (select l_extendedprice as y, l_quantity * 2000.0 as yhat from lineitem)
 select round(avg(abs(y - yhat)), 4) as mae, round(avg((y - yhat) * (y - yhat)), 2) as mse,
   round(sqrt(avg((y - yhat) * (y - yhat))), 4) as rmse,
-  round(avg(abs((y - yhat) / y)) filter (where y <> 0) * 100, 6) as mape,
+  round(avg(abs((y - yhat) / y)) filter (where y <> 0) * 100, 4) as mape,
   round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(y)), 6) as r2
 from p
 """)
@@ -121,7 +121,7 @@ def regression_metrics(spark, sf):
     li = T(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 2000.0).alias("yhat"))
     m = Me.reg_metrics(li, "y", "yhat")
     return m.select(F.round("mae", 4).alias("mae"), F.round("mse", 2).alias("mse"), F.round("rmse", 4).alias("rmse"),
-                    r6("mape").alias("mape"), r6("r2").alias("r2"))
+                    F.round("mape", 4).alias("mape"), r6("r2").alias("r2"))
 
 
 @query("model_comparison", f"""

@@ -242,7 +242,7 @@ def score_new_data(spark, sf):
 
 @query("cluster_profile_segments", """
 select c_mktsegment as cluster, count(*) as n, round(count(*) * 1.0 / (select count(*) from customer), 6) as share,
-  round(avg(c_acctbal), 6) as c_acctbal_mean, round(quantile_cont(c_acctbal, 0.5), 6) as c_acctbal_median,
+  round(avg(c_acctbal), 4) as c_acctbal_mean, round(quantile_cont(c_acctbal, 0.5), 4) as c_acctbal_median,
   min(c_acctbal) as c_acctbal_min, max(c_acctbal) as c_acctbal_max
 from customer group by 1
 """)
@@ -251,5 +251,5 @@ def cluster_profile_segments(spark, sf):
     c = T(spark, sf, "customer").withColumnRenamed("c_mktsegment", "cluster")
     p = Mo.cluster_profile(c, "cluster", ["c_acctbal"])
     return p.select("cluster", "n", F.round("share", 6).alias("share"),
-                    *[F.round(x, 6).alias(x) for x in ("c_acctbal_mean", "c_acctbal_median")],
+                    *[F.round(x, 4).alias(x) for x in ("c_acctbal_mean", "c_acctbal_median")],
                     "c_acctbal_min", "c_acctbal_max")

@@ -108,7 +108,8 @@ def columns_by_type(spark, sf):
 
 
 @query("describe_lineitem", """
-select "column", count, round(mean, 6) as mean, round(std, 6) as std, min, q25, q50, q75, max from (
+select "column", count, round(mean, 4) as mean, round(std, 4) as std, min, round(q25, 4) as q25,
+  round(q50, 4) as q50, round(q75, 4) as q75, max from (
   select 'l_quantity' as "column", count(l_quantity) as count, avg(l_quantity) as mean, stddev_samp(l_quantity) as std,
     min(l_quantity) as min, quantile_cont(l_quantity, 0.25) as q25, quantile_cont(l_quantity, 0.5) as q50,
     quantile_cont(l_quantity, 0.75) as q75, max(l_quantity) as max from lineitem
@@ -125,8 +126,7 @@ select "column", count, round(mean, 6) as mean, round(std, 6) as std, min, q25,
 def describe_lineitem(spark, sf):
     """5.23 numeric profile, one pass, long form (sample std, exact quartiles)."""
     d = P.describe_numeric(T(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
-    return d.withColumns({"mean": r6("mean"), "std": r6("std"),
-                          **{c: r6(c) for c in ("q25", "q50", "q75")}})
+    return d.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
 @query("describe_orders_categorical", """
@@ -177,7 +177,7 @@ def has_nulls_check(spark, sf):
 
 
 @query("price_quantiles_by_status", """
-select o_orderstatus, prob, round(value, 6) as value from (
+select o_orderstatus, prob, round(value, 4) as value from (
   select o_orderstatus, 0.1::double as prob, quantile_cont(o_totalprice, 0.1) as value from orders group by 1
   union all select o_orderstatus, 0.5::double, quantile_cont(o_totalprice, 0.5) from orders group by 1
   union all select o_orderstatus, 0.9::double, quantile_cont(o_totalprice, 0.9) from orders group by 1
@@ -186,7 +186,7 @@ select o_orderstatus, prob, round(value, 6) as value from (
 def price_quantiles_by_status(spark, sf):
     """5.27 linear-interpolated quantiles per group (T4)."""
     q = P.quantiles(T(spark, sf, "orders"), "o_totalprice", [0.1, 0.5, 0.9], keys="o_orderstatus")
-    return q.withColumn("value", r6("value"))
+    return q.withColumn("value", F.round("value", 4))
 
 
 @query("corr_with_target", """
@@ -239,8 +239,8 @@ with q as (
   select l_returnflag, quantile_cont(l_extendedprice, 0.25) as q1, quantile_cont(l_extendedprice, 0.5) as med,
          quantile_cont(l_extendedprice, 0.75) as q3 from lineitem group by 1
 ), f as (select *, q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from q)
-select f.l_returnflag, 'l_extendedprice' as "column", round(q1, 6) as q1, round(med, 6) as median, round(q3, 6) as q3,
-  round(lo, 6) as lower_fence, round(hi, 6) as upper_fence,
+select f.l_returnflag, 'l_extendedprice' as "column", round(q1, 4) as q1, round(med, 4) as median, round(q3, 4) as q3,
+  round(lo, 4) as lower_fence, round(hi, 4) as upper_fence,
   min(l_extendedprice) filter (where l_extendedprice >= lo) as whisker_low,
   max(l_extendedprice) filter (where l_extendedprice <= hi) as whisker_high,
   count(*) filter (where l_extendedprice < lo or l_extendedprice > hi) as n_outliers
@@ -250,7 +250,7 @@ group by f.l_returnflag, q1, med, q3, lo, hi
 def box_stats_by_flag(spark, sf):
     """5.30 box statistics: quartiles, fences, whiskers, outlier count."""
     b = P.box_stats(T(spark, sf, "lineitem"), ["l_extendedprice"], by="l_returnflag")
-    return b.withColumns({c: r6(c) for c in ("q1", "median", "q3", "lower_fence", "upper_fence")})
+    return b.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3", "lower_fence", "upper_fence")})
 
 
 @query("kde_discount", """

@@ -48,23 +48,23 @@ def product_amount(spark, sf):
 
 
 @query("avg_balance_by_segment", """
-select round(avg(c_acctbal), 6) as avg_acctbal, c_mktsegment from customer group by c_mktsegment
+select round(avg(c_acctbal), 4) as avg_acctbal, c_mktsegment from customer group by c_mktsegment
 """)
 def avg_balance_by_segment(spark, sf):
     """Q1: SQL group average; SQL keeps a NULL group (dropna=False)."""
     c = T(spark, sf, "customer")
     return A.group_mean(c, "c_mktsegment", ["c_acctbal"], dropna=False).select(
-        F.round("c_acctbal", 6).alias("avg_acctbal"), "c_mktsegment")
+        F.round("c_acctbal", 4).alias("avg_acctbal"), "c_mktsegment")
 
 
 @query("avg_balance_by_nation", """
-select round(avg(c_acctbal), 6) as avg_acctbal, c_nationkey from customer group by c_nationkey
+select round(avg(c_acctbal), 4) as avg_acctbal, c_nationkey from customer group by c_nationkey
 """)
 def avg_balance_by_nation(spark, sf):
     """Q2: the same shape on a second key."""
     c = T(spark, sf, "customer")
     return A.group_mean(c, "c_nationkey", ["c_acctbal"], dropna=False).select(
-        F.round("c_acctbal", 6).alias("avg_acctbal"), "c_nationkey")
+        F.round("c_acctbal", 4).alias("avg_acctbal"), "c_nationkey")
 
 
 @query("star_join_segment_type", """
