@@ -239,8 +239,8 @@ with q as (
   select l_returnflag, quantile_cont(l_extendedprice, 0.25) as q1, quantile_cont(l_extendedprice, 0.5) as med,
          quantile_cont(l_extendedprice, 0.75) as q3 from lineitem group by 1
 ), f as (select *, q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from q)
-select f.l_returnflag, 'l_extendedprice' as "column", round(q1, 4) as q1, round(med, 4) as median, round(q3, 4) as q3,
-  round(lo, 4) as lower_fence, round(hi, 4) as upper_fence,
+select f.l_returnflag, 'l_extendedprice' as "column", round(q1, 6) as q1, round(med, 6) as median, round(q3, 6) as q3,
+  round(lo, 6) as lower_fence, round(hi, 6) as upper_fence,
   min(l_extendedprice) filter (where l_extendedprice >= lo) as whisker_low,
   max(l_extendedprice) filter (where l_extendedprice <= hi) as whisker_high,
   count(*) filter (where l_extendedprice < lo or l_extendedprice > hi) as n_outliers
@@ -250,7 +250,9 @@ group by f.l_returnflag, q1, med, q3, lo, hi
 def box_stats_by_flag(spark, sf):
     """5.30 box statistics: quartiles, fences, whiskers, outlier count."""
     b = P.box_stats(T(spark, sf, "lineitem"), ["l_extendedprice"], by="l_returnflag")
-    return b.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3", "lower_fence", "upper_fence")})
+    # quartiles interpolate 2-decimal prices (<= 4 decimals), fences add one
+    # more: 6 decimals never cut an exact value at a rounding midpoint
+    return b.withColumns({c: r6(c) for c in ("q1", "median", "q3", "lower_fence", "upper_fence")})
 
 
 @query("kde_discount", """
