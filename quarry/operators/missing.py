@@ -47,14 +47,14 @@ def fit_impute(df: DataFrame, cols: list[str] | None = None, strategy: str = "me
         from quarry.operators.profile import quantile_methods, quantiles
 
         how = quantile_methods(df, cols)
-        big = [c for c in cols if how[c] == "sort"]
+        big = [c for c in cols if how[c] in ("sort", "bracket")]
         small = [c for c in cols if c not in big]
         vals = {}
         if small:
             row = df.agg(*[_STRATS["median"](c).alias(c) for c in small]).first()
             vals.update({c: row[c] for c in small})
-        for c in big:  # high-cardinality: exact median by rank, no per-group map
-            r = quantiles(df, c, [0.5], method="sort").first()
+        for c in big:  # high-cardinality: exact median without a value->count map
+            r = quantiles(df, c, [0.5], method=how[c]).first()
             vals[c] = r["value"] if r else None
         return Imputer(vals)
     row = df.agg(*[_STRATS[strategy](c).alias(c) for c in cols]).first()

@@ -34,18 +34,111 @@ def _q(col: Column, probs: list[float], approx: bool, accuracy: int = 100_000) -
     return F.percentile(col.cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
 
 
-def quantile_method(df: DataFrame, col: str, method: str = "auto") -> str:
+# Global (ungrouped) quantiles of columns with more distinct values than
+# this use the bracketing method (sketch + verified narrow fetch).
+BRACKET_MIN_DISTINCT = 50_000
+
+
+def quantile_method(df: DataFrame, col: str, method: str = "auto", grouped: bool = False) -> str:
     """Resolve 'auto' to 'map' (bounded distinct count, checked with a
-    HyperLogLog sketch) or 'sort'."""
-    return quantile_methods(df, [col], method)[col]
+    HyperLogLog sketch), 'bracket' (global, many distinct values) or
+    'sort' (grouped, unbounded distinct values)."""
+    return quantile_methods(df, [col], method, grouped)[col]
 
 
-def quantile_methods(df: DataFrame, cols: list[str], method: str = "auto") -> dict[str, str]:
+def quantile_methods(df: DataFrame, cols: list[str], method: str = "auto", grouped: bool = False) -> dict[str, str]:
     """:func:`quantile_method` for several columns with ONE sketch job."""
     if method != "auto" or not cols:
         return {c: method for c in cols}
     row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
-    return {c: ("map" if (row[c] or 0) <= MAP_DISTINCT_LIMIT else "sort") for c in cols}
+    out = {}
+    for c in cols:
+        nd = row[c] or 0
+        if not grouped and nd > BRACKET_MIN_DISTINCT:
+            out[c] = "bracket"
+        else:
+            out[c] = "map" if nd <= MAP_DISTINCT_LIMIT else "sort"
+    return out
+
+
+BRACKET_COLLECT_LIMIT = 200_000
+
+
+def exact_quantiles_bracketed(df: DataFrame, col: str, probs: list[float], accuracy: int = 10_000,
+                              collect_limit: int = BRACKET_COLLECT_LIMIT) -> dict[float, float | None]:
+    """Exact linear-interpolated global quantiles with bounded memory.
+
+    Pass 1: ``count`` and a Greenwald-Khanna sketch (``percentile_approx``)
+    give, for every needed rank r = floor/ceil((n-1)p), values a <= x_(r) <= b
+    (the sketch's rank error is at most n/accuracy; the bracket is widened
+    by 3x that). Pass 2: one aggregate verifies the brackets (count below a,
+    count up to b) and the few values inside them are fetched sorted. If a
+    bracket still holds more than ``collect_limit`` rows (extreme n or a hot
+    value) the search recurses inside it; each pass is a filtered scan with
+    the range pushed down, never a group held by one task.
+    """
+    x = F.col(col).cast("double")
+    base = df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
+    n = base.count()
+    if n == 0:
+        return {p: None for p in probs}
+    ranks = sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
+    vals = _values_at_ranks(base, ranks, n, accuracy, collect_limit, 0)
+    out = {}
+    for p in probs:
+        h = (n - 1) * p
+        lo, hi = vals[math.floor(h)], vals[math.ceil(h)]
+        out[p] = lo + (hi - lo) * (h - math.floor(h))
+    return out
+
+
+def _values_at_ranks(base: DataFrame, ranks: list[int], n: int, accuracy: int, limit: int, depth: int) -> dict:
+    """Value at each 0-based rank of ``__x`` in ``base`` (n rows)."""
+    if n <= limit:
+        rows = base.orderBy("__x").limit(max(ranks) + 1).collect()  # bounded by ``limit``
+        return {r: rows[r]["__x"] for r in ranks}
+    eps = 3.0 / accuracy
+    qs = []
+    for r in ranks:
+        qs += [max(0.0, r / n - eps), min(1.0, (r + 1) / n + eps)]
+    approx = base.agg(F.percentile_approx("__x", qs, accuracy).alias("q")).first()["q"]
+    brackets = [(approx[2 * i], approx[2 * i + 1]) for i in range(len(ranks))]
+    checks = []
+    for i, (a, b) in enumerate(brackets):
+        checks += [F.count_if(F.col("__x") < a).alias(f"lt{i}"), F.count_if(F.col("__x") <= b).alias(f"le{i}")]
+    c = base.agg(*checks).first()
+    out, small = {}, []
+    for i, (r, (a, b)) in enumerate(zip(ranks, brackets)):
+        below, upto = c[f"lt{i}"], c[f"le{i}"]
+        if not (below <= r < upto) or depth > 6:
+            # sketch guarantee violated (or runaway): exact on the whole set
+            out[r] = _sorted_rank(base, r)
+        elif a == b:
+            out[r] = a  # every value in the bracket equals a
+        elif upto - below <= limit:
+            small.append((r, a, b, below))
+        else:
+            inside = base.filter(F.col("__x").between(a, b))
+            out[r] = _values_at_ranks(inside, [r - below], upto - below, accuracy, limit, depth + 1)[r - below]
+    if small:
+        # one job fetches every small bracket (<= len(ranks) x limit values)
+        cond = F.lit(False)
+        for _, a, b, _ in small:
+            cond = cond | F.col("__x").between(a, b)
+        vals = [row["__x"] for row in base.filter(cond).orderBy("__x").collect()]
+        for r, a, b, below in small:
+            inside = [v for v in vals if a <= v <= b]
+            out[r] = inside[r - below]
+    return out
+
+
+def _sorted_rank(base: DataFrame, r: int) -> float:
+    """Exact value at rank r through the sort-based numbering (fallback)."""
+    from quarry.operators.ranking import row_numbers
+
+    rn = row_numbers(base.withColumn("__t", F.monotonically_increasing_id()), ["__x", "__t"], "__g",
+                     start=0, total=False)
+    return rn.filter(F.col("__g") == r).first()["__x"]
 
 
 def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=None) -> DataFrame:
@@ -101,17 +194,20 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool
     quartiles (``method``: auto / map / sort; ``approx`` overrides)."""
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     cols = cols or [c for c in columns_of(df, "numeric") if c not in keys]
-    how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method)
+    how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method, grouped=bool(keys))
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-        if how[c] != "sort":
+        if how[c] == "bracket" and not keys:
+            v = exact_quantiles_bracketed(df, c, [0.25, 0.5, 0.75])
+            aggs.append(F.array(*[F.lit(v[p]).cast("double") for p in (0.25, 0.5, 0.75)]).alias(f"{c}__q"))
+        elif how[c] not in ("sort", "bracket"):
             aggs.append(_q(x, [0.25, 0.5, 0.75], how[c] == "approx").alias(f"{c}__q"))
     wide = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     for c in cols:
-        if how[c] == "sort":
+        if how[c] == "sort" or (how[c] == "bracket" and keys):
             q = exact_quantiles_sorted(df, c, [0.25, 0.5, 0.75], keys)
             qa = q.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs")) \
                 if keys else q.agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs"))
@@ -174,8 +270,11 @@ def quantiles(df: DataFrame, col: str, probs: list[float], keys=None, approx: bo
     'sort' (exact by rank, unbounded), 'auto' (chooses by a distinct-count
     sketch); ``approx`` uses ``percentile_approx``."""
     keys = [keys] if isinstance(keys, str) else list(keys or [])
-    how = "approx" if approx else quantile_method(df, col, method)
-    if how == "sort":
+    how = "approx" if approx else quantile_method(df, col, method, grouped=bool(keys))
+    if how == "bracket" and not keys:
+        v = exact_quantiles_bracketed(df, col, probs)
+        return df.sparkSession.createDataFrame([(float(p), v[p]) for p in probs], "prob double, value double")
+    if how in ("sort", "bracket"):
         return exact_quantiles_sorted(df, col, probs, keys)
     q = _q(F.col(col), probs, how == "approx").alias("__q")
     wide = df.groupBy(*keys).agg(q) if keys else df.agg(q)

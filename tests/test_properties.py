@@ -234,3 +234,18 @@ def test_label_encoder_large_level_set_is_distributed(spark):
     assert a == b == [(f"v{i:04d}", i) for i in range(300)]
     with pytest.raises(ValueError):
         Fe.fit_one_hot(df, ["x"], max_levels=50)
+
+
+def test_bracketed_exact_quantiles(spark):
+    from quarry.operators import profile as P
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    want = P.quantiles(o, "o_totalprice", [0.0, 0.1, 0.5, 0.9, 1.0], method="map").toPandas().sort_values("prob")
+    for limit in (20, 100_000):  # recursion inside brackets, and the direct path
+        got = P.exact_quantiles_bracketed(o, "o_totalprice", [0.0, 0.1, 0.5, 0.9, 1.0], accuracy=50, collect_limit=limit)
+        assert np.allclose([got[p] for p in want["prob"]], want["value"])
+    # heavy ties: a third of the rows share one value
+    t = spark.createDataFrame([(7.0 if i % 3 == 0 else float(i),) for i in range(3000)], "x double")
+    got = P.exact_quantiles_bracketed(t, "x", [0.1, 0.25, 0.5], accuracy=20, collect_limit=50)
+    xs = np.sort(np.array([7.0 if i % 3 == 0 else float(i) for i in range(3000)]))
+    assert np.allclose([got[p] for p in (0.1, 0.25, 0.5)], np.quantile(xs, [0.1, 0.25, 0.5]))
