@@ -55,6 +55,19 @@ def left_join(left: DataFrame, right: DataFrame, on, broadcast_rows: int | None
     return left.join(r, on, "left")
 
 
+def small_flags(dfs: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
+    """Row-count checks for several tables in ONE job (each side stops
+    after ``max_rows + 1`` rows)."""
+    if not dfs:
+        return []
+    tagged = None
+    for i, d in enumerate(dfs):
+        t = d.limit(max_rows + 1).select(F.lit(i).alias("__t"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    counts = {r["__t"]: r["n"] for r in tagged.groupBy("__t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
 def star_join(fact: DataFrame, dims: list[tuple[DataFrame, object]],
               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, how: str = "inner") -> DataFrame:
     """Fact table joined to several dimensions (op 4.2).
@@ -65,8 +78,9 @@ def star_join(fact: DataFrame, dims: list[tuple[DataFrame, object]],
     later selects are read (column pruning reaches every scan).
     """
     out = fact
-    for dim, on in dims:
-        out = out.join(broadcast_if_small(dim, broadcast_rows), on, how)
+    flags = small_flags([d for d, _ in dims], broadcast_rows)
+    for (dim, on), small in zip(dims, flags):
+        out = out.join(F.broadcast(dim) if small else dim, on, how)
     return out
 
 

@@ -85,12 +85,25 @@ def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None = None
     return cut_lineage(df.repartitionByRange(num_partitions, *cols).withColumn("__pid", F.spark_partition_id()))
 
 
+# Tables proven (by a bounded count) to hold at most this many rows are
+# numbered / accumulated by one un-partitioned window: one task, bounded.
+SMALL_TABLE_ROWS = 200_000
+
+
+def _is_small(df: DataFrame, bound: int | None = None) -> bool:
+    bound = SMALL_TABLE_ROWS if bound is None else bound
+    return df.limit(bound + 1).count() <= bound
+
+
 def row_numbers(df: DataFrame, order, name: str = "row_number", start: int = 1,
                 total: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Consecutive global row numbers in ``order`` without a single-task
-    window (op 6.7). ``total`` appends the other columns as tie-breakers
-    so the numbering is deterministic and a hot value is splittable."""
+    window over unbounded data (op 6.7). ``total`` appends the other
+    columns as tie-breakers so the numbering is deterministic and a hot
+    value is splittable. A table proven small is numbered by one window."""
     cols = _order_cols(df, order, total)
+    if num_partitions is None and _is_small(df):
+        return df.withColumn(name, (F.row_number().over(Window.orderBy(*cols)) + (start - 1)).cast("long"))
     ranged = _ranged(df, cols, num_partitions)
     local = ranged.withColumn("__lrn", F.row_number().over(Window.partitionBy("__pid").orderBy(*cols)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
@@ -312,6 +325,9 @@ def running_sums(df: DataFrame, order, cols: list[str], suffix: str = "_cum") ->
     partition, per-partition running sums, plus per-partition offsets
     (one row per partition)."""
     ocols = _order_cols(df, order, True)
+    if _is_small(df):
+        w0 = Window.orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({f"{c}{suffix}": F.sum(c).over(w0) for c in cols})
     ranged = _ranged(df, ocols)
     w = Window.partitionBy("__pid").orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({f"__l_{c}": F.sum(c).over(w) for c in cols})

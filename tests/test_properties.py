@@ -131,18 +131,22 @@ def test_smote_balances_and_interpolates(spark):
     assert ((syn >= lo - 1e-9) & (syn <= hi + 1e-9)).all()
 
 
-def test_global_rank_methods(spark):
+def test_global_rank_methods(spark, monkeypatch):
     df = spark.createDataFrame([(v,) for v in (5.0, 3.0, 5.0, 1.0, 3.0)], "s double")
-    r = sorted((x.s, x.rank) for x in R.global_rank(df, ["s"], False, "rank", "rank").collect())
-    assert r == [(1.0, 5), (3.0, 3), (3.0, 3), (5.0, 1), (5.0, 1)]
-    d = sorted((x.s, x.rank) for x in R.global_rank(df, ["s"], False, "rank", "dense").collect())
-    assert d == [(1.0, 3), (3.0, 2), (3.0, 2), (5.0, 1), (5.0, 1)]
+    for small in (200_000, 0):  # one-window path and range-partitioned path
+        monkeypatch.setattr(R, "SMALL_TABLE_ROWS", small)
+        r = sorted((x.s, x.rank) for x in R.global_rank(df, ["s"], False, "rank", "rank").collect())
+        assert r == [(1.0, 5), (3.0, 3), (3.0, 3), (5.0, 1), (5.0, 1)]
+        d = sorted((x.s, x.rank) for x in R.global_rank(df, ["s"], False, "rank", "dense").collect())
+        assert d == [(1.0, 3), (3.0, 2), (3.0, 2), (5.0, 1), (5.0, 1)]
 
 
-def test_running_sums(spark):
+def test_running_sums(spark, monkeypatch):
     df = spark.createDataFrame([(i, float(i)) for i in range(100)], "k long, v double")
-    out = R.running_sums(df, ["k"], ["v"]).toPandas().sort_values("k")
-    assert np.allclose(out["v_cum"], np.cumsum(np.arange(100)))
+    for small in (200_000, 0):
+        monkeypatch.setattr(R, "SMALL_TABLE_ROWS", small)
+        out = R.running_sums(df, ["k"], ["v"]).toPandas().sort_values("k")
+        assert np.allclose(out["v_cum"], np.cumsum(np.arange(100)))
 
 
 def test_kde_integrates_to_one(spark):
@@ -170,9 +174,10 @@ def test_models_beat_majority(spark):
         assert acc > max(y.mean(), 1 - y.mean()) + 0.2
 
 
-def test_sorted_exact_quantiles_match_map(spark):
+def test_sorted_exact_quantiles_match_map(spark, monkeypatch):
     from quarry.operators import profile as P
 
+    monkeypatch.setattr(R, "SMALL_TABLE_ROWS", 0)
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     o = o.unionByName(o.limit(50))  # duplicated values
     for keys in (None, "o_orderstatus"):
@@ -187,7 +192,8 @@ def test_sorted_exact_quantiles_match_map(spark):
         (d1[k] == pytest.approx(d2[k])) if isinstance(d1[k], float) else d1[k] == d2[k] for k in d1.asDict())
 
 
-def test_row_numbers_unique_on_unbalanced_cached_input(spark):
+def test_row_numbers_unique_on_unbalanced_cached_input(spark, monkeypatch):
+    monkeypatch.setattr(R, "SMALL_TABLE_ROWS", 0)  # force the range-partitioned path
     # unbalanced input partitions make Spark re-sample range bounds with a
     # per-RDD seed; the numbering must still be one consistent assignment
     base = spark.createDataFrame([(k, t) for k in range(5) for t in range(400)], "k long, t long")
@@ -198,7 +204,8 @@ def test_row_numbers_unique_on_unbalanced_cached_input(spark):
     skewed.unpersist()
 
 
-def test_window_and_join_strategies_agree(spark):
+def test_window_and_join_strategies_agree(spark, monkeypatch):
+    monkeypatch.setattr(R, "SMALL_TABLE_ROWS", 0)  # join path on range numbering
     rng = np.random.default_rng(11)
     pdf = pd.DataFrame({"k": np.repeat(["a", "b", "c"], 60), "t": np.tile(np.arange(60), 3),
                         "y": rng.normal(size=180).cumsum()})
