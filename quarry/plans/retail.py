@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarry.functions.dates import recency
 from quarry.operators import aggregate as A
 from quarry.operators import joins as J
-from quarry.operators.features import customer_features, rfm
+from quarry.operators.features import rfm
 from quarry.plans.registry import T, query
 
 MONEY = "decimal(18,2)"
@@ -138,11 +138,21 @@ select o.o_custkey, count(l.l_orderkey) as n_transactions, sum(l.l_quantity) as
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey group by o.o_custkey
 """)
 def customer_purchase_features(spark, sf):
-    """Op 13.9: per-customer transaction count, quantity and amount."""
-    li = T(spark, sf, "lineitem").withColumn("amt", F.col("l_extendedprice").cast(MONEY))
+    """Op 13.9: per-customer transaction count, quantity and amount.
+
+    Lines are first reduced to one row per order (partial + final
+    aggregate keyed by the join key), so the fact-to-fact join with orders
+    shuffles orders-many rows instead of lines-many; the customer totals
+    then add up the per-order partial sums."""
+    li = T(spark, sf, "lineitem")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.count("l_orderkey").alias("n"), F.sum("l_quantity").alias("q"),
+        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("a"))
     o = T(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    out = customer_features(li.join(o, "l_orderkey"), "o_custkey", "l_orderkey", "l_quantity", "amt")
-    return out.withColumn("total_amount", F.col("total_amount").cast("double"))
+    j = per_order.join(o, "l_orderkey")
+    # customer_features' (count, sum, sum) re-aggregated from the per-order partials
+    return j.groupBy("o_custkey").agg(F.sum("n").alias("n_transactions"), F.sum("q").alias("total_qty"),
+                                      F.sum("a").cast("double").alias("total_amount"))
 
 
 @query("part_price_lookup", """

@@ -261,3 +261,14 @@ def test_extend_calendar_month_end(spark):
     df = spark.createDataFrame([(dt.date(2020, 1, 31), 1.0)], "d date, v double")
     out = S.extend_calendar(df, "d", 2).orderBy("d").collect()
     assert [r.d for r in out] == [dt.date(2020, 1, 31), dt.date(2020, 2, 29), dt.date(2020, 3, 31)]
+
+
+def test_customer_features_and_rfm(spark):
+    rows = [(1, "c1", dt.date(2020, 1, 1), 2.0, 10.0), (2, "c1", dt.date(2020, 1, 5), 1.0, 5.0),
+            (3, "c2", dt.date(2020, 1, 3), 4.0, 8.0)]
+    df = spark.createDataFrame(rows, "tid long, cust string, d date, qty double, amt double")
+    got = {r.cust: (r.n_transactions, r.total_qty, r.total_amount)
+           for r in Fe.customer_features(df, "cust", "tid", "qty", "amt").collect()}
+    assert got == {"c1": (2, 3.0, 15.0), "c2": (1, 4.0, 8.0)}
+    r = {x.cust: (x.recency, x.frequency, x.monetary) for x in Fe.rfm(df, "cust", "d", "tid", "amt").collect()}
+    assert r == {"c1": (2, 2, 15.0), "c2": (4, 1, 8.0)}
