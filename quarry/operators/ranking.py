@@ -80,8 +80,11 @@ def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None = None
         # as many ranges as input splits (each ~maxPartitionBytes), never
         # fewer than the session's shuffle partitions: a range never holds
         # more than an input split's worth of rows on a big table
-        num_partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                             df.rdd.getNumPartitions())
+        try:
+            splits = df.rdd.getNumPartitions()  # planning only, no job
+        except Exception:  # noqa: BLE001 - e.g. a session without RDD access
+            splits = 0
+        num_partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), splits)
     return cut_lineage(df.repartitionByRange(num_partitions, *cols).withColumn("__pid", F.spark_partition_id()))
 
 
