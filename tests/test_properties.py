@@ -256,3 +256,18 @@ def test_bracketed_exact_quantiles(spark):
     got = P.exact_quantiles_bracketed(t, "x", [0.1, 0.25, 0.5], accuracy=20, collect_limit=50)
     xs = np.sort(np.array([7.0 if i % 3 == 0 else float(i) for i in range(3000)]))
     assert np.allclose([got[p] for p in (0.1, 0.25, 0.5)], np.quantile(xs, [0.1, 0.25, 0.5]))
+
+
+def test_size_checked_broadcast_helpers(spark):
+    from quarry.operators import joins as J
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    assert J.small_flags([small, big], max_rows=100) == [True, False]
+    m = J.materialize_small(small.groupBy("k").count(), max_rows=100)
+    assert m.count() == 10
+    m2 = J.materialize_small(big.groupBy("k").count(), max_rows=100)  # above the bound: checkpointed
+    assert m2.count() == 1000
+    out = J.dimension_totals(big.withColumn("v", F.lit(1.0)), small.withColumn("name", F.col("k") % 3),
+                             "k", "name", "v", "total", broadcast_rows=100)
+    assert sorted((r.name, r.total) for r in out.collect()) == [(0, 4.0), (1, 3.0), (2, 3.0)]
