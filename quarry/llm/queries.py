@@ -170,3 +170,25 @@ def op3(spark, sf_dir):
     back = read_warc(spark, out, payloads=False)
     checked = F.when(F.col("digest_ok"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("payload does not match its digest")))
     return back.select(F.col("key").alias("page_id"), "payload_bytes", checked.cast("string").alias("payload_digest"), "record_type", "refers_to")
+
+
+@query("op7_tensor_minhash", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+""")
+def op7(spark, sf_dir):
+    """Near-duplicate classes on 3-word shingles, similarity 0.85."""
+    from quarry.llm.tensor_minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
