@@ -192,3 +192,30 @@ def op7(spark, sf_dir):
     from quarry.llm.tensor_minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query("op2_flow_mix")
+def op2(spark, sf_dir):
+    """Sources mixed to target weights 3, 1, 2 by min-cost flow."""
+    from quarry.llm.flow_mix import mix_sources
+
+    mixed = mix_sources(table(spark, sf_dir, "documents"), weights=(3, 1, 2), percent=150, max_repeat=2)
+    of = F.element_at("targets", 1)
+    return mixed.select("doc_id", "size", of["source_size"].alias("source_size"), of["target"].alias("target"), "taken")
+
+
+@query("op9_zstd_quality")
+def op9(spark, sf_dir):
+    """Quality scores from compression with good and bad dictionaries."""
+    from quarry.llm.zstd_quality import score_quality, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op10_lbl_lm")
+def op10(spark, sf_dir):
+    """Log-bilinear and unigram scores of every text."""
+    from quarry.llm.lbl_lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
