@@ -100,9 +100,24 @@ def min_cost_flow(patterns: list[tuple[int, list[int]]], quotas: list[int], max_
     return [sum(x.values()) for x in sent]
 
 
-def mix_sources(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id",
-                weights: tuple[float, ...] = (3, 1, 2), percent: int = 150, max_repeat: int = 2, seed: int = 1) -> DataFrame:
-    """One row per input row: id, sources, size, targets, taken, copies.
+def mix_sources(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
+    """One row per input row: id, sources, size, targets, taken, copies; see
+    :func:`_mixed` for the rule and its parameters. Other columns are not read."""
+    out = _mixed(docs, source_col, text_col, id_col, [], **how)
+    return out.select(F.col("id").alias(id_col), "sources", "size", "targets", "taken", "copies")
+
+
+def mixture(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
+    """The mixed corpus: each row of ``docs``, with all its columns, as often as
+    the mix takes it. Rows without words have no part in it."""
+    out = _mixed(docs, source_col, text_col, id_col, docs.columns, **how).filter("copies > 0")
+    out = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("_copy")
+    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
+def _mixed(docs: DataFrame, source_col: str, text_col: str, id_col: str, carry: list[str],
+           weights: tuple[float, ...] = (3, 1, 2), percent: int = 150, max_repeat: int = 2, seed: int = 1) -> DataFrame:
+    """(id, sources, size, targets, taken, copies) and the columns ``carry`` as c0, c1, ...
 
     ``source_col`` is one source or an array of sources; null is a source of
     its own, an empty array belongs to none. ``size`` counts the words of the
@@ -123,7 +138,8 @@ def mix_sources(docs: DataFrame, source_col: str = "source", text_col: str = "te
     src: Column = F.col(source_col)
     one = F.coalesce(F.sort_array(F.array_distinct(src.cast("array<string>"))), F.array(F.lit(None).cast("string"))) if is_array \
         else F.array(src.cast("string"))
-    base = docs.select(F.col(id_col).alias("id"), one.alias("sources"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("bigint").alias("size"))
+    base = docs.select(F.col(id_col).alias("id"), one.alias("sources"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("bigint").alias("size"),
+                       *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)])
     base = scratch.keep(with_row_id(base.withColumn("pattern", F.to_json("sources"))), "sizes")
 
     cls = F.floor(F.log2("size")).cast("int")
@@ -177,4 +193,4 @@ def mix_sources(docs: DataFrame, source_col: str = "source", text_col: str = "te
         f"pattern string, whole bigint, targets {kind}")
     out = base.join(more, "rid", "left").join(F.broadcast(shares), "pattern")
     n = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("more", F.lit(0))).otherwise(0).cast("bigint")
-    return out.select(F.col("id").alias(id_col), "sources", "size", "targets", (n * F.col("size")).alias("taken"), n.alias("copies"))
+    return out.withColumns({"taken": n * F.col("size"), "copies": n})

@@ -225,3 +225,17 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     out = signed.select("id", "n_shingles", "sid").join(by_set, "sid", "left")
     comp: Column = F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"))
+
+
+def near_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one stays of each
+    near-duplicate class: the one with the smallest id (null last), of repeated
+    rows any one. Rows without words all stay."""
+    scratch = Scratch(docs.sparkSession, "near-rows")
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    rows = scratch.keep(with_row_id(docs.toDF(*names)), "rows")
+    t, i = names[docs.columns.index(text_col)], names[docs.columns.index(id_col)]
+    classes = near_duplicates(rows.select("rid", F.col(t).alias("text")), "text", "rid", shingle, percent)
+    first = F.min(F.struct(F.col(i).isNull().alias("z"), F.col(i).alias("i"), "rid")).alias("f")
+    stays = classes.join(rows.select("rid", i), "rid").groupBy("component_id").agg(first).select(F.col("f.rid").alias("rid"))
+    return rows.join(stays, "rid", "left_semi").select(*names).toDF(*docs.columns)

@@ -117,17 +117,22 @@ def fit(sample: list[tuple[bytes, int]], dict_bytes: int = DICT_BYTES, rows: tup
     return Model(dicts[1], dicts[0], mean, scale, w)
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _scores(texts: pa.Array, model: Model, sizer: Sizer | None) -> pa.Array:
+    if sizer is None:
+        return pa.array(np.full(len(texts), model.constant), pa.float64())
+    x = np.array([sizer.features((t.as_py() or "").encode()) for t in texts]).reshape(len(texts), -1)
+    z = ((x - model.mean) / model.scale) @ model.weight[:-1] + model.weight[-1]
+    return pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
+
+
+def _with_scores(batches: Iterator[pa.RecordBatch], model: Model, at: int, drop: bool) -> Iterator[pa.RecordBatch]:
+    """The batches with a last column for the score of column ``at``, which goes
+    if ``drop``."""
     sizer = None if model.constant is not None else Sizer(model.good, model.bad)
     for batch in batches:
-        if sizer is None:
-            score = np.full(len(batch), model.constant)
-        else:
-            x = np.array([sizer.features((t.as_py() or "").encode()) for t in batch.column(batch.num_columns - 1)]).reshape(len(batch), -1)
-            z = ((x - model.mean) / model.scale) @ model.weight[:-1] + model.weight[-1]
-            score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score, pa.float64())],
-                                         names=[*batch.schema.names[:-1], "score"])
+        cols = [c for k, c in enumerate(batch.columns) if k != at or not drop]
+        names = [f"c{k}" for k in range(len(cols))]
+        yield pa.RecordBatch.from_arrays([*cols, _scores(batch.column(at), model, sizer)], names=[*names, "score"])
 
 
 def bucket(id_col: str | Column, n: int) -> Column:
@@ -161,8 +166,18 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text", id_col:
     """One row per input row: id, held_out, score, predicted. Null text counts
     as empty; empty texts get a score too. The score depends on the text alone."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    kind = src.schema["id"].dataType.simpleString()
-    out = src.mapInArrow(lambda it: _score(it, sent.value), f"id {kind}, score double")
-    return out.select(F.col("id").alias(id_col), (bucket("id", hold_out) == 0).alias("held_out"), "score",
+    src = docs.select(F.col(id_col).alias("c0"), F.col(text_col).cast("string").alias("t"))
+    out = src.mapInArrow(lambda it: _with_scores(it, sent.value, 1, True), f"c0 {src.schema['c0'].dataType.simpleString()}, score double")
+    return out.select(F.col("c0").alias(id_col), (bucket("c0", hold_out) == 0).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``threshold`` or
+    more; one pass, no shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+    src = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields)
+    out = src.mapInArrow(lambda it: _with_scores(it, sent.value, at, False), f"{kinds}, score double")
+    return out.filter(F.col("score") >= threshold).drop("score").toDF(*docs.columns)
