@@ -3,7 +3,8 @@
 One dictionary is built from good and one from bad labelled texts. A text is
 compressed whole with either and without one; the difference of the two
 sizes, normalised by the plain size, and the plain rates are calibrated to a
-probability by logistic regression on labelled texts outside the dictionaries.
+probability by logistic regression, each labelled text with dictionaries that
+do not hold it.
 
 Fitting reads a bounded sample of labelled rows (``sample_rows`` per class,
 texts up to ``sample_bytes`` bytes each); scoring is one pass without a
@@ -26,6 +27,7 @@ SAMPLE_ROWS = 3000
 SAMPLE_BYTES = 1 << 16
 DICT_BYTES = 1 << 20
 LEVEL = 3
+FOLDS = 4
 
 
 @dataclass
@@ -96,20 +98,22 @@ def build_dictionary(texts: list[bytes], size: int) -> bytes:
 
 
 def fit(sample: list[tuple[bytes, int]], dict_bytes: int = DICT_BYTES, rows: tuple[int, int] | None = None) -> Model:
-    """From labelled texts in a seeded order. Of either class the first texts
-    make the dictionary, the others calibrate; ``rows`` are all labelled rows of
-    class 0 and 1, whose odds the score takes over."""
+    """From labelled texts in a seeded order. The features for the calibration
+    are cross-fitted: a text is compressed with dictionaries from the other
+    folds. ``rows`` are all labelled rows of class 0 and 1, whose odds the score
+    takes over."""
     classes = {y: [t for t, l in sample if l == y] for y in (0, 1)}
     if not classes[0] or not classes[1]:
         return Model(b"", b"", np.zeros(0), np.ones(0), np.zeros(0), constant=1.0 if not classes[0] else 0.0)
-    dicts, rest = {}, []
-    for y, texts in classes.items():
-        dict_part = texts[:max(1, len(texts) // 3)]
-        dicts[y] = build_dictionary(dict_part, dict_bytes)
-        rest += [(t, y) for t in texts[len(dict_part):] or texts]
-    sizer = Sizer(dicts[1], dicts[0])
-    x = np.array([sizer.features(t) for t, _ in rest])
-    y = np.array([l for _, l in rest], dtype=float)
+    xs, ys = [], []
+    for k in range(FOLDS):
+        others = {y: [t for n, t in enumerate(texts) if n % FOLDS != k] for y, texts in classes.items()}
+        sizer = Sizer(build_dictionary(others[1], dict_bytes), build_dictionary(others[0], dict_bytes))
+        for y, texts in classes.items():
+            xs += [sizer.features(t) for t in texts[k::FOLDS]]
+            ys += [y] * len(texts[k::FOLDS])
+    x, y = np.array(xs), np.array(ys, dtype=float)
+    dicts = {c: build_dictionary(texts, dict_bytes) for c, texts in classes.items()}
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     w = fit_logistic((x - mean) / scale, y)
     if rows:
