@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import Scratch, running_totals, text_of, with_row_id
 
 ROUNDS = 12
+SLACK = 1.25
 
 
 def water_level(loads: list[int], mass: int) -> list[float]:
@@ -41,7 +42,12 @@ def water_level(loads: list[int], mass: int) -> list[float]:
 
 
 def _propagate(linked: DataFrame, shards: int, capacity: float, rounds: int, scratch: Scratch) -> DataFrame:
-    """(rid, g, size, shard) after label propagation."""
+    """(rid, g, size, shard) after label propagation.
+
+    Members of a group that fits in half a shard may fill shards up to ``SLACK``
+    times the capacity, which the dealing afterwards takes back; those of a
+    larger group fill them up to the capacity.
+    """
     cur = linked.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int"))
     here = F.struct("b", "tie", "shard")
     # groups in a seeded order, the members of one group in 256 parts
@@ -49,27 +55,32 @@ def _propagate(linked: DataFrame, shards: int, capacity: float, rounds: int, scr
     for k in range(rounds):
         hist = scratch.keep(cur.groupBy("g", "shard").agg(F.sum("size").alias("b")), f"hist-{k}")
         loads = {r["shard"]: r["b"] for r in hist.groupBy("shard").agg(F.sum("b").alias("b")).collect()}
-        free = {s: capacity - loads.get(s, 0) for s in range(shards)}
-        room = [s for s in free if free[s] > 0]
-        if not room:
-            break
+        room = {False: {s: SLACK * capacity - loads.get(s, 0) for s in range(shards)}, True: {s: capacity - loads.get(s, 0) for s in range(shards)}}
+        # a part of a large group is about 1/32 of a shard at most: with less room than that a shard counts as full
+        open_ = {big: [s for s, x in free.items() if x > capacity / 32] or [-1] for big, free in room.items()}
         marked = hist.withColumn("tie", F.xxhash64("g", "shard"))
-        best = marked.filter(F.col("shard").isin(room)).groupBy("g").agg(F.max(here).alias("t"))
-        moves = marked.join(best, "g").filter(here < F.col("t")).select("g", "shard", F.col("t.shard").alias("target"))
+        best = marked.groupBy("g").agg(F.sum("b").alias("all"), *[
+            F.max(F.when(F.col("shard").isin(open_[big]), here)).alias(f"t{int(big)}") for big in (False, True)])
+        best = best.withColumn("big", F.col("all") > capacity / 2).withColumn("t", F.when(F.col("big"), F.col("t1")).otherwise(F.col("t0")))
+        # a group that fits leaves full shards too; a larger one stays where most of it is
+        goes = (F.col("shard") != F.col("t.shard")) & (~F.col("big") | (here < F.col("t")))
+        moves = marked.join(best, "g").filter(goes).select("g", "shard", "big", F.col("t.shard").alias("target"))
         asked = scratch.keep(cur.join(moves, ["g", "shard"], "left").withColumn("part", part).select(
-            "rid", "g", "size", "shard", "target", "part"), f"asked-{k}")
-        sums = asked.filter("target is not null").groupBy("target", "part").agg(F.sum("size").alias("b"))
-        cum = sums.withColumn("cum", F.sum("b").over(Window.partitionBy("target").orderBy("part")))
-        limit = F.create_map(*[F.lit(x) for s in room for x in (s, float(free[s]))])
-        upto = cum.filter(F.col("cum") <= F.element_at(limit, F.col("target"))).groupBy("target").agg(F.max("part").alias("p"))
-        upto = {r["target"]: r["p"] for r in upto.collect()}
+            "rid", "g", "size", "shard", "big", "target", "part"), f"asked-{k}")
+        sums = asked.filter("target is not null").groupBy("target", "big", "part").agg(F.sum("size").alias("b"))
+        cum = sums.withColumn("cum", F.sum("b").over(Window.partitionBy("target", "big").orderBy("part")))
+        wanted = {r["target"]: r["b"] for r in sums.filter("big").groupBy("target").agg(F.sum("b").alias("b")).collect()}
+        limit = {(s, True): x for s, x in room[True].items()}
+        limit |= {(s, False): x - max(0, min(wanted.get(s, 0), room[True][s])) for s, x in room[False].items()}
+        key = F.col("target") * 2 + F.col("big").cast("int")
+        fits = F.element_at(F.create_map(*[F.lit(x) for (s, big), f in limit.items() for x in (2 * s + big, float(f))]), key)
+        upto = {r["k"]: r["p"] for r in cum.filter(F.col("cum") <= fits).groupBy(key.alias("k")).agg(F.max("part").alias("p")).collect()}
         scratch.drop(hist)
         if not upto:
-            cur = asked.select("rid", "g", "size", "shard")
-            break
-        last = F.create_map(*[F.lit(x) for s, p in upto.items() for x in (s, int(p))])
-        goes = F.col("target").isin(list(upto)) & (F.col("part") <= F.element_at(last, F.col("target")))
-        cur = asked.select("rid", "g", "size", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard"))
+            return asked.select("rid", "g", "size", "shard")
+        last = F.element_at(F.create_map(*[F.lit(x) for k2, p in upto.items() for x in (k2, int(p))]), key)
+        moved = key.isin(list(upto)) & (F.col("part") <= last)
+        cur = asked.select("rid", "g", "size", F.when(moved, F.col("target")).otherwise(F.col("shard")).alias("shard"))
     return cur
 
 
@@ -121,9 +132,33 @@ def shard_documents(docs: DataFrame, shards: int = 24, text_col: str = "text", i
         "g", F.lit(True).alias("linked")), "groups")
     split = scratch.keep(base.select("rid", "g", "size").join(shared, "g", "left"), "split")
     linked = split.filter("linked").select("rid", "g", "size")
-    linked = scratch.keep(_propagate(linked, shards, total / shards, rounds, scratch).select("rid", "size", "shard"), "linked")
+    capacity = total / shards
+    linked = scratch.keep(_propagate(linked, shards, capacity, rounds, scratch).select("rid", "g", "size", "shard"), "linked")
     loads = {r["shard"]: r["b"] for r in linked.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
-    single = _level(split.filter("linked is null").select("rid", "size"), [loads.get(s, 0) for s in range(shards)], rows, scratch)
+    sand = split.filter("linked is null").select("rid", "size")
+    over = {s: b - capacity for s, b in loads.items() if b > capacity}
+    if over:
+        # whole groups leave a shard that is too full, then rows of groups that are larger than a shard
+        # can hold; they are dealt out like single rows
+        group = linked.groupBy("g").agg(F.sum("size").alias("b"), F.min("shard").alias("s"), F.max("shard").alias("z"), F.min("rid").alias("unit"))
+        group = scratch.keep(group.withColumn("whole", (F.col("s") == F.col("z")) & (F.col("b") <= capacity / 2)), "whole")
+        half = F.shiftright(F.xxhash64("rid"), 1)
+        units = group.filter("whole").select("s", F.col("unit").alias("rid"), F.col("b").alias("size")).withColumn("u", half - F.lit(2**62))
+        parts = linked.join(group.filter("not whole").select("g"), "g").select(F.col("shard").alias("s"), "rid", "size").withColumn("u", half + F.lit(2**62))
+        excess = F.create_map(*[F.lit(x) for s, b in over.items() for x in (s, float(b))])
+        out = units.unionByName(parts).filter(F.col("s").isin(list(over)))
+        out = running_totals(out, ["s"], "u", {"cum": "size"}, rows).filter(F.col("cum") < F.element_at(excess, F.col("s")))
+        out = scratch.keep(out.select("s", "rid", "size"), "out")
+        for r in out.groupBy("s").agg(F.sum("size").alias("b")).collect():
+            loads[r["s"]] -= r["b"]
+        sand = sand.unionByName(out.select("rid", "size"))
+    single = _level(sand, [loads.get(s, 0) for s in range(shards)], rows, scratch)
+    if over:
+        single = scratch.keep(single, "dealt")
+        follow = linked.join(group.filter("whole").select("g", "unit"), "g", "left").select("rid", "shard", F.coalesce("unit", "rid").alias("unit"))
+        dealt = single.select(F.col("rid").alias("unit"), F.col("shard").alias("to"))
+        linked = follow.join(dealt, "unit", "left").select("rid", F.coalesce("to", "shard").alias("shard"))
+        single = single.join(out.select("rid"), "rid", "left_anti")
     placed = linked.select("rid", "shard").unionByName(single)
     placed = placed.withColumns({"one": F.lit(1).cast("bigint"), "u": F.xxhash64("rid")})
     placed = running_totals(placed, ["shard"], "u", {"slot": "one"}, -(-rows // shards)).select("rid", "shard", "slot")
