@@ -77,12 +77,24 @@ class OneHot:
         self.levels = levels
         self.drop_source = drop_source
 
+    def named(self) -> list[tuple[str, str, object]]:
+        """(name, column, level); a name that two levels share gets the level's
+        position."""
+        out, seen = [], set()
+        for c, lv in self.levels.items():
+            for i, v in enumerate(lv):
+                n = f"{c}_{_slug(v)}"
+                while n in seen:
+                    n = f"{n}_{i}"
+                seen.add(n)
+                out.append((n, c, v))
+        return out
+
     def columns(self) -> list[str]:
-        return [f"{c}_{_slug(v)}" for c, lv in self.levels.items() for v in lv]
+        return [n for n, _, _ in self.named()]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        new = {f"{c}_{_slug(v)}": F.when(F.col(c) == F.lit(v), 1).otherwise(0)
-               for c, lv in self.levels.items() for v in lv}
+        new = {n: F.when(F.col(c) == F.lit(v), 1).otherwise(0) for n, c, v in self.named()}
         keep = [x for x in df.columns if not (self.drop_source and x in self.levels)]
         return df.select(*keep, *[e.alias(n) for n, e in new.items()])  # one projection, not a chain
 
@@ -109,20 +121,19 @@ class FreqEncoder:
         self.tables = tables
 
     def transform(self, df: DataFrame, suffix: str = "_freq") -> DataFrame:
-        from quarry.operators.joins import materialize_small
-
         for c, t in self.tables.items():
-            t2 = materialize_small(t.select(F.col(c).alias("__fv"), F.col("share").alias(f"{c}{suffix}")))
+            t2 = t.select(F.col(c).alias("__fv"), F.col("share").alias(f"{c}{suffix}"))
             df = df.join(t2, F.col(c) == F.col("__fv"), "left").drop("__fv")
         return df
 
 
 def fit_freq_encoder(df: DataFrame, cols: list[str]) -> FreqEncoder:
-    """Share of (non-NULL) rows per value (op 13.3); applied by a checked
-    broadcast join, unseen -> NULL."""
+    """Share of (non-NULL) rows per value (op 13.3), computed once and written to
+    the shared folder; applied by a join, unseen -> NULL."""
     from quarry.operators.aggregate import value_counts
+    from quarry.session import cut_lineage
 
-    return FreqEncoder({c: value_counts(df, c, normalize=True, name="share") for c in cols})
+    return FreqEncoder({c: cut_lineage(value_counts(df, c, normalize=True, name="share")) for c in cols})
 
 
 def ordinal(df: DataFrame, col: str, levels: list, name: str | None = None) -> DataFrame:

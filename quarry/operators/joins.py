@@ -1,11 +1,10 @@
 """Joins (2.4).
 
-Broadcast is used only behind a proven size bound: ``broadcast_if_small``
-runs a bounded count (``limit(max_rows + 1).count()``, which stops early)
-and hints a broadcast only when the side is under the bound. Otherwise
-the plain join is left to Spark: sort-merge on the keys with AQE free to
-demote it to broadcast at runtime from real shuffle sizes, and AQE's skew
-join splitting a hot key's partition on the large side.
+Broadcast is used only behind a size bound in bytes, taken from the plan's
+statistics (file and catalog sizes), so the check runs no job. Otherwise the
+plain join is left to Spark: sort-merge on the keys with AQE free to demote
+it to broadcast at runtime from real shuffle sizes, and AQE's skew join
+splitting a hot key's partition on the large side.
 """
 
 from __future__ import annotations
@@ -13,13 +12,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def planned_bytes(df: DataFrame) -> int:
+    """Size of a table by the optimizer's statistics: the files it scans, not
+    reduced by filters or aggregates unless the optimizer knows better. No job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only when the plan's statistics put ``df`` under
+    ``max_bytes``."""
+    return F.broadcast(df) if planned_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes) else df
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join in which a NULL key meets a NULL key; the key columns come from
+    ``left``. Without keys ``right`` has one row, whose columns are attached."""
+    keys = [keys] if isinstance(keys, str) else list(keys or [])
+    if not keys:
+        one = right.select(F.struct(*right.columns).alias("s")).scalar()
+        return left.withColumn("__one", one).select("*", *[F.col("__one")[c].alias(c) for c in right.columns]).drop("__one")
+    r = right.withColumnsRenamed({k: f"__rk_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__rk_{k}"))
+    return left.join(r, cond, how).drop(*[f"__rk_{k}" for k in keys])  # a left_anti join has none of them
 
 
 def _cond(on, left: DataFrame, right: DataFrame, null_safe: bool):
@@ -36,11 +55,11 @@ def _cond(on, left: DataFrame, right: DataFrame, null_safe: bool):
 
 
 def inner_join(left: DataFrame, right: DataFrame, on, null_safe: bool = False,
-               broadcast_rows: int | None = None) -> DataFrame:
+               broadcast_bytes: int | None = None) -> DataFrame:
     """Inner equi-join. ``null_safe`` matches NULL keys with NULL keys (the
-    pandas merge rule, T21). ``broadcast_rows`` opts in to a checked
+    pandas merge rule, T21). ``broadcast_bytes`` opts in to a checked
     broadcast of the right side."""
-    r = broadcast_if_small(right, broadcast_rows) if broadcast_rows else right
+    r = broadcast_if_small(right, broadcast_bytes) if broadcast_bytes else right
     cond = _cond(on, left, r, null_safe)
     out = left.join(r, cond, "inner")
     if null_safe and not isinstance(on, Column):
@@ -49,43 +68,29 @@ def inner_join(left: DataFrame, right: DataFrame, on, null_safe: bool = False,
     return out
 
 
-def left_join(left: DataFrame, right: DataFrame, on, broadcast_rows: int | None = None) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, on, broadcast_bytes: int | None = None) -> DataFrame:
     """Left outer equi-join (attach predictions, lookups)."""
-    r = broadcast_if_small(right, broadcast_rows) if broadcast_rows else right
+    r = broadcast_if_small(right, broadcast_bytes) if broadcast_bytes else right
     return left.join(r, on, "left")
 
 
-def small_flags(dfs: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[bool]:
-    """Row-count checks for several tables in ONE job (each side stops
-    after ``max_rows + 1`` rows)."""
-    if not dfs:
-        return []
-    tagged = None
-    for i, d in enumerate(dfs):
-        t = d.limit(max_rows + 1).select(F.lit(i).alias("__t"))
-        tagged = t if tagged is None else tagged.unionByName(t)
-    counts = {r["__t"]: r["n"] for r in tagged.groupBy("__t").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
-
-
 def star_join(fact: DataFrame, dims: list[tuple[DataFrame, object]],
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, how: str = "inner") -> DataFrame:
+              broadcast_bytes: int | None = None, how: str = "inner") -> DataFrame:
     """Fact table joined to several dimensions (op 4.2).
 
     ``dims`` is a list of ``(dim_df, on)``; each dim is broadcast only if
-    it is under ``broadcast_rows`` (a checked bound), so the fact table is
+    it is under ``broadcast_bytes`` by its statistics, so the fact table is
     never shuffled for a small dimension. Only the columns the caller
     later selects are read (column pruning reaches every scan).
     """
     out = fact
-    flags = small_flags([d for d, _ in dims], broadcast_rows)
-    for (dim, on), small in zip(dims, flags):
-        out = out.join(F.broadcast(dim) if small else dim, on, how)
+    for dim, on in dims:
+        out = out.join(broadcast_if_small(dim, broadcast_bytes), on, how)
     return out
 
 
 def dimension_totals(fact: DataFrame, dim: DataFrame, on, name: str, measure: str,
-                     total_name: str, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     total_name: str, broadcast_bytes: int | None = None) -> DataFrame:
     """``SELECT dim.name, sum(fact.measure) AS total FROM dim JOIN fact
     USING(on) GROUP BY name ORDER BY total DESC`` (Q3/Q4, op 4.3).
 
@@ -96,32 +101,15 @@ def dimension_totals(fact: DataFrame, dim: DataFrame, on, name: str, measure: st
     """
     keys = [on] if isinstance(on, str) else list(on)
     pre = fact.groupBy(*keys).agg(F.sum(measure).alias("__m"))
-    d = broadcast_if_small(dim.select(*keys, name), broadcast_rows)
+    d = broadcast_if_small(dim.select(*keys, name), broadcast_bytes)
     return (pre.join(d, keys, "inner").groupBy(name).agg(F.sum("__m").alias(total_name))
             .orderBy(F.col(total_name).desc_nulls_first(), F.col(name)))
 
 
 def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, name: str | None = None,
-           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           broadcast_bytes: int | None = None) -> DataFrame:
     """Attach ``table[value]`` for each ``df[col]`` (pandas ``map(series)``,
     op 4.7). Unmatched -> NULL."""
     t = table.select(F.col(key).alias("__lk"), F.col(value).alias(name or value))
-    return (df.join(broadcast_if_small(t, broadcast_rows), F.col(col) == F.col("__lk"), "left")
+    return (df.join(broadcast_if_small(t, broadcast_bytes), F.col(col) == F.col("__lk"), "left")
             .drop("__lk"))
-
-
-def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Compute a (usually aggregated) table ONCE and return it ready to join.
-
-    Under ``max_rows`` rows (checked while fetching at most ``max_rows + 1``)
-    the rows come back as a local relation with a broadcast hint, so an
-    expensive aggregate is not recomputed by the size check, the broadcast
-    and every later use. Above the bound the table is checkpointed to the
-    shared folder and joined without a hint.
-    """
-    from quarry.session import cut_lineage
-
-    pdf = df.limit(max_rows + 1).toPandas()
-    if len(pdf) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(pdf, schema=df.schema))
-    return cut_lineage(df)

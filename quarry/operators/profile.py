@@ -72,7 +72,7 @@ def exact_quantiles_bracketed(df: DataFrame, col: str, probs: list[float], accur
     give, for every needed rank r = floor/ceil((n-1)p), values a <= x_(r) <= b
     (the sketch's rank error is at most n/accuracy; the bracket is widened
     by 3x that). Pass 2: one aggregate verifies the brackets (count below a,
-    count up to b) and the few values inside them are fetched sorted. If a
+    count up to b) and the value at the rank inside is taken by offset and limit. If a
     bracket still holds more than ``collect_limit`` rows (extreme n or a hot
     value) the search recurses inside it; each pass is a filtered scan with
     the range pushed down, never a group held by one task.
@@ -88,15 +88,14 @@ def exact_quantiles_bracketed(df: DataFrame, col: str, probs: list[float], accur
     for p in probs:
         h = (n - 1) * p
         lo, hi = vals[math.floor(h)], vals[math.ceil(h)]
-        out[p] = lo + (hi - lo) * (h - math.floor(h))
+        out[p] = lo if lo == hi else lo + (hi - lo) * (h - math.floor(h))
     return out
 
 
 def _values_at_ranks(base: DataFrame, ranks: list[int], n: int, accuracy: int, limit: int, depth: int) -> dict:
     """Value at each 0-based rank of ``__x`` in ``base`` (n rows)."""
     if n <= limit:
-        rows = base.orderBy("__x").limit(max(ranks) + 1).collect()  # bounded by ``limit``
-        return {r: rows[r]["__x"] for r in ranks}
+        return {r: _nth(base, r) for r in ranks}
     eps = 3.0 / accuracy
     qs = []
     for r in ranks:
@@ -107,7 +106,7 @@ def _values_at_ranks(base: DataFrame, ranks: list[int], n: int, accuracy: int, l
     for i, (a, b) in enumerate(brackets):
         checks += [F.count_if(F.col("__x") < a).alias(f"lt{i}"), F.count_if(F.col("__x") <= b).alias(f"le{i}")]
     c = base.agg(*checks).first()
-    out, small = {}, []
+    out = {}
     for i, (r, (a, b)) in enumerate(zip(ranks, brackets)):
         below, upto = c[f"lt{i}"], c[f"le{i}"]
         if not (below <= r < upto) or depth > 6:
@@ -116,22 +115,18 @@ def _values_at_ranks(base: DataFrame, ranks: list[int], n: int, accuracy: int, l
         elif a == b:
             out[r] = a  # every value in the bracket equals a
         elif upto - below <= limit:
-            small.append((r, a, b, below))
+            out[r] = _nth(base.filter(F.col("__x").between(a, b)), r - below)
         else:
             inside = base.filter(F.col("__x").between(a, b))
             out[r] = _values_at_ranks(inside, [r - below], upto - below, accuracy, limit, depth + 1)[r - below]
-    if small:
-        # one job fetches every small bracket (<= len(ranks) x limit values)
-        cond = F.lit(False)
-        for _, a, b, _ in small:
-            cond = cond | F.col("__x").between(a, b)
-        vals = [row["__x"] for row in base.filter(cond).orderBy("__x").collect()]
-        for r, a, b, below in small:
-            inside = [v for v in vals if a <= v <= b]
-            out[r] = inside[r - below]
     return out
 
 
+def _nth(base: DataFrame, r: int) -> float:
+    """The value at rank r: a sort with offset and limit, one row fetched."""
+    return base.orderBy("__x").offset(r).limit(1).first()["__x"]
+
+
 def _sorted_rank(base: DataFrame, r: int) -> float:
     """Exact value at rank r through the sort-based numbering (fallback)."""
     from quarry.operators.ranking import row_numbers
@@ -151,16 +146,15 @@ def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=Non
     small aggregate interpolates between them. No task ever holds a
     group's values.
     """
-    from quarry.operators.joins import materialize_small
+    from quarry.operators.joins import join_on_keys
     from quarry.operators.ranking import row_numbers
 
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     x = df.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
     x = x.withColumn("__t", F.monotonically_increasing_id())
     rn = row_numbers(x, [*keys, "__x", "__t"], "__g", total=False)
-    stats = materialize_small(rn.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n")))
-    j = rn.join(stats, keys) if keys else rn.withColumns(
-        {"__g0": stats.select("__g0").scalar(), "__n": stats.select("__n").scalar()})
+    stats = rn.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"))
+    j = join_on_keys(rn, stats, keys)
     j = j.withColumn("__r", F.col("__g") - F.col("__g0"))
     h = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
     need = F.lit(False)
@@ -172,7 +166,7 @@ def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=Non
         lo = F.max(F.when(F.col("__r") == F.floor(hp), F.col("__x")))
         hi = F.max(F.when(F.col("__r") == F.ceil(hp), F.col("__x")))
         w = F.max(hp - F.floor(hp))
-        aggs.append((lo + (hi - lo) * w).alias(f"__q{i}"))
+        aggs.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * w).alias(f"__q{i}"))  # inf - inf is no number
     wide = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
     structs = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"__q{i}").alias("value")) for i, p in enumerate(probs)]
     return wide.select(*keys, F.explode(F.array(*structs)).alias("__s")).select(*keys, "__s.*")
@@ -192,6 +186,8 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool
     column with a bounded distinct count ride in the same pass (exact
     ``percentile`` map), high-cardinality columns get the sort-based exact
     quartiles (``method``: auto / map / sort; ``approx`` overrides)."""
+    from quarry.operators.joins import join_on_keys
+
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     cols = cols or [c for c in columns_of(df, "numeric") if c not in keys]
     how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method, grouped=bool(keys))
@@ -212,7 +208,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool
             qa = q.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs")) \
                 if keys else q.agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs"))
             qa = qa.select(*keys, F.transform("__qs", lambda s: s["value"]).alias(f"{c}__q"))
-            wide = wide.join(qa, keys) if keys else wide.withColumn(f"{c}__q", qa.select(f"{c}__q").scalar())
+            wide = join_on_keys(wide, qa, keys, "left")  # a group without values has no quartiles
     return _long(wide, cols, {
         "count": lambda c: F.col(f"{c}__count"), "mean": lambda c: F.col(f"{c}__mean"),
         "std": lambda c: F.col(f"{c}__std"), "min": lambda c: F.col(f"{c}__min"),
@@ -308,6 +304,8 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by=None) -> DataFrame:
     includes max), every bin present (op 5.29). ``by`` splits counts by
     class on common bins. min/max are scalar subqueries (no driver round
     trip); the bin spine is ``bins`` rows."""
+    from quarry.operators.joins import join_on_keys
+
     by = [by] if isinstance(by, str) else list(by or [])
     x = F.col(col).cast("double")
     src = df.filter(x.isNotNull())
@@ -321,7 +319,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by=None) -> DataFrame:
     spine = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     if by:
         spine = src.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    out = spine.join(counts, [*by, "bin"], "left").select(
+    out = join_on_keys(spine, counts, [*by, "bin"], "left").select(
         *by, "bin",
         (mn + F.col("bin") * width).alias("lo"),
         F.when(F.col("bin") == bins - 1, mx).otherwise(mn + (F.col("bin") + 1) * width).alias("hi"),
@@ -336,7 +334,7 @@ def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: b
     (op 5.30). Pass 1: quartiles (:func:`quantiles`, exact); pass 2:
     conditional min/max/count against the fences, joined back on the group
     key (one row per group, broadcast only under a checked bound)."""
-    from quarry.operators.joins import materialize_small
+    from quarry.operators.joins import join_on_keys
 
     by = [by] if isinstance(by, str) else list(by or [])
     q = None
@@ -346,16 +344,9 @@ def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: b
             F.transform(F.sort_array(F.collect_list(F.struct("prob", "value"))), lambda s: s["value"]).alias(f"{c}__q"))
         if q is None:
             q = qc
-        elif by:
-            q = q.join(qc, by)
         else:
-            q = q.withColumn(f"{c}__q", qc.select(f"{c}__q").scalar())
-    # one row per group: computed once, joined back (broadcast when small)
-    q = materialize_small(q)
-    if by:
-        j = df.join(q, by, "inner")
-    else:
-        j = df.withColumns({f"{c}__q": q.select(f"{c}__q").scalar() for c in cols})
+            q = join_on_keys(q, qc, by, "left")
+    j = join_on_keys(df, q, by, "left")
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")

@@ -2,7 +2,8 @@
 
 A window ``PARTITION BY key`` sends every row of a key to one task; with
 a key holding a third of the data that task holds a third of the data.
-The positional operators here therefore avoid key-partitioned windows:
+The positional operators take a key window only where one aggregate proves the
+largest key small (``SERIES_WINDOW_ROWS``); beyond it, with the same rows:
 
 * ``row_numbers`` numbers rows globally and consecutively by range
   partitioning on a *total* order (ties broken by the remaining columns,
@@ -77,25 +78,27 @@ def _ranged(df: DataFrame, cols: list[Column], num_partitions: int | None = None
     from quarry.session import cut_lineage
 
     if num_partitions is None:
-        # as many ranges as input splits (each ~maxPartitionBytes), never
-        # fewer than the session's shuffle partitions: a range never holds
-        # more than an input split's worth of rows on a big table
-        try:
-            splits = df.rdd.getNumPartitions()  # planning only, no job
-        except Exception:  # noqa: BLE001 - e.g. a session without RDD access
-            splits = 0
-        num_partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), splits)
+        # ranges of about RANGE_BYTES by the plan's statistics, never fewer than
+        # the session's shuffle partitions
+        from quarry.operators.joins import planned_bytes
+
+        ranges = min(MAX_RANGES, -(-planned_bytes(df) // RANGE_BYTES))
+        num_partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), ranges)
     return cut_lineage(df.repartitionByRange(num_partitions, *cols).withColumn("__pid", F.spark_partition_id()))
 
 
-# Tables proven (by a bounded count) to hold at most this many rows are
-# numbered / accumulated by one un-partitioned window: one task, bounded.
-SMALL_TABLE_ROWS = 200_000
+# Tables whose files hold at most this many bytes (plan statistics, no job)
+# are numbered / accumulated by one un-partitioned window: one task, bounded.
+SMALL_TABLE_BYTES = 64 << 20
+# Bytes of input per range, and the most ranges a driver plans at once.
+RANGE_BYTES = 1 << 30
+MAX_RANGES = 100_000
 
 
 def _is_small(df: DataFrame, bound: int | None = None) -> bool:
-    bound = SMALL_TABLE_ROWS if bound is None else bound
-    return df.limit(bound + 1).count() <= bound
+    from quarry.operators.joins import planned_bytes
+
+    return planned_bytes(df) <= (SMALL_TABLE_BYTES if bound is None else bound)
 
 
 def row_numbers(df: DataFrame, order, name: str = "row_number", start: int = 1,
@@ -119,12 +122,12 @@ def row_numbers(df: DataFrame, order, name: str = "row_number", start: int = 1,
 
 
 def take_range(df: DataFrame, order, a: int, b: int | None = None) -> DataFrame:
-    """Rows at positions [a, b) in ``order`` (0-based, like ``df[a:b]``)."""
-    rn = row_numbers(df, order, "__rn", start=0)
-    cond = F.col("__rn") >= a
+    """Rows at positions [a, b) in ``order`` (0-based, like ``df[a:b]``): a sort
+    with offset and limit, no numbering. A limit is one result, sorted per task
+    first; without ``b`` everything from ``a`` on is numbered instead."""
     if b is not None:
-        cond = cond & (F.col("__rn") < b)
-    return rn.filter(cond).drop("__rn")
+        return df.orderBy(*_order_cols(df, order, True)).offset(a).limit(max(0, b - a))
+    return row_numbers(df, order, "__rn", start=0).filter(F.col("__rn") >= a).drop("__rn")
 
 
 def per_key_numbers(df: DataFrame, key, order, name: str = "rn", start: int = 1,
@@ -139,7 +142,9 @@ def per_key_numbers(df: DataFrame, key, order, name: str = "rn", start: int = 1,
         return df.withColumn(name, (F.row_number().over(w) + (start - 1)).cast("long"))
     g = row_numbers(df, key + order, "__g")
     first = g.groupBy(*key).agg(F.min("__g").alias("__g0"))
-    return (g.join(first, key).withColumn(name, (F.col("__g") - F.col("__g0") + start).cast("long"))
+    from quarry.operators.joins import join_on_keys
+
+    return (join_on_keys(g, first, key).withColumn(name, (F.col("__g") - F.col("__g0") + start).cast("long"))
             .drop("__g", "__g0"))
 
 
@@ -219,7 +224,7 @@ def canonical_case(df: DataFrame, col: str) -> DataFrame:
     return out.withColumn(col, F.when(F.col("__c") > 1, F.upper(F.col(col))).otherwise(F.col(col))).drop("__l", "__c")
 
 
-def label_codes(df: DataFrame, col: str, name: str | None = None, max_broadcast_rows: int = 200_000) -> DataFrame:
+def label_codes(df: DataFrame, col: str, name: str | None = None, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Alphabetical code from 0 for each distinct value (``LabelEncoder``,
     T9 / op 6.6); NULL stays NULL. Codes come from numbering the distinct
     values, joined back (broadcast only under a checked bound)."""
@@ -227,7 +232,7 @@ def label_codes(df: DataFrame, col: str, name: str | None = None, max_broadcast_
 
     levels = df.select(F.col(col).alias("__v")).filter(F.col("__v").isNotNull()).distinct()
     codes = row_numbers(levels, "__v", "__code", start=0, total=False)
-    out = df.join(broadcast_if_small(codes, max_broadcast_rows), F.col(col) == F.col("__v"), "left")
+    out = df.join(broadcast_if_small(codes, max_broadcast_bytes), F.col(col) == F.col("__v"), "left")
     return out.withColumn(name or f"{col}_code", F.col("__code").cast("int")).drop("__v", "__code")
 
 

@@ -26,9 +26,12 @@ def duplicate_flags(df: DataFrame, subset: list[str] | None = None, name: str =
 
     Identical rows are indistinguishable, so "which copy is first" is
     decided by a per-row id; the kept copy is the one with the smallest
-    id (a partially aggregated ``min``), joined back on the row key."""
+    id (a partially aggregated ``min``), joined back on the row key. The ids
+    are checkpointed: both sides of the join must see the same ones."""
+    from quarry.session import cut_lineage
+
     cols = subset or df.columns
-    with_id = df.withColumn("__id", F.monotonically_increasing_id())
+    with_id = cut_lineage(df.withColumn("__id", F.monotonically_increasing_id()))
     first = with_id.groupBy(*cols).agg(F.min("__id").alias("__first"))
     cond = [with_id[c].eqNullSafe(first[c]) for c in cols]
     out = with_id.join(first, _and(cond))

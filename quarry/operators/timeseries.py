@@ -1,8 +1,8 @@
 """Time series, many series in parallel (2.15).
 
-A series is the rows of one ``key`` ordered by ``ts``. Nothing here
-partitions by the series key: a series holding a third of all rows would
-otherwise sit in one task. Positions come from the global row number
+A series is the rows of one ``key`` ordered by ``ts``. A key window is used
+only while the longest series is proven short; a series holding a third of all
+rows would otherwise sit in one task. Beyond that, positions come from the global row number
 (:func:`quarry.operators.ranking.row_numbers`, range partitioned on
 (key, ts)), lags are equi-joins on that number, and every estimator is
 reduced to sums (means, lag cross-products, Gram matrices) that Spark
@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import join_on_keys
 from quarry.operators.ranking import row_numbers
 
 _UNITS = {"day": ("day", "1 day"), "month": ("month", "1 month"), "hour": ("hour", "1 hour"),
@@ -45,7 +46,7 @@ def resample(df: DataFrame, ts: str, unit: str, aggs: dict, key=None, month_end:
     agg = df.groupBy(*keys, period.alias("__p")).agg(*[fns[f](F.col(c)).alias(n) for n, (f, c) in aggs.items()])
     bounds = agg.groupBy(*keys).agg(F.min("__p").alias("__a"), F.max("__p").alias("__b"))
     spine = bounds.select(*keys, F.explode(F.sequence("__a", "__b", F.expr(f"interval {step}"))).alias("__p"))
-    out = spine.join(agg, [*keys, "__p"], "left")
+    out = join_on_keys(spine, agg, [*keys, "__p"], "left")
     fill = {n: 0 for n, (f, _) in aggs.items() if f in ("sum", "count")}
     out = out.na.fill(fill) if fill else out
     label = F.last_day("__p").cast("timestamp_ntz") if (unit == "month" and month_end) else F.col("__p")
@@ -96,7 +97,7 @@ def series_frame(df: DataFrame, key, ts: str, y: str, lags: list[int] | None = N
         g = _lag_join(g, keys, "__x", lags, "__x")
     st = g.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"),
                               *([F.avg("__x").alias("__m")] if with_mean else []))
-    return g.join(st, keys).withColumn("__pos", F.col("__g") - F.col("__g0")).drop("__g", "__g0")
+    return join_on_keys(g, st, keys).withColumn("__pos", F.col("__g") - F.col("__g0")).drop("__g", "__g0")
 
 
 def acf(df: DataFrame, key, ts: str, y: str, nlags: int = 10, strategy: str = "auto") -> DataFrame:
@@ -165,24 +166,24 @@ def decompose(df: DataFrame, key, ts: str, y: str, period: int, strategy: str =
     det = t.withColumn("__d", F.col("__x") - F.col("trend"))
     ph = det.groupBy(*keys, "phase").agg(F.avg("__d").alias("__pa"))
     centre = ph.groupBy(*keys).agg(F.avg("__pa").alias("__pm"))
-    seas = (ph.join(centre, keys) if keys else ph.withColumn("__pm", centre.select("__pm").scalar())).select(
-        *keys, "phase", (F.col("__pa") - F.col("__pm")).alias("seasonal"))
-    out = det.join(seas, [*keys, "phase"], "left")
+    seas = join_on_keys(ph, centre, keys).select(*keys, "phase", (F.col("__pa") - F.col("__pm")).alias("seasonal"))
+    out = join_on_keys(det, seas, [*keys, "phase"], "left")
     return out.select(*keys, ts, F.col("__x").alias(y), "trend", "seasonal",
                       (F.col("__x") - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
 # ----------------------------------------------------------- least squares
 def _gram(d: DataFrame, keys: list[str], cols: list[str], extra_keys: list[str] | None = None) -> DataFrame:
-    """Per key: n and every sum of products of ``cols`` (upper triangle),
-    i.e. the Gram matrix of the design, as aggregates. Expressions are
+    """Per key: n, the series length and every sum of products of ``cols`` (upper
+    triangle), i.e. the Gram matrix of the design, as aggregates. Rows with a
+    NULL in the design take no part. Expressions are
     passed as SQL text: one parse each instead of a chain of Column calls."""
     ek = list(extra_keys or [])
-    aggs = ["count(1) AS __n"]
+    aggs = ["count(1) AS __n", "max(__n) AS __len"]
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
             aggs.append(f"sum(`{a}` * `{cols[j]}`) AS __s_{i}_{j}")
-    return d.groupBy(*keys, *ek).agg(*[F.expr(e) for e in aggs])
+    return d.na.drop(subset=cols).groupBy(*keys, *ek).agg(*[F.expr(e) for e in aggs])
 
 
 def _unpack(row, m: int) -> np.ndarray:
@@ -233,34 +234,39 @@ def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None, strateg
     """Augmented Dickey-Fuller test with a constant, lag order chosen by
     AIC (op 15.6, re-aimed). Regression dy_t = a + b y_{t-1} +
     sum_{i<=p} c_i dy_{t-i} + e over a sample common to every candidate p;
-    the chosen p is refitted on its largest sample.
+    the chosen p is refitted on its largest sample. The largest p of a key is
+    min(``max_lag`` or ceil(12 (n / 100)^(1/4)), n // 2 - 2) for its own length n.
 
     Spark computes the lagged design by position joins and reduces it to
     Gram matrices per key; grouped pandas solves the small systems.
     Returns (key..., adf_stat, p_value, used_lag, nobs, crit_1, crit_5, crit_10).
     """
     keys = _keys(key)
-    if max_lag is None:
+    given = max_lag is not None
+    if not given:
         from quarry.operators.ranking import largest_group
 
         longest = largest_group(df, keys)
         max_lag = int(math.ceil(12.0 * (longest / 100.0) ** 0.25))
     L = max_lag
     f = series_frame(df, keys, ts, y, list(range(1, L + 2)), strategy)
+    bound = F.lit(L) if given else F.least(F.lit(L), F.ceil(12.0 * F.pow(F.col("__n") / 100.0, 0.25)))
+    own = F.greatest(F.lit(0), F.least(bound, F.floor(F.col("__n") / 2) - 2)).cast("int")
+    f = f.withColumn("__L", own)
     lag = {k: F.col(f"__x_lag_{k}") for k in range(1, L + 2)}
     # one projection (not a withColumn chain: keeps the plan shallow)
-    d = f.select(*keys, "__pos", F.lit(1.0).alias("one"), lag[1].alias("y1"),
-                 *[(lag[i] - lag[i + 1]).alias(f"dy{i}") for i in range(1, L + 1)],
+    d = f.select(*keys, "__pos", "__n", "__L", F.lit(1.0).alias("one"), lag[1].alias("y1"),
+                 *[F.when(F.col("__L") >= i, lag[i] - lag[i + 1]).otherwise(F.lit(0.0)).alias(f"dy{i}") for i in range(1, L + 1)],
                  (F.col("__x") - lag[1]).alias("dy"))
     cols = ["one", "y1", *[f"dy{i}" for i in range(1, L + 1)], "dy"]
-    # common sample for the AIC search: positions > L (all lags defined)
-    G1 = _gram(d.filter(F.col("__pos") > L), keys, cols)
+    # common sample of a key for the AIC search: all its lags defined
+    G1 = _gram(d.filter(F.col("__pos") > F.col("__L")), keys, cols)
     # for the refit: Gram over positions > p for every p, via a per-row
     # explode of the admissible p (rows with pos > p), lags beyond p zeroed
     d2 = d.filter(F.col("__pos") >= 1).select(
-        *keys, "one", "y1", "dy", *[f"dy{i}" for i in range(1, L + 1)],
-        F.explode(F.sequence(F.lit(0), F.least(F.col("__pos") - 1, F.lit(L)))).alias("__p"))
-    d2 = d2.select(*keys, "__p", "one", "y1", "dy",
+        *keys, "__n", "one", "y1", "dy", *[f"dy{i}" for i in range(1, L + 1)],
+        F.explode(F.sequence(F.lit(0), F.least((F.col("__pos") - 1).cast("int"), F.col("__L")))).alias("__p"))
+    d2 = d2.select(*keys, "__n", "__p", "one", "y1", "dy",
                    *[F.when(F.col("__p") >= i, F.col(f"dy{i}")).otherwise(F.lit(0.0)).alias(f"dy{i}") for i in range(1, L + 1)])
     G2 = _gram(d2, keys, cols, ["__p"])
     m = len(cols)
@@ -273,14 +279,15 @@ def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None, strateg
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         r1 = pdf[pdf["__which"] == 1]
         res = {k: pdf[k].iloc[0] for k in keys}
-        if r1.empty or r1["__n"].iloc[0] <= m:
+        own = 0 if r1.empty else min(L if given else math.ceil(12.0 * (r1["__len"].iloc[0] / 100.0) ** 0.25), int(r1["__len"].iloc[0]) // 2 - 2, L)
+        if r1.empty or own < 0 or r1["__n"].iloc[0] <= own + 2:
             return pd.DataFrame([{**res, "adf_stat": np.nan, "p_value": np.nan, "used_lag": -1, "nobs": 0,
                                   "crit_1": np.nan, "crit_5": np.nan, "crit_10": np.nan}])
         row = r1.iloc[0]
         G = _unpack(row, m)
         n = int(row["__n"])
         best, best_aic = 0, np.inf
-        for p in range(0, L + 1):
+        for p in range(0, own + 1):
             idx = list(range(0, 2 + p))
             _, ssr, _ = _ols_from_gram(G, n, idx, m - 1)
             llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / n) + 1)
@@ -313,7 +320,8 @@ def ar_forecast(df: DataFrame, key, ts: str, y: str, p: int = 1, horizon: int =
     """AR(p) (+ optional seasonal lags) with intercept, least squares, and a
     recursive ``horizon``-step forecast with a +-z sigma sqrt(sum psi^2)
     band (op 15.7; a different estimator than state-space ARIMA: stated).
-    Returns (key..., step, ts, forecast, lower, upper)."""
+    Returns (key..., step, ts, forecast, lower, upper, reason). A series too
+    short or too sparse for the fit gives one row with step NULL and the reason."""
     keys = _keys(key)
     lags = sorted(set(list(range(1, p + 1)) + list(seasonal_lags or [])))
     L = max(lags)
@@ -324,17 +332,20 @@ def ar_forecast(df: DataFrame, key, ts: str, y: str, p: int = 1, horizon: int =
     tail = d.filter(F.col("__pos") >= F.col("__n") - L).select(*keys, "__pos", ts, "__x")
     tail_agg = tail.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__pos", "__x"))).alias("__tail"),
                                        F.max(ts).alias("__last"))
-    both = G.join(tail_agg, keys)
+    both = join_on_keys(tail_agg, G, keys, "left")
     m = len(cols)
     key_schema = [f"{k} {t}" for k, t in df.dtypes if k in keys]
-    out_schema = ", ".join(key_schema + ["step int", "forecast double", "lower double", "upper double", "__last timestamp_ntz"])
+    out_schema = ", ".join(key_schema + ["step int", "forecast double", "lower double", "upper double", "reason string", "__last timestamp_ntz"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
-        n = int(row["__n"])
+        n = int(row["__n"]) if pd.notna(row["__n"]) else 0
         base = {k: row[k] for k in keys}
-        if n <= m:
-            return pd.DataFrame(columns=[*keys, "step", "forecast", "lower", "upper", "__last"])
+        reason = f"{n} complete rows, {m + 1} needed" if n <= m else None
+        if reason is None and any(t["__x"] is None for t in row["__tail"]):
+            reason = "a missing value among the last lags"
+        if reason:
+            return pd.DataFrame([{**base, "step": None, "forecast": None, "lower": None, "upper": None, "reason": reason, "__last": row["__last"]}])
         Gm = _unpack(row, m)
         beta, ssr, _ = _ols_from_gram(Gm, n, list(range(m - 1)), m - 1)
         sigma = math.sqrt(ssr / max(n - (m - 1), 1))
@@ -349,40 +360,46 @@ def ar_forecast(df: DataFrame, key, ts: str, y: str, p: int = 1, horizon: int =
             hist.append(f)
             var = sum(v * v for v in psi)
             band = z * sigma * math.sqrt(var)
-            out.append({**base, "step": h, "forecast": f, "lower": f - band, "upper": f + band, "__last": row["__last"]})
+            out.append({**base, "step": h, "forecast": f, "lower": f - band, "upper": f + band, "reason": None, "__last": row["__last"]})
             psi.append(sum(phi[k] * psi[h - k] for k in range(1, min(h, L) + 1)))
         return pd.DataFrame(out)
 
     res = both.groupBy(*keys).applyInPandas(run, out_schema)
     return res.select(*keys, "step", (F.col("__last") + F.expr(f"interval {step}") * F.col("step")).alias(ts),
-                      "forecast", "lower", "upper")
+                      "forecast", "lower", "upper", "reason")
 
 
-def ar_select(df: DataFrame, key, ts: str, y: str, max_p: int = 8, strategy: str = "auto") -> DataFrame:
-    """AR order search (op 15.8): one Gram matrix per key on the sample
-    where all ``max_p`` lags exist serves every p; each (key, p) is solved
-    and the p with the lowest in-sample RMSE (ties -> smaller p) kept,
-    with its AIC. Returns (key..., p, rmse, aic)."""
+def ar_select(df: DataFrame, key, ts: str, y: str, max_p: int = 8, strategy: str = "auto", hold_out: float = 0.2) -> DataFrame:
+    """AR order search (op 15.8): one Gram matrix per key and part, on the
+    sample where all ``max_p`` lags exist, serves every p. Each p is fitted
+    on the first part; the p with the lowest one-step RMSE on the last
+    ``hold_out`` share of the series (ties -> smaller p) is kept, with the
+    AIC of its fit. Returns (key..., p, rmse, aic)."""
     keys = _keys(key)
     lags = list(range(1, max_p + 1))
     d = _ar_design(df, keys, ts, y, lags, strategy)
     cols = ["one", *[f"__x_lag_{k}" for k in lags], "__x"]
-    G = _gram(d.filter(F.col("__pos") >= max_p), keys, cols)
+    test = (F.col("__pos") >= F.ceil(F.col("__n") * (1 - hold_out))).cast("int")
+    G = _gram(d.filter(F.col("__pos") >= max_p).withColumn("__test", test), keys, cols, ["__test"])
     m = len(cols)
     key_schema = [f"{k} {t}" for k, t in df.dtypes if k in keys]
     schema = ", ".join(key_schema + ["p int", "rmse double", "aic double"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        n = int(row["__n"])
-        Gm = _unpack(row, m)
+        parts = {int(r["__test"]): r for _, r in pdf.iterrows()}
         out = []
-        for p in range(1, max_p + 1):
-            if n <= p + 1:
-                continue
-            _, ssr, _ = _ols_from_gram(Gm, n, list(range(p + 1)), m - 1)
-            llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / n) + 1)
-            out.append({**{k: row[k] for k in keys}, "p": p, "rmse": math.sqrt(ssr / n), "aic": -2 * llf + 2 * (p + 1)})
+        if set(parts) == {0, 1}:
+            n, nt = int(parts[0]["__n"]), int(parts[1]["__n"])
+            fit, held = _unpack(parts[0], m), _unpack(parts[1], m)
+            for p in range(1, max_p + 1):
+                if n <= p + 1:
+                    continue
+                idx = list(range(p + 1))
+                beta, ssr, _ = _ols_from_gram(fit, n, idx, m - 1)
+                llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / n) + 1)
+                miss = held[m - 1, m - 1] - 2 * beta @ held[idx, m - 1] + beta @ held[np.ix_(idx, idx)] @ beta
+                out.append({**{k: pdf[k].iloc[0] for k in keys}, "p": p, "rmse": math.sqrt(max(float(miss), 0.0) / nt),
+                            "aic": -2 * llf + 2 * (p + 1)})
         return pd.DataFrame(out, columns=[*keys, "p", "rmse", "aic"])
 
     scores = G.groupBy(*keys).applyInPandas(run, schema)

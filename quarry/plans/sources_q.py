@@ -61,8 +61,9 @@ def table_append_replace(spark, sf):
     (Parquet stands in for a JDBC target; same writer code path)."""
     o = T(spark, sf, "orders")
     target = scratch_path(spark, "append")
-    jdbc.append_to(o.filter(F.col("o_orderstatus") == "F"), target)
-    jdbc.append_to(o.filter(F.col("o_orderstatus") != "F"), target)
+    done = F.col("o_orderstatus").eqNullSafe("F")
+    jdbc.append_to(o.filter(done), target)
+    jdbc.append_to(o.filter(~done), target)
     agg = spark.read.parquet(target).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     pub = scratch_path(spark, "replace")
     jdbc.replace_table(agg.filter(F.lit(False)), pub)
@@ -79,8 +80,8 @@ def etl_daily_users(spark, sf):
     it instead of duplicating), aggregate, publish, read the report."""
     c = T(spark, sf, "customer")
     stage, target, agg = (scratch_path(spark, n) for n in ("etl-stage", "etl-target", "etl-agg"))
-    etl.run_etl(spark, c, stage, target, agg, ts="2024-09-01 07:00:00")
-    return etl.run_etl(spark, c, stage, target, agg, ts="2024-09-01 07:00:00")  # rerun: idempotent
+    etl.run_etl(spark, c, stage, target, agg, ts="2024-09-01 07:00:00", count_col="c_name")
+    return etl.run_etl(spark, c, stage, target, agg, ts="2024-09-01 07:00:00", count_col="c_name")  # rerun: idempotent
 
 
 @query("etl_two_batches", """
@@ -91,8 +92,8 @@ def etl_two_batches(spark, sf):
     """1.11 two daily batches: one aggregate row per batch stamp, newest first."""
     c = T(spark, sf, "customer")
     stage, target, agg = (scratch_path(spark, n) for n in ("etl2-stage", "etl2-target", "etl2-agg"))
-    etl.run_etl(spark, c, stage, target, agg, ts="2024-09-01 07:00:00")
-    return etl.run_etl(spark, c, stage, target, agg, ts="2024-09-02 07:00:00")
+    etl.run_etl(spark, c, stage, target, agg, ts="2024-09-01 07:00:00", count_col="c_name")
+    return etl.run_etl(spark, c, stage, target, agg, ts="2024-09-02 07:00:00", count_col="c_name")
 
 
 @query("batch_stamp", """

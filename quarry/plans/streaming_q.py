@@ -28,15 +28,17 @@ def stream_daily_window_totals(spark, sf):
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders
 """)
 def stream_incremental_orders(spark, sf):
-    """17.2 incremental load: orders staged in two batches; the first run
-    loads batch 1, the second batch 2 only, a third run adds nothing."""
+    """17.2 incremental load: orders staged in two batches, the later dates (and
+    rows without a date) first; the first run loads batch 1, the second the
+    older batch 2 only, a third run adds nothing."""
     o = T(spark, sf, "orders")
     stage = scratch_path(spark, "inc-stage")
     target = scratch_path(spark, "inc-target")
     ckpt = scratch_path(spark, "inc-ckpt")
-    o.filter(F.col("o_orderdate") < "1998-01-01").write.parquet(f"{stage}/b1")
-    load_increment(spark, f"{stage}/*", o.schema, target, ckpt, key=["o_orderkey"], event_time="o_orderdate")
-    o.filter(F.col("o_orderdate") >= "1998-01-01").write.parquet(f"{stage}/b2")
-    load_increment(spark, f"{stage}/*", o.schema, target, ckpt, key=["o_orderkey"], event_time="o_orderdate")
-    load_increment(spark, f"{stage}/*", o.schema, target, ckpt, key=["o_orderkey"], event_time="o_orderdate")
+    late = F.coalesce(F.col("o_orderdate") < "1998-01-01", F.lit(False))
+    o.filter(~late).write.parquet(f"{stage}/b1")
+    load_increment(spark, f"{stage}/*", o.schema, target, ckpt, key=["o_orderkey"])
+    o.filter(late).write.parquet(f"{stage}/b2")
+    load_increment(spark, f"{stage}/*", o.schema, target, ckpt, key=["o_orderkey"])
+    load_increment(spark, f"{stage}/*", o.schema, target, ckpt, key=["o_orderkey"])
     return spark.read.schema(o.schema).parquet(target)

@@ -7,7 +7,9 @@ already carry one (``setdefault`` semantics), so a cluster's
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -63,14 +65,19 @@ def _fill_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (a
-    test on a laptop) do we create one under the system temp folder.
+    Read from ``spark.checkpoint.dir``. Where the session has none, a local
+    master gets a temporary folder that goes with the process; on a cluster
+    executors would not see such a folder, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

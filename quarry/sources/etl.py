@@ -36,27 +36,23 @@ def _resolve_ts(ts) -> _dt.datetime:
 
 def run_etl(spark: SparkSession, source: DataFrame, stage_path: str, target_path: str,
             aggregate_path: str, ts: _dt.datetime | str | None = None,
-            count_col: str = "c_name") -> DataFrame:
+            count_col: str | None = None) -> DataFrame:
     """Extract ``source`` -> stage -> load -> aggregate; returns the aggregate.
 
     ``aggregate``: ``SELECT extracted_at, COUNT(count_col) AS user_count
-    GROUP BY extracted_at ORDER BY 1 DESC`` over everything loaded so far.
+    GROUP BY extracted_at ORDER BY 1 DESC`` over everything loaded so far;
+    without ``count_col`` rows are counted.
     """
     ts = _resolve_ts(ts)
     batch_id = ts.strftime("%Y%m%d%H%M%S")
     stamped = stamp_batch(source, ts).withColumn("batch_id", F.lit(batch_id))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # stage: write once, re-read, so the load never re-queries the source
-        stamped.write.mode("overwrite").partitionBy("batch_id").parquet(stage_path)
-        staged = spark.read.parquet(stage_path).filter(F.col("batch_id") == batch_id)
-        # load: overwrite just this batch's partition in the target
-        staged.write.mode("overwrite").partitionBy("batch_id").parquet(target_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    own = ("partitionOverwriteMode", "dynamic")  # a rerun replaces its own batch only
+    # stage: write once, re-read, so the load never re-queries the source
+    stamped.write.mode("overwrite").option(*own).partitionBy("batch_id").parquet(stage_path)
+    staged = spark.read.parquet(stage_path).filter(F.col("batch_id") == batch_id)
+    staged.write.mode("overwrite").option(*own).partitionBy("batch_id").parquet(target_path)
     loaded = spark.read.parquet(target_path).drop("batch_id")
-    agg = (loaded.groupBy(BATCH_COL).agg(F.count(count_col).alias("user_count"))
+    agg = (loaded.groupBy(BATCH_COL).agg(F.count(F.lit(1) if count_col is None else F.col(count_col)).alias("user_count"))
            .orderBy(F.col(BATCH_COL).desc_nulls_first()))
     agg.write.mode("overwrite").parquet(aggregate_path)
     return report_table(spark, aggregate_path)

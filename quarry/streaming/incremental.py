@@ -1,31 +1,42 @@
-"""Incremental load of staged files (op 17.2).
+"""Incremental load of staged Parquet files (op 17.2).
 
-A file stream over the staging folder with ``availableNow``: each run
-loads only files not yet recorded in the checkpoint, so a rerun adds
-nothing (the original's plain append duplicated rows on retry). Rows
-repeated inside the watermark are dropped by key
-(``dropDuplicatesWithinWatermark``).
+The file source's checkpoint remembers the files already read, so a run
+takes the new ones only, however old their rows are: a load has no
+watermark and keeps no state per key. Rows whose key is already in the target
+are rejected by an anti-join in ``foreachBatch``, which also makes a replayed
+batch add nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.joins import join_on_keys
+
+
+def _append_new(batch: DataFrame, schema, target_path: str, key: list[str]) -> None:
+    """Append the rows whose key the target lacks, one row per key. A row with a
+    NULL in its key is compared as a whole."""
+    loaded = batch.sparkSession.read.schema(schema).parquet(target_path)
+    named = F.lit(True)
+    for k in key:
+        named = named & F.col(k).isNotNull()
+    new = batch.filter(named).dropDuplicates(key).join(loaded.select(*key), key, "left_anti")
+    odd = join_on_keys(batch.filter(~named).dropDuplicates(), loaded.filter(~named), batch.columns, "left_anti")
+    new.unionByName(odd).write.mode("append").parquet(target_path)
+
 
 def load_increment(spark: SparkSession, source_path: str, schema: T.StructType | str, target_path: str,
-                   checkpoint: str, key: list[str] | None = None, event_time: str | None = None,
-                   delay: str = "1 day") -> int:
-    """Run one incremental load; returns the number of rows in the target."""
+                   checkpoint: str, key: list[str] | None = None) -> int:
+    """Run one incremental load; returns the number of rows in the target.
+    Without ``key`` every row of a new file is loaded, exactly once."""
     src = spark.readStream.schema(schema).parquet(source_path)
     if key:
-        if event_time:
-            src = (src.withColumn("__et", F.col(event_time).cast("timestamp"))
-                   .withWatermark("__et", delay).dropDuplicatesWithinWatermark(key).drop("__et"))
-        else:
-            src = src.dropDuplicates(key)
-    q = (src.writeStream.format("parquet").option("path", target_path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+        spark.createDataFrame([], src.schema).write.mode("append").parquet(target_path)
+        w = src.writeStream.foreachBatch(lambda batch, _: _append_new(batch, src.schema, target_path, list(key)))
+    else:
+        w = src.writeStream.format("parquet").option("path", target_path).outputMode("append")
+    w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(schema).parquet(target_path).count()

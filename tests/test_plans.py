@@ -46,7 +46,7 @@ def test_conditional_aggregates_single_scan(spark):
 def test_per_key_numbers_large_keys_use_no_key_window(spark, monkeypatch):
     from quarry.operators import ranking as R
 
-    monkeypatch.setattr(R, "SMALL_TABLE_ROWS", 0)  # as for a table too big for one task
+    monkeypatch.setattr(R, "SMALL_TABLE_BYTES", 0)  # as for a table too big for one task
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     df = R.per_key_numbers(o, "o_custkey", ["o_orderdate", "o_orderkey"], "rn", strategy="join")
     p = explain(df)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import features as Fe
 from quarry.operators import neighbors as Nb
+from quarry.operators import profile as P
 from quarry.operators import ranking as R
 from quarry.operators import timeseries as Ts
 
@@ -134,7 +135,7 @@ def test_smote_balances_and_interpolates(spark):
 def test_global_rank_methods(spark, monkeypatch):
     df = spark.createDataFrame([(v,) for v in (5.0, 3.0, 5.0, 1.0, 3.0)], "s double")
     for small in (200_000, 0):  # one-window path and range-partitioned path
-        monkeypatch.setattr(R, "SMALL_TABLE_ROWS", small)
+        monkeypatch.setattr(R, "SMALL_TABLE_BYTES", small)
         r = sorted((x.s, x.rank) for x in R.global_rank(df, ["s"], False, "rank", "rank").collect())
         assert r == [(1.0, 5), (3.0, 3), (3.0, 3), (5.0, 1), (5.0, 1)]
         d = sorted((x.s, x.rank) for x in R.global_rank(df, ["s"], False, "rank", "dense").collect())
@@ -144,7 +145,7 @@ def test_global_rank_methods(spark, monkeypatch):
 def test_running_sums(spark, monkeypatch):
     df = spark.createDataFrame([(i, float(i)) for i in range(100)], "k long, v double")
     for small in (200_000, 0):
-        monkeypatch.setattr(R, "SMALL_TABLE_ROWS", small)
+        monkeypatch.setattr(R, "SMALL_TABLE_BYTES", small)
         out = R.running_sums(df, ["k"], ["v"]).toPandas().sort_values("k")
         assert np.allclose(out["v_cum"], np.cumsum(np.arange(100)))
 
@@ -177,7 +178,7 @@ def test_models_beat_majority(spark):
 def test_sorted_exact_quantiles_match_map(spark, monkeypatch):
     from quarry.operators import profile as P
 
-    monkeypatch.setattr(R, "SMALL_TABLE_ROWS", 0)
+    monkeypatch.setattr(R, "SMALL_TABLE_BYTES", 0)
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     o = o.unionByName(o.limit(50))  # duplicated values
     for keys in (None, "o_orderstatus"):
@@ -193,7 +194,7 @@ def test_sorted_exact_quantiles_match_map(spark, monkeypatch):
 
 
 def test_row_numbers_unique_on_unbalanced_cached_input(spark, monkeypatch):
-    monkeypatch.setattr(R, "SMALL_TABLE_ROWS", 0)  # force the range-partitioned path
+    monkeypatch.setattr(R, "SMALL_TABLE_BYTES", 0)  # force the range-partitioned path
     # unbalanced input partitions make Spark re-sample range bounds with a
     # per-RDD seed; the numbering must still be one consistent assignment
     base = spark.createDataFrame([(k, t) for k in range(5) for t in range(400)], "k long, t long")
@@ -205,7 +206,7 @@ def test_row_numbers_unique_on_unbalanced_cached_input(spark, monkeypatch):
 
 
 def test_window_and_join_strategies_agree(spark, monkeypatch):
-    monkeypatch.setattr(R, "SMALL_TABLE_ROWS", 0)  # join path on range numbering
+    monkeypatch.setattr(R, "SMALL_TABLE_BYTES", 0)  # join path on range numbering
     rng = np.random.default_rng(11)
     pdf = pd.DataFrame({"k": np.repeat(["a", "b", "c"], 60), "t": np.tile(np.arange(60), 3),
                         "y": rng.normal(size=180).cumsum()})
@@ -263,11 +264,94 @@ def test_size_checked_broadcast_helpers(spark):
 
     small = spark.range(10).withColumnRenamed("id", "k")
     big = spark.range(1000).withColumnRenamed("id", "k")
-    assert J.small_flags([small, big], max_rows=100) == [True, False]
-    m = J.materialize_small(small.groupBy("k").count(), max_rows=100)
-    assert m.count() == 10
-    m2 = J.materialize_small(big.groupBy("k").count(), max_rows=100)  # above the bound: checkpointed
-    assert m2.count() == 1000
+    assert J.planned_bytes(small) < 1000 < J.planned_bytes(big)
+    hinted = lambda d: "hint" in d._jdf.queryExecution().logical().toString().lower()
+    assert hinted(J.broadcast_if_small(small, 1000)) and not hinted(J.broadcast_if_small(big, 1000))
     out = J.dimension_totals(big.withColumn("v", F.lit(1.0)), small.withColumn("name", F.col("k") % 3),
-                             "k", "name", "v", "total", broadcast_rows=100)
+                             "k", "name", "v", "total", broadcast_bytes=1000)
     assert sorted((r.name, r.total) for r in out.collect()) == [(0, 4.0), (1, 3.0), (2, 3.0)]
+
+
+def _series(spark):
+    import random
+
+    rnd = random.Random(1)
+    rows = [(k, t, rnd.random() + t / 50) for k in ("a", None, "b") for t in range(60 if k != "b" else 14)]
+    return spark.createDataFrame(rows, "k string, t int, y double")
+
+
+@pytest.mark.parametrize("key", ["k", None])
+def test_window_and_join_agree_with_null_key_and_without_key(spark, monkeypatch, key):
+    from quarry.operators import ranking as R
+    from quarry.operators import timeseries as Ts
+
+    monkeypatch.setattr(R, "SMALL_TABLE_BYTES", 0)
+    df = _series(spark)
+    if key is None:
+        df = df.filter("k = 'a'").drop("k")
+    keys = [key] if key else []
+    calls = [lambda s: R.per_key_numbers(df, keys, ["t"], strategy=s), lambda s: R.lags(df, keys, "t", "y", 2, strategy=s),
+             lambda s: R.moving_average(df, keys, "t", "y", 4, strategy=s), lambda s: Ts.acf(df, keys, "t", "y", 3, strategy=s),
+             lambda s: Ts.decompose(df, keys, "t", "y", 4, strategy=s), lambda s: Ts.adf(df, keys, "t", "y", strategy=s),
+             lambda s: Ts.ar_forecast(df.withColumn("t", F.timestamp_seconds(F.col("t") * 86400).cast("timestamp_ntz")), keys, "t", "y", 2, 3, strategy=s),
+             lambda s: Ts.ar_select(df, keys, "t", "y", 3, strategy=s)]
+    norm = lambda d: sorted([tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in d.collect()], key=str)
+    for call in calls:
+        a, b = norm(call("window")), norm(call("join"))
+        assert a == b and a
+        if key:
+            assert {r[0] for r in a} == {"a", None, "b"}
+
+
+def test_quantile_methods_agree_with_null_group(spark, monkeypatch):
+    from quarry.operators import ranking as R
+
+    monkeypatch.setattr(R, "SMALL_TABLE_BYTES", 0)
+    big = 2**53 + 1
+    rows = [(k, v, w) for k in ("a", None, "b") for v, w in [(1.0, big), (1.0, big + 2), (2.5, None), (None, 7), (float("inf"), 8)]] + [("c", None, None)]
+    df = spark.createDataFrame(rows, "k string, v double, w bigint")
+    key = lambda r: str(r)
+    for m in ("map", "sort"):
+        got = P.quantiles(df, "v", [0.0, 0.5, 1.0], keys="k", method=m).filter("value is not null")
+        assert sorted(got.collect(), key=key) == sorted(
+            [(k, p, v) for k in ("a", None, "b") for p, v in ((0.0, 1.0), (0.5, 1.75), (1.0, float("inf")))], key=key)
+    d = [sorted(P.describe_numeric(df, ["v"], keys="k", method=m).select("k", "count", "q50").collect(), key=key) for m in ("map", "sort")]
+    assert d[0] == d[1] and len(d[0]) == 4
+    b = [sorted(P.box_stats(df.filter("v < 5"), ["v"], by="k", method=m).select("k", "median", "n_outliers").collect(), key=key) for m in ("map", "sort")]
+    assert b[0] == b[1] and {r.k for r in b[0]} == {"a", None, "b"}
+    h = P.histogram(df.filter("v < 5"), "v", 2, by="k")
+    assert {(r.k, r.bin, r.n) for r in h.collect()} == {(k, i, n) for k in ("a", None, "b") for i, n in ((0, 2), (1, 1))}
+
+
+def test_resample_null_key_and_short_series(spark):
+    from quarry.operators import timeseries as Ts
+
+    df = spark.sql("select cast(null as string) k, timestamp_ntz'2024-01-01' t, 1.0D y union all select null, timestamp_ntz'2024-01-03', 2.0D")
+    got = Ts.resample(df, "t", "day", {"s": ("sum", "y")}, key="k").orderBy("t").collect()
+    assert [r.s for r in got] == [1.0, 0.0, 2.0]
+    out = Ts.ar_forecast(df, "k", "t", "y", p=1, horizon=3).collect()
+    assert len(out) == 1 and out[0].step is None and "needed" in out[0].reason
+    s = _series(spark).filter("k = 'b'")
+    both = Ts.adf(_series(spark), "k", "t", "y").filter("k = 'b'").collect()
+    alone = Ts.adf(s, "k", "t", "y").collect()
+    assert both[0].nobs > 0 and abs(both[0].adf_stat - alone[0].adf_stat) < 1e-9
+
+
+def test_gram_skips_rows_with_null(spark):
+    from quarry.operators import timeseries as Ts
+
+    rows = [(t, None if t == 30 else 0.5 * t + (t % 3)) for t in range(60)]
+    df = spark.createDataFrame(rows, "t int, y double")
+    out = Ts.ar_forecast(df.withColumn("t", F.timestamp_seconds(F.col("t") * 86400).cast("timestamp_ntz")), None, "t", "y", 1, 2).collect()
+    x = np.array([r[1] if r[1] is not None else np.nan for r in rows])
+    ok = ~np.isnan(x[1:]) & ~np.isnan(x[:-1])
+    beta = np.polyfit(x[:-1][ok], x[1:][ok], 1)
+    assert abs(out[0].forecast - (beta[0] * x[-1] + beta[1])) < 1e-6
+
+
+def test_one_hot_names_do_not_clash(spark):
+    from quarry.operators.features import fit_one_hot
+
+    df = spark.createDataFrame([("a b",), ("a-b",), (None,)], "c string")
+    got = fit_one_hot(df, ["c"]).transform(df)
+    assert len(got.columns) == 2 and sorted(map(tuple, got.collect())) == [(0, 0), (0, 1), (1, 0)]

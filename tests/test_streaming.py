@@ -43,6 +43,19 @@ def test_incremental_rerun_adds_nothing(spark):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     stage, target, ck = (scratch_path(spark, n) for n in ("inc-s", "inc-t", "inc-c"))
     o.write.parquet(f"{stage}/b1")
-    n1 = load_increment(spark, f"{stage}/*", o.schema, target, ck, key=["o_orderkey"], event_time="o_orderdate")
-    n2 = load_increment(spark, f"{stage}/*", o.schema, target, ck, key=["o_orderkey"], event_time="o_orderdate")
+    n1 = load_increment(spark, f"{stage}/*", o.schema, target, ck, key=["o_orderkey"])
+    n2 = load_increment(spark, f"{stage}/*", o.schema, target, ck, key=["o_orderkey"])
     assert n1 == n2 == o.count()
+
+
+def test_incremental_load_keeps_late_rows_and_null_keys(spark):
+    stage, target, ck = (scratch_path(spark, n) for n in ("l-s", "l-t", "l-c"))
+    schema = "id bigint, t timestamp_ntz, v string"
+    day = lambda d: dt.datetime(2024, 1, d)
+    spark.createDataFrame([(1, day(10), "a"), (None, day(10), "n")], schema).coalesce(1).write.parquet(f"{stage}/b1")
+    load_increment(spark, f"{stage}/*", schema, target, ck, key=["id"])
+    spark.createDataFrame([(2, day(1), "late"), (3, None, "c"), (1, day(11), "again"), (None, day(10), "n"), (None, day(12), "m")],
+                          schema).coalesce(1).write.parquet(f"{stage}/b2")
+    assert load_increment(spark, f"{stage}/*", schema, target, ck, key=["id"]) == 5
+    got = sorted((str(r.id), r.v) for r in spark.read.schema(schema).parquet(target).collect())
+    assert got == [("1", "a"), ("2", "late"), ("3", "c"), ("None", "m"), ("None", "n")]
