@@ -1,26 +1,27 @@
-"""Exact nearest-neighbour work without emitting pairs (KNN, SMOTE,
-exact silhouette; ops 13.14, 14.6, 14.20).
-
-The reference set is cut into blocks whose row count is checked against
-``block_rows``; each block is broadcast (a proven size bound) and every
-partition of the query side scores its rows against the block with NumPy
-inside ``mapInPandas`` (Arrow batches, no per-row Python). Per block a
-query keeps only its ``k`` best candidates, so what is shuffled is at
-most ``blocks x k`` rows per query, and no (query, reference) pair table
-ever exists. More data -> more blocks, never a larger broadcast.
+"""Exact nearest-neighbour work in blocks (KNN, SMOTE, exact silhouette; ops
+13.14, 14.6, 14.20).
+
+Reference rows fall into the cells of a bounded number of pivots, and a cell
+into blocks of a bounded number of rows; queries of a cell form blocks too. A
+join on the cell brings a query block to the reference blocks it needs, and
+NumPy scores one block against another, so a task holds two blocks, whatever
+the size of a cell. A query first searches its own cell; its k-th distance
+there, with the triangle inequality, tells which other cells can hold a nearer
+row, and only those are searched. Nothing but the pivots passes the driver.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_BLOCK_ROWS = 100_000
+DEFAULT_BLOCK_ROWS = 2048
+MAX_PIVOTS = 256
 
 
 def as_vector(df: DataFrame, features, name: str = "__x") -> DataFrame:
@@ -30,21 +31,79 @@ def as_vector(df: DataFrame, features, name: str = "__x") -> DataFrame:
     return df.withColumn(name, F.array(*[F.col(c).cast("double") for c in features]))
 
 
-def _blocks(ref: DataFrame, block_rows: int):
-    n = ref.count()
-    nb = max(1, math.ceil(n / block_rows))
-    if nb == 1:
-        yield ref
-        return
-    b = ref.withColumn("__blk", F.pmod(F.xxhash64(*[F.col(c) for c in ref.columns if c != "__x"]), F.lit(nb)))
-    for i in range(nb):
-        yield b.filter(F.col("__blk") == i).drop("__blk")
+def _pivots(ref: DataFrame, n: int) -> np.ndarray:
+    """At most ``MAX_PIVOTS`` reference rows in a seeded order."""
+    want = max(1, min(MAX_PIVOTS, int(math.sqrt(n / 16))))
+    rows = ref.select(F.xxhash64(F.lit(5), "__x").alias("u"), "__x").dropDuplicates(["u"]).orderBy("u").limit(want).collect()
+    return np.array([r["__x"] for r in rows], dtype=np.float64)
+
+
+def _to_pivots(x: pd.Series, pivots: np.ndarray) -> np.ndarray:
+    v = np.array(x.tolist(), dtype=np.float64).reshape(len(x), -1)
+    return np.sqrt(np.stack([((v - p) ** 2).sum(axis=1) for p in pivots], axis=1)) if len(v) else np.zeros((0, len(pivots)))
+
+
+def _nearest_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``df`` with the number of the nearest pivot and the distance to it."""
+    schema = df.schema.simpleString()[len("struct<"):-1] + ",__cell:int,__far:double"
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            d = _to_pivots(pdf["__x"], pivots)
+            yield pdf.assign(__cell=d.argmin(axis=1).astype("int32"), __far=d.min(axis=1))
+
+    return df.mapInPandas(run, schema)
+
+
+def _blocks(df: DataFrame, cell: str, row_id: str, rows: int, name: str) -> DataFrame:
+    """(cell, block) -> one row with the lists of the block's columns; a block
+    holds about ``rows`` rows of one cell."""
+    others = [c for c in df.columns if c != cell]
+    n = df.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / rows).alias("__nb"))
+    cut = df.join(n, cell).withColumn("__b", F.pmod(F.xxhash64(F.lit(3), row_id), F.col("__nb")).cast("int")).drop("__nb")
+    packed = cut.groupBy(cell, "__b").agg(F.collect_list(F.struct(*others)).alias(name))
+    return packed.drop("__b")
+
+
+def _matrix(rows: list) -> np.ndarray:
+    return np.array([r["__x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+
+
+def _score_blocks(pairs: DataFrame, k: int, schema: str, payload: list[str], exclude_self: bool) -> DataFrame:
+    """The k best reference rows per query and block pair, ties to the smaller id."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for q, r in zip(pdf["__q"], pdf["__r"]):
+                qx, rx = _matrix(q), _matrix(r)
+                qid, rid = np.array([x["__qid"] for x in q]), np.array([x["__rid"] for x in r])
+                q2, r2 = (qx * qx).sum(axis=1), (rx * rx).sum(axis=1)
+                d2 = np.maximum(q2[:, None] + r2[None, :] - 2.0 * qx @ rx.T, 0.0)
+                if exclude_self:
+                    d2[qid[:, None] == rid[None, :]] = np.inf
+                kk = min(k, d2.shape[1])
+                # everything up to the k-th distance, with room for the rounding of the expansion
+                cut = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+                cut = cut + 1e-9 * (1.0 + q2 + r2.max())
+                at, which = np.nonzero((d2 <= cut[:, None]) & np.isfinite(d2))
+                dist = np.sqrt(((qx[at] - rx[which]) ** 2).sum(axis=1))
+                order = np.lexsort((rid[which], dist, at))
+                at, which, dist = at[order], which[order], dist[order]
+                first = np.searchsorted(at, at)  # where the query's candidates begin
+                keep = np.arange(len(at)) - first < kk
+                at, which, dist = at[keep], which[keep], dist[keep]
+                out = {"__qid": qid[at], "nn_id": rid[which], "distance": dist}
+                for p in payload:
+                    out[p] = [r[w][p] for w in which]
+                yield pd.DataFrame(out)
+
+    return pairs.mapInPandas(run, schema)
 
 
-def _matrix(block: DataFrame, id_col: str, payload: list[str]):
-    pdf = block.select(id_col, "__x", *payload).toPandas()
-    X = np.array(pdf["__x"].tolist(), dtype=np.float64) if len(pdf) else np.zeros((0, 0))
-    return pdf[id_col].to_numpy(), X, {p: pdf[p].to_numpy() for p in payload}
+def _best(cands: DataFrame, k: int, payload: list[str]) -> DataFrame:
+    """The k best candidates of each query; a query has at most k per block searched."""
+    c = F.slice(F.array_sort(F.collect_list(F.struct("distance", "nn_id", *payload))), 1, k)
+    return cands.groupBy("__qid").agg(c.alias("__c"))
 
 
 def knn(queries: DataFrame, reference: DataFrame, k: int, features, q_id: str, r_id: str,
@@ -56,69 +115,47 @@ def knn(queries: DataFrame, reference: DataFrame, k: int, features, q_id: str, r
     distance go to the smaller reference id. ``exclude_self`` drops the
     reference row whose id equals the query id (neighbours within a set).
     """
+    from quarry.session import cut_lineage
+
     payload = list(payload or [])
-    spark = queries.sparkSession
-    q = as_vector(queries, features).select(F.col(q_id).alias("__qid"), "__x")
-    r = as_vector(reference, features).select(F.col(r_id).alias("__rid"), "__x",
-                                              *[F.col(p).alias(f"__p_{p}") for p in payload])
     pnames = [f"__p_{p}" for p in payload]
-    rtypes = dict(r.dtypes)
-    qtype = dict(q.dtypes)["__qid"]
-    out_schema = (f"__qid {qtype}, nn_rank int, nn_id {rtypes['__rid']}, distance double"
-                  + "".join(f", {p} {rtypes[p]}" for p in pnames))
-    parts = []
-    for block in _blocks(r, block_rows):
-        ids, X, pay = _matrix(block, "__rid", pnames)
-        if len(ids) == 0:
-            continue
-        bc = spark.sparkContext.broadcast((ids, X, pay))
-
-        def score(it, bc=bc):
-            rid, RX, rp = bc.value
-            rsq = (RX * RX).sum(axis=1)
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                QX = np.array(pdf["__x"].tolist(), dtype=np.float64)
-                d2 = np.maximum((QX * QX).sum(axis=1)[:, None] + rsq[None, :] - 2.0 * QX @ RX.T, 0.0)
-                qids = pdf["__qid"].to_numpy()
-                if exclude_self:
-                    d2 = np.where(qids[:, None] == rid[None, :], np.inf, d2)
-                kk = min(k, RX.shape[0])
-                # candidates by the fast expansion, with slack for its rounding;
-                # the final order uses exact differences
-                kc = min(kk + 8, RX.shape[0])
-                rows = []
-                for i in range(len(qids)):
-                    cand = np.argpartition(d2[i], kc - 1)[:kc] if kc < RX.shape[0] else np.arange(RX.shape[0])
-                    # exact distances for the candidates; ties -> smaller id
-                    dd = np.sqrt(((RX[cand] - QX[i]) ** 2).sum(axis=1))
-                    order = np.lexsort((rid[cand], dd))
-                    rank = 0
-                    for j in order:
-                        if not np.isfinite(d2[i, cand[j]]) or rank >= kk:
-                            continue
-                        rank += 1
-                        rows.append((qids[i], rank, rid[cand[j]], float(dd[j]),
-                                     *[rp[p][cand[j]] for p in rp]))
-                yield pd.DataFrame(rows, columns=["__qid", "nn_rank", "nn_id", "distance", *rp.keys()])
-
-        parts.append(q.mapInPandas(score, out_schema))
-    if not parts:
-        return spark.createDataFrame([], out_schema).withColumnRenamed("__qid", q_id)
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    if len(parts) > 1:
-        # keep the k best over blocks: at most blocks*k candidates per query
-        best = allp.groupBy("__qid").agg(F.slice(F.array_sort(F.collect_list(F.struct(
-            "distance", "nn_id", *pnames))), 1, k).alias("__c"))
-        allp = best.select("__qid", F.posexplode("__c").alias("__r", "__s")).select(
-            "__qid", (F.col("__r") + 1).alias("nn_rank"), "__s.nn_id", "__s.distance", *[f"__s.{p}" for p in pnames])
-    out = allp.withColumnRenamed("__qid", q_id)
-    for p in payload:
-        out = out.withColumnRenamed(f"__p_{p}", p)
-    return out
+    q = as_vector(queries, features).select(F.col(q_id).alias("__qid"), "__x")
+    r = as_vector(reference, features).select(F.col(r_id).alias("__rid"), "__x", *[F.col(p).alias(n) for p, n in zip(payload, pnames)])
+    types = dict(r.dtypes)
+    schema = f"__qid {dict(q.dtypes)['__qid']}, nn_id {types['__rid']}, distance double" + "".join(f", {p} {types[p]}" for p in pnames)
+    out_names = [q_id, "nn_rank", "nn_id", "distance", *payload]
+    n = r.count()
+    if n == 0:
+        empty = queries.sparkSession.createDataFrame([], schema)
+        return empty.select("__qid", F.lit(1).alias("nn_rank"), "nn_id", "distance", *pnames).toDF(*out_names)
+    pivots = _pivots(r, n)
+    cells = cut_lineage(_nearest_cell(r, pivots))
+    radius = {x["__cell"]: x["m"] for x in cells.groupBy("__cell").agg(F.max("__far").alias("m")).collect()}  # one row per pivot
+    blocks = cut_lineage(_blocks(cells.drop("__far"), "__cell", "__rid", block_rows, "__r"))
+    reach = np.array([radius.get(c, -np.inf) for c in range(len(pivots))])
+
+    def pairs(rows: DataFrame) -> DataFrame:
+        return _blocks(rows, "__cell", "__qid", max(1, block_rows // 2), "__q").join(blocks, "__cell").select("__q", "__r")
+
+    own = cut_lineage(_nearest_cell(q, pivots).drop("__far"))
+    near = cut_lineage(_score_blocks(pairs(own), k, schema, pnames, exclude_self))
+    bound = _best(near, k, []).select("__qid", F.when(F.size("__c") >= k, F.col("__c")[k - 1]["distance"]).alias("__tau"))
+
+    def others(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            d = _to_pivots(pdf["__x"], pivots)
+            tau = pdf["__tau"].fillna(np.inf).to_numpy()
+            need = (d - reach[None, :]) <= tau[:, None] * (1 + 1e-12) + 1e-12
+            need &= np.isfinite(reach)[None, :]
+            need[np.arange(len(pdf)), pdf["__cell"].to_numpy()] = False
+            i, c = np.nonzero(need)
+            yield pd.DataFrame({"__qid": pdf["__qid"].to_numpy()[i], "__x": pdf["__x"].to_numpy()[i], "__cell": c.astype("int32")})
+
+    more = own.join(bound, "__qid", "left").mapInPandas(others, f"__qid {dict(q.dtypes)['__qid']}, __x array<double>, __cell int")
+    far = _score_blocks(pairs(more), k, schema, pnames, exclude_self)
+    best = _best(near.unionByName(far), k, pnames)
+    return best.select("__qid", F.posexplode("__c").alias("__i", "__s")).select(
+        "__qid", (F.col("__i") + 1).alias("nn_rank"), "__s.nn_id", "__s.distance", *[f"__s.{p}" for p in pnames]).toDF(*out_names)
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int, features, label: str, train_id: str, test_id: str,
@@ -175,56 +212,43 @@ def smote(df: DataFrame, label: str, features: list[str], id_col: str, k: int =
     return base.unionByName(syn, allowMissingColumns=True)
 
 
-def silhouette_exact(df: DataFrame, cluster: str, features, id_col: str,
-                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def silhouette_exact(df: DataFrame, cluster: str, features, id_col: str, block_rows: int = DEFAULT_BLOCK_ROWS,
+                     points: DataFrame | None = None) -> DataFrame:
     """Exact Euclidean silhouette per point (op 14.20; T23: ML's evaluator
-    uses squared distances). Per reference block each query point gets
-    its distance *sums and counts per cluster* (NumPy against the
-    broadcast block), summed over blocks; then
-    ``s = (b - a) / max(a, b)`` with ``a`` the mean distance to its own
-    cluster (excluding itself) and ``b`` the smallest mean distance to
-    another cluster; a singleton cluster scores 0.
+    uses squared distances): ``s = (b - a) / max(a, b)`` with ``a`` the mean
+    distance to its own cluster (excluding itself) and ``b`` the smallest mean
+    distance to another cluster; a singleton cluster scores 0.
+
+    A mean distance needs every row of a cluster, so the cost is points x rows,
+    done block against block: a block of points meets the blocks of each
+    cluster and leaves one distance sum per point. ``points`` (default: all
+    rows) is the stated set to score; on a large table pass a part of it.
 
     Returns ``(id, cluster, a, b, silhouette)``."""
-    spark = df.sparkSession
     x = as_vector(df, features)
-    q = x.select(F.col(id_col).alias("__qid"), F.col(cluster).alias("__qc"), "__x")
-    r = x.select(F.col(id_col).alias("__rid"), "__x", F.col(cluster).alias("__p_c"))
+    p = as_vector(df if points is None else points, features)
+    q = p.select(F.col(id_col).alias("__qid"), F.col(cluster).alias("__qc"), "__x")
+    r = x.select(F.col(id_col).alias("__rid"), F.col(cluster).alias("__c"), "__x")
     ctype = dict(q.dtypes)["__qc"]
-    schema = f"__qid {dict(q.dtypes)['__qid']}, __qc {ctype}, __c {ctype}, __s double, __n long"
-    parts = []
-    for block in _blocks(r, block_rows):
-        ids, X, pay = _matrix(block, "__rid", ["__p_c"])
-        if len(ids) == 0:
-            continue
-        bc = spark.sparkContext.broadcast((ids, X, pay["__p_c"]))
-
-        def score(it, bc=bc):
-            rid, RX, rc = bc.value
-            labs = np.unique(rc)
-            rsq = (RX * RX).sum(axis=1)
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                QX = np.array(pdf["__x"].tolist(), dtype=np.float64)
-                d = np.sqrt(np.maximum((QX * QX).sum(axis=1)[:, None] + rsq[None, :] - 2.0 * QX @ RX.T, 0.0))
-                qids = pdf["__qid"].to_numpy()
-                self_mask = qids[:, None] == rid[None, :]
-                d = np.where(self_mask, 0.0, d)
-                out = []
-                for lab in labs:
-                    m = rc == lab
-                    s = d[:, m].sum(axis=1)
-                    n = m.sum() - self_mask[:, m].sum(axis=1)
-                    out.append(pd.DataFrame({"__qid": qids, "__qc": pdf["__qc"].to_numpy(), "__c": lab,
-                                             "__s": s, "__n": n.astype("int64")}))
-                yield pd.concat(out, ignore_index=True)
-
-        parts.append(q.mapInPandas(score, schema))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    per = allp.groupBy("__qid", "__qc", "__c").agg(F.sum("__s").alias("s"), F.sum("__n").alias("n"))
+    rb = _blocks(r, "__c", "__rid", block_rows, "__r")
+    clusters = r.select("__c").distinct()
+    qb = _blocks(q.withColumn("__k", F.lit(0)), "__k", "__qid", max(1, block_rows // 2), "__q").drop("__k")
+    spread = qb.withColumn("__all", F.lit(0)).join(clusters.withColumn("__all", F.lit(0)), "__all").drop("__all")
+    pairs = spread.join(rb, "__c")
+    schema = f"__qid {dict(q.dtypes)['__qid']}, __qc {ctype}, __c {ctype}, s double, n long"
+
+    def score(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for c, qs, rs in zip(pdf["__c"], pdf["__q"], pdf["__r"]):
+                qx, rx = _matrix(qs), _matrix(rs)
+                d = np.sqrt(np.maximum((qx * qx).sum(axis=1)[:, None] + (rx * rx).sum(axis=1)[None, :] - 2.0 * qx @ rx.T, 0.0))
+                qid, rid = np.array([y["__qid"] for y in qs]), np.array([y["__rid"] for y in rs])
+                me = qid[:, None] == rid[None, :]
+                d[me] = 0.0
+                yield pd.DataFrame({"__qid": qid, "__qc": [y["__qc"] for y in qs], "__c": c, "s": d.sum(axis=1),
+                                    "n": (len(rid) - me.sum(axis=1)).astype("int64")})
+
+    per = pairs.mapInPandas(score, schema).groupBy("__qid", "__qc", "__c").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     mean = F.try_divide(F.col("s"), F.col("n"))
     g = per.groupBy("__qid", "__qc").agg(
         F.max(F.when(F.col("__c") == F.col("__qc"), mean)).alias("a"),
@@ -233,3 +257,8 @@ def silhouette_exact(df: DataFrame, cluster: str, features, id_col: str,
     sil = F.when((F.col("__own_n") == 0) | F.col("b").isNull(), F.lit(0.0)).otherwise(
         (F.col("b") - F.col("a")) / F.greatest(F.col("a"), F.col("b")))
     return g.select(F.col("__qid").alias(id_col), F.col("__qc").alias(cluster), "a", "b", sil.alias("silhouette"))
+
+
+def silhouette_by_cluster(scores: DataFrame, cluster: str) -> DataFrame:
+    """(cluster, n, silhouette): the mean score of each cluster (op 14.20)."""
+    return scores.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))

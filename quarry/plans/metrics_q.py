@@ -227,6 +227,21 @@ def silhouette_embeddings(spark, sf):
     return s.agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
 
 
+@query("silhouette_by_label", """
+with e as (select vec_id, embedding::DOUBLE[] as x, label from embeddings),
+d as (select a.vec_id as q, a.label as qc, b.label as c, list_distance(a.x, b.x) as dist
+      from e a join e b on a.vec_id <> b.vec_id),
+m as (select q, qc, c, avg(dist) as md from d group by 1, 2, 3),
+s as (select q, qc, max(md) filter (where c = qc) as a, min(md) filter (where c <> qc) as b from m group by 1, 2)
+select qc as label, count(*) as n, round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette
+from s group by 1
+""")
+def silhouette_by_label(spark, sf):
+    """14.20 exact Euclidean silhouette per cluster."""
+    s = Nb.silhouette_exact(T(spark, sf, "embeddings"), "label", "embedding", "vec_id")
+    return Nb.silhouette_by_cluster(s, "label").withColumn("silhouette", F.round("silhouette", 6))
+
+
 @query("gaussian_nb_sql", f"""
 with p as ({_PRED_SQL}),
 pri as (select label, count(*) * 1.0 / (select count(*) from p) as prior, avg(score) as mu,

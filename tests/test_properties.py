@@ -355,3 +355,15 @@ def test_one_hot_names_do_not_clash(spark):
     df = spark.createDataFrame([("a b",), ("a-b",), (None,)], "c string")
     got = fit_one_hot(df, ["c"]).transform(df)
     assert len(got.columns) == 2 and sorted(map(tuple, got.collect())) == [(0, 0), (0, 1), (1, 0)]
+
+
+def test_knn_ties_and_cells_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    pts = np.concatenate([np.tile([[1.0, 2.0]], (400, 1)), rng.normal(size=(600, 2)), rng.normal(size=(200, 2)) + 8])
+    ref = spark.createDataFrame([(i, [float(a), float(b)]) for i, (a, b) in enumerate(pts)], "id bigint, v array<double>")
+    qs = np.concatenate([[[1.0, 2.0]], rng.normal(size=(30, 2)) * 4])
+    q = spark.createDataFrame([(i, [float(a), float(b)]) for i, (a, b) in enumerate(qs)], "qid bigint, v array<double>")
+    got = Nb.knn(q, ref, 3, "v", "qid", "id", block_rows=64).toPandas().sort_values(["qid", "nn_rank"])
+    for i, x in enumerate(qs):
+        d = np.sqrt(((pts - x) ** 2).sum(axis=1))
+        assert got[got.qid == i].nn_id.tolist() == np.lexsort((np.arange(len(pts)), d))[:3].tolist()
