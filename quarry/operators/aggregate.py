@@ -86,8 +86,20 @@ def group_size(df: DataFrame, keys, name: str = "n", dropna: bool = True) -> Dat
 
 
 def group_matrix(df: DataFrame, keys, cols, fns=("mean", "median", "min", "max"), dropna: bool = True) -> DataFrame:
-    """Every column x every function, named ``<col>_<fn>`` (op 5.7)."""
-    return group_agg(df, keys, {f"{c}_{fn}": (fn, c) for c in _keys(cols) for fn in fns}, dropna)
+    """Every column x every function, named ``<col>_<fn>`` (op 5.7). The median
+    of a column with more distinct values than a task should map comes from the
+    rank-based exact quantiles instead of a value map per group."""
+    from quarry.operators.joins import join_on_keys
+    from quarry.operators.profile import quantile_methods, quantiles
+
+    keys, cols = _keys(keys), _keys(cols)
+    how = quantile_methods(df, cols, grouped=True) if "median" in fns else {}
+    ranked = [c for c in cols if how.get(c, "map") != "map"]
+    out = group_agg(df, keys, {f"{c}_{fn}": (fn, c) for c in cols for fn in fns if fn != "median" or c not in ranked}, dropna)
+    for c in ranked:
+        q = quantiles(_drop_null_keys(df, keys, dropna), c, [0.5], keys=keys, method="sort")
+        out = join_on_keys(out, q.select(*keys, F.col("value").alias(f"{c}_median")), keys, "left")
+    return out.select(*keys, *[f"{c}_{fn}" for c in cols for fn in fns])
 
 
 def group_rate(df: DataFrame, keys, pred: Column, name: str = "rate_pct", dropna: bool = True) -> DataFrame:
@@ -237,12 +249,13 @@ def trend(df: DataFrame, x: str, y: str, keys=None) -> DataFrame:
 def median_vs_overall(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
     """Per group and column: the group median, the overall median and their
     difference (op 16.6; the original's ``dist_list`` loop). Long output
-    ``(group, column, median, overall_median, diff)``; group medians are
-    one grouped aggregate, the overall medians one global aggregate
-    (scalar subqueries, no join)."""
-    g = df.groupBy(group).agg(*[F.median(F.col(c)).alias(c) for c in cols])
-    overall = df.agg(*[F.median(F.col(c)).alias(c) for c in cols])
-    structs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("median"),
-                        overall.select(c).scalar().alias("overall_median")) for c in cols]
+    ``(group, column, median, overall_median, diff)``; both by the exact method
+    that fits the column's distinct count (:func:`group_matrix`, :func:`quantiles`)."""
+    from quarry.operators.profile import quantiles
+
+    g = group_matrix(df, group, cols, ("median",), dropna=False)
+    overall = {c: quantiles(df, c, [0.5]).select("value").scalar() for c in cols}
+    structs = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_median").alias("median"),
+                        overall[c].alias("overall_median")) for c in cols]
     out = g.select(group, F.explode(F.array(*structs)).alias("s")).select(group, "s.*")
     return out.withColumn("diff", F.col("median") - F.col("overall_median"))

@@ -275,7 +275,12 @@ def assign_folds(df: DataFrame, key, k: int = 5, repeats: int = 1, seed: int = 4
                  method: str = "xxhash64") -> DataFrame:
     """Fold id in [0, k) by a seeded hash of the key; with ``repeats`` > 1
     one row per (row, repeat) with a ``repeat`` column (op 13.16).
-    ``method='md5'``: portable fold = md5 bucket mod k (one repeat)."""
+    ``method='md5'``: portable fold = md5 bucket mod k, of 'repeat:key' when
+    repeated."""
+    if method == "md5" and repeats > 1:
+        r = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+        r = r.withColumn("__rk", F.concat_ws(":", F.col("repeat").cast("string"), *[c.cast("string") for c in _cols(key)]))
+        return r.withColumn(name, md5_bucket("__rk", k).cast("int")).drop("__rk")
     if method == "md5":
         return df.withColumn(name, md5_bucket(key, k).cast("int"))
     if repeats == 1:

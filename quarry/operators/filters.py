@@ -88,13 +88,17 @@ def iqr_filter(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool = Fa
     return fit_iqr(df, cols, k, approx).transform(df)
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42, key: list[str] | None = None) -> DataFrame:
+def sample_n(df: DataFrame, n: int, seed: int = 42, key: list[str] | None = None, method: str = "xxhash64") -> DataFrame:
     """Exactly ``n`` rows chosen by a seeded hash of ``key`` (default: all
     columns) — stable across plans and partitionings, unlike ``rand``.
     Top-n by hash: each task keeps ``n`` candidates, the driver merges
-    ``tasks * n`` rows (``n`` is the feature's own bound)."""
+    ``tasks * n`` rows (``n`` is the feature's own bound). ``method='md5'``
+    orders by md5('seed:key...'), the same in any SQL engine."""
     key = key or df.columns
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
+    if method == "md5":
+        h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    else:
+        h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
     return df.withColumn("__h", h).orderBy("__h", *key).limit(n).drop("__h")
 
 

@@ -242,11 +242,16 @@ def importance(model, names: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+POSITIVE_METRICS = {"recall": "recallByLabel", "precision": "precisionByLabel", "f1": "fMeasureByLabel"}
+
+
 def grid_search(df: DataFrame, cols: list[str], label: str, est, grid: dict, folds: int = 5,
                 metric: str = "accuracy", seed: int = 42, parallelism: int = 4) -> DataFrame:
     """14.17 grid search with K-fold CV; returns one row per parameter
-    combination with mean and std score and its rank (6.3)."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+    combination with mean and std score and its rank (6.3). ``recall``,
+    ``precision``, ``f1`` and ``roc_auc`` are those of the positive class (label
+    1); other names are the multiclass or regression evaluator's own."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     b = ParamGridBuilder()
@@ -255,6 +260,10 @@ def grid_search(df: DataFrame, cols: list[str], label: str, est, grid: dict, fol
     maps = b.build()
     if metric in ("rmse", "mae", "r2", "mse"):
         ev = RegressionEvaluator(labelCol=label, metricName=metric)
+    elif metric in POSITIVE_METRICS:
+        ev = MulticlassClassificationEvaluator(labelCol=label, metricName=POSITIVE_METRICS[metric], metricLabel=1.0)
+    elif metric == "roc_auc":
+        ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     else:
         ev = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     cv = CrossValidator(estimator=est.setLabelCol(label), estimatorParamMaps=maps, evaluator=ev, numFolds=folds,

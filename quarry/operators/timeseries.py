@@ -198,7 +198,8 @@ def _ols_from_gram(G: np.ndarray, n: int, idx: list[int], yi: int):
     """OLS of column ``yi`` on columns ``idx`` from the Gram matrix."""
     A = G[np.ix_(idx, idx)]
     b = G[idx, yi]
-    beta = np.linalg.lstsq(A, b, rcond=None)[0]
+    d = np.sqrt(np.clip(np.diag(A), 1e-300, None))  # columns of very different size: solve the scaled system
+    beta = np.linalg.lstsq(A / np.outer(d, d), b / d, rcond=None)[0] / d
     ssr = float(G[yi, yi] - 2 * beta @ b + beta @ A @ beta)
     ssr = max(ssr, 0.0)
     return beta, ssr, A

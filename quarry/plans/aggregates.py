@@ -467,10 +467,12 @@ def tail_orders(spark, sf):
     return Fi.tail_by(T(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], 5)
 
 
-@query("sample_orders", None)
+@query("sample_orders", """
+select * from orders order by md5('7:' || o_orderkey::varchar), o_orderkey limit 100
+""")
 def sample_orders(spark, sf):
-    """3.7 seeded sample of n rows (property-checked: size, stability)."""
-    return Fi.sample_n(T(spark, sf, "orders"), 100, seed=7, key=["o_orderkey"])
+    """3.7 seeded sample of n rows (portable md5 order)."""
+    return Fi.sample_n(T(spark, sf, "orders"), 100, seed=7, key=["o_orderkey"], method="md5")
 
 
 # ------------------------------------------------------ 6.x / 7.x ranking

@@ -53,13 +53,12 @@ select o_orderkey,
   case when o_orderpriority = '2-HIGH' then 1 else 0 end as p_2_HIGH,
   case when o_orderpriority = '3-MEDIUM' then 1 else 0 end as p_3_MEDIUM,
   0 as p_6_UNSEEN
-from orders where o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM')
+from orders
 """)
 def one_hot_ordered_levels(spark, sf):
-    """13.2 with a declared ordered level list: a level absent from the
-    data still gets its (all-zero) column."""
-    o = T(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")).select(
-        "o_orderkey", F.col("o_orderpriority").alias("p"))
+    """13.2 with a declared ordered level list: a level absent from the data
+    still gets its (all-zero) column, values outside the list get zeros."""
+    o = T(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("p"))
     enc = Fe.fit_one_hot(o, ["p"], levels={"p": ["1-URGENT", "2-HIGH", "3-MEDIUM", "6-UNSEEN"]})
     return enc.transform(o)
 
@@ -137,10 +136,13 @@ def fold_sizes_md5(spark, sf):
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("repeated_fold_sizes", None)
+@query("repeated_fold_sizes", f"""
+select repeat, ({md5b("(repeat::varchar || ':' || o_orderkey::varchar)", 5)})::integer as fold, count(*) as n
+from orders, (select unnest(range(3))::integer as repeat) group by 1, 2
+""")
 def repeated_fold_sizes(spark, sf):
-    """13.16 repeated K-fold (3 x 5) by seeded xxhash64: rows per (repeat, fold)."""
-    f = Fe.assign_folds(T(spark, sf, "orders"), "o_orderkey", k=5, repeats=3, seed=11)
+    """13.16 repeated K-fold (3 x 5, portable md5): rows per (repeat, fold)."""
+    f = Fe.assign_folds(T(spark, sf, "orders"), "o_orderkey", k=5, repeats=3, method="md5")
     return f.groupBy("repeat", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -180,11 +182,14 @@ def pca_customers(spark, sf):
     return Fe.pca(c, ["c_acctbal", "nation"], 2, keep=["c_custkey"])
 
 
-@query("assembled_features", None)
+@query("assembled_features", """
+select l_orderkey, l_linenumber, l_extendedprice as label, l_quantity as f1, l_discount as f2, l_tax as f3 from lineitem
+""")
 def assembled_features(spark, sf):
     """13.10 X/y assembly (vector column, exposed as an array)."""
     from pyspark.ml.functions import vector_to_array
 
     li = T(spark, sf, "lineitem")
     a = Fe.assemble(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", keep=["l_orderkey", "l_linenumber"])
-    return a.withColumn("features", vector_to_array("features"))
+    x = vector_to_array("features")
+    return a.select("l_orderkey", "l_linenumber", F.col(a.columns[-1]).alias("label"), *[x[i].alias(f"f{i + 1}") for i in range(3)])

@@ -26,7 +26,7 @@ select event_type, cast(cast(ts as date) as timestamp) as ts, sum(value) as tota
 @query("resample_hourly_gaps", """
 with a as (
   select event_type, date_trunc('hour', ts) as p, round(sum(value), 2) as total, count(*) as n
-  from events where value > 80 group by 1, 2
+  from events group by 1, 2
 ), b as (select event_type, min(p) as lo, max(p) as hi from a group by 1),
 s as (select event_type, unnest(generate_series(lo, hi, interval 1 hour)) as p from b)
 select s.event_type, s.p as ts, coalesce(a.total, 0) as total, coalesce(a.n, 0) as n
@@ -34,11 +34,25 @@ from s left join a on a.event_type = s.event_type and a.p = s.p
 """)
 def resample_hourly_gaps(spark, sf):
     """15.1 hourly resample with empty periods emitted as 0 (T15)."""
-    e = T(spark, sf, "events").filter(F.col("value") > 80)
+    e = T(spark, sf, "events")
     r = Ts.resample(e, "ts", "hour", {"total": ("sum", "value"), "n": ("count", "value")}, key="event_type")
     return r.withColumn("total", F.round("total", 2))
 
 
+@query("resample_daily_by_user", """
+with a as (
+  select user_id, date_trunc('day', ts) as p, round(sum(value), 2) as total, count(*) as n from events group by 1, 2
+), b as (select user_id, min(p) as lo, max(p) as hi from a group by 1),
+s as (select user_id, unnest(generate_series(lo, hi, interval 1 day)) as p from b)
+select s.user_id, s.p::timestamp as ts, coalesce(a.total, 0) as total, coalesce(a.n, 0) as n
+from s left join a on a.user_id = s.user_id and a.p = s.p
+""")
+def resample_daily_by_user(spark, sf):
+    """15.1 daily resample of every user: most days are gaps (T15)."""
+    r = Ts.resample(T(spark, sf, "events"), "ts", "day", {"total": ("sum", "value"), "n": ("count", "value")}, key="user_id")
+    return r.withColumn("total", F.round("total", 2))
+
+
 @query("resample_monthly_month_end", """
 with a as (
   select o_orderstatus, date_trunc('month', o_orderdate) as p, count(*) as n_orders,
@@ -82,6 +96,40 @@ def acf_daily(spark, sf):
     return a.select("event_type", F.col("lag").cast("int").alias("lag"), r6("acf").alias("acf"))
 
 
+_ACF_SQL = """
+p as (select k, ts, total, row_number() over (partition by k order by ts) as rn from d),
+m as (select k, avg(total) as mu from p group by 1),
+c as (select p.k, p.rn, p.total - m.mu as x from p join m on p.k is not distinct from m.k),
+l as (select a.k, a.rn - b.rn as lag, sum(a.x * b.x) as s from c a join c b
+      on a.k is not distinct from b.k and a.rn - b.rn between 0 and 7 group by 1, 2),
+r as (select l.k, l.lag::integer as lag, l.s / z.s as acf from l join l z on z.k is not distinct from l.k and z.lag = 0)
+"""
+
+
+@query("acf_daily_join", f"""
+with d as (select nullif(event_type, 'click') as k, ts, total from ({_DAILY_SQL})), {_ACF_SQL}
+select k, lag, round(acf, 6) as acf from r
+""")
+def acf_daily_join(spark, sf):
+    """15.3 by position joins, as for series too long for a key window, with a
+    NULL key."""
+    d = daily_series(spark, sf).withColumn("k", F.nullif("event_type", F.lit("click")))
+    a = Ts.acf(d, "k", "ts", "total", 7, strategy="join")
+    return a.select("k", F.col("lag").cast("int").alias("lag"), r6("acf").alias("acf"))
+
+
+@query("pacf_daily_two", f"""
+with d as (select event_type as k, ts, total from ({_DAILY_SQL})), {_ACF_SQL}
+select a.k as event_type, round(a.acf, 6) as pacf1, round((b.acf - a.acf * a.acf) / (1 - a.acf * a.acf), 6) as pacf2
+from r a join r b on a.k = b.k and a.lag = 1 and b.lag = 2
+""")
+def pacf_daily_two(spark, sf):
+    """15.4 the first two partial autocorrelations, which have a closed form."""
+    p = Ts.pacf(daily_series(spark, sf), "event_type", "ts", "total", 2)
+    at = lambda k: F.round(F.max(F.when(F.col("lag") == k, F.col("pacf"))), 6).alias(f"pacf{k}")
+    return p.groupBy("event_type").agg(at(1), at(2))
+
+
 @query("pacf_daily", None)
 def pacf_daily(spark, sf):
     """15.4 partial autocorrelation (Durbin-Levinson on the ACF)."""
@@ -127,18 +175,76 @@ def ar_forecast_daily(spark, sf):
                           seasonal_lags=[7], step="1 day")
 
 
+def _ar1(d: str, steps: int, upto: str = "true") -> str:
+    """SQL: AR(1) by least squares on the rows of ``d`` (k, pos, y) that fulfil
+    ``upto``, and its recursive forecasts ``f`` (k, step, y)."""
+    return f"""
+t as (select * from {d} where {upto}),
+g as (select a.k, regr_slope(a.y, b.y) as b, regr_intercept(a.y, b.y) as a
+      from t a join t b on a.k is not distinct from b.k and b.pos = a.pos - 1 group by 1),
+z as (select k, max(pos) as n, max_by(y, pos) as y from t group by 1),
+f as (select z.k, z.n, s.step, g.a * (1 - power(g.b, s.step)) / (1 - g.b) + power(g.b, s.step) * z.y as y
+      from z join g on z.k is not distinct from g.k, (select unnest(range(1, {steps + 1})) as step) s)
+"""
+
+
+_MONTHS = """
+mo as (select date_trunc('month', o_orderdate)::timestamp as ts, sum(o_totalprice) as y from orders group by 1),
+d as (select 0 as k, ts, y, row_number() over (order by ts) - 1 as pos from mo)
+"""
+
+
+def _months(spark, sf):
+    """Monthly order totals: one series without a key."""
+    return Ts.resample(T(spark, sf, "orders"), "o_orderdate", "month", {"y": ("sum", "o_totalprice")}, month_end=False)
+
+
+@query("ar1_forecast_monthly", f"""
+with {_MONTHS}, {_ar1("d", 6)}
+select step::integer as step, ((select max(ts) from d) + step * interval 1 month)::timestamp as o_orderdate, round(y, 2) as forecast from f
+""")
+def ar1_forecast_monthly(spark, sf):
+    """15.7 forecast of one series without a key, 6 months ahead."""
+    f = Ts.ar_forecast(_months(spark, sf), None, "o_orderdate", "y", p=1, horizon=6, step="1 month")
+    return f.select("step", "o_orderdate", F.round("forecast", 2).alias("forecast"))
+
+
+@query("ar1_holdout_scores", f"""
+with {_MONTHS}, {_ar1("d", 6, "pos < (select count(*) from mo) - 6")},
+j as (select d.y as t, f.y as p from f join d on d.pos = f.n + f.step)
+select round(avg(abs(t - p)), 2) as mae, round(sqrt(avg((t - p) ** 2)), 2) as rmse, round(avg(abs((t - p) / t)) * 100, 6) as mape from j
+""")
+def ar1_holdout_scores(spark, sf):
+    """15.7 / 14.26 the forecast of the last six months against the truth."""
+    from quarry.operators.metrics import reg_metrics
+
+    m = _months(spark, sf)
+    cut = m.select(F.add_months(F.max("o_orderdate").cast("date"), -5)).scalar()
+    f = Ts.ar_forecast(m.filter(F.col("o_orderdate") < cut), None, "o_orderdate", "y", p=1, horizon=6, step="1 month")
+    s = reg_metrics(f.join(m, "o_orderdate"), "y", "forecast")
+    return s.select(F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"), F.round("mape", 6).alias("mape"))
+
+
 @query("ar_order_search", None)
 def ar_order_search(spark, sf):
-    """15.8 best AR order per type by in-sample RMSE."""
+    """15.8 best AR order per type by one-step RMSE on the last fifth."""
     return Ts.ar_select(daily_series(spark, sf), "event_type", "ts", "total", max_p=5)
 
 
-@query("history_with_forecast", None)
+@query("history_with_forecast", f"""
+with h as ({_DAILY_SQL}),
+d as (select event_type as k, ts, total as y, row_number() over (partition by event_type order by ts) - 1 as pos from h),
+{_ar1("d", 5)}
+select event_type, ts, round(total, 2) as total, null::double as forecast from h
+union all
+select f.k, l.ts + f.step * interval 1 day, null, round(f.y, 4) from f join (select k, max(ts) as ts from d group by 1) l on l.k = f.k
+""")
 def history_with_forecast(spark, sf):
     """15.10 forecast attached to the history (8.6 + full join)."""
     hist = daily_series(spark, sf)
     fc = Ts.ar_forecast(hist, "event_type", "ts", "total", p=1, horizon=5, step="1 day")
-    return Ts.attach_forecast(hist, fc.select("event_type", "ts", "forecast"), "event_type", "ts")
+    out = Ts.attach_forecast(hist, fc.select("event_type", "ts", "forecast"), "event_type", "ts")
+    return out.withColumns({"total": F.round("total", 2), "forecast": F.round("forecast", 4)})
 
 
 @query("demand_forecast_hourly", None)
