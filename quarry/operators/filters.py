@@ -56,21 +56,21 @@ def fit_iqr(df: DataFrame, cols: list[str], k: float = 1.5, approx: bool = False
     """Sequential Tukey fences (trap T5): the quartiles of column *i* are
     computed on the rows that survived columns < *i*; fences are inclusive.
 
-    Exact quartiles per column (:func:`quarry.operators.profile.quantiles`:
-    a ``percentile`` map when the distinct count is bounded, the sort-based
-    exact method otherwise); ``approx=True`` uses ``percentile_approx``.
+    Exact quartiles per column by verified sketch brackets
+    (:func:`quarry.operators.profile.exact_quantiles_multi`), or by the
+    ``method`` given; ``approx=True`` uses ``percentile_approx``.
     """
-    from quarry.operators.profile import quantile_methods, quantiles
+    from quarry.operators.profile import exact_quantiles_bracketed, quantiles
 
-    # one distinct-count sketch on the unfiltered input bounds every later
-    # (filtered) pass, so the strategy is chosen once for all columns
-    how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method)
     fences = []
     cur = df
     for c in cols:
-        rows = quantiles(cur, c, [0.25, 0.75], approx=approx,
-                         method=how[c] if how[c] != "approx" else "map").collect()
-        qs = [r["value"] for r in sorted(rows, key=lambda r: r["prob"])] if rows else None
+        if approx or method in ("map", "sort"):
+            rows = quantiles(cur, c, [0.25, 0.75], approx=approx, method="map" if approx else method).collect()
+            qs = [r["value"] for r in sorted(rows, key=lambda r: r["prob"])] if rows else None
+        else:
+            got = exact_quantiles_bracketed(cur, c, [0.25, 0.75])  # three aggregates, whatever the distinct count
+            qs = [got[0.25], got[0.75]]
         if not qs or qs[0] is None:
             fences.append((c, None, None))
             cur = cur.filter(F.lit(False))

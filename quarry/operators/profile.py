@@ -64,62 +64,77 @@ def quantile_methods(df: DataFrame, cols: list[str], method: str = "auto", group
 BRACKET_COLLECT_LIMIT = 200_000
 
 
-def exact_quantiles_bracketed(df: DataFrame, col: str, probs: list[float], accuracy: int = 10_000,
-                              collect_limit: int = BRACKET_COLLECT_LIMIT) -> dict[float, float | None]:
-    """Exact linear-interpolated global quantiles with bounded memory.
-
-    Pass 1: ``count`` and a Greenwald-Khanna sketch (``percentile_approx``)
-    give, for every needed rank r = floor/ceil((n-1)p), values a <= x_(r) <= b
-    (the sketch's rank error is at most n/accuracy; the bracket is widened
-    by 3x that). Pass 2: one aggregate verifies the brackets (count below a,
-    count up to b) and the value at the rank inside is taken by offset and limit. If a
-    bracket still holds more than ``collect_limit`` rows (extreme n or a hot
-    value) the search recurses inside it; each pass is a filtered scan with
-    the range pushed down, never a group held by one task.
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10_000,
+                          collect_limit: int = BRACKET_COLLECT_LIMIT) -> dict[str, dict[float, float | None]]:
+    """Exact linear-interpolated global quantiles of several columns in three
+    aggregates, with bounded memory.
+
+    The first counts and sketches all columns (``percentile_approx``; its rank
+    error is at most n / accuracy), which brackets every rank by two values. The
+    second counts the values below and up to each bracket, which proves it or
+    not. The third sorts the at most ``collect_limit`` values of each bracket
+    and takes the rank inside; only those values reach the driver. A larger
+    bracket (extreme n or a hot value) is searched again inside.
     """
-    x = F.col(col).cast("double")
-    base = df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
-    n = base.count()
-    if n == 0:
-        return {p: None for p in probs}
-    ranks = sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
-    vals = _values_at_ranks(base, ranks, n, accuracy, collect_limit, 0)
+    eps = 3.0 / accuracy
+    xs = {c: F.col(c).cast("double") for c in cols}
+    qs = [q for p in probs for q in (max(0.0, p - eps), min(1.0, p + eps))]
+    row = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                 *[F.percentile_approx(xs[c], qs, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    n = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    bracket = {(c, p): (row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1])
+               for i, c in enumerate(cols) if n[c] for j, p in enumerate(probs)}
+    if not bracket:
+        return {c: {p: None for p in probs} for c in cols}
+    keys = list(bracket)
+    checks = df.agg(*[F.count_if(xs[c] < bracket[c, p][0]).alias(f"lt{k}") for k, (c, p) in enumerate(keys)],
+                    *[F.count_if(xs[c] <= bracket[c, p][1]).alias(f"le{k}") for k, (c, p) in enumerate(keys)]).first()
+    picks, value = [], {}
+    for k, (c, p) in enumerate(keys):
+        (lo, hi), below, upto = bracket[c, p], checks[f"lt{k}"], checks[f"le{k}"]
+        h = (n[c] - 1) * p
+        for r in {math.floor(h), math.ceil(h)}:
+            inside = xs[c].between(lo, hi)
+            if not below <= r < upto:  # the rank lies outside: exact on the whole column
+                value[c, p, r] = _value_at(df.select(xs[c].alias("__x")).filter("__x is not null"), r, n[c], accuracy, collect_limit, 0)
+            elif lo == hi:
+                value[c, p, r] = lo
+            elif upto - below <= collect_limit:
+                picks.append((c, p, r, F.sort_array(F.collect_list(F.when(inside, xs[c])))[r - below]))
+            else:
+                part = df.select(xs[c].alias("__x")).filter(F.col("__x").between(lo, hi))
+                value[c, p, r] = _value_at(part, r - below, upto - below, accuracy, collect_limit, 1)
+    if picks:
+        got = df.agg(*[e.alias(f"v{i}") for i, (*_, e) in enumerate(picks)]).first()
+        value |= {(c, p, r): got[f"v{i}"] for i, (c, p, r, _) in enumerate(picks)}
     out = {}
-    for p in probs:
-        h = (n - 1) * p
-        lo, hi = vals[math.floor(h)], vals[math.ceil(h)]
-        out[p] = lo if lo == hi else lo + (hi - lo) * (h - math.floor(h))
+    for c in cols:
+        out[c] = {}
+        for p in probs:
+            h = (n[c] - 1) * p
+            lo, hi = (value.get((c, p, f(h))) if n[c] else None for f in (math.floor, math.ceil))
+            out[c][p] = lo if lo is None or lo == hi else lo + (hi - lo) * (h - math.floor(h))
     return out
 
 
-def _values_at_ranks(base: DataFrame, ranks: list[int], n: int, accuracy: int, limit: int, depth: int) -> dict:
-    """Value at each 0-based rank of ``__x`` in ``base`` (n rows)."""
-    if n <= limit:
-        return {r: _nth(base, r) for r in ranks}
+def exact_quantiles_bracketed(df: DataFrame, col: str, probs: list[float], accuracy: int = 10_000,
+                              collect_limit: int = BRACKET_COLLECT_LIMIT) -> dict[float, float | None]:
+    """:func:`exact_quantiles_multi` for one column."""
+    return exact_quantiles_multi(df, [col], probs, accuracy, collect_limit)[col]
+
+
+def _value_at(base: DataFrame, r: int, n: int, accuracy: int, limit: int, depth: int) -> float:
+    """Value at the 0-based rank r of ``__x`` in ``base`` (n rows)."""
+    if n <= limit or depth > 6:
+        return _nth(base, r)
     eps = 3.0 / accuracy
-    qs = []
-    for r in ranks:
-        qs += [max(0.0, r / n - eps), min(1.0, (r + 1) / n + eps)]
-    approx = base.agg(F.percentile_approx("__x", qs, accuracy).alias("q")).first()["q"]
-    brackets = [(approx[2 * i], approx[2 * i + 1]) for i in range(len(ranks))]
-    checks = []
-    for i, (a, b) in enumerate(brackets):
-        checks += [F.count_if(F.col("__x") < a).alias(f"lt{i}"), F.count_if(F.col("__x") <= b).alias(f"le{i}")]
-    c = base.agg(*checks).first()
-    out = {}
-    for i, (r, (a, b)) in enumerate(zip(ranks, brackets)):
-        below, upto = c[f"lt{i}"], c[f"le{i}"]
-        if not (below <= r < upto) or depth > 6:
-            # sketch guarantee violated (or runaway): exact on the whole set
-            out[r] = _sorted_rank(base, r)
-        elif a == b:
-            out[r] = a  # every value in the bracket equals a
-        elif upto - below <= limit:
-            out[r] = _nth(base.filter(F.col("__x").between(a, b)), r - below)
-        else:
-            inside = base.filter(F.col("__x").between(a, b))
-            out[r] = _values_at_ranks(inside, [r - below], upto - below, accuracy, limit, depth + 1)[r - below]
-    return out
+    lo, hi = base.agg(F.percentile_approx("__x", [max(0.0, r / n - eps), min(1.0, (r + 1) / n + eps)], accuracy).alias("q")).first()["q"]
+    c = base.agg(F.count_if(F.col("__x") < lo).alias("lt"), F.count_if(F.col("__x") <= hi).alias("le")).first()
+    if not c["lt"] <= r < c["le"]:
+        return _nth(base, r)
+    if lo == hi:
+        return lo
+    return _value_at(base.filter(F.col("__x").between(lo, hi)), r - c["lt"], c["le"] - c["lt"], accuracy, limit, depth + 1)
 
 
 def _nth(base: DataFrame, r: int) -> float:
@@ -127,15 +142,6 @@ def _nth(base: DataFrame, r: int) -> float:
     return base.orderBy("__x").offset(r).limit(1).first()["__x"]
 
 
-def _sorted_rank(base: DataFrame, r: int) -> float:
-    """Exact value at rank r through the sort-based numbering (fallback)."""
-    from quarry.operators.ranking import row_numbers
-
-    rn = row_numbers(base.withColumn("__t", F.monotonically_increasing_id()), ["__x", "__t"], "__g",
-                     start=0, total=False)
-    return rn.filter(F.col("__g") == r).first()["__x"]
-
-
 def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=None) -> DataFrame:
     """Exact linear-interpolated quantiles by rank, ``(keys..., prob, value)``.
 
@@ -191,13 +197,15 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool
     keys = [keys] if isinstance(keys, str) else list(keys or [])
     cols = cols or [c for c in columns_of(df, "numeric") if c not in keys]
     how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method, grouped=bool(keys))
+    global_q = [c for c in cols if how[c] == "bracket" and not keys]
+    exact = exact_quantiles_multi(df, global_q, [0.25, 0.5, 0.75]) if global_q else {}
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
         if how[c] == "bracket" and not keys:
-            v = exact_quantiles_bracketed(df, c, [0.25, 0.5, 0.75])
+            v = exact[c]
             aggs.append(F.array(*[F.lit(v[p]).cast("double") for p in (0.25, 0.5, 0.75)]).alias(f"{c}__q"))
         elif how[c] not in ("sort", "bracket"):
             aggs.append(_q(x, [0.25, 0.5, 0.75], how[c] == "approx").alias(f"{c}__q"))
@@ -337,15 +345,20 @@ def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: b
     from quarry.operators.joins import join_on_keys
 
     by = [by] if isinstance(by, str) else list(by or [])
-    q = None
+    probs = [0.25, 0.5, 0.75]
+    how = {c: "approx" for c in cols} if approx else quantile_methods(df, cols, method, grouped=bool(by))
+    # columns whose value maps are bounded share one aggregate, the others follow one by one
+    shared = [_q(F.col(c), probs, how[c] == "approx").alias(f"{c}__q") for c in cols if how[c] in ("map", "approx")]
+    q = df.groupBy(*by).agg(*shared) if shared else None
+    if not by and (wide := [c for c in cols if how[c] == "bracket"]):
+        v = exact_quantiles_multi(df, wide, probs)
+        lits = {f"{c}__q": F.array(*[F.lit(v[c][p]).cast("double") for p in probs]) for c in wide}
+        q = (df.sparkSession.range(1).drop("id") if q is None else q).withColumns(lits)
     for c in cols:
-        qc = quantiles(df, c, [0.25, 0.5, 0.75], keys=by, approx=approx, method=method)
-        qc = (qc.groupBy(*by) if by else qc.groupBy()).agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("prob", "value"))), lambda s: s["value"]).alias(f"{c}__q"))
-        if q is None:
-            q = qc
-        else:
-            q = join_on_keys(q, qc, by, "left")
+        if how[c] == "sort" or (how[c] == "bracket" and by):
+            qc = exact_quantiles_sorted(df, c, probs, by)
+            qc = qc.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("prob", "value"))), lambda s: s["value"]).alias(f"{c}__q"))
+            q = qc if q is None else join_on_keys(q, qc, by, "left")
     j = join_on_keys(df, q, by, "left")
     aggs = []
     for c in cols:
