@@ -166,14 +166,14 @@ def fit(docs: DataFrame, counts: DataFrame, train_filter: Column, vocab: int, ho
     spark = docs.sparkSession
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     end = counts.filter(F.col("word") == F.lit(END)).select("c").first()
-    top = counts.filter((F.col("word") != F.lit(END)) & (F.octet_length("word") <= HOT_WORD_BYTES)).orderBy(F.desc("c"), "word").limit(hot).collect()
-    lex = Lexicon({bytes(r["word"]): i for i, r in enumerate(top)}, min(vocab, len(top)),
-                  np.array([r["c"] for r in top], dtype=np.int64), end["c"] if end else 0)
+    top = counts.filter((F.col("word") != F.lit(END)) & (F.octet_length("word") <= HOT_WORD_BYTES)).orderBy(F.desc("c"), "word").limit(hot).toArrow()
+    lex = Lexicon({w: i for i, w in enumerate(top.column("word").to_pylist())}, min(vocab, len(top)),
+                  top.column("c").to_numpy().astype(np.int64), end["c"] if end else 0)
     sent = spark.sparkContext.broadcast(lex)
     found = docs.filter(train_filter).select("t").mapInArrow(lambda it: _count_pairs(it, sent.value), "a int, b int, c bigint")
     pairs = np.zeros((lex.vocab + 2, lex.vocab + 2))
-    for r in found.groupBy("a", "b").agg(F.sum("c").alias("c")).collect():  # (VOCAB + 2)^2 rows at most
-        pairs[r["a"], r["b"]] = r["c"]
+    got = found.groupBy("a", "b").agg(F.sum("c").alias("c")).toArrow()  # (VOCAB + 2)^2 rows at most
+    pairs[got.column("a").to_numpy(), got.column("b").to_numpy()] = got.column("c").to_numpy()
     known = int(lex.count[:lex.vocab].sum()) + lex.end_count
     return Model(lex, train_lbl(pairs), tokens, distinct, tokens - known, distinct - lex.vocab - (end is not None))
 
