@@ -60,12 +60,13 @@ def recode(df: DataFrame, col: str, mapping: DataFrame, key: str = "from_value",
            value: str = "to_value", keep_unmatched: bool = True, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Recode ``col`` through a mapping *table* (op 9.6).
 
-    The mapping table is broadcast only when its row count is proven to be
-    under ``max_broadcast_bytes``; otherwise a shuffle join is used.
+    Of several values for a key the smallest is taken. The mapping table is
+    broadcast only when the plan's statistics put it under
+    ``max_broadcast_bytes``; otherwise a shuffle join is used.
     """
     from quarry.operators.joins import broadcast_if_small
 
-    m = mapping.select(F.col(key).alias("__k"), F.col(value).alias("__v")).dropDuplicates(["__k"])
+    m = mapping.groupBy(F.col(key).alias("__k")).agg(F.min(value).alias("__v"))
     out = df.join(broadcast_if_small(m, max_broadcast_bytes), F.col(col) == F.col("__k"), "left")
     newv = F.coalesce(F.col("__v"), F.col(col)) if keep_unmatched else F.col("__v")
     return out.withColumn(col, newv).drop("__k", "__v")

@@ -69,22 +69,23 @@ def gaussian_nb_sql_form(df: DataFrame, label: str, cols: list[str], id_col: str
     variance, the sklearn rule) come from one grouped aggregate (one row
     per class, collected); each row's class log-likelihoods are literal
     expressions and the prediction is their argmax (ties -> smaller
-    class). No join of rows with classes."""
+    class), with its posterior probability. No join of rows with classes."""
     n = df.count()
     eps = var_smoothing * max(df.agg(*[F.var_pop(c).alias(c) for c in cols]).first())
     stats = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"),
                                   *[F.avg(c).alias(f"{c}__mu") for c in cols],
                                   *[F.var_pop(c).alias(f"{c}__var") for c in cols]).orderBy(label).collect()
-    best = None
-    for r in stats:
+    best, every = None, []
+    for i, r in enumerate(stats):
         lp = F.lit(math.log(r["__n"] / n))
         for c in cols:
             v = r[f"{c}__var"] + eps
             lp = lp - 0.5 * math.log(2 * math.pi * v) - F.pow(F.col(c) - F.lit(r[f"{c}__mu"]), 2) / (2 * v)
-        s = F.struct(lp.alias("lp"), F.lit(-r[label] if isinstance(r[label], (int, float)) else 0).alias("tie"),
-                     F.lit(r[label]).alias("cls"))
+        every.append(lp)
+        s = F.struct(lp.alias("lp"), F.lit(-i).alias("tie"), F.lit(r[label]).alias("cls"))
         best = s if best is None else F.greatest(best, s)
-    return df.select(id_col, best["cls"].alias("prediction"))
+    posterior = 1 / sum((F.exp(lp - best["lp"]) for lp in every[1:]), F.exp(every[0] - best["lp"]))
+    return df.select(id_col, best["cls"].alias("prediction"), posterior.alias("probability"))
 
 
 def fit_linear_svc(df, cols, label, C_: float = 1.0, n: int | None = None, max_iter: int = 100):

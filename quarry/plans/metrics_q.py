@@ -248,7 +248,8 @@ pri as (select label, count(*) * 1.0 / (select count(*) from p) as prior, avg(sc
         var_pop(score) + 1e-9 * (select var_pop(score) from p) as var from p group by 1),
 ll as (select p.doc_id, pri.label, ln(pri.prior) - 0.5 * ln(2 * pi() * pri.var) - (p.score - pri.mu) ^ 2 / (2 * pri.var) as lp
        from p, pri)
-select doc_id, arg_max(label, lp) as prediction from ll group by 1
+select doc_id, arg_max(label, lp) as prediction, round(1 / sum(exp(lp - top)), 6) as probability
+from (select *, max(lp) over (partition by doc_id) as top from ll) group by 1
 """)
 def gaussian_nb_sql(spark, sf):
     """14.5 Gaussian naive Bayes in SQL form (priors, per-class mean and
@@ -257,4 +258,4 @@ def gaussian_nb_sql(spark, sf):
     from quarry.operators.models import gaussian_nb_sql_form
 
     p = predictions(spark, sf)
-    return gaussian_nb_sql_form(p, "label", ["score"], "doc_id")
+    return gaussian_nb_sql_form(p, "label", ["score"], "doc_id").withColumn("probability", F.round("probability", 6))

@@ -28,14 +28,23 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",",
-             header: bool = True, decimal_comma: list[str] | None = None) -> DataFrame:
+             header: bool = True, decimal_comma: list[str] | None = None, mode: str = "PERMISSIVE",
+             bad_rows: str | None = None, multi_line: bool = False) -> DataFrame:
     """Header CSV with an explicit schema (never inferSchema in a job).
 
     ``decimal_comma`` names string columns holding numbers like ``"1,5"``;
-    they are converted to doubles (op 1.3).
+    they are converted to doubles (op 1.3). Quotes inside values are doubled. Values
+    with line breaks need ``multi_line``, which reads each file in one task.
+    ``mode='FAILFAST'`` stops at a row that does not
+    fit the schema; ``bad_rows`` names a column that keeps the text of such rows.
     """
-    df = (spark.read.schema(schema).option("header", header).option("sep", sep)
-          .option("mode", "PERMISSIVE").csv(path))
+    r = (spark.read.option("header", header).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
+         .option("mode", mode))
+    if bad_rows:
+        fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+        schema = T.StructType([*fields, T.StructField(bad_rows, T.StringType())])
+        r = r.option("columnNameOfCorruptRecord", bad_rows)
+    df = r.schema(schema).csv(path)
     if decimal_comma:
         df = df.withColumns({c: parse_decimal_comma(F.col(c)) for c in decimal_comma})
     return df
@@ -58,7 +67,7 @@ def write_csv(df: DataFrame, path: str, with_row_id: str | None = None, mode: st
 
         cols = df.columns
         df = row_numbers(df, order=cols, name=with_row_id, start=0).select(with_row_id, *cols)
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 

@@ -61,3 +61,21 @@ def test_jdbc_requires_bounds_for_partitioned_scan(spark):
         jdbc.read_jdbc(spark, "jdbc:none://x", table="t", partition_column="id")
     with pytest.raises(ValueError):
         jdbc.read_jdbc(spark, "jdbc:none://x")
+
+
+def test_csv_quotes_line_breaks_and_bad_rows(spark):
+    import pytest
+
+    from quarry.sources import files
+
+    rows = [(1, 'he said "x, y"'), (2, "two\nlines"), (3, "back\\slash"), (4, "")]
+    path = scratch_path(spark, "csv-odd")
+    files.write_csv(spark.createDataFrame(rows, "a int, b string"), path)
+    got = files.read_csv(spark, path, "a int, b string", multi_line=True).orderBy("a").collect()
+    assert [(r.a, r.b or "") for r in got] == rows
+    bad = scratch_path(spark, "csv-bad")
+    spark.createDataFrame([("a,b",), ("1,x",), ("no,y",)], "value string").coalesce(1).write.text(bad)
+    out = files.read_csv(spark, bad, "a int, b string", bad_rows="bad").cache()
+    assert [r.bad for r in out.collect() if r.bad] == ["no,y"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, bad, "a int, b string", mode="FAILFAST").collect()
