@@ -15,7 +15,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from quarry.session import get_session
 
-    s = get_session("local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+    s = get_session(os.environ.get("TEST_MASTER", "local[4]"), **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quarry-test-"))
     yield s
