@@ -8,10 +8,12 @@ with collection j of the second. So 2m * ROWS minhashes do the work of m * m
 missed with probability ``MISS`` at most.
 
 Documents with equal shingle sets are one node. In a bucket no pairs are
-listed: a leader is compared with the members of other components, links
-are confirmed on the full sets, and the bucket is finished once it lies in
-one component; else the next, four times as many leaders follow, until every
-pair that is not yet connected has been compared.
+listed: a leader is compared with the members of other components, and the
+bucket is finished once it lies in one component; else 16, then 4,096 and more
+leaders follow, until every pair that is not yet connected has been
+compared. The comparison is a join condition on sizes and parity sketches,
+which bound the number of differing shingles from below and so lose no link;
+what passes is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -32,7 +34,11 @@ MISS = 1e-5
 #: shingles hashed at once in a task
 CHUNK = 500_000
 
-SIGNED = "id bigint, n_shingles bigint, sid binary, halves array<bigint>"
+SIGNED = "id bigint, n_shingles bigint, sid binary, halves array<bigint>, odd array<bigint>"
+#: longs of a parity sketch
+SKETCH = 8
+#: bits (as a power of 2) of the filter for the texts that are read again
+BLOOM = 26
 
 
 def collections_for(percent: int) -> int:
@@ -80,6 +86,13 @@ def half_keys(sets: list[np.ndarray], m: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """Bit b tells whether an odd number of elements hash to b. The sketches of
+    two sets differ in no more bits than the sets differ in elements."""
+    odd = np.bincount((s * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - 9)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.RecordBatch]:
     def rows(ids, sets):
         full = [s for s in sets if len(s)]
@@ -87,8 +100,9 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.Reco
         return pa.RecordBatch.from_arrays([
             pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
             pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-            pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-            names=["id", "n_shingles", "sid", "halves"])
+            pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
+            pa.array([parity_sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+            names=["id", "n_shingles", "sid", "halves", "odd"])
 
     for batch in batches:
         texts, ids, sets, size = batch.column(1), [], [], 0
@@ -104,11 +118,31 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.Reco
             yield rows(ids, sets)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _filter_bits(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of ``2 ** BLOOM`` bits over a column ``low``: the words of
+    the bit array with a bit set reach the driver, 8 MB at most for any input."""
+    at = F.explode(F.array(*[F.shiftrightunsigned(F.xxhash64(F.lit(100 + i), "low"), 64 - BLOOM) for i in range(2)])).alias("at")
+    bits = ids.select(at).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+    got = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (BLOOM - 6), dtype=np.int64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return out
+
+
+def _maybe(batch: pa.RecordBatch, bits: np.ndarray) -> np.ndarray:
+    """Rows whose two bits are set (a null id hashes like any value)."""
+    ok = np.ones(len(batch), dtype=bool)
+    for c in (1, 2):
+        at = batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+        ok &= (bits[at >> 6] >> (at & 63)) & 1 != 0
+    return np.flatnonzero(ok)
+
+
+def _sets(batches: Iterator[pa.RecordBatch], k: int, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sids, sets, size = [], [], 0
-        for t in batch.column(0):
-            s = shingle_set((t.as_py() or "").encode(), k)
+        for d in _maybe(batch, bits):
+            s = shingle_set((batch.column(0)[int(d)].as_py() or "").encode(), k)
             if not len(s):
                 continue
             sids.append(xxhash.xxh3_128_digest(s.tobytes()))
@@ -161,14 +195,18 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
     """(nid, root) of the nodes that share a bucket with another one."""
     act = _buckets(nodes, m, scratch)
     weight = act.groupBy("nid").agg(F.sum("n").alias("w"))
-    info = scratch.keep(nodes.select("nid", "sid", "low", F.col("n_shingles").alias("size")).join(weight, "nid"), "candidates")
-    wanted = info.select("low").distinct()
-    texts = docs.join(wanted, docs["id"].eqNullSafe(wanted["low"]), "left_semi").select("t")
-    found = texts.mapInArrow(lambda it: _sets(it, k), "sid binary, set array<bigint>")
+    odd = [f"o{k}" for k in range(SKETCH)]
+    info = nodes.select("nid", "sid", "low", F.col("n_shingles").alias("size"), *[F.col("odd")[k].alias(o) for k, o in enumerate(odd)])
+    info = scratch.keep(info.join(weight, "nid"), "candidates")
+    # the candidates' texts are read again and not shuffled: a filter of fixed size tells most others
+    # apart, the join on the set's hash below does the rest
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(info.select("low")))
+    at = [F.shiftrightunsigned(F.xxhash64(F.lit(100 + i), "id"), 64 - BLOOM).alias(f"b{i}") for i in range(2)]
+    found = docs.select("t", *at).mapInArrow(lambda it: _sets(it, k, bits.value), "sid binary, set array<bigint>")
     sets = found.join(info.select("sid", "nid"), "sid").select("nid", "set").dropDuplicates(["nid"])
     sets = scratch.keep(sets, "sets")
     comp = scratch.keep(info.select("nid", F.col("nid").alias("root")), "roots")
-    act = act.select("key", "nid").join(info.select("nid", "w", "size"), "nid")
+    act = act.select("key", "nid").join(info.select("nid", "w", "size", *odd), "nid")
     leaders, wave = 1, 0
     while True:
         now = act.join(comp, "nid")
@@ -178,10 +216,14 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
             return comp
         # the heaviest member of each of the classes of a bucket leads
         cls = F.pmod(F.xxhash64("nid", F.lit(wave)), F.lit(leaders))
-        top = now.groupBy("key", cls.alias("c")).agg(F.max(F.struct("w", "nid", "size", "root")).alias("l"))
-        top = scratch.keep(top.select("key", F.col("l.nid").alias("lead"), F.col("l.size").alias("lsize"), F.col("l.root").alias("lroot")), f"lead-{wave}")
-        # sizes that differ too much cannot reach the threshold
-        close = F.least("size", "lsize") * 100 >= F.greatest("size", "lsize") * percent
+        top = now.groupBy("key", cls.alias("c")).agg(F.max(F.struct("w", "nid", "size", "root", *odd)).alias("l"))
+        top = scratch.keep(top.select("key", F.col("l.nid").alias("lead"), F.col("l.size").alias("lsize"), F.col("l.root").alias("lroot"),
+                                      *[F.col(f"l.{o}").alias(f"l{o}") for o in odd]), f"lead-{wave}")
+        # no link is possible where the sizes differ too much, nor where more elements differ than
+        # (100 - p) / (100 + p) of both sizes; the sketches give a lower bound of the differing elements
+        differ = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"l{o}"))) for o in odd[1:]), F.bit_count(F.col(odd[0]).bitwiseXOR(F.col(f"l{odd[0]}"))))
+        close = (F.least("size", "lsize") * 100 >= F.greatest("size", "lsize") * percent) & (
+            differ * (100 + percent) <= (F.col("size") + F.col("lsize")) * (100 - percent))
         ask = now.join(top, "key").filter((F.col("root") != F.col("lroot")) & close)
         ask = scratch.keep(ask.select(F.least("nid", "lead").alias("a"), F.greatest("nid", "lead").alias("b")).distinct(), f"ask-{wave}")
         left = ask.join(sets.select(F.col("nid").alias("a"), F.col("set").alias("sa")), "a")
@@ -196,7 +238,7 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
             comp = scratch.keep(comp.join(to, "root", "left").select("nid", F.coalesce("to", "root").alias("root")), f"roots-{wave}")
         # a leader has met all others of its bucket and retires from it
         act = now.drop("root").join(top.select("key", F.col("lead").alias("nid")), ["key", "nid"], "left_anti")
-        leaders, wave = leaders * 4, wave + 1
+        leaders, wave = leaders * (256 if wave else 16), wave + 1
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -215,7 +257,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t"))
     signed = scratch.keep(src.mapInArrow(lambda it: _sign(it, shingle, m), SIGNED), "signed")
     nodes = signed.filter("sid is not null").groupBy("sid").agg(
-        F.min("id").alias("low"), F.max("n_shingles").alias("n_shingles"), F.min("halves").alias("halves"))
+        F.min("id").alias("low"), F.max("n_shingles").alias("n_shingles"), F.min("halves").alias("halves"), F.min("odd").alias("odd"))
     nodes = scratch.keep(with_row_id(nodes, "nid"), "nodes")
     root = _connect(nodes, src, shingle, m, percent, scratch)
     placed = nodes.select("nid", "sid", "low").join(root, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
