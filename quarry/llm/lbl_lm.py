@@ -38,7 +38,9 @@ PRIOR = 100.0
 #: the end of a document; no word holds a line break
 END = b"\n"
 #: distinct words a task holds before it passes their counts on
-FLUSH = 200_000
+FLUSH = 150_000
+#: rare words of the scored documents a task holds before it passes them on
+TAIL_FLUSH = 50_000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -204,7 +206,7 @@ def _score(batches: Iterator[pa.RecordBatch], m: Model) -> Iterator[pa.RecordBat
             rows.append((len(ws) + 1, int(other.sum()), int((ids >= 0).sum()) + (lex.end_count > 0), lm, float(logs.sum()) + end_log,
                          float(logs[other].sum()), [{"word": w, "n": n} for w, n in tail.items()]))
             size += len(tail)
-            if size >= FLUSH:
+            if size >= TAIL_FLUSH:
                 yield flush(batch, begin, rows)
                 rows, size, begin = [], 0, d + 1
         if rows:
