@@ -84,6 +84,42 @@ def op5(spark, sf_dir):
         "doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
+@query("op5_winnow_runs", r"""
+WITH l AS (
+  SELECT doc_id, unnest(range(len(s))) AS line, trim(unnest(s), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
+w AS (
+  SELECT doc_id, line, s, c, last_line, words - c AS ahead FROM (
+    SELECT doc_id, line, s, sum(w) OVER (PARTITION BY doc_id) AS words, line AS last_line,
+           coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS c
+    FROM (SELECT *, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS w FROM l WHERE s <> ''))),
+win AS (
+  SELECT doc_id, line, ahead, max(line) OVER z AS stop, string_agg(s, chr(10)) OVER z AS body
+  FROM w WINDOW z AS (PARTITION BY doc_id ORDER BY c RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION SELECT doc_id, min(line) OVER z, upto, line, string_agg(s, chr(10)) OVER z
+  FROM (SELECT *, c + len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS upto FROM w)
+  WINDOW z AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+f AS (
+  SELECT *, first_value(doc_id) OVER k AS fd, first_value(stop) OVER k AS fs, row_number() OVER k AS n
+  FROM win WHERE ahead >= 50 WINDOW k AS (PARTITION BY body ORDER BY doc_id, line ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+gone AS (
+  SELECT DISTINCT l.doc_id, l.line FROM f JOIN l ON l.doc_id = f.doc_id AND l.line BETWEEN f.line AND f.stop
+  WHERE l.s <> '' AND f.n > 1 AND (f.doc_id <> f.fd OR f.line > f.fs)),
+raw AS (
+  SELECT doc_id, unnest(range(len(s))) AS line, unnest(s) AS s
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))
+SELECT r.doc_id, count(*)::INT AS n_lines, count(g.line)::INT AS n_removed,
+       sha256(coalesce(string_agg(r.s, chr(10) ORDER BY r.line) FILTER (WHERE g.line IS NULL), '')) AS clean_sha256
+FROM raw r LEFT JOIN gone g ON g.doc_id = r.doc_id AND g.line = r.line GROUP BY r.doc_id
+""")
+def op5_runs(spark, sf_dir):
+    """Runs of 50 words or more that stand earlier, deleted to their last line."""
+    from quarry.llm.winnow_lines import winnow
+
+    return winnow(table(spark, sf_dir, "documents"), whole_runs=True).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
 @query("op8_suffix_decontamination", r"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

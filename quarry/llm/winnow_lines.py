@@ -6,6 +6,11 @@ passages of that many words always share a fingerprint. Fingerprints that
 occur once are dropped by a join; around the others the windows are
 compared whole, which extends a match both ways to its full run, and every
 line of a window that occurred earlier is deleted.
+
+A run of equal lines may go on behind its last window by lines that hold fewer
+than ``min_words`` words. ``whole_runs`` adds the windows that end at a line and
+take lines backwards. In a run of ``min_words`` words each line lies in a window
+of one of the two kinds that is inside the run, so their union is all such runs.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def winnow(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+def winnow(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS,
+           whole_runs: bool = False) -> DataFrame:
     """One row per input row: id, n_lines, n_removed, spans, clean_text.
 
     Lines are compared without surrounding blanks; blank lines take no part
@@ -31,6 +37,8 @@ def winnow(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_
     two overlap in one document. Every deleted line therefore still stands
     earlier. Null text is empty with one blank line, and stays as empty text; no text
     is cut. ``spans`` lists the deleted line numbers as [first, last], from 0.
+    With ``whole_runs`` every line is deleted that lies in a run of ``min_words``
+    words or more that stands earlier, also the end of a run behind its last window.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "winnow")
@@ -47,8 +55,20 @@ def winnow(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_
     ahead = by_doc.orderBy("c").rangeBetween(Window.currentRow, min_words - 1)
     win = lines.withColumns({"fp": F.min("h1").over(ahead), "end": F.max("line").over(ahead),
                              "l1": F.collect_list("h1").over(ahead), "l2": F.collect_list("h2").over(ahead)})
-    win = win.filter(F.col("all") - F.col("c") >= min_words)
-    win = scratch.keep(win.select("rid", "id", "line", "end", "fp", F.xxhash64("l1").alias("k1"), F.xxhash64("l2").alias("k2")), "windows")
+    if whole_runs:  # the same from the end: those of the window that ends here have their own end in (to - min_words, to]
+        back = by_doc.orderBy("to").rangeBetween(1 - min_words, Window.currentRow)
+        win = win.withColumn("to", F.col("c") + F.col("w")).withColumns({
+            "b_line": F.min("line").over(back), "b_c": F.min("c").over(back), "b_fp": F.min("h1").over(back),
+            "b1": F.collect_list("h1").over(back), "b2": F.collect_list("h2").over(back)})
+        # a window that does not reach min_words without this line starts a window of the first kind, which is the same
+        forward = F.when(F.col("all") - F.col("c") >= min_words, F.struct("line", "end", "fp", F.xxhash64("l1").alias("k1"), F.xxhash64("l2").alias("k2")))
+        backward = F.when(F.col("c") - F.col("b_c") >= min_words, F.struct(
+            F.col("b_line").alias("line"), F.col("line").alias("end"), F.col("b_fp").alias("fp"), F.xxhash64("b1").alias("k1"), F.xxhash64("b2").alias("k2")))
+        win = win.select("rid", "id", F.explode(F.array_compact(F.array(forward, backward))).alias("x")).select("rid", "id", "x.*")
+    else:
+        win = win.filter(F.col("all") - F.col("c") >= min_words)
+        win = win.select("rid", "id", "line", "end", "fp", F.xxhash64("l1").alias("k1"), F.xxhash64("l2").alias("k2"))
+    win = scratch.keep(win, "windows")
 
     at = F.struct(F.col("rid"), F.col("line"))
     seen = win.groupBy("fp").agg(F.min(at).alias("a"), F.max(at).alias("z")).filter("a <> z").select("fp")

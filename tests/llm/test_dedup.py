@@ -103,6 +103,48 @@ def test_winnow(spark):
     assert sum(r.n_removed for r in got) > 100
 
 
+def brute_runs(rows, least):
+    """Every run of ``least`` words, not only the windows, against its first place."""
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
+    first, gone = {}, defaultdict(set)
+    for k in order:
+        seq = [(n, s.strip(" \t\n\x0b\x0c\r")) for n, s in enumerate((rows[k][1] or "").split("\n"))]
+        seq = [(n, s, len(s.encode().split())) for n, s in seq if s]
+        for a in range(len(seq)):
+            for z in range(a + 1, len(seq) + 1):
+                if sum(w for _, _, w in seq[a:z]) >= least:
+                    f = first.setdefault(tuple(s for _, s, _ in seq[a:z]), (k, seq[a][0], seq[z - 1][0]))
+                    if f[0] != k or seq[a][0] > f[2]:
+                        gone[k] |= {n for n, _, _ in seq[a:z]}
+    out = []
+    for k, (i, t, *_) in enumerate(rows):
+        ls = (t or "").split("\n")
+        out.append((i, len(ls), len(gone[k]), "\n".join(s for n, s in enumerate(ls) if n not in gone[k])))
+    return sorted(out, key=str)
+
+
+def test_winnow_whole_runs(spark):
+    rnd = random.Random(12)
+    line = lambda n: " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 3) for _ in range(n))
+    run = [line(60), line(10), line(10)]
+    got = winnow(docs_frame(spark, [(1, "\n".join(run), "s"), (2, "\n".join([*run, line(70)]), "s"), (3, "\n".join(run), "s")]),
+                 whole_runs=True).collect()
+    assert {r.doc_id: [tuple(x) for x in r.spans] for r in got} == {1: [], 2: [(0, 2)], 3: [(0, 2)]}
+    shared, rows = [line(rnd.randint(1, 12)) for _ in range(14)], []
+    for k in range(50):
+        body = [line(rnd.randint(0, 12)) for _ in range(rnd.randint(0, 5))]
+        a = rnd.randint(0, 9)
+        body[len(body) // 2:len(body) // 2] = shared[a:a + rnd.randint(2, 8)]
+        if k % 9 == 0:
+            body += ["again and again"] * rnd.randint(5, 12)
+        rows.append((k, "\n".join(body), "s"))
+    rows += [(3, None, "s"), (None, "\n".join(shared), "s"), (8, "\n".join(shared), "s")]
+    got = winnow(docs_frame(spark, rows), min_words=10, whole_runs=True).collect()
+    got = sorted([(r.doc_id, r.n_lines, r.n_removed, r.clean_text) for r in got], key=str)
+    assert got == brute_runs(rows, 10)
+    assert sum(r[2] for r in got) > sum(r[2] for r in brute_winnow(rows, 10))
+
+
 def test_winnow_hostile(spark):
     rows = hostile()
     got = winnow(docs_frame(spark, rows)).collect()
