@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import WORD, Scratch, running_totals, text_of, with_row_id
 
-#: documents next in order that may close a gap, per size class
-SPARE = 4
-
 
 def water_fill(total: float, weights: list[float], caps: list[float]) -> list[float]:
     """Shares of ``total`` by weight; none above its cap, the excess reshared
@@ -100,6 +97,45 @@ def min_cost_flow(patterns: list[tuple[int, list[int]]], quotas: list[int], max_
     return [sum(x.values()) for x in sent]
 
 
+def _select(run: DataFrame, strata: list, rest: dict[str, int]) -> tuple[dict[tuple[str, int], int], list[int]]:
+    """Word quotas of the prefixes per (pattern, class) and the single documents
+    that make up ``rest`` words per pattern.
+
+    From large classes to small, a class gets its share, by words, of what is
+    still open. If more stays open than the smaller classes hold, one document
+    beyond the prefix follows: the next in order, or the largest that fits.
+    """
+    spark = run.sparkSession
+    words = {(r["pattern"], r["cls"]): r["words"] for r in strata if r["cls"] is not None}
+    left, below = dict(rest), dict.fromkeys(rest, 0)
+    for (p, _), w in words.items():
+        below[p] += w
+    quota, extra = {}, []
+    for cls in sorted({c for _, c in words}, reverse=True):
+        here = {p: w for (p, c), w in words.items() if c == cls}
+        for p, w in here.items():
+            quota[p, cls] = min(w, left[p] * w // below[p])
+            below[p] -= w
+        # the share is rounded up where the smaller classes could not hold the rest
+        quota |= {(p, cls): min(w, max(quota[p, cls], left[p] - below[p])) for p, w in here.items()}
+        part = run.filter(F.col("cls") == cls)
+        plan = spark.createDataFrame([(p, quota[p, cls]) for p in here if quota[p, cls]], "pattern string, quota bigint")
+        upto = F.col("cum") + F.col("size")
+        got = {r["pattern"]: (r["w"], r["k"]) for r in part.join(F.broadcast(plan), "pattern").filter(upto <= F.col("quota"))
+               .groupBy("pattern").agg(F.max(upto).alias("w"), F.count(F.lit(1)).alias("k")).collect()}
+        for p in here:
+            left[p] -= got.get(p, (0, 0))[0]
+        short = [(p, got.get(p, (0, 0))[1], left[p]) for p in here if left[p] > below[p]]
+        if short:
+            cut = F.broadcast(spark.createDataFrame(short, "pattern string, k bigint, open bigint"))
+            fits = part.join(cut, "pattern").filter((F.col("n") >= F.col("k")) & (F.col("size") <= F.col("open")))
+            best = F.max(F.struct((F.col("n") == F.col("k")).alias("next"), "size", (-F.col("n")).alias("m"), "rid")).alias("b")
+            for r in fits.groupBy("pattern").agg(best).collect():
+                left[r["pattern"]] -= r["b"]["size"]
+                extra.append(r["b"]["rid"])
+    return quota, extra
+
+
 def mix_sources(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id", **how) -> DataFrame:
     """One row per input row: id, sources, size, targets, taken, copies; see
     :func:`_mixed` for the rule and its parameters. Other columns are not read."""
@@ -127,9 +163,11 @@ def _mixed(docs: DataFrame, source_col: str, text_col: str, id_col: str, carry:
     source_size, target) of the row's sources; ``taken`` is ``copies`` times
     ``size``, with at most ``max_repeat`` copies.
 
-    The selection is seeded by id, stratified by size class, and its gap is
-    closed with smaller documents, so a source's words end within about the
-    smallest documents of its target. Repeated rows are rows of their own;
+    The selection is seeded by id and stratified by size class, from large
+    classes to small; what a class leaves open goes to the smaller classes, and
+    what these cannot hold is closed by one more document of the class. So no
+    document left out fits into the gap that a pattern's selection leaves to
+    its share. Repeated rows are rows of their own;
     rows with size 0 and all rows of an empty corpus take nothing.
     """
     spark = docs.sparkSession
@@ -162,30 +200,16 @@ def _mixed(docs: DataFrame, source_col: str, text_col: str, id_col: str, carry:
 
     copies = {p: f // size_of[p] if size_of[p] else 0 for p, f in zip(names, flow)}
     rest = {p: f - copies[p] * size_of[p] for p, f in zip(names, flow)}
-    quota = {(r["pattern"], r["cls"]): rest[r["pattern"]] * r["words"] // size_of[r["pattern"]]
-             for r in strata if r["cls"] is not None}
-    plan = spark.createDataFrame([(p, c, q) for (p, c), q in quota.items()], "pattern string, cls int, quota bigint")
     rows = sum(r["rows"] for r in strata)
     order = base.filter("size > 0").select("rid", "pattern", "size", cls.alias("cls"), F.lit(1).cast("bigint").alias("one"),
                                            F.xxhash64(F.lit(seed), F.coalesce("id", F.col("rid"))).alias("u"))
     run = running_totals(order, ["pattern", "cls"], "u", {"cum": "size", "n": "one"}, rows)
     run = scratch.keep(run.select("rid", "pattern", "cls", "size", "cum", "n"), "order")
-    run = run.join(F.broadcast(plan), ["pattern", "cls"])
-    inside = F.col("cum") + F.col("size") <= F.col("quota")
-    got = {k: (0, 0) for k in quota}
-    for r in run.filter(inside).groupBy("pattern", "cls").agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("k")).collect():
-        got[r["pattern"], r["cls"]] = (r["w"], r["k"])
-    # close each pattern's gap, from large classes to small, with the next documents in order
-    cut = spark.createDataFrame([(p, c, k) for (p, c), (_, k) in got.items()], "pattern string, cls int, k bigint")
-    spare = run.join(F.broadcast(cut), ["pattern", "cls"]).filter((F.col("n") >= F.col("k")) & (F.col("n") < F.col("k") + SPARE))
-    gap = {p: rest[p] - sum(w for (q, _), (w, _) in got.items() if q == p) for p in names}
-    extra = []
-    for r in sorted(spare.select("rid", "pattern", "cls", "n", "size").collect(), key=lambda r: (r["pattern"], -r["cls"], r["n"])):
-        if r["size"] <= gap[r["pattern"]]:
-            gap[r["pattern"]] -= r["size"]
-            extra.append((r["rid"],))
-    extra = spark.createDataFrame(extra, "rid bigint")
-    more = run.filter(inside).select("rid").unionByName(extra).withColumn("more", F.lit(1))
+    quota, extra = _select(run, strata, rest)
+    plan = spark.createDataFrame([(p, c, q) for (p, c), q in quota.items()], "pattern string, cls int, quota bigint")
+    inside = run.join(F.broadcast(plan), ["pattern", "cls"]).filter(F.col("cum") + F.col("size") <= F.col("quota"))
+    extra = spark.createDataFrame([(x,) for x in extra], "rid bigint")
+    more = inside.select("rid").unionByName(extra).withColumn("more", F.lit(1))
     more = scratch.keep(more, "more")
     kind = "array<struct<source:string,source_size:bigint,target:double>>"
     shares = spark.createDataFrame(

@@ -96,6 +96,29 @@ def test_mix_comes_near_its_targets(spark):
         assert abs(taken[s] - t) <= 0.01 * t + 2
 
 
+@pytest.mark.parametrize("percent", [40, 75, 90])
+def test_mix_meets_targets_beside_a_long_document(spark, percent):
+    rows = [(0, "w " * 10_000, "a")] + [(k, "w " * 10, "a") for k in range(1, 1001)]
+    got = mix_sources(docs_frame(spark, rows), percent=percent).collect()
+    assert sum(r.taken for r in got) == 200 * percent
+
+
+def test_mix_leaves_out_nothing_that_fits(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(k, "w " * (1 + int(rnd.lognormvariate(3, 2)) % 5000), rnd.choice("aaabcdef")) for k in range(600)]
+    for percent in (35, 80):
+        gap, least = {}, defaultdict(lambda: 10**9)
+        got = mix_sources(docs_frame(spark, rows), percent=percent, max_repeat=1).collect()
+        for r in got:
+            s = r.sources[0]
+            gap[s] = gap.get(s, round(r.targets[0].target)) - r.taken
+            if not r.copies:
+                least[s] = min(least[s], r.size)
+        assert all(0 <= g < least[s] or g == 0 for s, g in gap.items())
+
+
 def test_overlapping_sources(spark):
     df = spark.createDataFrame([(k, "a b c d", ["x"] if k < 10 else ["y", "x"] if k < 40 else ["y"]) for k in range(50)] + [(99, "q", [])],
                                "doc_id bigint, text string, source array<string>")
