@@ -2,8 +2,8 @@
 
 A window starts at a line and takes lines until it holds ``min_words``
 words. Its fingerprint is the smallest line hash inside it, so two equal
-passages of that many words always share a fingerprint. Fingerprints that
-occur once are dropped by a join; around the others the windows are
+passages of that many words always share a fingerprint. Fingerprints whose
+line stands at one place only are dropped by a join; around the others the windows are
 compared whole, which extends a match both ways to its full run, and every
 line of a window that occurred earlier is deleted.
 
@@ -27,6 +27,12 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _repeated(win: DataFrame) -> DataFrame:
+    """Fingerprints whose line is the smallest of a window at two places or more."""
+    place = F.struct("rid", "at")
+    return win.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a <> z").select("fp")
+
+
 def winnow(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS,
            whole_runs: bool = False) -> DataFrame:
     """One row per input row: id, n_lines, n_removed, spans, clean_text.
@@ -53,12 +59,13 @@ def winnow(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_
     lines = lines.withColumns({"c": F.coalesce(F.sum("w").over(run), F.lit(0).cast("bigint")), "all": F.sum("w").over(by_doc)})
     # every line has a word, so c rises strictly: the lines of the window that starts here have c in [c, c + min_words)
     ahead = by_doc.orderBy("c").rangeBetween(Window.currentRow, min_words - 1)
-    win = lines.withColumns({"fp": F.min("h1").over(ahead), "end": F.max("line").over(ahead),
+    low = F.min(F.struct("h1", "line"))  # the fingerprint and its place, the first of equal lines
+    win = lines.withColumns({"fp": low.over(ahead), "end": F.max("line").over(ahead),
                              "l1": F.collect_list("h1").over(ahead), "l2": F.collect_list("h2").over(ahead)})
     if whole_runs:  # the same from the end: those of the window that ends here have their own end in (to - min_words, to]
         back = by_doc.orderBy("to").rangeBetween(1 - min_words, Window.currentRow)
         win = win.withColumn("to", F.col("c") + F.col("w")).withColumns({
-            "b_line": F.min("line").over(back), "b_c": F.min("c").over(back), "b_fp": F.min("h1").over(back),
+            "b_line": F.min("line").over(back), "b_c": F.min("c").over(back), "b_fp": low.over(back),
             "b1": F.collect_list("h1").over(back), "b2": F.collect_list("h2").over(back)})
         # a window that does not reach min_words without this line starts a window of the first kind, which is the same
         forward = F.when(F.col("all") - F.col("c") >= min_words, F.struct("line", "end", "fp", F.xxhash64("l1").alias("k1"), F.xxhash64("l2").alias("k2")))
@@ -68,12 +75,10 @@ def winnow(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_
     else:
         win = win.filter(F.col("all") - F.col("c") >= min_words)
         win = win.select("rid", "id", "line", "end", "fp", F.xxhash64("l1").alias("k1"), F.xxhash64("l2").alias("k2"))
-    win = scratch.keep(win, "windows")
-
-    at = F.struct(F.col("rid"), F.col("line"))
-    seen = win.groupBy("fp").agg(F.min(at).alias("a"), F.max(at).alias("z")).filter("a <> z").select("fp")
+    win = scratch.keep(win.withColumns({"fp": F.col("fp.h1"), "at": F.col("fp.line")}), "windows")
+    seen = _repeated(win)
     seen = scratch.keep(seen, "fingerprints")
-    near = scratch.keep(win.join(seen, "fp", "left_semi").drop("fp"), "seeded")
+    near = scratch.keep(win.join(seen, "fp", "left_semi").drop("fp", "at"), "seeded")
     scratch.drop(win)
     first = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "rid", "line", "end")).alias("f")
     firsts = scratch.keep(near.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "first")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from frames import docs_frame, hostile, split_words, strip_blank
 from quarry.llm.block_names import exact_dedup, wide_key
 from quarry.llm.tensor_minhash import collections_for, near_dedup, near_duplicates, parity_sketch, shingle_set
-from quarry.llm.winnow_lines import winnow
+from quarry.llm.winnow_lines import _repeated, winnow
 
 
 def brute_exact(rows):
@@ -145,6 +145,13 @@ def test_winnow_whole_runs(spark):
     assert sum(r[2] for r in got) > sum(r[2] for r in brute_winnow(rows, 10))
 
 
+def test_fingerprints_are_counted_by_place(spark):
+    """Windows that share one line are one place of it."""
+    rows = [(0, 0, 5, 1), (0, 1, 5, 1), (0, 2, 6, 3), (1, 0, 7, 0), (1, 4, 7, 5), (2, 0, 6, 3)]
+    win = spark.createDataFrame(rows, "rid bigint, line int, fp bigint, at int")
+    assert sorted(r.fp for r in _repeated(win).collect()) == [6, 7]
+
+
 def test_winnow_hostile(spark):
     rows = hostile()
     got = winnow(docs_frame(spark, rows)).collect()
