@@ -4,8 +4,9 @@ Linked documents (equal texts, or equal values of a link column) start on
 hashed shards. In each round a join with the bytes per (group, shard) gives
 every document the shard that holds most of its group; documents move there
 in a seeded order as far as the shard's free capacity reaches, so a group
-larger than a shard fills one shard after the other. Documents without a
-link then level the shards: size class by size class, from large to small,
+larger than a shard fills one shard after the other. Groups of at most half a
+shard that are still split after the rounds are gathered into one unit each.
+These and the documents without a link then level the shards: size class by size class, from large to small,
 each class is dealt out so that the totals come out even.
 
 The driver holds tables of shards and of (shard, size class) only.
@@ -136,26 +137,34 @@ def shard_documents(docs: DataFrame, shards: int = 24, text_col: str = "text", i
     linked = scratch.keep(_propagate(linked, shards, capacity, rounds, scratch).select("rid", "g", "size", "shard"), "linked")
     loads = {r["shard"]: r["b"] for r in linked.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
     sand = split.filter("linked is null").select("rid", "size")
+    group = linked.groupBy("g").agg(F.sum("size").alias("b"), F.min("shard").alias("s"), F.max("shard").alias("z"), F.min("rid").alias("unit"))
+    group = scratch.keep(group.withColumns({"small": F.col("b") <= capacity / 2, "torn": (F.col("b") <= capacity / 2) & (F.col("s") != F.col("z"))}), "group")
+    # small groups that are still split leave all their shards and are dealt out as one unit
+    torn = group.filter("torn").select("g", F.col("unit").alias("rid"), F.col("b").alias("size"))
+    left = linked.join(torn.select("g"), "g").groupBy("shard").agg(F.sum("size").alias("b")).collect()
+    for r in left:
+        loads[r["shard"]] -= r["b"]
+    sand = sand.unionByName(torn.select("rid", "size"))
+    out = torn.select("rid", "size")
     over = {s: b - capacity for s, b in loads.items() if b > capacity}
     if over:
-        # whole groups leave a shard that is too full, then rows of groups that are larger than a shard
-        # can hold; they are dealt out like single rows
-        group = linked.groupBy("g").agg(F.sum("size").alias("b"), F.min("shard").alias("s"), F.max("shard").alias("z"), F.min("rid").alias("unit"))
-        group = scratch.keep(group.withColumn("whole", (F.col("s") == F.col("z")) & (F.col("b") <= capacity / 2)), "whole")
+        # whole groups leave a shard that is too full, then rows of groups that are larger than half a
+        # shard; they are dealt out like single rows
         half = F.shiftright(F.xxhash64("rid"), 1)
-        units = group.filter("whole").select("s", F.col("unit").alias("rid"), F.col("b").alias("size")).withColumn("u", half - F.lit(2**62))
-        parts = linked.join(group.filter("not whole").select("g"), "g").select(F.col("shard").alias("s"), "rid", "size").withColumn("u", half + F.lit(2**62))
+        units = group.filter("small and not torn").select("s", F.col("unit").alias("rid"), F.col("b").alias("size")).withColumn("u", half - F.lit(2**62))
+        parts = linked.join(group.filter("not small").select("g"), "g").select(F.col("shard").alias("s"), "rid", "size").withColumn("u", half + F.lit(2**62))
         excess = F.create_map(*[F.lit(x) for s, b in over.items() for x in (s, float(b))])
-        out = units.unionByName(parts).filter(F.col("s").isin(list(over)))
-        out = running_totals(out, ["s"], "u", {"cum": "size"}, rows).filter(F.col("cum") < F.element_at(excess, F.col("s")))
-        out = scratch.keep(out.select("s", "rid", "size"), "out")
-        for r in out.groupBy("s").agg(F.sum("size").alias("b")).collect():
+        extra = units.unionByName(parts).filter(F.col("s").isin(list(over)))
+        extra = running_totals(extra, ["s"], "u", {"cum": "size"}, rows).filter(F.col("cum") < F.element_at(excess, F.col("s")))
+        extra = scratch.keep(extra.select("s", "rid", "size"), "out")
+        for r in extra.groupBy("s").agg(F.sum("size").alias("b")).collect():
             loads[r["s"]] -= r["b"]
-        sand = sand.unionByName(out.select("rid", "size"))
+        sand = sand.unionByName(extra.select("rid", "size"))
+        out = out.unionByName(extra.select("rid", "size"))
     single = _level(sand, [loads.get(s, 0) for s in range(shards)], rows, scratch)
-    if over:
+    if over or left:
         single = scratch.keep(single, "dealt")
-        follow = linked.join(group.filter("whole").select("g", "unit"), "g", "left").select("rid", "shard", F.coalesce("unit", "rid").alias("unit"))
+        follow = linked.join(group.filter("small").select("g", "unit"), "g", "left").select("rid", "shard", F.coalesce("unit", "rid").alias("unit"))
         dealt = single.select(F.col("rid").alias("unit"), F.col("shard").alias("to"))
         linked = follow.join(dealt, "unit", "left").select("rid", F.coalesce("to", "shard").alias("shard"))
         single = single.join(out.select("rid"), "rid", "left_anti")

@@ -206,3 +206,25 @@ def test_shards_of_linked_rows_only(spark):
     mean = sum(load.values()) / 8
     assert max(load.values()) <= 1.05 * mean
     assert sum(len(s) == 1 for s in where.values()) >= 0.9 * len(where)
+
+
+@pytest.mark.parametrize("rounds", [0, 2, 12])
+def test_small_groups_stay_whole(spark, rounds):
+    """No group of at most half a shard is split, however early propagation ends."""
+    import random
+
+    rnd = random.Random(10)
+    rows = [(k, f"{k // 4} " * (1 + k // 4 * 37 % 400), "s") for k in range(400)]
+    rows += [(1000 + k, "large text " * 20, "s") for k in range(600)]
+    rows += [(3000 + k, "x" * int(rnd.lognormvariate(5, 1)) + str(k), "s") for k in range(400)]
+    got = shard_documents(docs_frame(spark, rows), 8, rounds=rounds).collect()
+    check_shards(rows, got, 8)
+    text, load, where, size = {i: t for i, t, *_ in rows}, defaultdict(int), defaultdict(set), defaultdict(int)
+    for r in got:
+        load[r.shard] += r.size
+        where[text[r.doc_id]].add(r.shard)
+        size[text[r.doc_id]] += r.size
+    mean = sum(load.values()) / 8
+    small = [t for t in where if size[t] <= mean / 2]
+    assert len(small) == 500 and all(len(where[t]) == 1 for t in small)
+    assert max(load.values()) <= 1.05 * mean
