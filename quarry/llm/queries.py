@@ -255,3 +255,40 @@ def op10(spark, sf_dir):
     from quarry.llm.lbl_lm import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+#: unsigned crc32 of the UTF-8 bytes of a string, bit by bit
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(range(1, 1 + octet_length(encode({0}))),
+  lambda i: [('0x' || substr(hex({0}), (2 * i - 1)::INT, 2))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, v: xor(xor(a, v) >> 1, 3988292384 * (xor(a, v) & 1))))"""
+
+
+@query("op13_spelling_variants", rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, r, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents) GROUP BY ALL),
+hashed AS (SELECT r, c, {_CRC.format("k")} AS h FROM (SELECT r, c, coalesce(doc_id::VARCHAR, '') || ':' || r AS k FROM runs)),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT c, CASE WHEN h % 199 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+gaps AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS g FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b ON a.i = b.i AND a.g = b.g AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.g = b.word
+  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.g = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, encode(other))) AS top, max(n) AS top_n FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * w.n THEN top END AS form, CASE WHEN top_n >= 5 * w.n THEN top_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.next)
+SELECT f.word, form, root, n, n_near::BIGINT AS n_near, form_n FROM forms f JOIN chain c ON c.word = f.word AND c.next IS NULL
+""")
+def op13(spark, sf_dir):
+    """Words of six letters or more, each with its far more frequent near word."""
+    from quarry.llm.spell_slices import count_words, spelling_variants
+
+    return spelling_variants(count_words(table(spark, sf_dir, "documents"), drop_every=199))
