@@ -292,3 +292,55 @@ def op13(spark, sf_dir):
     from quarry.llm.spell_slices import count_words, spelling_variants
 
     return spelling_variants(count_words(table(spark, sf_dir, "documents"), drop_every=199))
+
+
+def _part(x: str) -> str:
+    return f"coalesce(octet_length(encode({x}::VARCHAR)) || ':' || {x}::VARCHAR, '-')"
+
+
+@query("op12_merkle_manifest", rf"""
+WITH RECURSIVE d AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         {_CRC.format("doc_id::VARCHAR")} % 3 = 0 AS altered FROM documents),
+h AS (
+  SELECT doc_id, lang, sha256(concat({", ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))})) AS leaf,
+         CASE WHEN altered AND text IS NOT NULL THEN sha256(concat({", ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars", "low"))})) END AS seen
+  FROM d),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS m FROM h),
+lv AS (
+  SELECT 0 AS l, lang, i, m, leaf AS node FROM f
+  UNION ALL SELECT l + 1, lang, i // 8, (max(m) + 7) // 8, sha256(string_agg(node, '' ORDER BY i)) FROM lv WHERE m > 1 GROUP BY l, lang, i // 8),
+sub AS (
+  SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS i, count(*) OVER () AS m FROM lv WHERE m = 1),
+top AS (
+  SELECT 0 AS l, i, m, subroot AS node FROM sub
+  UNION ALL SELECT l + 1, i // 8, (max(m) + 7) // 8, sha256(string_agg(node, '' ORDER BY i)) FROM top WHERE m > 1 GROUP BY l, i // 8),
+runs AS (
+  SELECT 0 AS t, l, lang, i, coalesce(string_agg(node, '') OVER a, '') AS x, coalesce(string_agg(node, '') OVER b, '') AS y FROM lv WHERE m > 1
+  WINDOW a AS (PARTITION BY l, lang, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         b AS (PARTITION BY l, lang, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+  UNION ALL
+  SELECT 1, l, NULL, i, coalesce(string_agg(node, '') OVER a, ''), coalesce(string_agg(node, '') OVER b, '') FROM top WHERE m > 1
+  WINDOW a AS (PARTITION BY l, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         b AS (PARTITION BY l, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+low AS (
+  SELECT row_number() OVER () AS k, lang, i, 0 AS l, coalesce(seen, leaf) AS node, '' AS sib FROM f
+  UNION ALL SELECT k, low.lang, low.i // 8, low.l + 1, sha256(x || node || y), sib || x || y
+  FROM low JOIN runs ON t = 0 AND runs.l = low.l AND runs.lang IS NOT DISTINCT FROM low.lang AND runs.i = low.i),
+mid AS (SELECT low.*, sub.i AS j FROM low JOIN sub ON low.lang IS NOT DISTINCT FROM sub.lang QUALIFY row_number() OVER (PARTITION BY k ORDER BY low.l DESC) = 1),
+high AS (
+  SELECT k, j AS i, 0 AS l, node, sib FROM mid
+  UNION ALL SELECT k, high.i // 8, high.l + 1, sha256(x || node || y), sib || x || y FROM high JOIN runs ON t = 1 AND runs.l = high.l AND runs.i = high.i),
+ends AS (SELECT * FROM high QUALIFY row_number() OVER (PARTITION BY k ORDER BY l DESC) = 1),
+root AS (SELECT node AS root FROM top WHERE m = 1)
+SELECT n.doc_id, n.leaf, s.subroot, root, sha256(e.sib) AS proof_sha256, e.node AS folded_root, e.node = root AS verified
+FROM (SELECT k, any_value(lang) AS lang, any_value(i) AS i FROM low WHERE l = 0 GROUP BY k) p
+JOIN f n ON n.lang IS NOT DISTINCT FROM p.lang AND n.i = p.i JOIN ends e ON e.k = p.k JOIN sub s ON s.lang IS NOT DISTINCT FROM p.lang, root
+""")
+def op12(spark, sf_dir):
+    """Merkle proofs of every document, a third of them against altered texts."""
+    from quarry.llm.merkle_manifest import build_manifest, lowered
+
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lowered(F.col("text")))
+    return build_manifest(table(spark, sf_dir, "documents"), altered).audit().withColumnRenamed("id", "doc_id")
