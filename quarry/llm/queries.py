@@ -344,3 +344,21 @@ def op12(spark, sf_dir):
 
     altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lowered(F.col("text")))
     return build_manifest(table(spark, sf_dir, "documents"), altered).audit().withColumnRenamed("id", "doc_id")
+
+
+@query("op11_block_topk", r"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.rid <> c.rid WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id))::INT AS rank FROM p) WHERE rank <= 5
+""")
+def op11(spark, sf_dir):
+    """Five best integer inner products of every 50th vector."""
+    from quarry.llm.block_topk import top_inner_products
+
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
