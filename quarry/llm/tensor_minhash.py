@@ -7,7 +7,8 @@ with collection j of the second. So 2m * ROWS minhashes do the work of m * m
 (1 - (1 - J^ROWS)^m)^2; ``m`` is chosen so that a pair at the threshold is
 missed with probability ``MISS`` at most.
 
-Documents with equal shingle sets are one node. In a bucket no pairs are
+Documents with equal shingle sets are one node. The tables are taken in
+slices, and a bucket that lies in one component by then is left out. In a bucket no pairs are
 listed: a leader is compared with the members of other components, and the
 bucket is finished once it lies in one component; else 16, then 4,096 and more
 leaders follow, until every pair that is not yet connected has been
@@ -174,30 +175,37 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return lab.select("node", "root")
 
 
-def _buckets(nodes: DataFrame, m: int, scratch: Scratch) -> DataFrame:
-    """(key, nid) of the buckets with two members or more, each set of members once."""
+def slices(m: int) -> list[range]:
+    """Collections of the first family that are taken together: 1, 1, 2, 4, ..."""
+    cuts = [0, 1]
+    while cuts[-1] < m:
+        cuts.append(min(m, 2 * cuts[-1]))
+    return [range(a, b) for a, b in zip(cuts, cuts[1:])]
+
+
+def _shared_halves(nodes: DataFrame, m: int, scratch: Scratch) -> DataFrame:
+    """(nid, x, y, w): the collection keys of both families that other nodes have
+    too, and how many nodes have them in all, for nodes with both kinds."""
     half = scratch.keep(nodes.select("nid", F.posexplode("halves").alias("c", "h")), "halves")
-    again = scratch.keep(half.groupBy("h").count().filter("count > 1").select("h"), "shared-halves")
-    per = half.join(again, "h", "left_semi").groupBy("nid").agg(
-        F.collect_list(F.when(F.col("c") < m, F.col("h"))).alias("x"), F.collect_list(F.when(F.col("c") >= m, F.col("h"))).alias("y"))
-    pairs = per.select("nid", F.explode("x").alias("x"), "y").select("nid", "x", F.explode("y").alias("y"))
-    members = scratch.keep(pairs.select(F.xxhash64("x", "y").alias("key"), "nid"), "tables")
+    again = scratch.keep(half.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-halves")
+    per = half.join(again, "h").groupBy("nid").agg(
+        F.collect_list(F.when(F.col("c") < m, F.struct("c", "h"))).alias("x"), F.collect_list(F.when(F.col("c") >= m, F.col("h"))).alias("y"),
+        F.sum("n").alias("w")).filter((F.size("x") > 0) & (F.size("y") > 0))
+    out = scratch.keep(per, "candidates")
     scratch.drop(half, again)
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("a"), F.max("nid").alias("z"),
-                                      F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("s")).filter("n > 1")
-    once = scratch.keep(size.groupBy("n", "a", "z", "s").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
-    out = scratch.keep(members.join(once, "key"), "members")
-    scratch.drop(members, once)
     return out
 
 
 def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, scratch: Scratch) -> DataFrame:
-    """(nid, root) of the nodes that share a bucket with another one."""
-    act = _buckets(nodes, m, scratch)
-    weight = act.groupBy("nid").agg(F.sum("n").alias("w"))
+    """(nid, root) of the nodes that share a bucket with another one.
+
+    The tables are taken in slices, some collections of the first family with all of the second, and
+    components are contracted after each wave: what lies in one component is left out of the next
+    slice before its keys are formed.
+    """
     odd = [f"o{k}" for k in range(SKETCH)]
     info = nodes.select("nid", "sid", "low", F.col("n_shingles").alias("size"), *[F.col("odd")[k].alias(o) for k, o in enumerate(odd)])
-    info = scratch.keep(info.join(weight, "nid"), "candidates")
+    info = scratch.keep(info.join(_shared_halves(nodes, m, scratch), "nid"), "info")
     # the candidates' texts are read again and not shuffled: a filter of fixed size tells most others
     # apart, the join on the set's hash below does the rest
     bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(info.select("low")))
@@ -206,14 +214,29 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
     sets = found.join(info.select("sid", "nid"), "sid").select("nid", "set").dropDuplicates(["nid"])
     sets = scratch.keep(sets, "sets")
     comp = scratch.keep(info.select("nid", F.col("nid").alias("root")), "roots")
-    act = act.select("key", "nid").join(info.select("nid", "w", "size", *odd), "nid")
+    row = ["nid", "root", "w", "size", *odd]
+    for part in slices(m):
+        mine = F.filter("x", lambda x: (x["c"] >= part.start) & (x["c"] < part.stop))
+        taken = info.select("nid", "w", "size", *odd, mine.alias("x"), "y").filter(F.size("x") > 0).join(comp, "nid")
+        taken = scratch.keep(taken.select(*row, "y", F.explode("x.h").alias("x")), f"slice-{part.start}")
+        apart = taken.groupBy("x").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("x")
+        keyed = taken.join(apart, "x", "left_semi").select(*row, "x", F.explode("y").alias("y"))
+        keyed = scratch.keep(keyed.select(F.xxhash64("x", "y").alias("key"), *row), f"tables-{part.start}")
+        scratch.drop(taken)
+        # buckets in more than one component, each set of members once
+        size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("a"), F.max("nid").alias("z"), F.min("root").alias("ra"),
+                                        F.max("root").alias("rz"), F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("s")).filter("ra <> rz")
+        open_ = size.groupBy("n", "a", "z", "s").agg(F.min("key").alias("key")).select("key")
+        now = scratch.keep(keyed.join(open_, "key", "left_semi"), f"open-{part.start}")
+        scratch.drop(keyed)
+        comp = _waves(now, comp, sets, row, odd, percent, scratch)
+    return comp
+
+
+def _waves(now: DataFrame, comp: DataFrame, sets: DataFrame, row: list[str], odd: list[str], percent: int, scratch: Scratch) -> DataFrame:
+    """``comp`` after all pairs in the buckets ``now`` that no chain of links connects have been compared."""
     leaders, wave = 1, 0
-    while True:
-        now = act.join(comp, "nid")
-        open_ = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("key")
-        now = scratch.keep(now.join(open_, "key", "left_semi"), f"open-{wave}")
-        if now.isEmpty():
-            return comp
+    while not now.isEmpty():
         # the heaviest member of each of the classes of a bucket leads
         cls = F.pmod(F.xxhash64("nid", F.lit(wave)), F.lit(leaders))
         top = now.groupBy("key", cls.alias("c")).agg(F.max(F.struct("w", "nid", "size", "root", *odd)).alias("l"))
@@ -231,14 +254,27 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
         both = F.size(F.array_intersect("sa", "sb"))
         link = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
         links = scratch.keep(full.filter(link).select("a", "b"), f"links-{wave}")
+        to = None
         if not links.isEmpty():
             of = lambda c: comp.select(F.col("nid").alias(c), F.col("root").alias(f"r{c}"))
             up = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
             to = components(up, scratch).withColumnRenamed("root", "to").withColumnRenamed("node", "root")
             comp = scratch.keep(comp.join(to, "root", "left").select("nid", F.coalesce("to", "root").alias("root")), f"roots-{wave}")
-        # a leader has met all others of its bucket and retires from it
-        act = now.drop("root").join(top.select("key", F.col("lead").alias("nid")), ["key", "nid"], "left_anti")
-        leaders, wave = leaders * (256 if wave else 16), wave + 1
+        # a leader has met all others of its bucket and retires; buckets whose other members now lie in
+        # one component are finished, and their rows go no further
+        led = top.select("key", F.col("lead").alias("nid"))
+        others = now.select("key", "root", F.lit(1).alias("c")).unionAll(top.select("key", "lroot", F.lit(-1)))
+        pairs = others.groupBy("key", "root").agg(F.sum("c").alias("c")).filter("c > 0").select("key", "root")
+        if to is not None:
+            pairs = pairs.join(to, "root", "left").select("key", F.coalesce("to", "root").alias("root"))
+        left_open = pairs.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("key")
+        rest = now.join(left_open, "key", "left_semi").join(led, ["key", "nid"], "left_anti")
+        if to is not None:
+            rest = rest.join(to, "root", "left").withColumn("root", F.coalesce("to", "root")).select("key", *row)
+        rest = scratch.keep(rest, f"open-{wave}")
+        scratch.drop(now, ask, top)
+        now, leaders, wave = rest, leaders * (256 if wave else 16), wave + 1
+    return comp
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, percent: int = 80) -> DataFrame:
