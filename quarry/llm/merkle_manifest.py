@@ -211,6 +211,8 @@ def build_manifest(docs: DataFrame, seen_text: Column | None = None, every: int
     grp = F.when(F.col("lang").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("lang")))
     seen = F.lit(None).cast("string") if seen_text is None else F.when(seen_text.isNotNull(), leaf_digest(text=seen_text))
     leaves = docs.select(grp.alias("grp"), F.col("doc_id").cast("bigint").alias("id"), leaf_digest().alias("node"), seen.alias("seen"))
+    # the range sort samples its input first: written, the texts are hashed once
+    leaves = scratch.keep(leaves, "digests")
     ranked = _ranked(leaves, [F.col("id").asc_nulls_first(), F.col("node")], scratch, "leaves")
     packed = scratch.keep(_subtrees(ranked, every, "id", "seen"), "level-0")
     packs, roots = _climb(packed, every, scratch, "tree")
