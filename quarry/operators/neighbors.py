@@ -1,27 +1,38 @@
 """Exact nearest-neighbour work in blocks (KNN, SMOTE, exact silhouette; ops
 13.14, 14.6, 14.20).
 
-Reference rows fall into the cells of a bounded number of pivots, and a cell
-into blocks of a bounded number of rows; queries of a cell form blocks too. A
-join on the cell brings a query block to the reference blocks it needs, and
-NumPy scores one block against another, so a task holds two blocks, whatever
-the size of a cell. A query first searches its own cell; its k-th distance
-there, with the triangle inequality, tells which other cells can hold a nearer
-row, and only those are searched. Nothing but the pivots passes the driver.
+A block is a list of rows; in Arrow its vectors are one flat array of doubles,
+and NumPy scores a block of queries against a block of reference rows, so a
+task holds two blocks. A reference of a few blocks meets the queries in a grid
+of blocks. A larger one is sorted by the two nearest of some pivots and cut
+into blocks, each with the ball that holds it. A query searches the blocks with
+the nearest balls first; its k-th distance there tells which other balls can
+hold a nearer row, and only those are searched.
+
+Rows whose vector is NULL or holds a NULL, NaN or infinite component take no part,
+neither as query nor as reference.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.blocks import grid_join, grid_shape
+
 DEFAULT_BLOCK_ROWS = 2048
-MAX_PIVOTS = 256
+#: a reference of at most this many blocks is searched whole
+SMALL_BLOCKS = 8
+#: about how many reference rows are sampled as pivots; they only shape the blocks
+PIVOTS = 256
+#: queries that are told their blocks together, balls in a row, nearest blocks searched first
+CHUNK_BITS = 8
+BALLS = 512
+FIRST_BLOCKS = 2
 
 
 def as_vector(df: DataFrame, features, name: str = "__x") -> DataFrame:
@@ -31,52 +42,45 @@ def as_vector(df: DataFrame, features, name: str = "__x") -> DataFrame:
     return df.withColumn(name, F.array(*[F.col(c).cast("double") for c in features]))
 
 
-def _pivots(ref: DataFrame, n: int) -> np.ndarray:
-    """At most ``MAX_PIVOTS`` reference rows in a seeded order."""
-    want = max(1, min(MAX_PIVOTS, int(math.sqrt(n / 16))))
-    rows = ref.select(F.xxhash64(F.lit(5), "__x").alias("u"), "__x").dropDuplicates(["u"]).orderBy("u").limit(want).collect()
-    return np.array([r["__x"] for r in rows], dtype=np.float64)
-
+def usable(x: str = "__x") -> Column:
+    """The vector has no NULL, NaN or infinite component (and is not NULL)."""
+    return F.coalesce(F.forall(x, lambda v: v.isNotNull() & (F.abs(v) < float("inf"))), F.lit(False))
 
-def _to_pivots(x: pd.Series, pivots: np.ndarray) -> np.ndarray:
-    v = np.array(x.tolist(), dtype=np.float64).reshape(len(x), -1)
-    return np.sqrt(np.stack([((v - p) ** 2).sum(axis=1) for p in pivots], axis=1)) if len(v) else np.zeros((0, len(pivots)))
 
+def _vectors(lists: pa.Array) -> np.ndarray:
+    """A matrix of a list<double> column; all lists have one length."""
+    n = len(lists)
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
 
-def _nearest_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """``df`` with the number of the nearest pivot and the distance to it."""
-    schema = df.schema.simpleString()[len("struct<"):-1] + ",__cell:int,__far:double"
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            d = _to_pivots(pdf["__x"], pivots)
-            yield pdf.assign(__cell=d.argmin(axis=1).astype("int32"), __far=d.min(axis=1))
+def _fields(column: pa.Array, row: int) -> dict[str, pa.Array]:
+    """The fields of a list<struct> cell as columns."""
+    s = column.slice(row, 1).flatten()
+    return {f.name: a for f, a in zip(s.type, s.flatten())}
 
-    return df.mapInPandas(run, schema)
 
+def _hashed_blocks(df: DataFrame, row_id: str, rows: int, n: int, name: str) -> DataFrame:
+    """(name, rows): about ``rows`` of the ``n`` rows of ``df`` in a list."""
+    others = [c for c in df.columns]
+    at = F.pmod(F.xxhash64(F.lit(3), row_id), F.lit(max(1, -(-n // rows)))).alias(f"{name}_no")
+    return df.groupBy(at).agg(F.collect_list(F.struct(*others)).alias(name))
 
-def _blocks(df: DataFrame, cell: str, row_id: str, rows: int, name: str) -> DataFrame:
-    """(cell, block) -> one row with the lists of the block's columns; a block
-    holds about ``rows`` rows of one cell."""
-    others = [c for c in df.columns if c != cell]
-    n = df.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / rows).alias("__nb"))
-    cut = df.join(n, cell).withColumn("__b", F.pmod(F.xxhash64(F.lit(3), row_id), F.col("__nb")).cast("int")).drop("__nb")
-    packed = cut.groupBy(cell, "__b").agg(F.collect_list(F.struct(*others)).alias(name))
-    return packed.drop("__b")
 
+def _consecutive_blocks(df: DataFrame, name: str) -> DataFrame:
+    """(name, rows): up to 2 ** CHUNK_BITS rows of an input partition in a list."""
+    at = F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS).alias(f"{name}_no")
+    return df.select(at, F.struct(*df.columns).alias("s")).groupBy(f"{name}_no").agg(F.collect_list("s").alias(name))
 
-def _matrix(rows: list) -> np.ndarray:
-    return np.array([r["__x"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
 
+def _score(pairs: DataFrame, k: int, schema: str, payload: list[str], exclude_self: bool) -> DataFrame:
+    """The k best reference rows per query and pair of blocks, ties to the smaller id."""
 
-def _score_blocks(pairs: DataFrame, k: int, schema: str, payload: list[str], exclude_self: bool) -> DataFrame:
-    """The k best reference rows per query and block pair, ties to the smaller id."""
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            for q, r in zip(pdf["__q"], pdf["__r"]):
-                qx, rx = _matrix(q), _matrix(r)
-                qid, rid = np.array([x["__qid"] for x in q]), np.array([x["__rid"] for x in r])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):
+                q, r = _fields(batch.column("__q"), at), _fields(batch.column("__r"), at)
+                qx, rx = _vectors(q["__x"]), _vectors(r["__x"])
+                qid, rid = np.asarray(q["__qid"].to_pylist()), np.asarray(r["__rid"].to_pylist())
                 q2, r2 = (qx * qx).sum(axis=1), (rx * rx).sum(axis=1)
                 d2 = np.maximum(q2[:, None] + r2[None, :] - 2.0 * qx @ rx.T, 0.0)
                 if exclude_self:
@@ -85,19 +89,17 @@ def _score_blocks(pairs: DataFrame, k: int, schema: str, payload: list[str], exc
                 # everything up to the k-th distance, with room for the rounding of the expansion
                 cut = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
                 cut = cut + 1e-9 * (1.0 + q2 + r2.max())
-                at, which = np.nonzero((d2 <= cut[:, None]) & np.isfinite(d2))
-                dist = np.sqrt(((qx[at] - rx[which]) ** 2).sum(axis=1))
-                order = np.lexsort((rid[which], dist, at))
-                at, which, dist = at[order], which[order], dist[order]
-                first = np.searchsorted(at, at)  # where the query's candidates begin
-                keep = np.arange(len(at)) - first < kk
-                at, which, dist = at[keep], which[keep], dist[keep]
-                out = {"__qid": qid[at], "nn_id": rid[which], "distance": dist}
-                for p in payload:
-                    out[p] = [r[w][p] for w in which]
-                yield pd.DataFrame(out)
+                i, j = np.nonzero((d2 <= cut[:, None]) & np.isfinite(d2))
+                dist = np.sqrt(((qx[i] - rx[j]) ** 2).sum(axis=1))
+                order = np.lexsort((rid[j], dist, i))
+                i, j, dist = i[order], j[order], dist[order]
+                first = np.searchsorted(i, i)  # where the query's candidates begin
+                keep = np.arange(len(i)) - first < kk
+                i, j, dist = i[keep], j[keep], dist[keep]
+                yield pa.RecordBatch.from_arrays([q["__qid"].take(pa.array(i)), r["__rid"].take(pa.array(j)), pa.array(dist, pa.float64()),
+                                                  *[r[p].take(pa.array(j)) for p in payload]], names=["__qid", "nn_id", "distance", *payload])
 
-    return pairs.mapInPandas(run, schema)
+    return pairs.select("__q", "__r").mapInArrow(run, schema)
 
 
 def _best(cands: DataFrame, k: int, payload: list[str]) -> DataFrame:
@@ -106,6 +108,116 @@ def _best(cands: DataFrame, k: int, payload: list[str]) -> DataFrame:
     return cands.groupBy("__qid").agg(c.alias("__c"))
 
 
+def _types(df: DataFrame) -> str:
+    return df.schema.simpleString()[len("struct<"):-1]
+
+
+def _pivots(ref: DataFrame, row_id: str, n: int) -> np.ndarray:
+    """About ``PIVOTS`` reference rows by a hash of their id."""
+    share = F.pmod(F.xxhash64(F.lit(5), row_id), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, PIVOTS / n)))
+    rows = ref.filter(share).select("__x").toArrow()
+    if rows.num_rows == 0:
+        rows = ref.select("__x").limit(1).toArrow()
+    return _vectors(rows.column(0).combine_chunks())
+
+
+def _sorted_by_cell(df: DataFrame, pivots: np.ndarray, row_id: str) -> DataFrame:
+    """``df`` in ranges of (nearest pivot, second nearest, id), sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p2 = (pivots * pivots).sum(axis=1)
+        for batch in batches:
+            near = p2[None, :] - 2.0 * _vectors(batch.column("__x")) @ pivots.T if len(batch) else np.zeros((0, len(pivots)))
+            a = near.argmin(axis=1)
+            near[np.arange(len(a)), a] = np.inf
+            cell = a * len(pivots) + near.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], names=[*batch.schema.names, "__cell"])
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = ["__cell", row_id]
+    return df.mapInArrow(run, f"{_types(df)}, __cell bigint").repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("__cell")
+
+
+def _balls(df: DataFrame, rows: int) -> DataFrame:
+    """(block, centre, radius, rows) of consecutive rows of ``df``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for a in range(0, len(batch), rows):
+                part = batch.slice(a, rows)
+                x = _vectors(part.column("__x"))
+                centre = x.mean(axis=0)
+                radius = float(np.sqrt(((x - centre) ** 2).sum(axis=1).max()))
+                cells = pa.StructArray.from_arrays(part.columns, fields=list(part.schema))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([number], pa.int64()), pa.array([centre], pa.list_(pa.float64())), pa.array([radius]),
+                    pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), cells)], names=["block", "centre", "radius", "__r"])
+                number += 1
+
+    return df.mapInArrow(run, f"block bigint, centre array<double>, radius double, __r array<struct<{df.schema.simpleString()[len('struct<'):]}>")
+
+
+def _needed(batches: Iterator[pa.RecordBatch], take: int | None) -> Iterator[pa.RecordBatch]:
+    """Per query of a chunk the ``take`` balls of a chunk that come nearest, or all
+    that reach its k-th distance and were not searched."""
+    for batch in batches:
+        for at in range(len(batch)):
+            q, b = _fields(batch.column("asks"), at), _fields(batch.column("balls"), at)
+            x, c, blocks = _vectors(q["__x"]), _vectors(b["centre"]), b["block"].to_numpy()
+            x2, c2 = (x * x).sum(axis=1), (c * c).sum(axis=1)
+            d = np.sqrt(np.maximum(x2[:, None] + c2[None, :] - 2.0 * x @ c.T, 0.0))
+            # rounding must not push a ball away: the root of the expansion's error at most
+            slack = 1e-7 * (1.0 + np.sqrt(x2)[:, None] + np.sqrt(c2)[None, :])
+            reach = d - b["radius"].to_numpy()[None, :] - slack
+            if take is not None:
+                n = min(take, len(blocks))
+                j = np.argpartition(reach, n - 1, axis=1)[:, :n].ravel()
+                i = np.repeat(np.arange(len(x)), n)
+            else:
+                need = reach <= q["tau"].to_numpy()[:, None]
+                for row, done in enumerate(q["done"].to_pylist()):
+                    need[row, np.isin(blocks, done)] = False
+                i, j = np.nonzero(need)
+            yield pa.RecordBatch.from_arrays([q["__qid"].take(pa.array(i)), pa.array(blocks[j], pa.int64()), pa.array(reach[i, j])],
+                                             names=["__qid", "block", "reach"])
+
+
+def _search_blocks(q: DataFrame, r: DataFrame, n: int, k: int, schema: str, payload: list[str], exclude_self: bool, rows: int) -> DataFrame:
+    """Candidates from the blocks each query needs."""
+    from quarry.session import cut_lineage
+
+    pivots = _pivots(r, "__rid", n)
+    blocks = cut_lineage(_balls(_sorted_by_cell(r, pivots, "__rid"), rows))
+    chunks_of_balls = max(1, -(-blocks.count() // BALLS))
+    balls = blocks.groupBy(F.pmod(F.xxhash64("block"), F.lit(chunks_of_balls)).alias("ball_no")).agg(
+        F.collect_list(F.struct("block", "centre", "radius")).alias("balls"))
+    balls = cut_lineage(balls)
+    asks = _sorted_by_cell(q, pivots, "__qid").withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS))
+    asks = cut_lineage(asks)
+    shape = grid_shape(asks.select("chunk").distinct().count(), chunks_of_balls)
+    qid = dict(q.dtypes)["__qid"]
+
+    def needed(rows_of: DataFrame, take: int | None) -> DataFrame:
+        chunks = rows_of.groupBy("chunk").agg(F.collect_list(F.struct(*[c for c in rows_of.columns if c != "chunk"])).alias("asks"))
+        pairs = grid_join(chunks, balls, "chunk", "ball_no", *shape)
+        return pairs.select("asks", "balls").mapInArrow(lambda it: _needed(it, take), f"__qid {qid}, block bigint, reach double")
+
+    def search(work: DataFrame) -> DataFrame:
+        asked = work.join(asks, "__qid").groupBy("block", "chunk").agg(F.collect_list(F.struct("__qid", "__x")).alias("__q"))
+        return _score(asked.join(blocks.select("block", "__r"), "block"), k, schema, payload, exclude_self)
+
+    nearest = F.slice(F.array_sort(F.collect_list(F.struct("reach", "block"))), 1, FIRST_BLOCKS)
+    first = needed(asks, FIRST_BLOCKS).groupBy("__qid").agg(nearest.alias("b"))
+    first = cut_lineage(first.select("__qid", F.col("b.block").alias("done")))
+    near = cut_lineage(search(first.select("__qid", F.explode("done").alias("block"))))
+    tau = _best(near, k, []).select("__qid", F.when(F.size("__c") >= k, F.col("__c")[k - 1]["distance"]).alias("tau"))
+    told = asks.join(first, "__qid").join(tau, "__qid", "left").withColumn("tau", F.coalesce("tau", F.lit(float("inf"))))
+    return near.unionByName(search(needed(told, None)))
+
+
 def knn(queries: DataFrame, reference: DataFrame, k: int, features, q_id: str, r_id: str,
         payload: list[str] | None = None, exclude_self: bool = False,
         block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -114,48 +226,32 @@ def knn(queries: DataFrame, reference: DataFrame, k: int, features, q_id: str, r
     Returns ``(q_id, nn_rank 1..k, nn_id, distance, payload...)``; ties on
     distance go to the smaller reference id. ``exclude_self`` drops the
     reference row whose id equals the query id (neighbours within a set).
+    A query row with an unusable vector (NULL, or a NULL, NaN or infinite component) or a
+    NULL id has no result rows, such a reference row is nobody's neighbour. Ids
+    are unique; all vectors have one length.
     """
-    from quarry.session import cut_lineage
-
     payload = list(payload or [])
     pnames = [f"__p_{p}" for p in payload]
-    q = as_vector(queries, features).select(F.col(q_id).alias("__qid"), "__x")
+    q = as_vector(queries, features).select(F.col(q_id).alias("__qid"), "__x").filter(F.col("__qid").isNotNull() & usable())
     r = as_vector(reference, features).select(F.col(r_id).alias("__rid"), "__x", *[F.col(p).alias(n) for p, n in zip(payload, pnames)])
+    r = r.filter(F.col("__rid").isNotNull() & usable())
     types = dict(r.dtypes)
     schema = f"__qid {dict(q.dtypes)['__qid']}, nn_id {types['__rid']}, distance double" + "".join(f", {p} {types[p]}" for p in pnames)
-    out_names = [q_id, "nn_rank", "nn_id", "distance", *payload]
     n = r.count()
-    if n == 0:
-        empty = queries.sparkSession.createDataFrame([], schema)
-        return empty.select("__qid", F.lit(1).alias("nn_rank"), "nn_id", "distance", *pnames).toDF(*out_names)
-    pivots = _pivots(r, n)
-    cells = cut_lineage(_nearest_cell(r, pivots))
-    radius = {x["__cell"]: x["m"] for x in cells.groupBy("__cell").agg(F.max("__far").alias("m")).collect()}  # one row per pivot
-    blocks = cut_lineage(_blocks(cells.drop("__far"), "__cell", "__rid", block_rows, "__r"))
-    reach = np.array([radius.get(c, -np.inf) for c in range(len(pivots))])
-
-    def pairs(rows: DataFrame) -> DataFrame:
-        return _blocks(rows, "__cell", "__qid", max(1, block_rows // 2), "__q").join(blocks, "__cell").select("__q", "__r")
-
-    own = cut_lineage(_nearest_cell(q, pivots).drop("__far"))
-    near = cut_lineage(_score_blocks(pairs(own), k, schema, pnames, exclude_self))
-    bound = _best(near, k, []).select("__qid", F.when(F.size("__c") >= k, F.col("__c")[k - 1]["distance"]).alias("__tau"))
-
-    def others(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            d = _to_pivots(pdf["__x"], pivots)
-            tau = pdf["__tau"].fillna(np.inf).to_numpy()
-            need = (d - reach[None, :]) <= tau[:, None] * (1 + 1e-12) + 1e-12
-            need &= np.isfinite(reach)[None, :]
-            need[np.arange(len(pdf)), pdf["__cell"].to_numpy()] = False
-            i, c = np.nonzero(need)
-            yield pd.DataFrame({"__qid": pdf["__qid"].to_numpy()[i], "__x": pdf["__x"].to_numpy()[i], "__cell": c.astype("int32")})
-
-    more = own.join(bound, "__qid", "left").mapInPandas(others, f"__qid {dict(q.dtypes)['__qid']}, __x array<double>, __cell int")
-    far = _score_blocks(pairs(more), k, schema, pnames, exclude_self)
-    best = _best(near.unionByName(far), k, pnames)
+    blocks = -(-n // block_rows)
+    if blocks <= SMALL_BLOCKS:
+        # at most a few blocks: every query block meets them all
+        parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        qb = _consecutive_blocks(q, "__q")
+        rb = _hashed_blocks(r, "__rid", block_rows, max(1, n), "__r")
+        pairs = grid_join(qb, rb, "__q_no", "__r_no", parts, max(1, blocks))
+        cands = _score(pairs, k, schema, pnames, exclude_self)
+    else:
+        cands = _search_blocks(q, r, n, k, schema, pnames, exclude_self, block_rows)
+    best = _best(cands, k, pnames)
     return best.select("__qid", F.posexplode("__c").alias("__i", "__s")).select(
-        "__qid", (F.col("__i") + 1).alias("nn_rank"), "__s.nn_id", "__s.distance", *[f"__s.{p}" for p in pnames]).toDF(*out_names)
+        "__qid", (F.col("__i") + 1).alias("nn_rank"), "__s.nn_id", "__s.distance", *[f"__s.{p}" for p in pnames]).toDF(
+        q_id, "nn_rank", "nn_id", "distance", *payload)
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int, features, label: str, train_id: str, test_id: str,
@@ -175,7 +271,9 @@ def smote(df: DataFrame, label: str, features: list[str], id_col: str, k: int =
     """SMOTE oversampling of the minority class up to the majority count
     (op 13.14; Chawla et al. 2002): each synthetic row picks a minority row
     and one of its ``k`` nearest minority neighbours at random (seeded
-    hashes) and interpolates ``x + u * (nn - x)``, ``u`` in [0, 1).
+    hashes) and interpolates ``x + u * (nn - x)``, ``u`` in [0, 1). Minority rows
+    with a NULL, NaN or infinite feature count for the balance but are neither
+    base nor neighbour; with fewer than two others nothing is added.
 
     Returns the input rows plus synthetic rows (``id_col`` NULL,
     ``synthetic`` true). Every step is a join or an aggregate; the
@@ -190,17 +288,18 @@ def smote(df: DataFrame, label: str, features: list[str], id_col: str, k: int =
     n_min, n_max = counts[minority], max(counts.values())
     n_new = n_max - n_min
     base = df.withColumn("synthetic", F.lit(False))
-    if n_new <= 0 or n_min < 2:
-        return base
-    mino = df.filter(F.col(label) == F.lit(minority))
+    mino = as_vector(df.filter(F.col(label) == F.lit(minority)), features).filter(usable()).drop("__x")
     mino = row_numbers(mino.select(id_col, *features), [id_col], "__rn", start=0, total=False)
-    kk = min(k, n_min - 1)
+    n_base = mino.count() if n_new > 0 else 0
+    if n_base < 2:
+        return base
+    kk = min(k, n_base - 1)
     nn = knn(mino, mino, kk, features, "__rn", "__rn", exclude_self=True, block_rows=block_rows) \
         .select(F.col("__rn").alias("__base"), "nn_rank", F.col("nn_id").alias("__nb"))
     spark = df.sparkSession
     plan = spark.range(n_new).select(
         F.col("id").alias("__s"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(n_min)).alias("__base"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(n_base)).alias("__base"),
         (F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), F.lit(kk)) + 1).cast("int").alias("nn_rank"),
         (F.pmod(F.xxhash64(F.lit(seed + 2), F.col("id")), F.lit(1 << 30)) / float(1 << 30)).alias("__u"))
     pairs = plan.join(nn, ["__base", "nn_rank"])
@@ -220,35 +319,43 @@ def silhouette_exact(df: DataFrame, cluster: str, features, id_col: str, block_r
     distance to another cluster; a singleton cluster scores 0.
 
     A mean distance needs every row of a cluster, so the cost is points x rows,
-    done block against block: a block of points meets the blocks of each
-    cluster and leaves one distance sum per point. ``points`` (default: all
-    rows) is the stated set to score; on a large table pass a part of it.
+    done block against block: blocks hold rows of any cluster, every pair of a
+    block of points and a block of rows has a cell of a grid for its key, and
+    leaves one distance sum per point and cluster. ``points`` (default: all
+    rows) is the stated set to score; on a large table pass a part of it. Rows
+    with an unusable vector (see :func:`knn`), a NULL id or a NULL cluster take no part.
 
     Returns ``(id, cluster, a, b, silhouette)``."""
-    x = as_vector(df, features)
-    p = as_vector(df if points is None else points, features)
-    q = p.select(F.col(id_col).alias("__qid"), F.col(cluster).alias("__qc"), "__x")
-    r = x.select(F.col(id_col).alias("__rid"), F.col(cluster).alias("__c"), "__x")
-    ctype = dict(q.dtypes)["__qc"]
-    rb = _blocks(r, "__c", "__rid", block_rows, "__r")
-    clusters = r.select("__c").distinct()
-    qb = _blocks(q.withColumn("__k", F.lit(0)), "__k", "__qid", max(1, block_rows // 2), "__q").drop("__k")
-    spread = qb.withColumn("__all", F.lit(0)).join(clusters.withColumn("__all", F.lit(0)), "__all").drop("__all")
-    pairs = spread.join(rb, "__c")
-    schema = f"__qid {dict(q.dtypes)['__qid']}, __qc {ctype}, __c {ctype}, s double, n long"
-
-    def score(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            for c, qs, rs in zip(pdf["__c"], pdf["__q"], pdf["__r"]):
-                qx, rx = _matrix(qs), _matrix(rs)
+    own = points if points is not None else df
+    fine = F.col("__id").isNotNull() & F.col("__c").isNotNull() & usable()
+    part = lambda d: as_vector(d, features).select(F.col(id_col).alias("__id"), F.col(cluster).alias("__c"), "__x").filter(fine)
+    q, r = part(own), part(df)
+    n = r.count()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rb = _hashed_blocks(r, "__id", block_rows, max(1, n), "__r")
+    shape = grid_shape(parts, max(1, -(-n // block_rows)))
+    pairs = grid_join(_consecutive_blocks(q, "__q"), rb, "__q_no", "__r_no", *shape).select("__q", "__r")
+    ctype, itype = dict(q.dtypes)["__c"], dict(q.dtypes)["__id"]
+    schema = f"__qid {itype}, __qc {ctype}, __c {ctype}, s double, n long"
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):
+                a, b = _fields(batch.column("__q"), at), _fields(batch.column("__r"), at)
+                qx, rx = _vectors(a["__x"]), _vectors(b["__x"])
                 d = np.sqrt(np.maximum((qx * qx).sum(axis=1)[:, None] + (rx * rx).sum(axis=1)[None, :] - 2.0 * qx @ rx.T, 0.0))
-                qid, rid = np.array([y["__qid"] for y in qs]), np.array([y["__rid"] for y in rs])
-                me = qid[:, None] == rid[None, :]
+                me = np.asarray(a["__id"].to_pylist())[:, None] == np.asarray(b["__id"].to_pylist())[None, :]
                 d[me] = 0.0
-                yield pd.DataFrame({"__qid": qid, "__qc": [y["__qc"] for y in qs], "__c": c, "s": d.sum(axis=1),
-                                    "n": (len(rid) - me.sum(axis=1)).astype("int64")})
-
-    per = pairs.mapInPandas(score, schema).groupBy("__qid", "__qc", "__c").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+                groups = b["__c"].dictionary_encode()
+                of = np.eye(len(groups.dictionary))[groups.indices.to_numpy()]  # row x cluster
+                sums, sizes = d @ of, of.sum(axis=0)[None, :] - me @ of
+                i = np.repeat(np.arange(len(qx)), of.shape[1])
+                c = np.tile(np.arange(of.shape[1]), len(qx))
+                yield pa.RecordBatch.from_arrays([
+                    a["__id"].take(pa.array(i)), a["__c"].take(pa.array(i)), groups.dictionary.take(pa.array(c)),
+                    pa.array(sums.ravel()), pa.array(sizes.ravel().astype("int64"))], names=["__qid", "__qc", "__c", "s", "n"])
+
+    per = pairs.mapInArrow(score, schema).groupBy("__qid", "__qc", "__c").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     mean = F.try_divide(F.col("s"), F.col("n"))
     g = per.groupBy("__qid", "__qc").agg(
         F.max(F.when(F.col("__c") == F.col("__qc"), mean)).alias("a"),

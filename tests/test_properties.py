@@ -367,3 +367,63 @@ def test_knn_ties_and_cells_against_brute_force(spark):
     for i, x in enumerate(qs):
         d = np.sqrt(((pts - x) ** 2).sum(axis=1))
         assert got[got.qid == i].nn_id.tolist() == np.lexsort((np.arange(len(pts)), d))[:3].tolist()
+
+
+def _neighbours(q, ref, k):
+    """{query id: [(neighbour id, distance)]} by all distances; unusable rows left out."""
+    ok = [(i, np.array(v, dtype=float)) for i, v in ref if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = {}
+    for i, v in q:
+        if v is not None and all(x is not None and np.isfinite(x) for x in v):
+            out[i] = sorted((np.sqrt(((w - np.array(v, dtype=float)) ** 2).sum()), j) for j, w in ok)[:k]
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [2048, 8])
+def test_knn_unusable_rows(spark, block_rows):
+    rng = np.random.default_rng(12)
+    ref = [(i, [float(a), float(b)]) for i, (a, b) in enumerate(rng.normal(size=(150, 2)))]
+    ref += [(900, [float("nan"), 0.0]), (901, None), (902, [None, 1.0]), (903, [float("inf"), 0.0])]
+    ref += [(910 + k, [0.25, 0.25]) for k in range(40)]  # one point many times: ties by id over many blocks
+    q = [(0, [0.25, 0.25]), (1, [float("nan"), 1.0]), (2, None), (3, [5.0, -5.0])] + [(10 + i, [float(a), float(b)]) for i, (a, b) in enumerate(rng.normal(size=(30, 2)))]
+    schema = "id bigint, v array<double>"
+    got = {}
+    for r in Nb.knn(spark.createDataFrame(q, schema), spark.createDataFrame(ref, schema).withColumnRenamed("id", "rid"), 3, "v", "id", "rid",
+                    payload=["rid"], block_rows=block_rows).collect():
+        assert r.nn_id == r.rid
+        got.setdefault(r.id, []).append((r.distance, r.nn_id, r.nn_rank))
+    want = _neighbours(q, ref, 3)
+    assert set(got) == set(want)
+    for i, best in want.items():
+        assert [j for _, j, _ in sorted(got[i], key=lambda x: x[2])] == [j for _, j in best]
+
+
+def test_knn_empty_sides(spark):
+    schema = "id bigint, v array<double>"
+    some, none = spark.createDataFrame([(1, [0.0])], schema), spark.createDataFrame([], schema)
+    assert Nb.knn(some, none.withColumnRenamed("id", "rid"), 2, "v", "id", "rid").collect() == []
+    assert Nb.knn(none, some.withColumnRenamed("id", "rid"), 2, "v", "id", "rid").collect() == []
+
+
+def test_smote_with_null_and_nan_features(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, 0, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(28, 2)))]
+    rows += [(100 + i, 1, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(5, 1, size=(18, 2)))]
+    rows += [(200, 1, None, 1.0), (201, 1, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "id long, label int, a double, b double")
+    out = Nb.smote(df, "label", ["a", "b"], "id", k=3, seed=1).toPandas()
+    syn = out[out["synthetic"]]
+    assert len(syn) == 8 and len(out) == len(rows) + 8 and np.isfinite(syn[["a", "b"]].to_numpy()).all()
+
+
+def test_silhouette_plan_has_no_cross_join_and_no_label_join(spark, capsys):
+    df = spark.createDataFrame([(i, i % 3, [float(i), float(i * i % 7)]) for i in range(40)], "id long, label int, x array<double>")
+    s = Nb.silhouette_exact(df, "label", "x", "id", block_rows=8)
+    s.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("_line" in line and "label" not in line and "__c" not in line for line in joins)
+    extra = spark.createDataFrame([(100, 1, [None, 1.0]), (101, None, [1.0, 1.0]), (102, 2, [float("nan"), 0.0])], df.schema)
+    same = {r.id: r.silhouette for r in Nb.silhouette_exact(df.union(extra), "label", "x", "id", block_rows=8).collect()}
+    assert same == pytest.approx({r.id: r.silhouette for r in s.collect()})
