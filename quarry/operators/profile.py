@@ -286,19 +286,116 @@ def quantiles(df: DataFrame, col: str, probs: list[float], keys=None, approx: bo
         *keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i") + 1).alias("prob"), "value")
 
 
+#: up to this many pairs are plain aggregates; more come from matrix products
+AGGREGATE_PAIRS = 16
+#: columns of a block of the Gram matrix
+GRAM_COLUMNS = 512
+#: rows that give each column a provisional centre
+CENTRE_ROWS = 256
+
+_MOMENTS = "i int, j int, n double, bad double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _centres(df: DataFrame, cols: list[str]) -> list[float]:
+    """A value amid each column's first ones: sums of differences from it stay small."""
+    import numpy as np
+
+    out = []
+    head = df.select(*[F.col(c).cast("double") for c in cols]).limit(CENTRE_ROWS).toArrow()
+    for c in range(len(cols)):
+        v = head.column(c).drop_null().to_numpy()
+        v = v[np.isfinite(v)]
+        out.append(float(np.median(v)) if len(v) else 0.0)
+    return out
+
+
+def _block_moments(df: DataFrame, left: list[str], right: list[str], centre: dict[str, float], same: bool) -> DataFrame:
+    """Sums over the rows where both columns are set, for each pair of a left and a
+    right column (``same``: pairs i < j of one block): one row per task and pair."""
+    import numpy as np
+    import pyarrow as pa
+
+    cl, cr = (np.array([centre[c] for c in cols]) for cols in (left, right))
+    n_left = len(left)
+
+    def matrix(batch, first, centres):
+        x, there, bad = (np.zeros((len(batch), len(centres)), dtype=t) for t in (np.float64, np.float64, np.float64))
+        for c in range(len(centres)):
+            col = batch.column(first + c)
+            v = col.to_numpy(zero_copy_only=False).astype(np.float64)
+            there[:, c] = col.is_valid().to_numpy(zero_copy_only=False)
+            odd = ~np.isfinite(v)
+            bad[:, c] = odd & (there[:, c] > 0)
+            x[:, c] = np.where(odd, 0.0, v - centres[c])
+        return x, there, bad
+
+    def run(batches):
+        acc = np.zeros((7, len(left), len(right)))
+        for batch in batches:
+            x, m, bx = matrix(batch, 0, cl)
+            y, k, by = (x, m, bx) if same else matrix(batch, n_left, cr)
+            acc += np.stack([m.T @ k, bx.T @ k + m.T @ by, x.T @ k, m.T @ y, (x * x).T @ k, m.T @ (y * y), x.T @ y])
+        i, j = np.triu_indices(n_left, 1) if same else np.indices(acc.shape[1:]).reshape(2, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(a[i, j]) for a in acc]],
+                                         names=["i", "j", "n", "bad", "sx", "sy", "sxx", "syy", "sxy"])
+
+    cols = left if same else left + right
+    part = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)]).mapInArrow(run, _MOMENTS)
+    return part.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "sx", "sy", "sxx", "syy", "sxy")])
+
+
+def _gram_corr(df: DataFrame, left: list[str], right: list[str] | None) -> DataFrame:
+    """(a, b, r) of all pairs of ``left``, or of ``left`` with ``right``, by matrix
+    products per Arrow batch; one pass over the columns per pair of column blocks."""
+    from functools import reduce
+
+    names = left + (right or [])
+    centre = dict(zip(names, _centres(df, names)))
+    cut = lambda cols: [cols[k:k + GRAM_COLUMNS] for k in range(0, len(cols), GRAM_COLUMNS)]
+    lb = cut(left)
+    work = [(a, b, False) for a in lb for b in cut(right)] if right is not None else [
+        (a, b, p == q) for p, a in enumerate(lb) for q, b in enumerate(lb) if p <= q]
+
+    def named(a, b, same):
+        at = lambda cols, i: F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(i) + 1)
+        mean_sq = lambda s: F.col(s) * F.col(s) / F.greatest(F.col("n"), F.lit(1.0))
+        # rounding of a column that is constant on the common rows must not look like spread
+        spread = lambda sq, s: F.when(F.col(sq) - mean_sq(s) > 1e-12 * F.col(sq), F.col(sq) - mean_sq(s))
+        cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.greatest(F.col("n"), F.lit(1.0))
+        r = cov / (F.sqrt(spread("sxx", "sx")) * F.sqrt(spread("syy", "sy")))
+        r = F.when(F.col("bad") > 0, F.lit(float("nan"))).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+        # greatest and least skip NULL
+        defined = (F.col("bad") > 0) | (spread("sxx", "sx").isNotNull() & spread("syy", "sy").isNotNull())
+        return _block_moments(df, a, b, centre, same).select(at(a, "i").alias("a"), at(b, "j").alias("b"), F.when(defined, r).alias("r"))
+
+    return reduce(DataFrame.unionByName, [named(*w) for w in work])
+
+
 def corr_long(df: DataFrame, cols: list[str], full: bool = False, target: str | None = None) -> DataFrame:
     """Pearson correlations, pairwise-complete, long ``(a, b, r)`` (op 5.22).
 
-    All pairs come from one aggregate pass (``corr`` skips a row when
-    either value is NULL). ``target`` keeps the pairs with that column,
-    ranked by |r| desc.
+    A pair's r is taken over the rows where both values are set; it is NULL
+    where fewer than two such rows exist or a column is constant on them, and
+    NaN where one of them is NaN or infinite. All pairs come from one pass: a
+    few as plain aggregates, many by matrix products per Arrow batch whose
+    sums are then added up per pair (columns beyond ``GRAM_COLUMNS`` in blocks).
+    ``target`` keeps the pairs with that column, ranked by |r| desc.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if target:
-        pairs = [(target, c) for c in cols if c != target]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
-    out = wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    others = [c for c in cols if c != target]
+    pairs = [(target, c) for c in others] if target else [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not pairs:
+        out = df.sparkSession.createDataFrame([], "a string, b string, r double")
+    elif len(pairs) <= AGGREGATE_PAIRS:
+        def r(a, b):
+            x, y = F.col(a).cast("double"), F.col(b).cast("double")
+            both = x.isNotNull() & y.isNotNull()
+            return F.try_divide(F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)))
+
+        wide = df.agg(*[r(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+        structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
+        out = wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    else:
+        out = _gram_corr(df, [target], others) if target else _gram_corr(df, cols, None)
     if full:
         out = out.unionByName(out.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
         out = out.unionByName(df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, r double"))

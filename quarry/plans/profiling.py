@@ -204,6 +204,42 @@ def price_quantiles_sort(spark, sf):
     return q.withColumn("value", F.round("value", 4))
 
 
+def _wide_embeddings(spark, sf):
+    """105 numeric columns: 64 components and 41 products of neighbours, some with NULLs."""
+    e = T(spark, sf, "embeddings")
+    x = lambda i: F.col("embedding")[i].cast("double")
+    gap = lambda c, i: F.when(F.col("vec_id") % (i % 9 + 4) != 0, c) if i % 3 == 0 else c
+    cols = [gap(x(i), i).alias(f"c{i:03d}") for i in range(64)]
+    return e.select(*cols, *[gap(x(i) * x(i + 1), i + 64).alias(f"c{i + 64:03d}") for i in range(41)])
+
+
+@query("corr_wide_embeddings", """
+with e as (select vec_id, unnest(range(105)) as i, embedding::DOUBLE[] as x from embeddings),
+v as (select vec_id, i, case when i < 64 then x[i + 1] else x[i - 63] * x[i - 62] end as c from e
+      where i % 3 <> 0 or vec_id % (i % 9 + 4) <> 0)
+select 'c' || lpad(p.i::varchar, 3, '0') as a, 'c' || lpad(q.i::varchar, 3, '0') as b, round(corr(p.c, q.c), 6) as r
+from v p join v q on p.vec_id = q.vec_id and p.i < q.i group by p.i, q.i
+""")
+def corr_wide_embeddings(spark, sf):
+    """5.22 all 5,460 correlations of 105 columns with NULLs, pairwise-complete."""
+    wide = _wide_embeddings(spark, sf)
+    return P.corr_long(wide, wide.columns).withColumn("r", r6("r"))
+
+
+@query("collinear_wide_embeddings", """
+with e as (select vec_id, unnest(range(105)) as i, embedding::DOUBLE[] as x from embeddings),
+v as (select vec_id, i, case when i < 64 then x[i + 1] else x[i - 63] * x[i - 62] end as c from e
+      where i % 3 <> 0 or vec_id % (i % 9 + 4) <> 0)
+select * from (
+  select 'c' || lpad(p.i::varchar, 3, '0') as a, 'c' || lpad(q.i::varchar, 3, '0') as b, round(corr(p.c, q.c), 6) as r
+  from v p join v q on p.vec_id = q.vec_id and p.i < q.i group by p.i, q.i) where abs(r) >= 0.05
+""")
+def collinear_wide_embeddings(spark, sf):
+    """2.10 the pairs of 105 columns with |r| >= 0.05."""
+    wide = _wide_embeddings(spark, sf)
+    return P.corr_long(wide, wide.columns).withColumn("r", r6("r")).filter("abs(r) >= 0.05")
+
+
 @query("corr_with_target", """
 select 'l_extendedprice' as a, b, round(r, 6) as r from (
   select 'l_quantity' as b, corr(l_extendedprice, l_quantity) as r from lineitem

@@ -427,3 +427,57 @@ def test_silhouette_plan_has_no_cross_join_and_no_label_join(spark, capsys):
     extra = spark.createDataFrame([(100, 1, [None, 1.0]), (101, None, [1.0, 1.0]), (102, 2, [float("nan"), 0.0])], df.schema)
     same = {r.id: r.silhouette for r in Nb.silhouette_exact(df.union(extra), "label", "x", "id", block_rows=8).collect()}
     assert same == pytest.approx({r.id: r.silhouette for r in s.collect()})
+
+
+def _wide(spark, n=300, p=30):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(n, p)) * 10.0 ** rng.integers(-3, 6, p) + rng.normal(size=p) * 1e5
+    x[:, 3] = 2 * x[:, 1] - 7
+    cell = lambda i, j: None if (i * 31 + j * 17) % 11 == 0 or j == 5 else 4.25 if j == 6 else float(x[i, j])
+    rows = [tuple(cell(i, j) for j in range(p)) for i in range(n)]
+    return spark.createDataFrame(rows, ", ".join(f"c{j} double" for j in range(p))), rows
+
+
+def _reference_corr(rows, i, j):
+    both = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+    if len(both) < 2:
+        return None
+    a, b = (np.array(v) - np.mean(v) for v in zip(*both))
+    return None if not a.any() or not b.any() else float((a * b).sum() / np.sqrt((a * a).sum() * (b * b).sum()))
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_corr_of_many_columns(spark, block, monkeypatch):
+    monkeypatch.setattr(P, "GRAM_COLUMNS", block)
+    df, rows = _wide(spark)
+    got = {(r.a, r.b): r.r for r in P.corr_long(df, df.columns).collect()}
+    assert len(got) == 30 * 29 // 2
+    for i in range(30):
+        for j in range(i + 1, 30):
+            want = _reference_corr(rows, i, j)
+            r = got[f"c{i}", f"c{j}"]
+            assert (r is None) == (want is None) and (want is None or r == pytest.approx(want, abs=1e-9)), (i, j)
+    ranked = P.corr_long(df, df.columns, target="c1").collect()
+    assert len(ranked) == 29 and ranked[0].b == "c3" and ranked[-1].r is None
+    few = {(r.a, r.b): r.r for r in P.corr_long(df, ["c1", "c3", "c5", "c6"]).collect()}
+    assert few == pytest.approx({k: got[k] for k in few}, abs=1e-9)
+
+
+def test_corr_undefined_and_nan(spark):
+    rows = [(1.0, 2.0, 5.0, None, 1.0, float("nan")), (2.0, 3.0, 5.0, None, None, 1.0), (4.0, 3.5, 5.0, None, None, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double")
+    few = {r.b: r.r for r in P.corr_long(df, df.columns, target="a").collect()}
+    many = {r.b: r.r for r in P.corr_long(df.select("*", *[F.col("b").alias(f"x{k}") for k in range(12)]), [*df.columns, *[f"x{k}" for k in range(12)]], target="a").collect()}
+    for got in (few, many):
+        assert got["c"] is None and got["d"] is None and got["e"] is None and np.isnan(got["f"])
+        assert got["b"] == pytest.approx(13 / 14)
+    assert P.corr_long(df.limit(0), [f"{c}" for c in df.columns]).filter("r is not null").count() == 0
+
+
+def test_corr_of_105_columns_is_quick(spark):
+    import time
+
+    df, _ = _wide(spark, n=100, p=105)
+    start = time.time()
+    assert P.corr_long(df, df.columns).count() == 105 * 104 // 2
+    assert time.time() - start < 60
