@@ -7,9 +7,9 @@ with collection j of the second. So 2m * ROWS minhashes do the work of m * m
 (1 - (1 - J^ROWS)^m)^2; ``m`` is chosen so that a pair at the threshold is
 missed with probability ``MISS`` at most.
 
-Documents with equal shingle sets are one node. The tables are taken in
-slices, and a bucket that lies in one component by then is left out. In a bucket no pairs are
-listed: a leader is compared with the members of other components, and the
+Documents with equal shingle sets are one node. Some slices of the tables come
+first, with one row per component in a bucket; a bucket that lies in one component after them is
+left out of what follows. In a bucket no pairs are listed: a leader is compared with the members of other components, and the
 bucket is finished once it lies in one component; else 16, then 4,096 and more
 leaders follow, until every pair that is not yet connected has been
 compared. The comparison is a join condition on sizes and parity sketches,
@@ -176,10 +176,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def slices(m: int) -> list[range]:
-    """Collections of the first family that are taken together: 1, 1, 2, 4, ..."""
-    cuts = [0, 1]
-    while cuts[-1] < m:
-        cuts.append(min(m, 2 * cuts[-1]))
+    """Collections of the first family whose tables are taken first, with one row per
+    component in a bucket; all tables follow."""
+    cuts = [c for c in (0, 1, 2, 6) if c <= m]
     return [range(a, b) for a, b in zip(cuts, cuts[1:])]
 
 
@@ -199,9 +198,10 @@ def _shared_halves(nodes: DataFrame, m: int, scratch: Scratch) -> DataFrame:
 def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, scratch: Scratch) -> DataFrame:
     """(nid, root) of the nodes that share a bucket with another one.
 
-    The tables are taken in slices, some collections of the first family with all of the second, and
-    components are contracted after each wave: what lies in one component is left out of the next
-    slice before its keys are formed.
+    First some slices of the tables (collections of the first family with all of the second) are gone
+    through with one row per component in a bucket, and components are contracted after each. Then all
+    tables follow with all members, but for the buckets that lie in one component by then: these are
+    told from aggregates and enter no join.
     """
     odd = [f"o{k}" for k in range(SKETCH)]
     info = nodes.select("nid", "sid", "low", F.col("n_shingles").alias("size"), *[F.col("odd")[k].alias(o) for k, o in enumerate(odd)])
@@ -214,65 +214,85 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
     sets = found.join(info.select("sid", "nid"), "sid").select("nid", "set").dropDuplicates(["nid"])
     sets = scratch.keep(sets, "sets")
     comp = scratch.keep(info.select("nid", F.col("nid").alias("root")), "roots")
-    row = ["nid", "root", "w", "size", *odd]
     for part in slices(m):
-        mine = F.filter("x", lambda x: (x["c"] >= part.start) & (x["c"] < part.stop))
-        taken = info.select("nid", "w", "size", *odd, mine.alias("x"), "y").filter(F.size("x") > 0).join(comp, "nid")
-        taken = scratch.keep(taken.select(*row, "y", F.explode("x.h").alias("x")), f"slice-{part.start}")
-        apart = taken.groupBy("x").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("x")
-        keyed = taken.join(apart, "x", "left_semi").select(*row, "x", F.explode("y").alias("y"))
-        keyed = scratch.keep(keyed.select(F.xxhash64("x", "y").alias("key"), *row), f"tables-{part.start}")
-        scratch.drop(taken)
-        # buckets in more than one component, each set of members once
-        size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("a"), F.max("nid").alias("z"), F.min("root").alias("ra"),
-                                        F.max("root").alias("rz"), F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("s")).filter("ra <> rz")
-        open_ = size.groupBy("n", "a", "z", "s").agg(F.min("key").alias("key")).select("key")
-        now = scratch.keep(keyed.join(open_, "key", "left_semi"), f"open-{part.start}")
-        scratch.drop(keyed)
-        comp = _waves(now, comp, sets, row, odd, percent, scratch)
-    return comp
-
-
-def _waves(now: DataFrame, comp: DataFrame, sets: DataFrame, row: list[str], odd: list[str], percent: int, scratch: Scratch) -> DataFrame:
+        keyed = _tables(info, comp, part, odd)
+        heavy = keyed.groupBy("key", "root").agg(F.max(F.struct("w", "nid", "size", *odd)).alias("r"))
+        heavy = scratch.keep(heavy.select("key", "root", "r.*"), f"heaviest-{part.start}")
+        apart = heavy.groupBy("key").agg(F.max(F.struct("w", "nid", "size", "root", *odd)).alias("l"), F.min("root").alias("a"), F.max("root").alias("z"))
+        comp = _link(heavy, _leaders(apart.filter("a <> z"), odd), comp, sets, odd, percent, scratch)[0]
+    keyed = scratch.keep(_tables(info, comp, range(m), odd), "tables")
+    # buckets in more than one component, each set of members once
+    size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("a"), F.max("nid").alias("z"), F.min("root").alias("ra"),
+                                    F.max("root").alias("rz"), F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("s")).filter("ra <> rz")
+    open_ = size.groupBy("n", "a", "z", "s").agg(F.min("key").alias("key")).select("key")
+    now = scratch.keep(keyed.join(open_, "key", "left_semi"), "open")
+    scratch.drop(keyed)
+    return _waves(now, comp, sets, odd, percent, scratch)
+
+
+def _tables(info: DataFrame, comp: DataFrame, part: range, odd: list[str]) -> DataFrame:
+    """(key, nid, root, ...) of the tables of collections ``part``, where the first
+    half of the key lies in more than one component."""
+    row = ["nid", "root", "w", "size", *odd]
+    mine = F.filter("x", lambda x: (x["c"] >= part.start) & (x["c"] < part.stop))
+    taken = info.select("nid", "w", "size", *odd, mine.alias("x"), "y").filter(F.size("x") > 0).join(comp, "nid")
+    taken = taken.select(*row, "y", F.explode("x.h").alias("x"))
+    apart = taken.groupBy("x").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("x")
+    keyed = taken.join(apart, "x", "left_semi").select(*row, "x", F.explode("y").alias("y"))
+    return keyed.select(F.xxhash64("x", "y").alias("key"), *row)
+
+
+def _leaders(best: DataFrame, odd: list[str]) -> DataFrame:
+    """(key, lead, ...) from structs ``l``."""
+    return best.select("key", F.col("l.nid").alias("lead"), F.col("l.size").alias("lsize"), F.col("l.root").alias("lroot"),
+                       *[F.col(f"l.{o}").alias(f"l{o}") for o in odd])
+
+
+def _link(members: DataFrame, leaders: DataFrame, comp: DataFrame, sets: DataFrame, odd: list[str], percent: int,
+          scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """``comp`` after members of other components were compared with the leaders of
+    their buckets, and (root, to) of the components that were joined, if any."""
+    # no link is possible where the sizes differ too much, nor where more elements differ than
+    # (100 - p) / (100 + p) of both sizes; the sketches give a lower bound of the differing elements
+    differ = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"l{o}"))) for o in odd[1:]), F.bit_count(F.col(odd[0]).bitwiseXOR(F.col(f"l{odd[0]}"))))
+    close = (F.least("size", "lsize") * 100 >= F.greatest("size", "lsize") * percent) & (
+        differ * (100 + percent) <= (F.col("size") + F.col("lsize")) * (100 - percent))
+    ask = members.join(leaders, "key").filter((F.col("root") != F.col("lroot")) & close)
+    ask = scratch.keep(ask.select(F.least("nid", "lead").alias("a"), F.greatest("nid", "lead").alias("b")).distinct(), "ask")
+    left = ask.join(sets.select(F.col("nid").alias("a"), F.col("set").alias("sa")), "a")
+    full = left.join(sets.select(F.col("nid").alias("b"), F.col("set").alias("sb")), "b")
+    both = F.size(F.array_intersect("sa", "sb"))
+    link = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
+    links = scratch.keep(full.filter(link).select("a", "b"), "links")
+    if links.isEmpty():
+        return comp, None
+    of = lambda c: comp.select(F.col("nid").alias(c), F.col("root").alias(f"r{c}"))
+    up = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    to = components(up, scratch).withColumnRenamed("root", "to").withColumnRenamed("node", "root")
+    return scratch.keep(comp.join(to, "root", "left").select("nid", F.coalesce("to", "root").alias("root")), "roots"), to
+
+
+def _waves(now: DataFrame, comp: DataFrame, sets: DataFrame, odd: list[str], percent: int, scratch: Scratch) -> DataFrame:
     """``comp`` after all pairs in the buckets ``now`` that no chain of links connects have been compared."""
     leaders, wave = 1, 0
     while not now.isEmpty():
         # the heaviest member of each of the classes of a bucket leads
         cls = F.pmod(F.xxhash64("nid", F.lit(wave)), F.lit(leaders))
         top = now.groupBy("key", cls.alias("c")).agg(F.max(F.struct("w", "nid", "size", "root", *odd)).alias("l"))
-        top = scratch.keep(top.select("key", F.col("l.nid").alias("lead"), F.col("l.size").alias("lsize"), F.col("l.root").alias("lroot"),
-                                      *[F.col(f"l.{o}").alias(f"l{o}") for o in odd]), f"lead-{wave}")
-        # no link is possible where the sizes differ too much, nor where more elements differ than
-        # (100 - p) / (100 + p) of both sizes; the sketches give a lower bound of the differing elements
-        differ = sum((F.bit_count(F.col(o).bitwiseXOR(F.col(f"l{o}"))) for o in odd[1:]), F.bit_count(F.col(odd[0]).bitwiseXOR(F.col(f"l{odd[0]}"))))
-        close = (F.least("size", "lsize") * 100 >= F.greatest("size", "lsize") * percent) & (
-            differ * (100 + percent) <= (F.col("size") + F.col("lsize")) * (100 - percent))
-        ask = now.join(top, "key").filter((F.col("root") != F.col("lroot")) & close)
-        ask = scratch.keep(ask.select(F.least("nid", "lead").alias("a"), F.greatest("nid", "lead").alias("b")).distinct(), f"ask-{wave}")
-        left = ask.join(sets.select(F.col("nid").alias("a"), F.col("set").alias("sa")), "a")
-        full = left.join(sets.select(F.col("nid").alias("b"), F.col("set").alias("sb")), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        link = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
-        links = scratch.keep(full.filter(link).select("a", "b"), f"links-{wave}")
-        to = None
-        if not links.isEmpty():
-            of = lambda c: comp.select(F.col("nid").alias(c), F.col("root").alias(f"r{c}"))
-            up = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
-            to = components(up, scratch).withColumnRenamed("root", "to").withColumnRenamed("node", "root")
-            comp = scratch.keep(comp.join(to, "root", "left").select("nid", F.coalesce("to", "root").alias("root")), f"roots-{wave}")
+        top = scratch.keep(_leaders(top, odd), f"lead-{wave}")
+        comp, to = _link(now, top, comp, sets, odd, percent, scratch)
         # a leader has met all others of its bucket and retires; buckets whose other members now lie in
         # one component are finished, and their rows go no further
-        led = top.select("key", F.col("lead").alias("nid"))
         others = now.select("key", "root", F.lit(1).alias("c")).unionAll(top.select("key", "lroot", F.lit(-1)))
         pairs = others.groupBy("key", "root").agg(F.sum("c").alias("c")).filter("c > 0").select("key", "root")
         if to is not None:
             pairs = pairs.join(to, "root", "left").select("key", F.coalesce("to", "root").alias("root"))
         left_open = pairs.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("key")
-        rest = now.join(left_open, "key", "left_semi").join(led, ["key", "nid"], "left_anti")
+        rest = now.join(left_open, "key", "left_semi").join(top.select("key", F.col("lead").alias("nid")), ["key", "nid"], "left_anti")
         if to is not None:
-            rest = rest.join(to, "root", "left").withColumn("root", F.coalesce("to", "root")).select("key", *row)
+            rest = rest.join(to, "root", "left").withColumn("root", F.coalesce("to", "root")).select(*now.columns)
         rest = scratch.keep(rest, f"open-{wave}")
-        scratch.drop(now, ask, top)
+        scratch.drop(now, top)
         now, leaders, wave = rest, leaders * (256 if wave else 16), wave + 1
     return comp
 
