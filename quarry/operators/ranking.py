@@ -2,16 +2,16 @@
 
 A window ``PARTITION BY key`` sends every row of a key to one task; with
 a key holding a third of the data that task holds a third of the data.
-The positional operators take a key window only where one aggregate proves the
-largest key small (``SERIES_WINDOW_ROWS``); beyond it, with the same rows:
+Positional operators work on ranges of rows instead:
 
 * ``row_numbers`` numbers rows globally and consecutively by range
   partitioning on a *total* order (ties broken by the remaining columns,
   so even one hot key value spreads over many partitions), numbering
   within each partition, and adding per-partition offsets (a table with
   one row per partition, hence a proven broadcast bound).
-* lags / centred means / per-key numbers are then equi-joins on that
-  global row number (uniformly distributed), with a same-key check.
+* lags and centred means are windows inside a range, which has copies of
+  the rows just before and after it (``halo_frame``); a table of at most
+  ``RANGE_ROWS`` rows is one range.
 * counts per key are a partially aggregated ``groupBy`` joined back
   (AQE splits a hot key's partition on the large side).
 
@@ -148,67 +148,85 @@ def per_key_numbers(df: DataFrame, key, order, name: str = "rn", start: int = 1,
             .drop("__g", "__g0"))
 
 
+#: rows of a range; a table of one range is one window per key
+RANGE_ROWS = 1_000_000
+
+
+def series_ranges(df: DataFrame, strategy: str = "auto") -> int:
+    """How many ranges the rows are sorted into for positional work: 1 for a table of
+    at most ``RANGE_ROWS`` rows. 'window' means 1, 'join' several."""
+    if strategy == "window":
+        return 1
+    if strategy == "join":
+        return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, -(-df.count() // RANGE_ROWS))
+
+
+def halo_frame(df: DataFrame, key, order, before: int, after: int, ranges: int, total: bool = True) -> tuple[DataFrame, Window]:
+    """``df`` for windows that reach ``before`` rows back and ``after`` rows ahead
+    within ``key``, and the window spec.
+
+    With several ``ranges`` the rows are sorted into ranges of (key, order);
+    each range gets copies of the last rows of its predecessors and of the
+    first of its successors (the halo), found by one join of ranges x reach
+    places, so the window of a range needs no other row. ``__own`` is false for
+    copies: filter on it after the window columns are added. ``__g`` numbers the
+    rows of the table. One range is a plain window per key.
+    """
+    keys = [key] if isinstance(key, str) else list(key or [])
+    order = [order] if isinstance(order, str) else list(order)
+    if ranges <= 1:
+        return df.withColumn("__own", F.lit(True)), _key_window(df, keys, order) if total else Window.partitionBy(*keys).orderBy(*order)
+    from quarry.session import cut_lineage
+
+    cols = _order_cols(df, keys + order, total)
+    rows = df.repartitionByRange(ranges, *cols).sortWithinPartitions(*cols).withColumn("__at", F.monotonically_increasing_id())
+    rows = cut_lineage(rows).withColumn("__range", F.shiftright("__at", 33))
+    # one row per range
+    sizes = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
+    first = F.coalesce(F.sum("__rows").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = cut_lineage(sizes.withColumn("__first", first))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    own = rows.join(F.broadcast(sizes), "__range").withColumns({"__g": F.col("__first") + place, "__own": F.lit(True)})
+    end = F.col("__first") + F.col("__rows")
+    seq = lambda a, b: F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+    reach = F.concat(seq(F.greatest(F.col("__first") - before, F.lit(0).cast("bigint")), F.col("__first")), seq(end, end + after))
+    wanted = sizes.select(F.col("__range").alias("__to"), F.explode(reach).alias("__g"))
+    # a copied row is near an end of its own range
+    near = own.filter((end - F.col("__g") <= before) | (F.col("__g") - F.col("__first") < after))
+    halo = near.join(wanted, "__g").withColumn("__range", F.col("__to")).withColumn("__own", F.lit(False))
+    names = [*df.columns, "__range", "__g", "__own"]
+    return own.select(*names).unionByName(halo.select(*names)), Window.partitionBy("__range", *keys).orderBy("__g")
+
+
+def _own_rows(df: DataFrame) -> DataFrame:
+    return df.filter("__own").drop("__own", "__range", "__g")
+
+
 def lags(df: DataFrame, key, ts: str, col: str, n: int = 1, prefix: str | None = None,
          strategy: str = "auto") -> DataFrame:
-    """``lag(col, k)`` for k = 1..n within each key ordered by ``ts``
-    (op 6.4). Bounded keys: one key window. Otherwise one exploded
-    equi-join on the global row number plus a re-aggregation on the same
-    (already partitioned) number."""
-    key = [key] if isinstance(key, str) else list(key or [])
+    """``lag(col, k)`` for k = 1..n within each key ordered by ``ts`` (op 6.4);
+    a window per range of rows, see :func:`halo_frame`."""
     prefix = prefix or f"{col}_lag"
-    if use_key_window(df, key, strategy):
-        w = _key_window(df, key, [ts])
-        return df.withColumns({f"{prefix}_{k}": F.lag(col, k).over(w) for k in range(1, n + 1)})
-    g = row_numbers(df, key + [ts], "__g")
-    right = g.select(*[F.col(k).alias(f"__r_{k}") for k in key], F.col(col).alias("__v"),
-                     F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__k"), F.col("__g").alias("__rg"))
-    right = right.withColumn("__g", F.col("__rg") + F.col("__k")).drop("__rg")
-    same = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in key]
-    ok = F.lit(True)
-    for s in same:
-        ok = ok & s
-    joined = g.join(right, "__g", "left")
-    others = [c for c in g.columns if c != "__g"]
-    aggs = [F.first(F.col(c)).alias(c) for c in others]
-    aggs += [F.max(F.when(ok & (F.col("__k") == k), F.col("__v"))).alias(f"{prefix}_{k}") for k in range(1, n + 1)]
-    return joined.groupBy("__g").agg(*aggs).drop("__g")
+    f, w = halo_frame(df, key, [ts], n, 0, series_ranges(df, strategy))
+    return _own_rows(f.withColumns({f"{prefix}_{k}": F.lag(col, k).over(w) for k in range(1, n + 1)}))
 
 
 def moving_average(df: DataFrame, key, ts: str, y: str, period: int, name: str = "trend",
                    strategy: str = "auto") -> DataFrame:
     """Centred moving average (op 6.5), as used for classical decomposition:
     odd period -> plain mean of ``period`` points; even period -> 2x``period``
-    average (end weights 1/2). Edges without a full window are NULL.
-    Bounded keys: a key window frame; otherwise position joins."""
-    key = [key] if isinstance(key, str) else list(key or [])
+    average (end weights 1/2). Edges without a full window are NULL. A window
+    per range of rows, see :func:`halo_frame`."""
     h = period // 2
-    if use_key_window(df, key, strategy):
-        w = _key_window(df, key, [ts]).rowsBetween(-h, h)
-        x = F.col(y)
-        full = (F.count(F.lit(1)).over(w) == 2 * h + 1) & (F.count(x).over(w) == 2 * h + 1)
-        tot = F.sum(x).over(w)
-        if period % 2 == 0:
-            tot = tot - 0.5 * (F.first(x).over(w) + F.last(x).over(w))
-        return df.withColumn(name, F.when(full, tot / period))
-    if period % 2:
-        weights = {o: 1.0 / period for o in range(-h, h + 1)}
-    else:
-        weights = {o: (0.5 if abs(o) == h else 1.0) / period for o in range(-h, h + 1)}
-    g = row_numbers(df, key + [ts], "__g")
-    offs = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(w).alias("w")) for o, w in weights.items()])
-    right = g.select(*[F.col(k).alias(f"__r_{k}") for k in key], F.col(y).alias("__v"),
-                     F.col("__g").alias("__rg"), F.explode(offs).alias("__ow"))
-    right = right.select("*", (F.col("__rg") - F.col("__ow.o")).alias("__g"), F.col("__ow.w").alias("__w")).drop("__ow", "__rg")
-    ok = F.lit(True)
-    for k in key:
-        ok = ok & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    joined = g.join(right, "__g", "left")
-    others = [c for c in g.columns if c != "__g"]
-    contrib = F.when(ok & F.col("__v").isNotNull(), F.col("__w") * F.col("__v"))
-    nvalid = F.count_if(ok & F.col("__v").isNotNull())
-    out = joined.groupBy("__g").agg(*[F.first(F.col(c)).alias(c) for c in others],
-                                    F.sum(contrib).alias("__s"), nvalid.alias("__nv"))
-    return out.withColumn(name, F.when(F.col("__nv") == len(weights), F.col("__s"))).drop("__g", "__s", "__nv")
+    f, w = halo_frame(df, key, [ts], h, h, series_ranges(df, strategy))
+    w = w.rowsBetween(-h, h)
+    x = F.col(y)
+    full = (F.count(F.lit(1)).over(w) == 2 * h + 1) & (F.count(x).over(w) == 2 * h + 1)
+    tot = F.sum(x).over(w)
+    if period % 2 == 0:
+        tot = tot - 0.5 * (F.first(x).over(w) + F.last(x).over(w))
+    return _own_rows(f.withColumn(name, F.when(full, tot / period)))
 
 
 def canonical_case(df: DataFrame, col: str) -> DataFrame:

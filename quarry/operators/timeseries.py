@@ -1,14 +1,12 @@
 """Time series, many series in parallel (2.15).
 
-A series is the rows of one ``key`` ordered by ``ts``. A key window is used
-only while the longest series is proven short; a series holding a third of all
-rows would otherwise sit in one task. Beyond that, positions come from the global row number
-(:func:`quarry.operators.ranking.row_numbers`, range partitioned on
-(key, ts)), lags are equi-joins on that number, and every estimator is
-reduced to sums (means, lag cross-products, Gram matrices) that Spark
-aggregates with map-side combine. Only those small summaries (one row
-per key, of size p x p) reach grouped pandas, for the p x p solves and
-the short recursive forecasts.
+A series is the rows of one ``key`` ordered by ``ts``. A series holding a third of
+all rows must not sit in one task: rows are sorted into ranges of (key, ts),
+lags and centred means are windows inside a range that has copies of the
+rows around it, and every estimator is reduced to sums (means, lagged
+products, Gram matrices) that Spark aggregates with map-side combine. Only
+those small summaries (one row per key) reach grouped pandas, for the small
+solves and the short recursive forecasts.
 """
 
 from __future__ import annotations
@@ -58,46 +56,29 @@ def _positions(df: DataFrame, key, ts: str, y: str) -> DataFrame:
     return row_numbers(df.select(*keys, ts, y), keys + [ts], "__g", total=False)
 
 
-def _lag_join(g: DataFrame, keys: list[str], y: str, lags: list[int], ycol: str = "__x") -> DataFrame:
-    """Attach ``{ycol}_lag_k`` for k in ``lags`` (same key only) by one
-    exploded equi-join on the global position, re-aggregated per position
-    (the join already partitions by it)."""
-    right = g.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.col(ycol).alias("__v"), F.col("__g").alias("__rg"),
-                     F.explode(F.array(*[F.lit(k) for k in lags])).alias("__k"))
-    right = right.withColumn("__g", F.col("__rg") + F.col("__k")).drop("__rg")
-    ok = F.lit(True)
-    for k in keys:
-        ok = ok & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    j = g.join(right, "__g", "left")
-    others = [c for c in g.columns if c != "__g"]
-    return j.groupBy("__g").agg(*[F.first(c).alias(c) for c in others],
-                                *[F.max(F.when(ok & (F.col("__k") == k), F.col("__v"))).alias(f"{ycol}_lag_{k}") for k in lags])
-
-
 def series_frame(df: DataFrame, key, ts: str, y: str, lags: list[int] | None = None,
                  strategy: str = "auto", with_mean: bool = False) -> DataFrame:
     """``(key..., ts, __x, __pos, __n, __x_lag_k...)``: the value as double,
     its 0-based position in the series, the series length and lagged
-    values. A key window is used when every series is proven short enough
-    (``ranking.SERIES_WINDOW_ROWS``); otherwise global positions and
-    position equi-joins, so no task holds a whole long series."""
-    from quarry.operators.ranking import _key_window, use_key_window
+    values; ``__m`` is the mean. Lags are windows over ranges of rows with
+    the rows before them (:func:`quarry.operators.ranking.halo_frame`);
+    positions are row numbers less the first of the key."""
+    from quarry.operators.ranking import halo_frame, series_ranges
 
     keys = _keys(key)
     lags = list(lags or [])
     base = df.select(*keys, ts, F.col(y).cast("double").alias("__x"))
-    if use_key_window(base, keys, strategy):
-        w = _key_window(base, keys, [ts])
+    ranges = series_ranges(base, strategy)
+    f, w = halo_frame(base, keys, [ts], max(lags, default=0), 0, ranges, total=False)
+    f = f.withColumns({f"__x_lag_{k}": F.lag("__x", k).over(w) for k in lags}) if lags else f
+    if ranges <= 1:
         whole = Window.partitionBy(*keys)
         extra = {"__m": F.avg("__x").over(whole)} if with_mean else {}
-        out = base.withColumns({"__pos": F.row_number().over(w) - 1, "__n": F.count(F.lit(1)).over(whole), **extra})
-        return out.withColumns({f"__x_lag_{k}": F.lag("__x", k).over(w) for k in lags})
-    g = row_numbers(base, keys + [ts], "__g", total=False)
-    if lags:
-        g = _lag_join(g, keys, "__x", lags, "__x")
-    st = g.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"),
+        return f.withColumns({"__pos": (F.row_number().over(w) - 1).cast("long"), "__n": F.count(F.lit(1)).over(whole), **extra}).drop("__own")
+    f = f.filter("__own").drop("__own", "__range")
+    st = f.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"),
                               *([F.avg("__x").alias("__m")] if with_mean else []))
-    return join_on_keys(g, st, keys).withColumn("__pos", F.col("__g") - F.col("__g0")).drop("__g", "__g0")
+    return join_on_keys(f, st, keys).withColumn("__pos", F.col("__g") - F.col("__g0")).drop("__g", "__g0")
 
 
 def acf(df: DataFrame, key, ts: str, y: str, nlags: int = 10, strategy: str = "auto") -> DataFrame:

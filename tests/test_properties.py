@@ -481,3 +481,31 @@ def test_corr_of_105_columns_is_quick(spark):
     start = time.time()
     assert P.corr_long(df, df.columns).count() == 105 * 104 // 2
     assert time.time() - start < 60
+
+
+def test_halo_reaches_over_several_ranges(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"k": ["a"] * 47 + ["b"] * 3 + [None] * 30, "t": [*range(47), *range(3), *range(30)], "y": rng.normal(size=80)})
+    df = spark.createDataFrame(pdf).repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        got = R.lags(df, "k", "t", "y", 20, strategy="join").toPandas().sort_values(["k", "t"]).reset_index(drop=True)
+        ma = R.moving_average(df, "k", "t", "y", 24, strategy="join").toPandas().sort_values(["k", "t"]).reset_index(drop=True)
+        none = R.lags(df.filter("false"), "k", "t", "y", 2, strategy="join").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    exp = pdf.sort_values(["k", "t"]).reset_index(drop=True)
+    for k in (1, 7, 20):
+        assert np.allclose(got[f"y_lag_{k}"].astype(float), exp.groupby("k", dropna=False)["y"].shift(k), equal_nan=True)
+    w = np.array([0.5, *[1] * 23, 0.5]) / 24
+    e = exp.groupby("k", dropna=False)["y"].transform(lambda s: s.rolling(25, center=True).apply(lambda v: (v * w).sum(), raw=True))
+    assert np.allclose(ma["trend"].astype(float), e, equal_nan=True) and none == 0
+
+
+def test_lags_plan_explodes_no_row_by_lag(spark, capsys):
+    df = spark.range(50).select(F.col("id").alias("t"), F.lit("a").alias("k"), F.col("id").cast("double").alias("y"))
+    R.lags(df, "k", "t", "y", 5, strategy="join").explain()
+    plan = capsys.readouterr().out
+    # the one explode lists the places that ranges reach for; the window needs the rows of a range, not of a key
+    assert plan.count("Generate") <= 1 and "Window" in plan
+    assert "hashpartitioning(k#" not in plan
