@@ -212,18 +212,55 @@ def adf_pvalue(tau: float) -> float:
     return ncdf(sum(ci * tau ** i for i, ci in enumerate(c)))
 
 
+def _adf_gram(n: int, start: int, lags: int, head: np.ndarray, tail: np.ndarray, own: np.ndarray, cross: np.ndarray,
+              level: float, level_sq: float) -> np.ndarray:
+    """Gram matrix of (1, x[t-1], dx[t-1] .. dx[t-lags], dx[t]) over t = start .. n-1.
+
+    ``own[k]`` sums dx[t] dx[t-k], ``cross[k]`` sums x[t-1] dx[t-k], ``level`` and
+    ``level_sq`` x[t-1] and its square, each over every t where it is defined; what
+    lies before ``start`` and, shifted, at the end comes from the first and
+    last values ``head`` and ``tail``.
+    """
+    dh, dt = np.diff(head), np.diff(tail)  # dh[u - 1] = dx[u]; dt[-1] = dx[n - 1]
+
+    def early(k: int, upto: int) -> float:  # dx[u] dx[u-k] for u = k+1 .. upto
+        return float(dh[k:upto] @ dh[:upto - k]) if upto > k else 0.0
+
+    def late(k: int, last: int) -> float:  # dx[u] dx[u-k] for the last ``last`` u
+        return float(dt[len(dt) - last:] @ dt[len(dt) - last - k:len(dt) - k]) if last else 0.0
+
+    order = [*range(1, lags + 1), 0]  # the columns after (1, x[t-1])
+    m = lags + 3
+    G = np.zeros((m, m))
+    G[0, 0] = n - start
+    G[0, 1] = level - head[:start - 1].sum()
+    G[1, 1] = level_sq - (head[:start - 1] ** 2).sum()
+    for a, i in enumerate(order):
+        G[0, 2 + a] = tail[len(tail) - 1 - i] - head[start - 1 - i]
+        G[1, 2 + a] = cross[i] - float(head[i:start - 1] @ dh[:start - 1 - i])
+        for c in range(a, len(order)):
+            j = order[c]
+            lo, k = min(i, j), abs(i - j)
+            G[2 + a, 2 + c] = own[k] - early(k, start - lo - 1) - late(k, lo)
+    return np.triu(G) + np.triu(G, 1).T
+
+
 def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None, strategy: str = "auto") -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, lag order chosen by
     AIC (op 15.6, re-aimed). Regression dy_t = a + b y_{t-1} +
     sum_{i<=p} c_i dy_{t-i} + e over a sample common to every candidate p;
     the chosen p is refitted on its largest sample. The largest p of a key is
     min(``max_lag`` or ceil(12 (n / 100)^(1/4)), n // 2 - 2) for its own length n.
+    Rows with a NULL value are left out before the test.
 
-    Spark computes the lagged design by position joins and reduces it to
-    Gram matrices per key; grouped pandas solves the small systems.
+    Every entry of every Gram matrix is a lagged sum over the whole series less
+    a few products at its ends. So Spark adds up 2 (L + 1) lagged products per key
+    and hands over the first and last L + 2 values; grouped pandas solves
+    the small systems.
     Returns (key..., adf_stat, p_value, used_lag, nobs, crit_1, crit_5, crit_10).
     """
     keys = _keys(key)
+    df = df.filter(F.col(y).isNotNull())
     given = max_lag is not None
     if not given:
         from quarry.operators.ranking import largest_group
@@ -231,64 +268,53 @@ def adf(df: DataFrame, key, ts: str, y: str, max_lag: int | None = None, strateg
         longest = largest_group(df, keys)
         max_lag = int(math.ceil(12.0 * (longest / 100.0) ** 0.25))
     L = max_lag
-    f = series_frame(df, keys, ts, y, list(range(1, L + 2)), strategy)
-    bound = F.lit(L) if given else F.least(F.lit(L), F.ceil(12.0 * F.pow(F.col("__n") / 100.0, 0.25)))
-    own = F.greatest(F.lit(0), F.least(bound, F.floor(F.col("__n") / 2) - 2)).cast("int")
-    f = f.withColumn("__L", own)
-    lag = {k: F.col(f"__x_lag_{k}") for k in range(1, L + 2)}
-    # one projection (not a withColumn chain: keeps the plan shallow)
-    d = f.select(*keys, "__pos", "__n", "__L", F.lit(1.0).alias("one"), lag[1].alias("y1"),
-                 *[F.when(F.col("__L") >= i, lag[i] - lag[i + 1]).otherwise(F.lit(0.0)).alias(f"dy{i}") for i in range(1, L + 1)],
-                 (F.col("__x") - lag[1]).alias("dy"))
-    cols = ["one", "y1", *[f"dy{i}" for i in range(1, L + 1)], "dy"]
-    # common sample of a key for the AIC search: all its lags defined
-    G1 = _gram(d.filter(F.col("__pos") > F.col("__L")), keys, cols)
-    # for the refit: Gram over positions > p for every p, via a per-row
-    # explode of the admissible p (rows with pos > p), lags beyond p zeroed
-    d2 = d.filter(F.col("__pos") >= 1).select(
-        *keys, "__n", "one", "y1", "dy", *[f"dy{i}" for i in range(1, L + 1)],
-        F.explode(F.sequence(F.lit(0), F.least((F.col("__pos") - 1).cast("int"), F.col("__L")))).alias("__p"))
-    d2 = d2.select(*keys, "__n", "__p", "one", "y1", "dy",
-                   *[F.when(F.col("__p") >= i, F.col(f"dy{i}")).otherwise(F.lit(0.0)).alias(f"dy{i}") for i in range(1, L + 1)])
-    G2 = _gram(d2, keys, cols, ["__p"])
-    m = len(cols)
+    f = series_frame(df, keys, ts, y, list(range(1, L + 2)), strategy, with_mean=True)
+    # centred: the constant takes up the mean, and sums stay small
+    f = f.select(*keys, "__pos", "__n", (F.col("__x") - F.col("__m")).alias("x0"),
+                 *[(F.col(f"__x_lag_{k}") - F.col("__m")).alias(f"x{k}") for k in range(1, L + 2)])
+    step = [f"(x{k} - x{k + 1})" for k in range(L + 1)]
+    sums = [f"sum({step[0]} * {step[k]})" for k in range(L + 1)]
+    cross = [f"sum(x1 * {step[k]})" for k in range(L + 1)]
+    ends = lambda cond, name: F.expr(f"sort_array(collect_list(if({cond}, struct(__pos, x0), null))).x0").alias(name)
+    got = f.groupBy(*keys).agg(
+        F.max("__n").alias("__n"), F.expr("sum(x1)").alias("__level"), F.expr("sum(x1 * x1)").alias("__sq"),
+        F.expr(f"array({', '.join(sums)})").alias("__own"), F.expr(f"array({', '.join(cross)})").alias("__cross"),
+        ends(f"__pos < {L + 2}", "__head"), ends(f"__pos >= __n - {L + 2}", "__tail"))
     key_schema = [f"{k} {t}" for k, t in df.dtypes if k in keys]
     out_schema = ", ".join(key_schema + ["adf_stat double", "p_value double", "used_lag int", "nobs long",
                                          "crit_1 double", "crit_5 double", "crit_10 double"])
-    g1 = G1.withColumn("__which", F.lit(1)).withColumn("__p", F.lit(-1))
-    both = g1.unionByName(G2.withColumn("__which", F.lit(2)))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        r1 = pdf[pdf["__which"] == 1]
-        res = {k: pdf[k].iloc[0] for k in keys}
-        own = 0 if r1.empty else min(L if given else math.ceil(12.0 * (r1["__len"].iloc[0] / 100.0) ** 0.25), int(r1["__len"].iloc[0]) // 2 - 2, L)
-        if r1.empty or own < 0 or r1["__n"].iloc[0] <= own + 2:
+        row = pdf.iloc[0]
+        res = {k: row[k] for k in keys}
+        n = int(row["__n"])
+        most = min(L if given else math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2, L)
+        if most < 0 or n - most - 1 <= most + 2:
             return pd.DataFrame([{**res, "adf_stat": np.nan, "p_value": np.nan, "used_lag": -1, "nobs": 0,
                                   "crit_1": np.nan, "crit_5": np.nan, "crit_10": np.nan}])
-        row = r1.iloc[0]
-        G = _unpack(row, m)
-        n = int(row["__n"])
+        parts = [np.array(row[c], dtype=float) for c in ("__head", "__tail", "__own", "__cross")]
+
+        def fit(start: int, lags: int, p: int):
+            G = _adf_gram(n, start, lags, *parts, float(row["__level"]), float(row["__sq"]))
+            return _ols_from_gram(G, n - start, list(range(2 + p)), lags + 2), n - start
+
         best, best_aic = 0, np.inf
-        for p in range(0, own + 1):
-            idx = list(range(0, 2 + p))
-            _, ssr, _ = _ols_from_gram(G, n, idx, m - 1)
-            llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / n) + 1)
-            aic = -2 * llf + 2 * len(idx)
+        common = _adf_gram(n, most + 1, most, *parts, float(row["__level"]), float(row["__sq"]))
+        rows = n - most - 1
+        for p in range(most + 1):
+            _, ssr, _ = _ols_from_gram(common, rows, list(range(2 + p)), most + 2)
+            llf = -rows / 2.0 * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / rows) + 1)
+            aic = -2 * llf + 2 * (2 + p)
             if aic < best_aic - 1e-12:
                 best, best_aic = p, aic
-        r2 = pdf[(pdf["__which"] == 2) & (pdf["__p"] == best)].iloc[0]
-        G2m = _unpack(r2, m)
-        n2 = int(r2["__n"])
-        idx = list(range(0, 2 + best))
-        beta, ssr, A = _ols_from_gram(G2m, n2, idx, m - 1)
-        sigma2 = ssr / (n2 - len(idx))
-        cov = sigma2 * np.linalg.pinv(A)
+        (beta, ssr, A), n2 = fit(best + 1, best, best)
+        cov = ssr / (n2 - 2 - best) * np.linalg.pinv(A)
         tau = float(beta[1] / math.sqrt(cov[1, 1])) if cov[1, 1] > 0 else np.nan
         crit = {k: v[0] + v[1] / n2 + v[2] / n2 ** 2 + v[3] / n2 ** 3 for k, v in ADF_CRIT.items()}
         return pd.DataFrame([{**res, "adf_stat": tau, "p_value": adf_pvalue(tau) if np.isfinite(tau) else np.nan,
                               "used_lag": best, "nobs": n2, "crit_1": crit["1%"], "crit_5": crit["5%"], "crit_10": crit["10%"]}])
 
-    return both.groupBy(*keys).applyInPandas(solve, out_schema)
+    return got.groupBy(*keys).applyInPandas(solve, out_schema)
 
 
 def _ar_design(df: DataFrame, keys: list[str], ts: str, y: str, lags: list[int], strategy: str = "auto"):
@@ -389,6 +415,161 @@ def ar_select(df: DataFrame, key, ts: str, y: str, max_p: int = 8, strategy: str
         F.min_by(F.struct("p", "rmse", "aic"), F.struct("rmse", "p")).alias("b")).select(*keys, "b.*")
 
 
+# ------------------------------------------------------------------- ARIMA
+def _long_ar(p: int, q: int, given: int | None) -> int:
+    return given if given is not None else max(p, q) + 4
+
+
+def _differences(f: DataFrame, keep: list[str], d: int, count: int) -> DataFrame:
+    """w0 .. w<count>: the value differenced ``d`` times, now and ``k`` rows before."""
+    x = ["__x", *[f"__x_lag_{k}" for k in range(1, count + d + 1)]]
+    w = [" + ".join(f"({(-1) ** i * math.comb(d, i)}) * `{x[k + i]}`" for i in range(d + 1)) + f" AS w{k}" for k in range(count + 1)]
+    return f.selectExpr(*[f"`{c}`" for c in keep], "1.0D AS one", *w)
+
+
+def _long_fit(rows: DataFrame, keys: list[str], m: int, types: dict[str, str]) -> DataFrame:
+    """(key..., __b): coefficients of the long autoregression of w0 on w1 .. wm, NULL
+    where it has too few rows."""
+    G = _gram(rows, keys, ["one", *[f"w{k}" for k in range(1, m + 1)], "w0"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = int(pdf["__n"].iloc[0])
+        b = [_ols_from_gram(_unpack(pdf.iloc[0], m + 2), n, list(range(m + 1)), m + 1)[0].tolist() if n > m + 1 else None]
+        return pd.DataFrame({**{k: pdf[k].iloc[:1].to_list() for k in keys}, "__b": b})
+
+    return G.groupBy(*keys).applyInPandas(run, ", ".join([f"{k} {types[k]}" for k in keys] + ["__b array<double>"]))
+
+
+def _with_residuals(rows: DataFrame, long: DataFrame, keys: list[str], m: int, q: int) -> DataFrame:
+    """``rows`` with e1 .. eq, residuals of the long autoregression one to ``q`` rows before."""
+    got = join_on_keys(rows, long, keys, "left")
+    e = [f"w{j} - __b[0]" + "".join(f" - __b[{i}] * w{j + i}" for i in range(1, m + 1)) + f" AS e{j}" for j in range(1, q + 1)]
+    return got.selectExpr("*", *e) if e else got
+
+
+def arima_forecast(df: DataFrame, key, ts: str, y: str, order: tuple[int, int, int] = (1, 1, 1), horizon: int = 12,
+                   long_ar: int | None = None, step: str = "1 day", z: float = 1.96, strategy: str = "auto") -> DataFrame:
+    """ARIMA(p, d, q) with intercept by Hannan-Rissanen, and forecasts with a band (op 15.7).
+
+    The values are differenced ``d`` times; a long autoregression (``long_ar`` lags,
+    by default max(p, q) + 4) gives residuals; least squares on ``p`` lagged
+    differences and ``q`` lagged residuals gives the coefficients (another
+    estimator than exact likelihood: stated). Forecasts run on with
+    future residuals zero and are summed back; the band is +- z sigma
+    sqrt(sum psi^2). Both regressions are sums of products per key.
+    Returns (key..., step, ts, forecast, lower, upper, reason, coef): ``coef`` is
+    (intercept, AR, MA). A series too short, or with a missing value near its
+    end, gives one row with step NULL and the reason; rows whose lags are
+    missing take no part in the fit.
+    """
+    keys = _keys(key)
+    p, d, q = order
+    m = _long_ar(p, q, long_ar) if q else 0
+    reach = max(p, m + q)
+    types = dict(df.dtypes)
+    f = series_frame(df, keys, ts, y, list(range(1, reach + d + 1)), strategy)
+    rows = _differences(f, [*keys, "__pos", "__n"], d, reach)
+    cols = ["one", *[f"w{k}" for k in range(1, p + 1)], *[f"e{k}" for k in range(1, q + 1)], "w0"]
+    if q:
+        long = _long_fit(rows.filter(F.col("__pos") >= d + m), keys, m, types)
+        rows = _with_residuals(rows, long, keys, m, q)
+    G = _gram(rows.filter(F.col("__pos") >= d + reach), keys, cols)
+    last = max(1, d + reach)
+    tail = f.filter(F.col("__pos") >= F.col("__n") - last).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("__pos", "__x"))).alias("__tail"), F.max(ts).alias("__last"))
+    both = join_on_keys(tail, G, keys, "left")
+    both = join_on_keys(both, long, keys, "left") if q else both.withColumn("__b", F.lit(None).cast("array<double>"))
+    size = len(cols)
+    schema = ", ".join([f"{k} {types[k]}" for k in keys] + ["step int", "forecast double", "lower double", "upper double", "reason string",
+                                                            "coef array<double>", "__last timestamp_ntz"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        base = {**{k: row[k] for k in keys}, "__last": row["__last"]}
+        n = int(row["__n"]) if pd.notna(row["__n"]) else 0
+        x = [t["__x"] for t in row["__tail"]]
+        reason = f"{n} complete rows, {size + 1} needed" if n <= size else None
+        if reason is None and (len(x) < d + reach or any(v is None for v in x)):
+            reason = "a missing value among the last lags"
+        if reason:
+            return pd.DataFrame([{**base, "step": None, "forecast": None, "lower": None, "upper": None, "reason": reason, "coef": None}])
+        beta, ssr, _ = _ols_from_gram(_unpack(row, size), n, list(range(size - 1)), size - 1)
+        sigma = math.sqrt(ssr / max(n - size + 1, 1))
+        phi, theta = beta[1:1 + p], beta[1 + p:]
+        w = list(np.diff(np.array(x, dtype=float), d)) if d else [float(v) for v in x]
+        e = [w[len(w) - j] - row["__b"][0] - sum(row["__b"][i] * w[len(w) - j - i] for i in range(1, m + 1)) for j in range(q, 0, -1)] if q else []
+        levels = [float(v) for v in x]
+        back = [-((-1) ** i) * math.comb(d, i) for i in range(1, d + 1)]  # x[t] = w[t] + sum back[i] x[t-i]
+        ar = -np.convolve(np.concatenate([[1.0], -phi]), np.array([(-1) ** i * math.comb(d, i) for i in range(d + 1)], dtype=float))[1:]
+        psi, out = [1.0], []
+        for h in range(1, horizon + 1):
+            nxt = beta[0] + sum(phi[k] * w[-1 - k] for k in range(p)) + sum(theta[k] * e[-1 - k] for k in range(q))
+            w.append(nxt)
+            e.append(0.0)
+            levels.append(nxt + sum(c * levels[-1 - k] for k, c in enumerate(back)))
+            band = z * sigma * math.sqrt(sum(v * v for v in psi))
+            out.append({**base, "step": h, "forecast": levels[-1], "lower": levels[-1] - band, "upper": levels[-1] + band, "reason": None, "coef": beta.tolist()})
+            psi.append((theta[h - 1] if h <= q else 0.0) + sum(ar[k - 1] * psi[h - k] for k in range(1, min(h, len(ar)) + 1)))
+        return pd.DataFrame(out)
+
+    res = both.groupBy(*keys).applyInPandas(run, schema)
+    return res.select(*keys, "step", (F.col("__last") + F.expr(f"interval {step}") * F.col("step")).alias(ts),
+                      "forecast", "lower", "upper", "reason", "coef")
+
+
+def arima_select(df: DataFrame, key, ts: str, y: str, max_p: int = 2, max_d: int = 1, max_q: int = 2, hold_out: float = 0.2,
+                 long_ar: int | None = None, strategy: str = "auto") -> DataFrame:
+    """Order search over (p, d, q) (op 15.8): the order with the lowest one-step RMSE
+    on the last ``hold_out`` share of each series (ties -> smaller d, p, q).
+
+    All orders are fitted and scored on the same rows. Per d one long
+    autoregression of the first part gives the residuals, and one Gram matrix per part
+    serves every (p, q); an error of the difference is the error of the
+    value. Returns (key..., p, d, q, rmse, aic)."""
+    from functools import reduce
+
+    keys = _keys(key)
+    types = dict(df.dtypes)
+    m = _long_ar(max_p, max_q, long_ar) if max_q else 0
+    reach = max(max_p, m + max_q)
+    f = series_frame(df, keys, ts, y, list(range(1, reach + max_d + 1)), strategy)
+    cols = ["one", *[f"w{k}" for k in range(1, max_p + 1)], *[f"e{k}" for k in range(1, max_q + 1)], "w0"]
+    size = len(cols)
+    grams = []
+    for d in range(max_d + 1):
+        rows = _differences(f, [*keys, "__pos", "__n"], d, reach)
+        rows = rows.withColumn("__test", (F.col("__pos") >= F.ceil(F.col("__n") * (1 - hold_out))).cast("int"))
+        if max_q:
+            long = _long_fit(rows.filter((F.col("__pos") >= d + m) & (F.col("__test") == 0)), keys, m, types)
+            rows = _with_residuals(rows, long, keys, m, max_q)
+        grams.append(_gram(rows.filter(F.col("__pos") >= max_d + reach), keys, cols, ["__test"]).withColumn("__d", F.lit(d)))
+    schema = ", ".join([f"{k} {types[k]}" for k in keys] + ["p int", "d int", "q int", "rmse double", "aic double"])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for d in range(max_d + 1):
+            parts = {int(r["__test"]): r for _, r in pdf[pdf["__d"] == d].iterrows()}
+            if set(parts) != {0, 1}:
+                continue
+            n, nt = int(parts[0]["__n"]), int(parts[1]["__n"])
+            fit, held = _unpack(parts[0], size), _unpack(parts[1], size)
+            for p in range(max_p + 1):
+                for q in range(max_q + 1):
+                    idx = [*range(p + 1), *range(1 + max_p, 1 + max_p + q)]
+                    if n <= len(idx) + 1:
+                        continue
+                    beta, ssr, _ = _ols_from_gram(fit, n, idx, size - 1)
+                    llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / n) + 1)
+                    miss = held[size - 1, size - 1] - 2 * beta @ held[idx, size - 1] + beta @ held[np.ix_(idx, idx)] @ beta
+                    out.append({**{k: pdf[k].iloc[0] for k in keys}, "p": p, "d": d, "q": q,
+                                "rmse": math.sqrt(max(float(miss), 0.0) / nt), "aic": -2 * llf + 2 * len(idx)})
+        return pd.DataFrame(out, columns=[*keys, "p", "d", "q", "rmse", "aic"])
+
+    scores = reduce(DataFrame.unionByName, grams).groupBy(*keys).applyInPandas(run, schema)
+    return scores.groupBy(*keys).agg(
+        F.min_by(F.struct("p", "d", "q", "rmse", "aic"), F.struct("rmse", "d", "p", "q")).alias("b")).select(*keys, "b.*")
+
+
 def attach_forecast(history: DataFrame, forecast: DataFrame, key, ts: str) -> DataFrame:
     """History with the forecast rows appended / joined by (key, ts) (op 15.10)."""
     keys = _keys(key)

@@ -168,6 +168,19 @@ def adf_hourly(spark, sf):
     return Ts.adf(h, "event_type", "ts", "v")
 
 
+@query("adf_zero_lag_daily", f"""
+with d as ({_DAILY_SQL}),
+l as (select event_type, total - lag(total) over w as dy, lag(total) over w as y1 from d window w as (partition by event_type order by ts)),
+r as (select event_type, regr_count(dy, y1) as n, regr_slope(dy, y1) as b, regr_sxx(dy, y1) as sxx, regr_syy(dy, y1) as syy, regr_sxy(dy, y1) as sxy
+      from l group by 1)
+select event_type, round(b / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx), 6) as adf_stat, 0 as used_lag, n::bigint as nobs from r
+""")
+def adf_zero_lag_daily(spark, sf):
+    """15.6 Dickey-Fuller test without lagged differences: a simple regression."""
+    a = Ts.adf(daily_series(spark, sf), "event_type", "ts", "total", max_lag=0)
+    return a.select("event_type", r6("adf_stat").alias("adf_stat"), "used_lag", "nobs")
+
+
 @query("ar_forecast_daily", None)
 def ar_forecast_daily(spark, sf):
     """15.7 AR(2) + weekly lag forecast, 7 days ahead with a 95 % band."""
@@ -209,6 +222,40 @@ def ar1_forecast_monthly(spark, sf):
     return f.select("step", "o_orderdate", F.round("forecast", 2).alias("forecast"))
 
 
+@query("arima111_forecast_monthly", f"""
+with recursive {_MONTHS},
+w as (select pos, y, y - lag(y) over o as w0, lag(y) over o - lag(y, 2) over o as w1, lag(y, 2) over o - lag(y, 3) over o as w2
+      from d window o as (order by pos)),
+la as (select regr_slope(w0, w1) as b, regr_intercept(w0, w1) as a from w where pos >= 2),
+e as (select w.*, w1 - la.a - la.b * w2 as e1, w0 - la.a - la.b * w1 as e0 from w, la),
+c as (select var_pop(w1) as c11, var_pop(e1) as c22, covar_pop(w1, e1) as c12, covar_pop(w0, w1) as y1, covar_pop(w0, e1) as y2,
+             avg(w0) as m0, avg(w1) as m1, avg(e1) as m2 from e where pos >= 3),
+k as (select (y1 * c22 - y2 * c12) / (c11 * c22 - c12 * c12) as phi, (y2 * c11 - y1 * c12) / (c11 * c22 - c12 * c12) as theta, m0, m1, m2 from c),
+z as (select m0 - phi * m1 - theta * m2 as a, phi, theta from k),
+n as (select * from e order by pos desc limit 1),
+f as (select 1 as step, n.y + z.a + z.phi * n.w0 + z.theta * n.e0 as x, z.a + z.phi * n.w0 + z.theta * n.e0 as w from n, z
+      union all select step + 1, x + z.a + z.phi * w, z.a + z.phi * w from f, z where step < 6)
+select step, ((select max(ts) from d) + step * interval 1 month)::timestamp as o_orderdate, round(x) as forecast from f
+""")
+def arima111_forecast_monthly(spark, sf):
+    """15.7 ARIMA(1, 1, 1) of one series without a key; residuals from an AR(1)."""
+    f = Ts.arima_forecast(_months(spark, sf), None, "o_orderdate", "y", order=(1, 1, 1), horizon=6, long_ar=1, step="1 month")
+    return f.select("step", "o_orderdate", F.round("forecast").alias("forecast"))
+
+
+@query("arima_forecast_by_status", None)
+def arima_forecast_by_status(spark, sf):
+    """15.7 ARIMA(2, 1, 1) of the monthly totals of every order status, 12 months ahead."""
+    m = Ts.resample(T(spark, sf, "orders"), "o_orderdate", "month", {"y": ("sum", "o_totalprice")}, key="o_orderstatus", month_end=False)
+    return Ts.arima_forecast(m, "o_orderstatus", "o_orderdate", "y", order=(2, 1, 1), horizon=12, step="1 month")
+
+
+@query("arima_order_search", None)
+def arima_order_search(spark, sf):
+    """15.8 best (p, d, q) per type by one-step RMSE on the last fifth."""
+    return Ts.arima_select(daily_series(spark, sf), "event_type", "ts", "total", max_p=2, max_d=1, max_q=2, long_ar=3)
+
+
 @query("ar1_holdout_scores", f"""
 with {_MONTHS}, {_ar1("d", 6, "pos < (select count(*) from mo) - 6")},
 j as (select d.y as t, f.y as p from f join d on d.pos = f.n + f.step)
