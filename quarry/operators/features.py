@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.joins import broadcast_if_small
 
@@ -264,11 +265,23 @@ def md5_bucket(key: str, buckets: int = 100) -> Column:
 
 
 def ordered_split(df: DataFrame, order, n_train: int) -> tuple[DataFrame, DataFrame]:
-    """First ``n_train`` rows in ``order`` vs the rest (op 13.13)."""
-    from quarry.operators.ranking import row_numbers
-
-    rn = row_numbers(df, order, "__rn", start=0)
-    return rn.filter(F.col("__rn") < n_train).drop("__rn"), rn.filter(F.col("__rn") >= n_train).drop("__rn")
+    """First ``n_train`` rows in ``order`` vs the rest (op 13.13), NULL first; rows
+    equal in ``order`` follow the other columns, rows equal in all of these
+    count as interchangeable. The cut is found by rank selection
+    (:func:`quarry.operators.selection.cut_row`) and the halves are two filters:
+    nothing is numbered or sorted."""
+    from quarry.operators.selection import cut_row
+
+    order = [order] if isinstance(order, str) else list(order)
+    order += [f.name for f in df.schema.fields if f.name not in order and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    before, ties, left = cut_row(df, order, n_train)
+    sure = F.coalesce(before, F.lit(False))
+    if not left:
+        return df.filter(sure), df.filter(~sure)
+    tied = F.coalesce(ties, F.lit(False)) & ~sure
+    some = df.filter(tied)
+    rest = max(0, some.count() - left)
+    return df.filter(sure).unionByName(some.limit(left)), df.filter(~sure & ~tied).unionByName(some.limit(rest))
 
 
 def assign_folds(df: DataFrame, key, k: int = 5, repeats: int = 1, seed: int = 42, name: str = "fold",
@@ -296,12 +309,21 @@ def _cols(key):
 def undersample(df: DataFrame, label: str, key, seed: int = 42) -> DataFrame:
     """Random undersampling to the smallest class size (op 13.15).
 
-    Each row gets a seeded hash; within each class rows are ranked by it
-    without a per-class window (per-key numbering on a global range
-    partition), and the first ``min_count`` are kept."""
-    from quarry.operators.ranking import per_key_numbers
+    Each row gets a seeded hash of its key; per class the hash at the rank of the
+    smallest class is found by radix selection, and a filter keeps the rows up
+    to it. Only rows with that very hash (repeated keys) are numbered."""
+    from pyspark.sql import Window
+
+    from quarry.operators.joins import join_on_keys
+    from quarry.operators.selection import select_ranks
 
     h = F.xxhash64(F.lit(seed), *_cols(key))
-    n_min = df.groupBy(label).count().select(F.min("count")).scalar()
-    ranked = per_key_numbers(df.withColumn("__h", h), label, ["__h"] + ([key] if isinstance(key, str) else list(key)), "__rn")
-    return ranked.filter(F.col("__rn") <= n_min).drop("__h", "__rn")
+    n_min = df.groupBy(label).count().agg(F.min("count")).first()[0]
+    if not n_min:
+        return df
+    cut = select_ranks(df, [label], {"h": h}, lambda n: F.array(F.lit(n_min - 1).cast("bigint")))
+    cut = cut.select(label, F.col("code").alias("__cut"), (F.lit(n_min) - F.col("below")).alias("__left"))
+    rows = join_on_keys(df.withColumn("__h", h), cut, [label])
+    at = F.row_number().over(Window.partitionBy(label, "__h").orderBy(*_cols(key)))
+    ties = rows.filter(F.col("__h") == F.col("__cut")).withColumn("__at", at).filter(F.col("__at") <= F.col("__left")).drop("__at")
+    return rows.filter(F.col("__h") < F.col("__cut")).unionByName(ties).drop("__h", "__cut", "__left")

@@ -143,39 +143,34 @@ def _nth(base: DataFrame, r: int) -> float:
 
 
 def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=None) -> DataFrame:
-    """Exact linear-interpolated quantiles by rank, ``(keys..., prob, value)``.
-
-    Rows are numbered globally in (keys, value, row id) order by range
-    partitioning (so a hot key or a hot value still spreads over many
-    tasks); per group the first number and the count give each row's rank;
-    only the rows at ranks floor/ceil((n - 1) p) survive a filter, and a
-    small aggregate interpolates between them. No task ever holds a
-    group's values.
-    """
-    from quarry.operators.joins import join_on_keys
-    from quarry.operators.ranking import row_numbers
+    """Exact linear-interpolated quantiles by rank, ``(keys..., prob, value)``: the
+    values at ranks floor/ceil((n - 1) p) of every group, found by radix selection
+    (:func:`quarry.operators.selection.select_ranks`), no sort; no task ever
+    holds a group's values. A group without values has no rows, a table without
+    values has NULLs."""
+    out = exact_quantiles_radix(df, [col], probs, keys).drop("column")
+    if keys:
+        return out
+    all_probs = df.sparkSession.createDataFrame([(float(p),) for p in probs], "prob double")
+    return all_probs.join(out, "prob", "left")
+
+
+def exact_quantiles_radix(df: DataFrame, cols: list[str], probs: list[float], keys=None) -> DataFrame:
+    """:func:`exact_quantiles_sorted` of several columns at once, ``(keys..., column, prob, value)``."""
+    from quarry.operators.selection import order_code, quantile_ranks, select_ranks
 
     keys = [keys] if isinstance(keys, str) else list(keys or [])
-    x = df.select(*keys, F.col(col).cast("double").alias("__x")).filter(F.col("__x").isNotNull())
-    x = x.withColumn("__t", F.monotonically_increasing_id())
-    rn = row_numbers(x, [*keys, "__x", "__t"], "__g", total=False)
-    stats = rn.groupBy(*keys).agg(F.min("__g").alias("__g0"), F.count(F.lit(1)).alias("__n"))
-    j = join_on_keys(rn, stats, keys)
-    j = j.withColumn("__r", F.col("__g") - F.col("__g0"))
-    h = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
-    need = F.lit(False)
-    for hp in h:
-        need = need | (F.col("__r") == F.floor(hp)) | (F.col("__r") == F.ceil(hp))
-    picked = j.filter(need)
-    aggs = []
-    for i, (p, hp) in enumerate(zip(probs, h)):
-        lo = F.max(F.when(F.col("__r") == F.floor(hp), F.col("__x")))
-        hi = F.max(F.when(F.col("__r") == F.ceil(hp), F.col("__x")))
+    x = {c: F.col(c).cast("double") for c in cols}
+    got = select_ranks(df, keys, {c: order_code(e) for c, e in x.items()}, quantile_ranks(probs), x)
+    h = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    parts = []
+    for p, hp in zip(probs, h):
+        lo = F.max(F.when(F.col("rank") == F.floor(hp), F.col("value")))
+        hi = F.max(F.when(F.col("rank") == F.ceil(hp), F.col("value")))
         w = F.max(hp - F.floor(hp))
-        aggs.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * w).alias(f"__q{i}"))  # inf - inf is no number
-    wide = picked.groupBy(*keys).agg(*aggs) if keys else picked.agg(*aggs)
-    structs = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"__q{i}").alias("value")) for i, p in enumerate(probs)]
-    return wide.select(*keys, F.explode(F.array(*structs)).alias("__s")).select(*keys, "__s.*")
+        parts.append(F.struct(F.lit(float(p)).alias("prob"), F.when(lo == hi, lo).otherwise(lo + (hi - lo) * w).alias("value")))  # inf - inf is no number
+    wide = got.groupBy(*keys, F.col("col").alias("column")).agg(F.array(*parts).alias("__s"))
+    return wide.select(*keys, "column", F.explode("__s").alias("__s")).select(*keys, "column", "__s.*")
 
 
 def _long(row_df: DataFrame, cols: list[str], fields: dict[str, callable], keys: list[str] | None = None) -> DataFrame:
