@@ -9,9 +9,10 @@ missed with probability ``MISS`` at most.
 
 Documents with equal shingle sets are one node. Some slices of the tables come
 first, with one row per component in a bucket; a bucket that lies in one component after them is
-left out of what follows. In a bucket no pairs are listed: a leader is compared with the members of other components, and the
-bucket is finished once it lies in one component; else 16, then 4,096 and more
-leaders follow, until every pair that is not yet connected has been
+left out of what follows. In a bucket no pairs are listed: where at most
+``MINORITY`` members lie outside the largest component, these are compared
+with the members of other components; else one leader is, then 16, 4,096 and
+more leaders follow while the bucket lies in several components, until every pair that is not yet connected has been
 compared. The comparison is a join condition on sizes and parity sketches,
 which bound the number of differing shingles from below and so lose no link;
 what passes is confirmed on the full sets.
@@ -38,6 +39,8 @@ CHUNK = 500_000
 SIGNED = "id bigint, n_shingles bigint, sid binary, halves array<bigint>, odd array<bigint>"
 #: longs of a parity sketch
 SKETCH = 8
+#: members outside the largest component of a bucket that are compared with all others at once
+MINORITY = 64
 #: bits (as a power of 2) of the filter for the texts that are read again
 BLOOM = 26
 
@@ -178,7 +181,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 def slices(m: int) -> list[range]:
     """Collections of the first family whose tables are taken first, with one row per
     component in a bucket; all tables follow."""
-    cuts = [c for c in (0, 1, 2, 6) if c <= m]
+    cuts = [c for c in (0, 1, 4) if c <= m]
     return [range(a, b) for a, b in zip(cuts, cuts[1:])]
 
 
@@ -227,7 +230,23 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
     open_ = size.groupBy("n", "a", "z", "s").agg(F.min("key").alias("key")).select("key")
     now = scratch.keep(keyed.join(open_, "key", "left_semi"), "open")
     scratch.drop(keyed)
-    return _waves(now, comp, sets, odd, percent, scratch)
+    # where few members lie outside the largest component, these meet all others, and the bucket is finished
+    parts = scratch.keep(now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")), "parts")
+    most = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
+    few = F.col("all") - F.col("top.n") <= MINORITY
+    least = now.join(most.filter(few).select("key", F.col("top.root").alias("main")), "key").filter("root <> main")
+    least = scratch.keep(_leaders(least.select("key", F.struct("w", "nid", "size", "root", *odd).alias("l")), odd), "minority")
+    comp, to = _link(now, least, comp, sets, odd, percent, scratch)
+    rest = parts.join(most.filter(~few).select("key"), "key", "left_semi")
+    if to is not None:
+        rest = rest.join(to, "root", "left").withColumn("root", F.coalesce("to", "root"))
+    still = rest.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("key")
+    rest = now.join(still, "key", "left_semi")
+    if to is not None:
+        rest = rest.join(to, "root", "left").withColumn("root", F.coalesce("to", "root")).select(*now.columns)
+    rest = scratch.keep(rest, "large")
+    scratch.drop(now, parts, least)
+    return _waves(rest, comp, sets, odd, percent, scratch)
 
 
 def _tables(info: DataFrame, comp: DataFrame, part: range, odd: list[str]) -> DataFrame:
