@@ -74,20 +74,21 @@ def _slug(v) -> str:
 class OneHot:
     """One indicator per level, all levels kept; NULL / unseen -> all 0 (T10)."""
 
-    def __init__(self, levels: dict[str, list], drop_source: bool = True):
+    def __init__(self, levels: dict[str, list], drop_source: bool = True, taken: set[str] | None = None):
         self.levels = levels
         self.drop_source = drop_source
+        self.taken = set(taken or ())
 
     def named(self) -> list[tuple[str, str, object]]:
-        """(name, column, level); a name that two levels share gets the level's
-        position."""
-        out, seen = [], set()
+        """(name, column, level); a name that two levels share, or that the fitted
+        frame has already (letter case aside), gets the level's position."""
+        out, seen = [], {t.lower() for t in self.taken}
         for c, lv in self.levels.items():
             for i, v in enumerate(lv):
                 n = f"{c}_{_slug(v)}"
-                while n in seen:
+                while n.lower() in seen:
                     n = f"{n}_{i}"
-                seen.add(n)
+                seen.add(n.lower())
                 out.append((n, c, v))
         return out
 
@@ -97,16 +98,74 @@ class OneHot:
     def transform(self, df: DataFrame) -> DataFrame:
         new = {n: F.when(F.col(c) == F.lit(v), 1).otherwise(0) for n, c, v in self.named()}
         keep = [x for x in df.columns if not (self.drop_source and x in self.levels)]
+        clash = sorted({x.lower() for x in keep} & {n.lower() for n in new})
+        if clash:
+            raise ValueError(f"columns {clash} would appear twice; fit on a frame that has them")
         return df.select(*keep, *[e.alias(n) for n, e in new.items()])  # one projection, not a chain
 
 
+class SparseOneHot:
+    """One place per level in a sparse vector, for any number of levels; NULL and
+    unseen values set no place (T10). The levels are tables (value, code)
+    numbered in their order; column after column has its range of places."""
+
+    def __init__(self, tables: dict[str, DataFrame], sizes: dict[str, int]):
+        self.tables = tables
+        self.sizes = sizes
+
+    @property
+    def size(self) -> int:
+        return sum(self.sizes.values())
+
+    def indices(self, df: DataFrame, name: str = "indices") -> DataFrame:
+        """``df`` with the ascending places that are set, array<bigint>."""
+        out, start, at = df, 0, []
+        for i, (c, t) in enumerate(self.tables.items()):
+            side = t.select(F.col(c).alias(f"__lv{i}"), (F.col("__code") + F.lit(start)).alias(f"__at{i}"))
+            out = out.join(side, F.col(c) == F.col(f"__lv{i}"), "left").drop(f"__lv{i}")
+            at.append(F.col(f"__at{i}"))
+            start += self.sizes[c]
+        return out.withColumn(name, F.array_compact(F.array(*at))).drop(*[f"__at{i}" for i in range(len(at))])
+
+    def transform(self, df: DataFrame, name: str = "onehot") -> DataFrame:
+        """``df`` with a sparse ML vector of ``size`` places, JVM-side."""
+        from pyspark.ml.feature import OneHotEncoderModel, OneHotEncoder, VectorAssembler
+
+        out, parts = df, []
+        for i, (c, t) in enumerate(self.tables.items()):
+            side = t.select(F.col(c).alias(f"__lv{i}"), F.col("__code").cast("double").alias(f"__at{i}"))
+            out = out.join(side, F.col(c) == F.col(f"__lv{i}"), "left").drop(f"__lv{i}")
+            # a value without a level is the one category beyond the last, which is dropped
+            out = out.withColumn(f"__at{i}", F.coalesce(f"__at{i}", F.lit(float(self.sizes[c]))))
+            fitted: OneHotEncoderModel = OneHotEncoder(inputCol=f"__at{i}", outputCol=f"__v{i}", dropLast=True, handleInvalid="keep").fit(
+                df.sparkSession.createDataFrame([(float(max(0, self.sizes[c] - 1)),)], f"__at{i} double"))
+            out = fitted.transform(out).drop(f"__at{i}")
+            parts.append(f"__v{i}")
+        return VectorAssembler(inputCols=parts, outputCol=name).transform(out).drop(*parts)
+
+
+def fit_one_hot_sparse(df: DataFrame, cols: list[str]) -> SparseOneHot:
+    """Level tables of any size (op 13.2): distinct non-NULL levels, numbered in
+    ascending order by ranges and kept as tables; only the number of levels
+    per column comes to the driver."""
+    from quarry.operators.ranking import row_numbers
+    from quarry.session import cut_lineage
+
+    tables, sizes = {}, {}
+    for c in cols:
+        distinct = df.select(c).filter(F.col(c).isNotNull()).distinct()
+        tables[c] = cut_lineage(row_numbers(distinct, [c], "__code", start=0, total=False))
+        sizes[c] = tables[c].count()
+    return SparseOneHot(tables, sizes)
+
+
 def fit_one_hot(df: DataFrame, cols: list[str], levels: dict[str, list] | None = None,
                 drop_source: bool = True, max_levels: int = 1_000) -> OneHot:
     """Levels per column from the data unless given (ordered categoricals
     pass their full level list and so yield unseen levels too). A column
     with more than ``max_levels`` levels is refused: one indicator column
-    per level would not be a usable projection (use label codes or
-    frequency encoding instead)."""
+    per level would not be a usable projection (:func:`fit_one_hot_sparse`
+    takes any number of levels)."""
     levels = dict(levels or {})
     for c in cols:
         if c not in levels:
@@ -114,7 +173,7 @@ def fit_one_hot(df: DataFrame, cols: list[str], levels: dict[str, list] | None =
             if lv is None:
                 raise ValueError(f"{c}: more than {max_levels} levels; one-hot refused (use label/frequency encoding)")
             levels[c] = lv
-    return OneHot(levels, drop_source)
+    return OneHot(levels, drop_source, set(df.columns) - (set(levels) if drop_source else set()))
 
 
 class FreqEncoder:

@@ -21,30 +21,35 @@ def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> DataFrame
     return g.agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
+#: copies of one row that a task replays
+COPIES = 100_000
+
+
 def duplicate_flags(df: DataFrame, subset: list[str] | None = None, name: str = "is_duplicate") -> DataFrame:
     """Flag every copy but one of each repeated row (flag form of 8.4).
 
-    Identical rows are indistinguishable, so "which copy is first" is
-    decided by a per-row id; the kept copy is the one with the smallest
-    id (a partially aggregated ``min``), joined back on the row key. The ids
-    are checkpointed: both sides of the join must see the same ones."""
-    from quarry.session import cut_lineage
-
-    cols = subset or df.columns
-    with_id = cut_lineage(df.withColumn("__id", F.monotonically_increasing_id()))
-    first = with_id.groupBy(*cols).agg(F.min("__id").alias("__first"))
-    cond = [with_id[c].eqNullSafe(first[c]) for c in cols]
-    out = with_id.join(first, _and(cond))
-    for c in cols:
-        out = out.drop(first[c])
-    return out.withColumn(name, F.col("__id") != F.col("__first")).drop("__id", "__first")
-
-
-def _and(conds):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+    Equal rows cannot be told apart, so they are counted and emitted again: a
+    row repeated a million times is one partial count per task, and its copies
+    are replayed by several tasks. For a ``subset`` the row that stays is the
+    smallest in the other columns (NULL first), whatever the order of the input.
+    """
+    from quarry.operators.joins import join_on_keys
+
+    counts = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    kept = F.lit(True)
+    if subset and set(subset) != set(df.columns):
+        others = F.struct(*[c for c in df.columns if c not in subset])
+        first = counts.groupBy(*subset).agg(F.min(others).alias("__least"))
+        counts = join_on_keys(counts, first, subset)
+        kept = others.eqNullSafe(F.col("__least"))
+    rows = counts.select(*df.columns, "__copies", kept.alias("__kept"))
+    one = F.lit(1).cast("bigint")
+    few = rows.filter(F.col("__copies") <= COPIES).withColumn("__copy", F.explode(F.sequence(one, "__copies")))
+    last = F.floor((F.col("__copies") - 1) / COPIES)
+    parts = rows.filter(F.col("__copies") > COPIES).withColumn("__part", F.explode(F.sequence(one - 1, last)))
+    upto = F.least(F.col("__copies"), (F.col("__part") + 1) * COPIES)
+    many = parts.repartition("__part", *df.columns).withColumn("__copy", F.explode(F.sequence(F.col("__part") * COPIES + 1, upto))).drop("__part")
+    return few.unionByName(many).select(*df.columns, (~(F.col("__kept") & (F.col("__copy") == 1))).alias(name))
 
 
 def drop_duplicates(df: DataFrame, subset: list[str] | None = None) -> DataFrame:

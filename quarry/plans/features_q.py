@@ -63,6 +63,20 @@ def one_hot_ordered_levels(spark, sf):
     return enc.transform(o)
 
 
+@query("one_hot_sparse_places", """
+with p as (select nullif(p_brand, 'Brand#1') as b, p_name as m, p_partkey from part),
+lb as (select b, row_number() over (order by b) - 1 as at from (select distinct b from p where b is not null)),
+lm as (select m, row_number() over (order by m) - 1 + (select count(*) from lb) as at from (select distinct m from p where m is not null))
+select p_partkey, lb.at as place from p join lb on p.b = lb.b
+union all select p_partkey, lm.at from p join lm on p.m = lm.m
+""")
+def one_hot_sparse_places(spark, sf):
+    """13.2 sparse one-hot of names with any number of levels: the places set per row."""
+    p = T(spark, sf, "part").select("p_partkey", F.nullif("p_brand", F.lit("Brand#1")).alias("b"), F.col("p_name").alias("m"))
+    enc = Fe.fit_one_hot_sparse(p, ["b", "m"])
+    return enc.indices(p).select("p_partkey", F.explode("indices").alias("place"))
+
+
 @query("minmax_train_test", f"""
 with s as (select c_custkey, c_acctbal, c_nationkey, 7.0 as k, {md5b('c_custkey')} < 80 as is_train from customer),
 st as (select min(c_acctbal) as mn, max(c_acctbal) as mx, min(c_nationkey) as nmn, max(c_nationkey) as nmx from s where is_train)

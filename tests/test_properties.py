@@ -509,3 +509,54 @@ def test_lags_plan_explodes_no_row_by_lag(spark, capsys):
     # the one explode lists the places that ranges reach for; the window needs the rows of a range, not of a key
     assert plan.count("Generate") <= 1 and "Window" in plan
     assert "hashpartitioning(k#" not in plan
+
+
+def test_one_hot_names_told_apart_from_the_frames_columns(spark):
+    df = spark.createDataFrame([("a", 7, 1), ("b", 8, 2)], "c string, c_a int, C_B int")
+    got = Fe.fit_one_hot(df, ["c"]).transform(df)
+    assert len({c.lower() for c in got.columns}) == 4 and sorted(r[0] for r in got.collect()) == [7, 8]
+    with pytest.raises(ValueError):
+        Fe.fit_one_hot(df.select("c"), ["c"]).transform(df)
+
+
+def test_sparse_one_hot_of_many_levels(spark):
+    df = spark.range(3000).select("id", F.format_string("m%04d", F.col("id") % 2500).alias("m"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"))
+    enc = Fe.fit_one_hot_sparse(df, ["m", "k"])
+    assert enc.size == 2502
+    new = spark.createDataFrame([(1, "m0003", 2), (2, "unseen", 1), (3, None, None)], "id bigint, m string, k bigint")
+    assert {r.id: r.indices for r in enc.indices(new).collect()} == {1: [3, 2501], 2: [2500], 3: []}
+    vec = {r.id: r.onehot for r in enc.transform(new).collect()}
+    assert all(v.size == 2502 for v in vec.values()) and {i: sorted(int(x) for x in v.indices) for i, v in ((i, v) for i, v in vec.items() if hasattr(v, "indices"))} \
+        == {1: [3, 2501], 2: [2500], 3: []}
+
+
+def test_duplicate_flags_replay(spark, monkeypatch, capsys):
+    from quarry.operators import setops
+
+    monkeypatch.setattr(setops, "COPIES", 4)
+    rows = [("a", 1, None)] * 11 + [("a", 1, 2.0)] * 2 + [("b", None, 1.0), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "k string, i int, x double")
+    out = setops.duplicate_flags(df)
+    got = [tuple(r) for r in out.collect()]
+    assert sorted(map(str, (r[:3] for r in got))) == sorted(map(str, rows))
+    assert sorted(str(r[:3]) for r in got if not r[3]) == sorted(str(r) for r in set(rows))
+    sub = [tuple(r) for r in setops.duplicate_flags(df, ["k"]).collect()]
+    assert sorted(str(r[:3]) for r in sub if not r[3]) == sorted(map(str, [("a", 1, None), ("b", None, 1.0), (None, None, None)])) and len(sub) == len(rows)
+    out.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out.replace("Scan ExistingRDD[k#", "")
+
+
+def test_kde_bins_within_their_error_bound(spark):
+    from quarry.operators.profile import kde
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=3000), rng.normal(5, 0.3, 3000)])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+    grid = [float(g) for g in np.linspace(-3, 7, 50)]
+    h = 0.2
+    exact = np.array([np.exp(-0.5 * ((g - x) / h) ** 2).sum() for g in grid]) / (len(x) * h * np.sqrt(2 * np.pi))
+    for bins in (None, 300):
+        got = np.array([r.density for r in kde(df, "x", grid=grid, bandwidth=h, bins=bins).orderBy("x").collect()])
+        width = (x.max() - x.min()) / ((bins or P.KDE_POINTS) - 1)
+        assert np.abs(got - exact).max() <= (width / h) ** 2 / 8 / (h * np.sqrt(2 * np.pi)) + 1e-12
+    assert kde(df.limit(0), "x").collect() == []
