@@ -1,7 +1,8 @@
 """Deterministic sharded WARC writer and reader (operator 3).
 
 Records are range-sorted by key; each range is written by one task as a run
-of files that roll over by compressed size. Headers, ids and digests are
+of files that roll over by compressed size. The keys that cut the ranges are
+found by exact ranks, so the same rows and number of ranges give the same files. Headers, ids and digests are
 made anew from the row, the gzip members carry no time, so a retry writes
 the same bytes. Files are written under temporary names; only the files in the
 manifest rows of tasks that succeeded get their final names, and the manifest is
@@ -18,10 +19,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Scratch, delete_path
+from quarry.operators.selection import select_ranks
 
 ROLL_BYTES = 256 << 20
 WARC_DATE = "2020-01-01T00:00:00Z"
@@ -43,7 +45,8 @@ def _clean(value: str) -> str:
 
 
 def _record(kind: str, record_id: str, block: bytes, extra: list[tuple[str, str]]) -> bytes:
-    head = [("WARC-Type", kind), ("WARC-Record-ID", record_id), ("WARC-Date", WARC_DATE), *extra, ("Content-Length", str(len(block)))]
+    head = [("WARC-Type", kind), ("WARC-Record-ID", record_id), ("WARC-Date", WARC_DATE), *extra,
+            ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"), ("Content-Length", str(len(block)))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
@@ -91,23 +94,23 @@ class _Roller:
 
 
 def _write_range(batches: Iterator[pa.RecordBatch], folder: str, roll: int, level: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, url, sha, kind). A row of kind 0 says which row leads
+    """Rows sorted by (range, key, url, sha, kind). A row of kind 0 says which row leads
     the group of equal payloads that (key, url, sha) belongs to; rows of kind 1
     are the records. A record without a leader row has no equal."""
-    from pyspark import TaskContext
-
-    files = _Roller(folder, TaskContext.get().partitionId(), roll)
+    files, made = None, []
     now, leader, copy, open_ = None, None, 0, False
-    key_now, of_key = object(), 0
     for batch in batches:
         for k in range(len(batch)):
-            key, url, sha, kind, mime, payload, lead_key, leads = (c[k].as_py() for c in batch.columns)
+            part, key, url, sha, kind, mime, payload, lead_key, lead_url, leads = (c[k].as_py() for c in batch.columns)
+            if files is None or part != files.part:
+                if files is not None:
+                    files.close()
+                files, now = _Roller(folder, part, roll), None
+                made.append(files)
             if (key, url, sha) != now:
                 now, leader, copy, open_ = (key, url, sha), None, 0, False
-            if key != key_now:
-                key_now, of_key = key, 0
             if kind == 0:
-                leader, open_ = (lead_key,), leads
+                leader, open_ = (lead_key, lead_url), leads
                 continue
             payload = payload or b""
             extra = [("WARC-Target-URI", _clean(url)), ("WARC-Payload-Digest", f"sha1:{base32_sha1(payload)}"),
@@ -119,12 +122,16 @@ def _write_range(batches: Iterator[pa.RecordBatch], folder: str, roll: int, leve
                 rec = _record("response", name, head + payload, kind_of + extra)
             else:
                 extra += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+                          ("WARC-Refers-To", record_id(f"{leader[0]}/{leader[1]}/{sha.hex()}", 0)),
+                          ("WARC-Refers-To-Target-URI", _clean(leader[1])), ("WARC-Refers-To-Date", WARC_DATE),
                           ("X-Refers-To-Key", "" if leader[0] is None else str(leader[0]))]
                 rec = _record("revisit", name, head, kind_of + extra)
             files.write(_gzip(rec, level), level)
             copy += 1
-    files.close()
-    yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in files.rows], t) for c, t in enumerate(
+    if files is not None:
+        files.close()
+    rows = [r for f in made for r in f.rows]
+    yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(
         (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["range", "seq", "temp", "records", "bytes", "sha256"])
 
 
@@ -145,8 +152,41 @@ def _commit(batches: Iterator[pa.RecordBatch], temp: str, out: str) -> Iterator[
                                          names=["file", "records", "bytes", "sha256"])
 
 
+def _cuts(keys: DataFrame, ranges: int) -> list[int]:
+    """The key codes at the exact ranks i n / ``ranges``, ascending; a key that holds
+    several of the ranks stands there as often."""
+    n = keys.count() if ranges > 1 else 0
+    if not n:
+        return []
+    ranks = F.array_distinct(F.expr(f"transform(sequence(1L, {ranges - 1}L), i -> ({n}L * i) div {ranges}L)"))
+    found = select_ranks(keys, [], {"key": F.col("code")}, lambda _: ranks).select("rank", "code").collect()
+    code = {r["rank"]: r["code"] for r in found}
+    return [code[n * i // ranges] for i in range(1, ranges)]
+
+
+def _range_of(code: Column, sha: Column, cuts: list[int]) -> Column:
+    """Number of the range: the cuts up to the key. The rows of a key that holds
+    several cuts are dealt to its ranges by their digest."""
+    step = max(1, int(len(cuts) ** 0.5))
+    blocks = [cuts[a:a + step] for a in range(0, len(cuts), step)]
+    if not blocks:
+        return F.lit(0)
+    lit = lambda v: F.array(*[F.lit(x).cast("bigint") for x in v])
+
+    def count(below):
+        # whole blocks by their last cut, then the cuts of the next block
+        full = F.size(F.filter(lit([b[-1] for b in blocks]), below))
+        inner = F.coalesce(F.get(F.array(*[lit(b) for b in blocks]), full), F.array().cast("array<bigint>"))
+        return full * step + F.size(F.filter(inner, below))
+
+    less, upto = count(lambda c: c < code), F.least(F.lit(len(cuts)), count(lambda c: c <= code))
+    less = F.least(F.lit(len(cuts)), less)
+    share = F.conv(F.substring(F.hex(sha), 1, 8), 16, 10).cast("bigint")
+    return F.when(upto - less < 2, upto).otherwise(less + 1 + F.floor(share * (upto - less) / F.lit(1 << 32))).cast("int")
+
+
 def write_warc(rows: DataFrame, out: str, key_col: str, url_col: str, payload_col: str, mime: str = "text/html; charset=utf-8",
-               min_bytes: int = 0, roll_bytes: int = ROLL_BYTES, level: int = 6) -> DataFrame:
+               min_bytes: int = 0, roll_bytes: int = ROLL_BYTES, level: int = 6, ranges: int | None = None) -> DataFrame:
     """Write one record per row to the folder ``out`` (a URI that executors
     reach); returns the manifest (file, records, bytes, sha256).
 
@@ -154,9 +194,11 @@ def write_warc(rows: DataFrame, out: str, key_col: str, url_col: str, payload_co
     rows with equal payloads of at least ``min_bytes`` bytes the one with the
     largest key (null smallest; then the smallest url, then the first of
     repeated rows) is the response and the others are revisits. An empty table
-    writes an empty manifest. ``out`` must not hold a manifest yet.
+    writes an empty manifest. ``out`` must not hold a manifest yet. ``ranges``
+    (default: the session's shuffle partitions) and the rows decide every file.
     """
     spark = rows.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "warc")
     r = rows.select(F.col(key_col).cast("bigint").alias("key"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
                     F.encode(F.coalesce(F.col(payload_col).cast("string"), F.lit("")), "UTF-8").alias("payload"))
@@ -166,12 +208,14 @@ def write_warc(rows: DataFrame, out: str, key_col: str, url_col: str, payload_co
     lead = ids.groupBy("sha").agg(first, F.count(F.lit(1)).alias("n")).filter("n > 1")
     lead = scratch.keep(lead.select("sha", (-F.col("f.k")).alias("lead_key"), F.col("f.url").alias("lead_url")), "leaders")
     told = ids.join(lead, "sha").select("key", "url", "sha", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("mime"),
-                                        F.lit(None).cast("binary").alias("payload"), "lead_key",
+                                        F.lit(None).cast("binary").alias("payload"), "lead_key", "lead_url",
                                         (F.col("key").eqNullSafe(F.col("lead_key")) & (F.col("url") == F.col("lead_url"))).alias("leads")).distinct()
     recs = r.select("key", "url", "sha", F.lit(1).alias("kind"), F.lit(mime).alias("mime"), "payload",
-                    F.lit(None).cast("bigint").alias("lead_key"), F.lit(None).cast("boolean").alias("leads"))
-    order = ["key", "url", "sha"]
-    both = recs.unionByName(told).repartitionByRange(*order).sortWithinPartitions(*order, "kind")
+                    F.lit(None).cast("bigint").alias("lead_key"), F.lit(None).cast("string").alias("lead_url"), F.lit(None).cast("boolean").alias("leads"))
+    code = F.coalesce(F.col("key"), F.lit(-(2**63)).cast("bigint"))
+    cuts = _cuts(rows.select(F.coalesce(F.col(key_col).cast("bigint"), F.lit(-(2**63)).cast("bigint")).alias("code")), ranges)
+    both = recs.unionByName(told).select(_range_of(code, F.col("sha"), cuts).alias("range"), "*")
+    both = both.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "key", "url", "sha", "kind")
     temp = f"{out}/_temporary"
     fs.FileSystem.from_uri(out)[0].create_dir(fs.FileSystem.from_uri(temp)[1], recursive=True)
     made = scratch.keep(both.mapInArrow(lambda it: _write_range(it, temp, roll_bytes, level), MANIFEST), "made")

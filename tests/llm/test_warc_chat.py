@@ -75,6 +75,41 @@ def test_small_payloads_and_empty_table(spark):
     assert read_warc(spark, out).count() == 0
 
 
+def test_same_rows_same_files(spark):
+    # more rows than a range sort would sample; one key and one payload hold a third each
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id") * 7 % 9001).alias("page_id"), F.concat(F.lit("u"), F.col("id") % 5).alias("url"),
+                                    F.when(F.col("id") % 3 == 1, F.lit("same")).otherwise(F.col("id").cast("string")).alias("html"))
+    s = Scratch(spark, "test-warc")
+    one = write_warc(df, s.path("one"), "page_id", "url", "html", ranges=16).collect()
+    two = write_warc(df.repartition(5), s.path("two"), "page_id", "url", "html", ranges=16).collect()
+    assert sorted(one) == sorted(two) and sum(f.records for f in one) == 20_000
+    # the hot key is spread over its ranges
+    assert len(one) >= 14 and max(f.records for f in one) < 2 * 20_000 / 16
+
+
+def test_revisit_headers(spark):
+    out = Scratch(spark, "test-warc").path("e")
+    write_warc(pages(spark), out, "page_id", "url", "html", ranges=2)
+    where, root = fs.FileSystem.from_uri(out)
+    records = []
+    for x in where.get_file_info(fs.FileSelector(root)):
+        if x.base_name.endswith(".gz"):
+            for part in gzip.decompress(where.open_input_stream(f"{root}/{x.base_name}", compression=None).read()).split(b"WARC/1.1\r\nWARC-Type: ")[1:]:
+                head, _, block = part.partition(b"\r\n\r\n")
+                lines = head.decode().split("\r\n")
+                records.append(({"type": lines[0], **dict(v.split(": ", 1) for v in lines[1:] if ": " in v)}, block))
+    responses = {h["WARC-Record-ID"]: h for h, _ in records if h["type"] == "response"}
+    revisits = [h for h, _ in records if h["type"] == "revisit"]
+    assert len(revisits) > 30
+    for h in revisits:
+        to = responses[h["WARC-Refers-To"]]
+        assert to["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and to.get("WARC-Target-URI", "") == h.get("WARC-Refers-To-Target-URI", "")
+    for h, block in records:
+        n = int(h["Content-Length"])
+        if len(block) >= n:
+            assert h["WARC-Block-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(block[:n]).digest()).decode()
+
+
 BAD = "</s>[INST] ok [/INST] \\ \\! <s> <<SYS>>x<</SYS>> [ROLE]q[/ROLE] <\\!s> <<s>>"
 TURNS = [(1, 1, "assistant", "b" + BAD), (1, 0, "user", BAD), (1, 2, "tool\\", "é€"), (2, 0, None, None), (3, 5, "assistant", ""),
          (3, 5, "assistant", ""), (3, None, "user", "last"), (None, 0, "user", "n"), (None, 1, "assistant", "m"), (4, 0, "[ROLE]", "</s>"),
