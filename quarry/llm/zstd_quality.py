@@ -149,7 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
           hold_out: int = 5, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """A model of label 1 against 0, from labelled rows outside the held-out
     part (crc32 of the id modulo ``hold_out`` is 0). Null labels, labels without
-    a document and ids labelled both ways are left out."""
+    a document and ids labelled both ways are left out; of documents that share an
+    id the smallest text counts."""
     one = labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).filter("i is not null and y in (0, 1)")
     one = one.filter(bucket("i", hold_out) != 0).groupBy("i").agg(F.min("y").alias("y"), F.max("y").alias("z")).filter("y = z").drop("z")
     one = one.withColumn("u", F.xxhash64(F.lit(9), "i"))
@@ -160,7 +161,8 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
         picked = part if picked is None else picked.unionByName(part)
     texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter(
         F.octet_length(F.coalesce("t", F.lit(""))) <= sample_bytes)
-    got = texts.join(F.broadcast(picked), "i").select("u", "i", "y", F.coalesce("t", F.lit("")).alias("t")).collect()  # 2 * sample_rows at most
+    # a repeated id counts once, so at most 2 * sample_rows texts come
+    got = texts.join(F.broadcast(picked), "i").groupBy("u", "i", "y").agg(F.min(F.coalesce("t", F.lit(""))).alias("t")).collect()
     got.sort(key=lambda r: (r["u"], r["i"], r["t"]))
     return fit([(r["t"].encode(), r["y"]) for r in got], rows=(count[0], count[1]) if len(count) == 2 else None)
 

@@ -168,3 +168,13 @@ def test_whole_distribution_is_normalised(spark):
 def test_held_out_score(spark):
     got = QUERIES["op10_lbl_lm"](spark, SF_ORACLE).filter("held_out").toPandas()
     assert got.score.sum() > got.base_score.sum()
+
+
+def test_quality_sample_takes_a_repeated_id_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(zstd_quality, "fit", lambda sample, rows=None: seen.append((sample, rows)))
+    docs = docs_frame(spark, [(1, f"b{k}", "s") for k in range(300)] + [(1, None, "s"), (3, "good text", "s"), (None, "x", "s")])
+    labels = spark.createDataFrame([(1, 0), (1, 0), (3, 1), (9, 1), (None, 1), (3, None)], "doc_id bigint, quality int")
+    zstd_quality.train(docs, labels, hold_out=10**6)
+    sample, rows = seen[0]
+    assert sorted(sample) == [(b"", 0), (b"good text", 1)] and rows == (1, 2)
