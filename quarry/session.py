@@ -55,11 +55,8 @@ def _fill_defaults(spark: SparkSession) -> None:
     for k, v in _DEFAULTS.items():
         if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress", "spark.cleaner.referenceTracking.cleanCheckpoints"):
             continue  # static; cannot change on a live session
-        try:
-            if spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # pragma: no cover - static confs
-            pass
+        if spark.conf.get(k, None) is None and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
