@@ -28,6 +28,9 @@ CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]",
 HEADERS = {"user": "[INST]", "assistant": "[/INST]", "system": "<<SYS>>"}
 BEGIN, END = "<s>", "</s>"
 
+#: bytes that are indexed at a time
+PIECE = 4 << 20
+
 FORMATTED = "conv bigint, n_turns bigint, formatted string, loss array<struct<start:bigint,stop:bigint>>"
 
 
@@ -48,12 +51,38 @@ def _bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scatter(out: np.ndarray, at: np.ndarray, src: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-    """Copy segment k, src[start[k] : start[k] + size[k]], to out[at[k] :]."""
-    total = int(size.sum())
-    if not total:
-        return
-    inner = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
-    out[np.repeat(at, size) + inner] = src[np.repeat(start, size) + inner]
+    """Copy segment k, src[start[k] : start[k] + size[k]], to out[at[k] :].
+
+    Long segments are copied as slices, the others through scatter indices for at
+    most about ``PIECE`` bytes at a time, so the indices stay small."""
+    large = size > PIECE // 16
+    for k in np.flatnonzero(large):
+        out[at[k]:at[k] + size[k]] = src[start[k]:start[k] + size[k]]
+    at, start, size = at[~large], start[~large], size[~large]
+    ends = np.cumsum(size)
+    a = 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PIECE, side="right")))
+        n = size[a:b]
+        total = int(n.sum())
+        inner = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(at[a:b], n) + inner] = src[np.repeat(start[a:b], n) + inner]
+        a = b
+
+
+def _chars_before(out: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Code points of the UTF-8 bytes ``out`` before each place, ``PIECE`` bytes at a time."""
+    order = np.argsort(places, kind="stable")
+    sorted_, found = places[order], np.empty(len(places), dtype=np.int64)
+    total, i = 0, 0
+    for a in range(0, max(1, len(out)), PIECE):
+        block = out[a:a + PIECE]
+        last = a + PIECE >= len(out)
+        j = int(np.searchsorted(sorted_, a + len(block), side="right" if last else "left"))
+        chars = np.concatenate([[0], np.cumsum((block & 0xC0) != 0x80)])
+        found[order[i:j]] = total + chars[sorted_[i:j] - a]
+        total, i = total + int(chars[-1]), j
+    return found
 
 
 def _assemble(conv: pa.Array, group: np.ndarray, role: pa.Array, text: pa.Array) -> pa.RecordBatch:
@@ -86,11 +115,10 @@ def _assemble(conv: pa.Array, group: np.ndarray, role: pa.Array, text: pa.Array)
     first = np.searchsorted(group, np.arange(groups))
     conv_at = np.append(at[first], len(out))
     formatted = pa.LargeStringArray.from_buffers(groups, pa.py_buffer(conv_at.astype(np.int64)), pa.py_buffer(out)).cast(pa.string())
-    # code points before each byte, for the loss spans
-    chars = np.concatenate([[0], np.cumsum((out & 0xC0) != 0x80)])
+    # code points before the conversations and the texts, for the loss spans
     learn = kind == known.index("assistant")
-    base = chars[at[first]][group]
-    lo, hi = (chars[text_at] - base)[learn], (chars[text_at + text_len] - base)[learn]
+    base, start, stop = (_chars_before(out, places) for places in (at[first], text_at[learn], (text_at + text_len)[learn]))
+    lo, hi = start - base[group[learn]], stop - base[group[learn]]
     spans = pa.StructArray.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], names=["start", "stop"])
     per = np.bincount(group[learn], minlength=groups)
     loss = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32()), spans)

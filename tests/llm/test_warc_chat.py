@@ -140,3 +140,30 @@ def test_chat_round_trip(spark):
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn int, role string, text string")
     assert read_chat(format_chat(df)).count() == 0
+
+
+def test_pieces_and_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from quarry.llm import chat_bytes
+
+    texts = ["é" * 30 + "x" * k for k in range(40)] + ["", "long é " * 900]
+    conv = pa.array([k // 3 for k in range(len(texts))])
+    role = pa.array([["user", "assistant", "tool"][k % 3] for k in range(len(texts))])
+    group = np.array([k // 3 for k in range(len(texts))])
+    whole = chat_bytes._assemble(conv, group, role, pa.array(texts))
+    for piece in (1, 7, 64, 1000):  # pieces that end inside texts and inside characters
+        monkeypatch.setattr(chat_bytes, "PIECE", piece)
+        assert chat_bytes._assemble(conv, group, role, pa.array(texts)).equals(whole)
+    monkeypatch.undo()
+    texts = pa.array(["word " * 2000] * 2400 + ["é" * 12_000_000])  # 24 MB in short texts, 24 MB in one
+    n = len(texts)
+    role, conv, group = pa.array(["user", "assistant"] * (n // 2) + ["user"] * (n % 2)), pa.array(range(n)), np.arange(n)
+    tracemalloc.start()
+    chat_bytes._assemble(conv, group, role, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
