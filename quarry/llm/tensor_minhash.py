@@ -41,6 +41,8 @@ SIGNED = "id bigint, n_shingles bigint, sid binary, halves array<bigint>, odd ar
 SKETCH = 8
 #: members outside the largest component of a bucket that are compared with all others at once
 MINORITY = 64
+#: comparisons (members x outsiders) up to which all members of a half are compared at once
+HALF_WORK = 50_000_000
 #: bits (as a power of 2) of the filter for the texts that are read again
 BLOOM = 26
 
@@ -218,12 +220,26 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
     sets = scratch.keep(sets, "sets")
     comp = scratch.keep(info.select("nid", F.col("nid").alias("root")), "roots")
     for part in slices(m):
-        keyed = _tables(info, comp, part, odd)
+        keyed = _keyed(_halves(info, comp, part, odd), odd)
         heavy = keyed.groupBy("key", "root").agg(F.max(F.struct("w", "nid", "size", *odd)).alias("r"))
         heavy = scratch.keep(heavy.select("key", "root", "r.*"), f"heaviest-{part.start}")
         apart = heavy.groupBy("key").agg(F.max(F.struct("w", "nid", "size", "root", *odd)).alias("l"), F.min("root").alias("a"), F.max("root").alias("z"))
         comp = _link(heavy, _leaders(apart.filter("a <> z"), odd), comp, sets, odd, percent, scratch)[0]
-    keyed = scratch.keep(_tables(info, comp, range(m), odd), "tables")
+    # what shares a half of the first family is compared as a whole where few lie outside its largest
+    # component: a member then has m rows, not one per table; the tables of the other halves follow
+    halves = scratch.keep(_halves(info, comp, range(m), odd), "open-halves")
+    parts = halves.groupBy("x", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("x").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"))
+    parts = scratch.keep(parts.select("x", F.col("top.root").alias("main"), (F.col("all") * (F.col("all") - F.col("top.n"))).alias("work")), "half-sizes")
+    small = halves.join(parts.filter(F.col("work") <= HALF_WORK).select("x", "main"), "x")
+    small = scratch.keep(small.withColumnRenamed("x", "key"), "small-halves")
+    least = scratch.keep(_leaders(small.filter("root <> main").select("key", F.struct("w", "nid", "size", "root", *odd).alias("l")), odd), "outsiders")
+    comp, to = _link(small, least, comp, sets, odd, percent, scratch)
+    large = halves.join(parts.filter(F.col("work") > HALF_WORK).select("x"), "x", "left_semi")
+    if to is not None:
+        large = large.join(to, "root", "left").withColumn("root", F.coalesce("to", "root"))
+    keyed = scratch.keep(_keyed(large, odd), "tables")
+    scratch.drop(small, least)
     # buckets in more than one component, each set of members once
     size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("a"), F.max("nid").alias("z"), F.min("root").alias("ra"),
                                     F.max("root").alias("rz"), F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("s")).filter("ra <> rz")
@@ -249,16 +265,20 @@ def _connect(nodes: DataFrame, docs: DataFrame, k: int, m: int, percent: int, sc
     return _waves(rest, comp, sets, odd, percent, scratch)
 
 
-def _tables(info: DataFrame, comp: DataFrame, part: range, odd: list[str]) -> DataFrame:
-    """(key, nid, root, ...) of the tables of collections ``part``, where the first
-    half of the key lies in more than one component."""
-    row = ["nid", "root", "w", "size", *odd]
+def _halves(info: DataFrame, comp: DataFrame, part: range, odd: list[str]) -> DataFrame:
+    """(x, y, nid, root, ...) of the collections ``part`` where the half key x lies in
+    more than one component."""
     mine = F.filter("x", lambda x: (x["c"] >= part.start) & (x["c"] < part.stop))
     taken = info.select("nid", "w", "size", *odd, mine.alias("x"), "y").filter(F.size("x") > 0).join(comp, "nid")
-    taken = taken.select(*row, "y", F.explode("x.h").alias("x"))
+    taken = taken.select("nid", "root", "w", "size", *odd, "y", F.explode("x.h").alias("x"))
     apart = taken.groupBy("x").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z").select("x")
-    keyed = taken.join(apart, "x", "left_semi").select(*row, "x", F.explode("y").alias("y"))
-    return keyed.select(F.xxhash64("x", "y").alias("key"), *row)
+    return taken.join(apart, "x", "left_semi")
+
+
+def _keyed(halves: DataFrame, odd: list[str]) -> DataFrame:
+    """(key, nid, root, ...): the tables of the halves."""
+    row = ["nid", "root", "w", "size", *odd]
+    return halves.select(*row, "x", F.explode("y").alias("y")).select(F.xxhash64("x", "y").alias("key"), *row)
 
 
 def _leaders(best: DataFrame, odd: list[str]) -> DataFrame:
