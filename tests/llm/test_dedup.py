@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from frames import docs_frame, hostile, split_words, strip_blank
@@ -216,6 +217,19 @@ def test_near_duplicates(spark):
     assert len({r.component_id for r in got}) > 80
 
 
+@pytest.mark.parametrize("minority", [64, 0])
+def test_near_duplicates_table_by_table(spark, minority, monkeypatch):
+    """Halves too large to be compared as a whole: buckets with few outsiders, and leaders in waves."""
+    from quarry.llm import tensor_minhash
+
+    monkeypatch.setattr(tensor_minhash, "HALF_WORK", 0)
+    monkeypatch.setattr(tensor_minhash, "MINORITY", minority)
+    rows = near_rows()
+    want, _, _ = brute_near(rows, 3, 85)
+    got = near_duplicates(docs_frame(spark, rows), shingle=3, percent=85).collect()
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=str) == want
+
+
 def test_near_dedup_keeps_one_row_per_class(spark):
     rows = near_rows() + hostile()
     want, _, classes = brute_near(rows, 5, 80)  # a row without words is a class of its own
