@@ -158,12 +158,15 @@ def model_rff_huber(spark, sf):
 
 
 def _cust(spark, sf):
+    from quarry.session import cut_lineage
+
     c = T(spark, sf, "customer")
     o = T(spark, sf, "orders")
     rfm = Fe.rfm(o, "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
     d = rfm.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal"), "o_custkey")
     cols = ["recency", "frequency", "monetary", "c_acctbal"]
-    d = d.withColumns({k: F.col(k).cast("double") for k in cols})
+    # every fit reads the features again: the join runs once
+    d = cut_lineage(d.withColumns({k: F.col(k).cast("double") for k in cols}))
     return Fe.fit_standardize(d, cols).transform(d), cols
 
 

@@ -52,3 +52,12 @@ def test_per_key_numbers_large_keys_use_no_key_window(spark, monkeypatch):
     p = explain(df)
     assert "partitionBy=[o_custkey" not in p and "windowspecdefinition(o_custkey" not in p
     assert df.count() == o.count()
+
+
+def test_customer_features_are_joined_once(spark, capsys):
+    from quarry.plans.models_q import _cust
+
+    d, cols = _cust(spark, SF_SMALL)
+    d.explain()
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and "Exchange" not in plan and set(cols) <= set(d.columns)
