@@ -560,3 +560,24 @@ def test_kde_bins_within_their_error_bound(spark):
         width = (x.max() - x.min()) / ((bins or P.KDE_POINTS) - 1)
         assert np.abs(got - exact).max() <= (width / h) ** 2 / 8 / (h * np.sqrt(2 * np.pi)) + 1e-12
     assert kde(df.limit(0), "x").collect() == []
+
+
+@pytest.mark.parametrize("metric", ["recall", "accuracy", "roc_auc"])
+def test_tree_search_on_cells_equals_the_search_on_rows(spark, metric):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from quarry.operators import models as Mo
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (3000, 3)).astype(float)
+    y = ((x[:, 0] * x[:, 1] + x[:, 2] + rng.normal(0, 4, 3000)) > 18).astype(int)
+    rows = [(*map(float, r), int(v)) for r, v in zip(x, y)] + [(float("nan"), 1.0, 1.0, 1), (None, 1.0, 1.0, 0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y int").cache()
+    grid = {"maxDepth": [2, 4], "impurity": ["gini", "entropy"]}
+    got = [{r.params: (r.mean_score, r.std_score) for r in Mo.grid_search(
+        df, ["a", "b", "c"], "y", DecisionTreeClassifier(seed=1), grid, folds=3, metric=metric, cell_rows=n).collect()} for n in (1, 10**9)]
+    assert got[0].keys() == got[1].keys()
+    for k, v in got[1].items():
+        assert got[0][k] == pytest.approx(v, abs=1e-9 if metric != "roc_auc" else 1e-6)
+    cells = Mo.tree_cells(df, ["a", "b", "c"], "y", 3, 42, 32)
+    assert cells.agg({"__n": "sum"}).first()[0] == 3000 and cells.count() <= 9**3 * 3 * 2
