@@ -23,9 +23,11 @@ from quarry.operators.schema import columns_of
 # Exact percentiles keep a value->count map per group that is merged in
 # one task per group; its size is bounded by the column's distinct count.
 # Up to this many distinct values (a map of ~tens of MB) the map is used,
-# above it the sort-based exact method (range-partitioned ranks, nothing
-# held per group).
+# above it radix selection (nothing held per group).
 MAP_DISTINCT_LIMIT = 1_000_000
+# With groups a task holds one map per group that it meets, each of up to the
+# distinct count, several times over while they are merged and sorted.
+GROUPED_MAP_DISTINCT = 20_000
 
 
 def _q(col: Column, probs: list[float], approx: bool, accuracy: int = 100_000) -> Column:
@@ -57,7 +59,7 @@ def quantile_methods(df: DataFrame, cols: list[str], method: str = "auto", group
         if not grouped and nd > BRACKET_MIN_DISTINCT:
             out[c] = "bracket"
         else:
-            out[c] = "map" if nd <= MAP_DISTINCT_LIMIT else "sort"
+            out[c] = "map" if nd <= (min(GROUPED_MAP_DISTINCT, MAP_DISTINCT_LIMIT) if grouped else MAP_DISTINCT_LIMIT) else "sort"
     return out
 
 
@@ -87,8 +89,7 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], ac
     if not bracket:
         return {c: {p: None for p in probs} for c in cols}
     keys = list(bracket)
-    checks = df.agg(*[F.count_if(xs[c] < bracket[c, p][0]).alias(f"lt{k}") for k, (c, p) in enumerate(keys)],
-                    *[F.count_if(xs[c] <= bracket[c, p][1]).alias(f"le{k}") for k, (c, p) in enumerate(keys)]).first()
+    checks = df.agg(*[e.alias(f"{name}{k}") for k, (c, p) in enumerate(keys) for name, e in _bracket_counts(xs[c], *bracket[c, p]).items()]).first()
     picks, value = [], {}
     for k, (c, p) in enumerate(keys):
         (lo, hi), below, upto = bracket[c, p], checks[f"lt{k}"], checks[f"le{k}"]
@@ -97,13 +98,15 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], ac
             inside = xs[c].between(lo, hi)
             if not below <= r < upto:  # the rank lies outside: exact on the whole column
                 value[c, p, r] = _value_at(df.select(xs[c].alias("__x")).filter("__x is not null"), r, n[c], accuracy, collect_limit, 0)
-            elif lo == hi:
+            elif r < checks[f"le_lo{k}"]:  # an end of the bracket, however often it occurs
                 value[c, p, r] = lo
+            elif r >= checks[f"lt_hi{k}"]:
+                value[c, p, r] = hi
             elif upto - below <= collect_limit:
                 picks.append((c, p, r, F.sort_array(F.collect_list(F.when(inside, xs[c])))[r - below]))
             else:
-                part = df.select(xs[c].alias("__x")).filter(F.col("__x").between(lo, hi))
-                value[c, p, r] = _value_at(part, r - below, upto - below, accuracy, collect_limit, 1)
+                part = df.select(xs[c].alias("__x")).filter((F.col("__x") > lo) & (F.col("__x") < hi))
+                value[c, p, r] = _value_at(part, r - checks[f"le_lo{k}"], checks[f"lt_hi{k}"] - checks[f"le_lo{k}"], accuracy, collect_limit, 1)
     if picks:
         got = df.agg(*[e.alias(f"v{i}") for i, (*_, e) in enumerate(picks)]).first()
         value |= {(c, p, r): got[f"v{i}"] for i, (c, p, r, _) in enumerate(picks)}
@@ -129,17 +132,29 @@ def _value_at(base: DataFrame, r: int, n: int, accuracy: int, limit: int, depth:
         return _nth(base, r)
     eps = 3.0 / accuracy
     lo, hi = base.agg(F.percentile_approx("__x", [max(0.0, r / n - eps), min(1.0, (r + 1) / n + eps)], accuracy).alias("q")).first()["q"]
-    c = base.agg(F.count_if(F.col("__x") < lo).alias("lt"), F.count_if(F.col("__x") <= hi).alias("le")).first()
+    c = base.agg(*[e.alias(name) for name, e in _bracket_counts(F.col("__x"), lo, hi).items()]).first()
     if not c["lt"] <= r < c["le"]:
         return _nth(base, r)
-    if lo == hi:
+    if r < c["le_lo"]:
         return lo
-    return _value_at(base.filter(F.col("__x").between(lo, hi)), r - c["lt"], c["le"] - c["lt"], accuracy, limit, depth + 1)
+    if r >= c["lt_hi"]:
+        return hi
+    inside = base.filter((F.col("__x") > lo) & (F.col("__x") < hi))
+    return _value_at(inside, r - c["le_lo"], c["lt_hi"] - c["le_lo"], accuracy, limit, depth + 1)
+
+
+def _bracket_counts(x: Column, lo: float, hi: float) -> dict[str, Column]:
+    """Values below, and up to, each end of a bracket."""
+    return {"lt": F.count_if(x < lo), "le_lo": F.count_if(x <= lo), "lt_hi": F.count_if(x < hi), "le": F.count_if(x <= hi)}
 
 
 def _nth(base: DataFrame, r: int) -> float:
-    """The value at rank r: a sort with offset and limit, one row fetched."""
-    return base.orderBy("__x").offset(r).limit(1).first()["__x"]
+    """The value at rank r, by radix selection; one row fetched. (A sort with an
+    offset would send the first r rows of every task to the driver.)"""
+    from quarry.operators.selection import order_code, select_ranks
+
+    x = F.col("__x")
+    return select_ranks(base, [], {"__x": order_code(x)}, lambda n: F.array(F.lit(r).cast("bigint")), {"__x": x}).first()["value"]
 
 
 def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=None) -> DataFrame:
@@ -155,6 +170,64 @@ def exact_quantiles_sorted(df: DataFrame, col: str, probs: list[float], keys=Non
     return all_probs.join(out, "prob", "left")
 
 
+def _few_groups(df: DataFrame, keys: list[str]) -> bool:
+    """One row per group can be broadcast."""
+    from quarry.operators.selection import BROADCAST_GROUPS
+
+    return df.select(*keys).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+
+
+def exact_quantiles_grouped(df: DataFrame, col: str, probs: list[float], keys, accuracy: int = 10_000,
+                            collect_limit: int = BRACKET_COLLECT_LIMIT) -> DataFrame:
+    """:func:`exact_quantiles_sorted` of every group, ``(keys..., prob, value)``, by the
+    brackets of :func:`exact_quantiles_multi` as grouped aggregates: a sketch per
+    group, the counts that prove it, the at most ``collect_limit`` values inside. A group
+    with a bracket that fails or is larger has its ranks selected by radix, and
+    so have the groups of a table with more than ``BROADCAST_GROUPS`` of them."""
+    from quarry.operators.joins import join_on_keys
+    from quarry.session import cut_lineage
+
+    keys = [keys] if isinstance(keys, str) else list(keys or [])
+    if not keys or not _few_groups(df, keys):
+        return exact_quantiles_sorted(df, col, probs, keys)
+    eps = 3.0 / accuracy
+    qs = [q for p in probs for q in (max(0.0, p - eps), min(1.0, p + eps))]
+    rows = df.select(*keys, F.col(col).cast("double").alias("__x")).filter("__x is not null")
+    sketch = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__x", qs, accuracy).alias("__q")))
+    x, n = F.col("__x"), len(probs)
+    ends = [(F.col("__q")[2 * j], F.col("__q")[2 * j + 1]) for j in range(n)]
+    counts = join_on_keys(rows, F.broadcast(sketch), keys, "left").groupBy(*keys).agg(
+        F.first("__n").alias("__n"), F.first("__q").alias("__q"),
+        F.array(*[F.struct(*[e.alias(name) for name, e in _bracket_counts(x, *ends[j]).items()]) for j in range(n)]).alias("__c"))
+    ranks = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
+    both = [(f(h).cast("bigint"), F.col("__c")[j]) for j, h in enumerate(ranks) for f in (F.floor, F.ceil)]
+    sure = [(r >= c["lt"]) & (r < c["le"]) & ((r < c["le_lo"]) | (r >= c["lt_hi"]) | (c["lt_hi"] - c["le_lo"] <= collect_limit)) for r, c in both]
+    ok = sure[0]
+    for e in sure[1:]:
+        ok = ok & e
+    counts = cut_lineage(counts.withColumn("__ok", ok))
+    good = counts.filter("__ok").select(*keys, "__n", "__q", "__c")
+    inside = [F.when((x > lo) & (x < hi), x) for lo, hi in ends]
+    got = join_on_keys(rows, F.broadcast(good), keys, "left").filter("__q is not null").groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in ("__n", "__q", "__c")],
+        *[F.sort_array(F.collect_list(e)).alias(f"__v{j}") for j, e in enumerate(inside)])
+    out = []
+    for j, (p, h) in enumerate(zip(probs, ranks)):
+        c, (lo, hi) = F.col("__c")[j], ends[j]
+
+        def at(r, c=c, lo=lo, hi=hi, j=j):
+            return F.when(r < c["le_lo"], lo).when(r >= c["lt_hi"], hi).otherwise(F.get(F.col(f"__v{j}"), (r - c["le_lo"]).cast("int")))
+
+        a, b = at(F.floor(h).cast("bigint")), at(F.ceil(h).cast("bigint"))
+        out.append(F.struct(F.lit(float(p)).alias("prob"), F.when(a == b, a).otherwise(a + (b - a) * (h - F.floor(h))).alias("value")))
+    res = got.select(*keys, F.explode(F.array(*out)).alias("__s")).select(*keys, "__s.*")
+    rest = counts.filter(~F.col("__ok")).select(*keys, F.lit(True).alias("__rest"))
+    if rest.isEmpty():
+        return res
+    left = join_on_keys(rows, F.broadcast(rest), keys, "left").filter("__rest")
+    return res.unionByName(exact_quantiles_sorted(left, "__x", probs, keys))
+
+
 def exact_quantiles_radix(df: DataFrame, cols: list[str], probs: list[float], keys=None) -> DataFrame:
     """:func:`exact_quantiles_sorted` of several columns at once, ``(keys..., column, prob, value)``."""
     from quarry.operators.selection import order_code, quantile_ranks, select_ranks
@@ -207,7 +280,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool
     wide = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     for c in cols:
         if how[c] == "sort" or (how[c] == "bracket" and keys):
-            q = exact_quantiles_sorted(df, c, [0.25, 0.5, 0.75], keys)
+            q = exact_quantiles_grouped(df, c, [0.25, 0.5, 0.75], keys)
             qa = q.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs")) \
                 if keys else q.agg(F.sort_array(F.collect_list(F.struct("prob", "value"))).alias("__qs"))
             qa = qa.select(*keys, F.transform("__qs", lambda s: s["value"]).alias(f"{c}__q"))
@@ -448,10 +521,11 @@ def box_stats(df: DataFrame, cols: list[str], by=None, k: float = 1.5, approx: b
         q = (df.sparkSession.range(1).drop("id") if q is None else q).withColumns(lits)
     for c in cols:
         if how[c] == "sort" or (how[c] == "bracket" and by):
-            qc = exact_quantiles_sorted(df, c, probs, by)
+            qc = exact_quantiles_grouped(df, c, probs, by)
             qc = qc.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("prob", "value"))), lambda s: s["value"]).alias(f"{c}__q"))
             q = qc if q is None else join_on_keys(q, qc, by, "left")
-    j = join_on_keys(df, q, by, "left")
+    # a shuffle join would send each group's rows to one task
+    j = join_on_keys(df, F.broadcast(q) if by and _few_groups(df, by) else q, by, "left")
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")

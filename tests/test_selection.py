@@ -90,3 +90,40 @@ def test_undersample_repeated_keys_and_null_class(spark):
     again = Fe.undersample(df.repartition(5), "label", "id", seed=3)
     assert sorted(map(str, again.collect())) == sorted(map(str, Fe.undersample(df, "label", "id", seed=3).collect()))
     assert Fe.undersample(df.limit(0), "label", "id").count() == 0
+
+
+def test_grouped_quantiles_by_brackets_and_radix(spark):
+    rows = [(None if i % 5 == 0 else i % 3, None if i % 11 == 0 else float((i * 7919) % 1000 if i % 3 else i % 4)) for i in range(3000)]
+    rows += [(9, None), (8, 2.5), (7, float("nan")), (7, 1.0)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    probs = [0.0, 0.25, 0.5, 1.0]
+    want = sorted((str(r.k), r.prob, str(r.value)) for r in P.exact_quantiles_sorted(df, "x", probs, "k").collect())
+    for accuracy, limit in ((10_000, 200_000), (20, 200_000), (20, 5)):  # exact sketch; brackets; most brackets too large
+        got = P.exact_quantiles_grouped(df, "x", probs, "k", accuracy, limit).collect()
+        assert sorted((str(r.k), r.prob, str(r.value)) for r in got) == want
+
+
+def test_box_stats_of_many_values_hold_no_map_and_no_group_in_a_task(spark, monkeypatch, capsys):
+    monkeypatch.setattr(P, "GROUPED_MAP_DISTINCT", 10)
+    df = spark.createDataFrame([("ab"[i % 2], float(i * 37 % 1009)) for i in range(1009)], "k string, x double")
+    monkeypatch.setattr(P, "_q", None)  # no map of values
+    out = P.box_stats(df, ["x"], by="k")
+    out.explain()
+    assert "SortMergeJoin" not in capsys.readouterr().out
+    for r in out.collect():
+        x = np.array([float(i * 37 % 1009) for i in range(1009) if "ab"[i % 2] == r.k])
+        assert [r.q1, r.median, r.q3] == pytest.approx(np.quantile(x, [0.25, 0.5, 0.75]).tolist())
+
+
+def test_rank_between_two_hot_values_is_not_sorted(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 2),) for i in range(2000)], "x double")
+
+    def sent(self, n):
+        raise AssertionError("an offset sends the first rows of every task to the driver")
+
+    monkeypatch.setattr(type(df), "offset", sent)
+    for p in (0.25, 0.5, 0.75):
+        got = P.exact_quantiles_bracketed(df, "x", [p], accuracy=20, collect_limit=50)
+        assert got[p] == np.quantile([0.0, 1.0] * 1000, p)
+    base = df.select(P.F.col("x").alias("__x"))
+    assert [P._nth(base, r) for r in (0, 999, 1000, 1999)] == [0.0, 0.0, 1.0, 1.0]
