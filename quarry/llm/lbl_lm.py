@@ -38,9 +38,9 @@ PRIOR = 100.0
 #: the end of a document; no word holds a line break
 END = b"\n"
 #: distinct words a task holds before it passes their counts on
-FLUSH = 150_000
+FLUSH = 60_000
 #: rare words of the scored documents a task holds before it passes them on
-TAIL_FLUSH = 50_000
+TAIL_FLUSH = 20_000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -176,6 +176,7 @@ def fit(docs: DataFrame, counts: DataFrame, train_filter: Column, vocab: int, ho
     pairs = np.zeros((lex.vocab + 2, lex.vocab + 2))
     got = found.groupBy("a", "b").agg(F.sum("c").alias("c")).toArrow()  # (VOCAB + 2)^2 rows at most
     pairs[got.column("a").to_numpy(), got.column("b").to_numpy()] = got.column("c").to_numpy()
+    sent.destroy()  # the model brings its own; a worker must not hold both
     known = int(lex.count[:lex.vocab].sum()) + lex.end_count
     return Model(lex, train_lbl(pairs), tokens, distinct, tokens - known, distinct - lex.vocab - (end is not None))
 
