@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.blocks import grid_join, grid_shape
@@ -27,18 +27,28 @@ from quarry.operators.blocks import grid_join, grid_shape
 DEFAULT_BLOCK_ROWS = 2048
 #: a reference of at most this many blocks is searched whole
 SMALL_BLOCKS = 8
+#: a larger one with fewer distinct vectors than this share of its rows is searched by vector
+REPEATED = 0.7
+#: SMOTE: minority rows numbered in one range
+NUMBERED_ROWS = 100_000
 #: about how many reference rows are sampled as pivots; they only shape the blocks
 PIVOTS = 256
 #: queries that are told their blocks together, balls in a row, nearest blocks searched first
 CHUNK_BITS = 8
 BALLS = 512
 FIRST_BLOCKS = 2
+#: silhouette: blocks a side and most rows of a block; points and rows of a tile
+PAIR_BLOCKS = 16
+PAIR_ROWS = 65_536
+TILE = (256, 1024)
 
 
 def as_vector(df: DataFrame, features, name: str = "__x") -> DataFrame:
-    """Feature array<double> column from an array column or numeric columns."""
+    """Feature array<double> column from an array column or numeric columns; an array of
+    floats stays one (half the bytes to shuffle) and is computed with as doubles."""
     if isinstance(features, str):
-        return df.withColumn(name, F.col(features).cast("array<double>"))
+        kind = dict(df.dtypes)[features]
+        return df.withColumn(name, F.col(features).cast("array<float>" if kind == "array<float>" else "array<double>"))
     return df.withColumn(name, F.array(*[F.col(c).cast("double") for c in features]))
 
 
@@ -48,9 +58,9 @@ def usable(x: str = "__x") -> Column:
 
 
 def _vectors(lists: pa.Array) -> np.ndarray:
-    """A matrix of a list<double> column; all lists have one length."""
+    """A matrix of doubles of a list<double> or list<float> column; all lists have one length."""
     n = len(lists)
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, -1) if n else np.zeros((0, 0))
 
 
 def _fields(column: pa.Array, row: int) -> dict[str, pa.Array]:
@@ -218,6 +228,14 @@ def _search_blocks(q: DataFrame, r: DataFrame, n: int, k: int, schema: str, payl
     return near.unionByName(search(needed(told, None)))
 
 
+def _grid(q: DataFrame, r: DataFrame, n: int, k: int, schema: str, payload: list[str], exclude_self: bool, rows: int) -> DataFrame:
+    """Candidates from at most a few blocks: every query block meets them all."""
+    parts = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rb = _hashed_blocks(r, "__rid", rows, max(1, n), "__r")
+    pairs = grid_join(_consecutive_blocks(q, "__q"), rb, "__q_no", "__r_no", parts, max(1, -(-n // rows)))
+    return _score(pairs, k, schema, payload, exclude_self)
+
+
 def knn(queries: DataFrame, reference: DataFrame, k: int, features, q_id: str, r_id: str,
         payload: list[str] | None = None, exclude_self: bool = False,
         block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -237,18 +255,48 @@ def knn(queries: DataFrame, reference: DataFrame, k: int, features, q_id: str, r
     r = r.filter(F.col("__rid").isNotNull() & usable())
     types = dict(r.dtypes)
     schema = f"__qid {dict(q.dtypes)['__qid']}, nn_id {types['__rid']}, distance double" + "".join(f", {p} {types[p]}" for p in pnames)
-    n = r.count()
+    n, distinct = r.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64("__x"), 0.02)).first()
     blocks = -(-n // block_rows)
+    if blocks > SMALL_BLOCKS and distinct < REPEATED * n:
+        best = _knn_of_vectors(q, r, k, pnames, types, exclude_self, block_rows)
+        return _ranked(best, q_id, payload, pnames)
     if blocks <= SMALL_BLOCKS:
-        # at most a few blocks: every query block meets them all
-        parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        qb = _consecutive_blocks(q, "__q")
-        rb = _hashed_blocks(r, "__rid", block_rows, max(1, n), "__r")
-        pairs = grid_join(qb, rb, "__q_no", "__r_no", parts, max(1, blocks))
-        cands = _score(pairs, k, schema, pnames, exclude_self)
+        cands = _grid(q, r, n, k, schema, pnames, exclude_self, block_rows)
     else:
         cands = _search_blocks(q, r, n, k, schema, pnames, exclude_self, block_rows)
-    best = _best(cands, k, pnames)
+    return _ranked(_best(cands, k, pnames), q_id, payload, pnames)
+
+
+def _knn_of_vectors(q: DataFrame, r: DataFrame, k: int, pnames: list[str], types: dict[str, str], exclude_self: bool, block_rows: int) -> DataFrame:
+    """:func:`_best` where many rows share a vector. Rows of one vector are equally
+    far from any query, so only the smallest ids of each can be among the
+    k nearest, and queries of one vector have the same neighbours, but for themselves."""
+    from quarry.session import cut_lineage
+
+    most = k + 1 if exclude_self else k
+    first = Window.partitionBy("__x").orderBy("__rid")
+    kept = r.withColumn("__at", F.row_number().over(first)).filter(F.col("__at") <= most)
+    near = kept.groupBy("__x").agg(F.array_sort(F.collect_list(F.struct("__rid", *pnames))).alias("__same"), F.min("__rid").alias("__rid"))
+    near = cut_lineage(near)  # one row per vector
+    asked = cut_lineage(q.select("__x").distinct().withColumn("__qid", F.monotonically_increasing_id()))
+    # k vectors hold the k nearest rows, and one more the row that takes the query's own place
+    vectors = near.select("__x", "__rid")
+    n = vectors.count()
+    schema = f"__qid bigint, nn_id {types['__rid']}, distance double"
+    found = _best(_search_blocks(asked.select("__qid", "__x"), vectors, n, most, schema, [], False, block_rows)
+                  if n > SMALL_BLOCKS * block_rows else _grid(asked.select("__qid", "__x"), vectors, n, most, schema, [], False, block_rows), most, [])
+    each = found.select("__qid", F.explode("__c").alias("s")).select("__qid", "s.distance", F.col("s.nn_id").alias("__rid"))
+    each = each.join(near.select("__rid", "__same"), "__rid").select("__qid", "distance", F.explode("__same").alias("m"))
+    rows = F.struct("distance", F.col("m.__rid").alias("nn_id"), *[F.col(f"m.{p}").alias(p) for p in pnames])
+    lists = each.groupBy("__qid").agg(F.slice(F.array_sort(F.collect_list(rows)), 1, most).alias("__c"))
+    of = lists.join(asked.withColumnRenamed("__qid", "__v"), F.col("__qid") == F.col("__v")).select("__x", "__c")
+    out = q.join(of, "__x").select("__qid", "__c")
+    if exclude_self:
+        out = out.withColumn("__c", F.slice(F.filter("__c", lambda s: s["nn_id"] != F.col("__qid")), 1, k))
+    return out
+
+
+def _ranked(best: DataFrame, q_id: str, payload: list[str], pnames: list[str]) -> DataFrame:
     return best.select("__qid", F.posexplode("__c").alias("__i", "__s")).select(
         "__qid", (F.col("__i") + 1).alias("nn_rank"), "__s.nn_id", "__s.distance", *[f"__s.{p}" for p in pnames]).toDF(
         q_id, "nn_rank", "nn_id", "distance", *payload)
@@ -279,6 +327,7 @@ def smote(df: DataFrame, label: str, features: list[str], id_col: str, k: int =
     ``synthetic`` true). Every step is a join or an aggregate; the
     neighbour search is :func:`knn` (blocked, exact)."""
     from quarry.operators.ranking import row_numbers
+    from quarry.session import cut_lineage
 
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
     if len(counts) < 2:
@@ -288,11 +337,15 @@ def smote(df: DataFrame, label: str, features: list[str], id_col: str, k: int =
     n_min, n_max = counts[minority], max(counts.values())
     n_new = n_max - n_min
     base = df.withColumn("synthetic", F.lit(False))
-    mino = as_vector(df.filter(F.col(label) == F.lit(minority)), features).filter(usable()).drop("__x")
-    mino = row_numbers(mino.select(id_col, *features), [id_col], "__rn", start=0, total=False)
-    n_base = mino.count() if n_new > 0 else 0
+    if n_new <= 0:
+        return base
+    mino = as_vector(df.filter(F.col(label) == F.lit(minority)), features).filter(usable())
+    mino = cut_lineage(mino.select(id_col, *features))
+    n_base = mino.count()
     if n_base < 2:
         return base
+    # ranges by the rows themselves: the plan's estimate of a joined table is the product of its sides
+    mino = row_numbers(mino, [id_col], "__rn", start=0, total=False, num_partitions=-(-n_base // NUMBERED_ROWS))
     kk = min(k, n_base - 1)
     nn = knn(mino, mino, kk, features, "__rn", "__rn", exclude_self=True, block_rows=block_rows) \
         .select(F.col("__rn").alias("__base"), "nn_rank", F.col("nn_id").alias("__nb"))
@@ -311,6 +364,45 @@ def smote(df: DataFrame, label: str, features: list[str], id_col: str, k: int =
     return base.unionByName(syn, allowMissingColumns=True)
 
 
+def _pair_sums(q: dict[str, pa.Array], r: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    """Per query row and cluster of ``r`` the sum of distances and the count, rows of the
+    query's own id left out. Tiles small enough for a core's cache; rows of
+    ``r`` in the order of their cluster, so a cluster is a run of columns."""
+    groups = r["__c"].dictionary_encode()
+    codes = groups.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    qx, rx = _vectors(q["__x"]), _vectors(r["__x"])[order]
+    # [-2x, |x|^2, 1] . [y, 1, |y|^2] is the squared distance
+    left = np.hstack([-2.0 * qx, (qx * qx).sum(axis=1)[:, None], np.ones((len(qx), 1))])
+    right = np.hstack([rx, np.ones((len(rx), 1)), (rx * rx).sum(axis=1)[:, None]])
+    qid, rid = np.asarray(q["__id"].to_pylist()), np.asarray(r["__id"].to_pylist())[order]
+    by_id = np.argsort(rid, kind="stable")
+    lo, hi = np.searchsorted(rid, qid, "left", by_id), np.searchsorted(rid, qid, "right", by_id)
+    me = np.repeat(np.arange(len(qid)), hi - lo)
+    mine = by_id[np.repeat(lo, hi - lo) + np.arange(len(me)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
+    n = len(groups.dictionary)
+    count = np.bincount(codes, minlength=n)
+    step = max(1, min(TILE[0], (1 << 20) // n))
+    for i in range(0, len(qx), step):
+        rows = min(step, len(qx) - i)
+        a, b = np.searchsorted(me, [i, i + rows])
+        at, same = me[a:b] - i, mine[a:b]
+        sums, sizes = np.zeros((rows, n)), np.tile(count, (rows, 1))
+        np.subtract.at(sizes, (at, codes[same]), 1)
+        for j in range(0, len(rx), TILE[1]):
+            d = left[i:i + rows] @ right[j:j + TILE[1]].T
+            np.sqrt(np.maximum(d, 0.0, out=d), out=d)
+            here = (same >= j) & (same < j + d.shape[1])
+            d[at[here], same[here] - j] = 0.0
+            c = codes[j:j + d.shape[1]]
+            starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            sums[:, c[starts]] += np.add.reduceat(d, starts, axis=1)
+        k, c = pa.array(np.repeat(np.arange(i, i + rows), n)), pa.array(np.tile(np.arange(n), rows))
+        yield pa.RecordBatch.from_arrays([q["__id"].take(k), q["__c"].take(k), groups.dictionary.take(c), pa.array(sums.ravel()),
+                                          pa.array(sizes.ravel().astype("int64"))], names=["__qid", "__qc", "__c", "s", "n"])
+
+
 def silhouette_exact(df: DataFrame, cluster: str, features, id_col: str, block_rows: int = DEFAULT_BLOCK_ROWS,
                      points: DataFrame | None = None) -> DataFrame:
     """Exact Euclidean silhouette per point (op 14.20; T23: ML's evaluator
@@ -321,7 +413,8 @@ def silhouette_exact(df: DataFrame, cluster: str, features, id_col: str, block_r
     A mean distance needs every row of a cluster, so the cost is points x rows,
     done block against block: blocks hold rows of any cluster, every pair of a
     block of points and a block of rows has a cell of a grid for its key, and
-    leaves one distance sum per point and cluster. ``points`` (default: all
+    leaves one distance sum per point and cluster. Blocks grow with the table from
+    ``block_rows`` to ``PAIR_ROWS`` rows, about ``PAIR_BLOCKS`` a side. ``points`` (default: all
     rows) is the stated set to score; on a large table pass a part of it. Rows
     with an unusable vector (see :func:`knn`), a NULL id or a NULL cluster take no part.
 
@@ -330,31 +423,20 @@ def silhouette_exact(df: DataFrame, cluster: str, features, id_col: str, block_r
     fine = F.col("__id").isNotNull() & F.col("__c").isNotNull() & usable()
     part = lambda d: as_vector(d, features).select(F.col(id_col).alias("__id"), F.col(cluster).alias("__c"), "__x").filter(fine)
     q, r = part(own), part(df)
-    n = r.count()
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rb = _hashed_blocks(r, "__id", block_rows, max(1, n), "__r")
-    shape = grid_shape(parts, max(1, -(-n // block_rows)))
-    pairs = grid_join(_consecutive_blocks(q, "__q"), rb, "__q_no", "__r_no", *shape).select("__q", "__r")
+    n = max(1, r.count())
+    rows = max(block_rows, min(PAIR_ROWS, -(-n // PAIR_BLOCKS)))
+    n_points = n if points is None else max(1, q.count())
+    sides = -(-n_points // rows), -(-n // rows)
+    pairs = grid_join(_hashed_blocks(q, "__id", rows, n_points, "__q"), _hashed_blocks(r, "__id", rows, n, "__r"), "__q_no", "__r_no", *sides)
     ctype, itype = dict(q.dtypes)["__c"], dict(q.dtypes)["__id"]
     schema = f"__qid {itype}, __qc {ctype}, __c {ctype}, s double, n long"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(len(batch)):
-                a, b = _fields(batch.column("__q"), at), _fields(batch.column("__r"), at)
-                qx, rx = _vectors(a["__x"]), _vectors(b["__x"])
-                d = np.sqrt(np.maximum((qx * qx).sum(axis=1)[:, None] + (rx * rx).sum(axis=1)[None, :] - 2.0 * qx @ rx.T, 0.0))
-                me = np.asarray(a["__id"].to_pylist())[:, None] == np.asarray(b["__id"].to_pylist())[None, :]
-                d[me] = 0.0
-                groups = b["__c"].dictionary_encode()
-                of = np.eye(len(groups.dictionary))[groups.indices.to_numpy()]  # row x cluster
-                sums, sizes = d @ of, of.sum(axis=0)[None, :] - me @ of
-                i = np.repeat(np.arange(len(qx)), of.shape[1])
-                c = np.tile(np.arange(of.shape[1]), len(qx))
-                yield pa.RecordBatch.from_arrays([
-                    a["__id"].take(pa.array(i)), a["__c"].take(pa.array(i)), groups.dictionary.take(pa.array(c)),
-                    pa.array(sums.ravel()), pa.array(sizes.ravel().astype("int64"))], names=["__qid", "__qc", "__c", "s", "n"])
+                yield from _pair_sums(_fields(batch.column("__q"), at), _fields(batch.column("__r"), at))
 
+    pairs = pairs.select("__q", "__r")
     per = pairs.mapInArrow(score, schema).groupBy("__qid", "__qc", "__c").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     mean = F.try_divide(F.col("s"), F.col("n"))
     g = per.groupBy("__qid", "__qc").agg(

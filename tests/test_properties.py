@@ -581,3 +581,54 @@ def test_tree_search_on_cells_equals_the_search_on_rows(spark, metric):
         assert got[0][k] == pytest.approx(v, abs=1e-9 if metric != "roc_auc" else 1e-6)
     cells = Mo.tree_cells(df, ["a", "b", "c"], "y", 3, 42, 32)
     assert cells.agg({"__n": "sum"}).first()[0] == 3000 and cells.count() <= 9**3 * 3 * 2
+
+
+def test_silhouette_blocks_in_tiles_with_repeated_ids(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(Nb, "TILE", (7, 11))
+    rng = np.random.default_rng(6)
+    ids, c, x = rng.integers(0, 60, 90), rng.integers(0, 5, 90), rng.normal(size=(90, 3))
+
+    def side(rows):
+        return {"__id": pa.array([f"k{i}" for i in ids[rows]]), "__c": pa.array(c[rows]), "__x": pa.array([list(v) for v in x[rows]], pa.list_(pa.float64()))}
+
+    q, r = np.arange(40), np.arange(10, 90)
+    got = [b.to_pylist() for b in Nb._pair_sums(side(q), side(r))]
+    got = [row for b in got for row in b]
+    assert len(got) == 40 * len(set(c[r]))
+    want = []
+    for i in q:
+        for k in dict.fromkeys(c[r]):
+            other = [j for j in r if c[j] == k and ids[j] != ids[i]]
+            want.append((f"k{ids[i]}", c[i], k, sum(np.linalg.norm(x[i] - x[j]) for j in other), len(other)))
+    key = lambda t: (t[0], t[1], t[2], t[4], round(t[3], 6))
+    for a, b in zip(sorted(((w["__qid"], w["__qc"], w["__c"], w["s"], w["n"]) for w in got), key=key), sorted(want, key=key)):
+        assert a[:3] == b[:3] and a[4] == b[4] and a[3] == pytest.approx(b[3], abs=1e-6)
+    df = spark.createDataFrame([(i, i % 2, [float(i)]) for i in range(400)], "id long, label int, x array<double>")
+    assert Nb.silhouette_exact(df, "label", "x", "id", block_rows=8).count() == 400
+
+
+def test_knn_of_repeated_vectors_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    pts = rng.integers(0, 6, (900, 2)).astype(float)
+    rows = [(int(i), f"p{i % 4}", list(map(float, v))) for i, v in zip(rng.permutation(900), pts)]
+    df = spark.createDataFrame(rows, "id bigint, tag string, v array<double>")
+    for exclude in (False, True):
+        got = {}
+        for r in Nb.knn(df, df.withColumnRenamed("id", "rid"), 30, "v", "id", "rid", payload=["tag"], exclude_self=exclude, block_rows=16).collect():
+            got.setdefault(r.id, []).append((r.nn_rank, r.distance, r.nn_id, r.tag))
+        for i, _, v in rows[::60]:
+            d = sorted((float(np.linalg.norm(np.array(v) - np.array(w))), j, t) for j, t, w in rows if not (exclude and i == j))[:30]
+            assert [(j, t) for _, _, j, t in sorted(got[i])] == [(j, t) for _, j, t in d]
+
+
+def test_smote_ranges_do_not_follow_the_estimate_of_a_join(spark, monkeypatch):
+    from quarry.operators import joins
+
+    def estimate(df):
+        raise AssertionError("the estimate of a joined table is the product of its sides")
+
+    monkeypatch.setattr(joins, "planned_bytes", estimate)
+    df = spark.createDataFrame([(i, int(i % 4 == 0), float(i), float(i % 7)) for i in range(80)], "id long, label int, a double, b double")
+    assert Nb.smote(df, "label", ["a", "b"], "id", k=3, seed=1).filter("synthetic").count() == 40
