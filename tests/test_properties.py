@@ -632,3 +632,50 @@ def test_smote_ranges_do_not_follow_the_estimate_of_a_join(spark, monkeypatch):
     monkeypatch.setattr(joins, "planned_bytes", estimate)
     df = spark.createDataFrame([(i, int(i % 4 == 0), float(i), float(i % 7)) for i in range(80)], "id long, label int, a double, b double")
     assert Nb.smote(df, "label", ["a", "b"], "id", k=3, seed=1).filter("synthetic").count() == 40
+
+
+def test_random_features_map_batches_and_equal_the_formula(spark, capsys):
+    import math
+
+    from pyspark.ml.functions import vector_to_array
+
+    from quarry.operators import models as Mo
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, a double, `b c` double, d double")
+    out = df.repartition(3).select("id", Mo.rff_vector(["a", "b c", "d"], 0.25, 16, seed=7).alias("v"))
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "ArrowEvalPython" in plan and "lambda" not in plan  # not interpreted element by element
+    w = np.random.default_rng(7)
+    W, b = w.normal(0.0, math.sqrt(0.5), size=(16, 3)), w.uniform(0.0, 2 * math.pi, size=16)
+    got = np.array([r.v for r in out.select("id", vector_to_array("v").alias("v")).orderBy("id").collect()])
+    assert np.allclose(got, math.sqrt(2 / 16) * np.cos(x @ W.T + b), rtol=0, atol=1e-14)
+
+
+def test_random_features_integers_no_rows_and_null(spark):
+    from quarry.operators import models as Mo
+
+    df = spark.createDataFrame([(1, 2.0), (3, float("nan"))], "a int, b double")
+    v = Mo.rff_vector(["a", "b"], 0.25, 4)
+    one, two = [r.v.toArray() for r in df.coalesce(1).select(v.alias("v")).collect()]
+    assert np.isfinite(one).all() and np.isnan(two).all()
+    assert df.filter("a > 5").select(v.alias("v")).collect() == []
+    with pytest.raises(Exception, match="null in a feature column"):
+        spark.createDataFrame([(1, None)], "a int, b double").select(v.alias("v")).collect()
+
+
+@pytest.mark.parametrize("kind", ["svc"])
+def test_random_features_models_learn_a_ring(spark, kind):
+    from quarry.operators import models as Mo
+
+    rng = np.random.default_rng(1)
+    rows = [(float(a), float(b), int(a * a + b * b > 1.4), float(a * a + b * b)) for a, b in rng.normal(size=(400, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, y int, r double")
+    if kind == "svc":
+        p = Mo.score(Mo.fit_rff_svc(df, ["a", "b"], "y", gamma=0.5, dims=32, C_=10.0), df)
+        assert p.filter("prediction = y").count() > 360
+    else:
+        p = Mo.score(Mo.fit_rff_huber(df, ["a", "b"], "r", gamma=0.5, dims=32), df).toPandas()
+        assert (p.r - p.prediction).abs().mean() < 0.3 * (p.r - p.r.mean()).abs().mean()
