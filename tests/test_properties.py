@@ -666,7 +666,7 @@ def test_random_features_integers_no_rows_and_null(spark):
         spark.createDataFrame([(1, None)], "a int, b double").select(v.alias("v")).collect()
 
 
-@pytest.mark.parametrize("kind", ["svc"])
+@pytest.mark.parametrize("kind", ["svc", "huber"])
 def test_random_features_models_learn_a_ring(spark, kind):
     from quarry.operators import models as Mo
 
