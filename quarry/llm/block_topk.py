@@ -202,10 +202,14 @@ def top_inner_products(vectors: DataFrame, asks: Column, k: int = 5, id_col: str
     by = ["dim", "cell", "id", "rid"]
     ranged = whole.select("rid", "id", "dim", "cell", "vec").repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("cell")
     index = scratch.keep(ranged.mapInArrow(lambda it: _blocks(it, block), BLOCKS), "blocks")
-    bounds = scratch.keep(index.select("block", "dim", "first_id", "low", "high").mapInArrow(_chunks, CHUNKS), "bounds")
+    # full chunks, whatever the number of shuffle partitions: every chunk of queries meets every chunk of bounds
+    fill = lambda n, size: max(1, min(parts, -(-n // size)))
+    bounds = index.select("block", "dim", "first_id", "low", "high").repartitionByRange(fill(index.count(), BOUNDS), "dim", "block")
+    bounds = scratch.keep(bounds.sortWithinPartitions("dim", "block").mapInArrow(_chunks, CHUNKS), "bounds")
     # a chunk of queries: neighbours in the order of the index
     place = F.sum(F.lit(1)).over(Window.partitionBy("part").orderBy(*by))
-    queries = whole.filter("asks").repartitionByRange(parts, *by).withColumn("part", F.spark_partition_id())
+    asked = whole.filter("asks")
+    queries = asked.repartitionByRange(fill(asked.count(), QUERIES), *by).withColumn("part", F.spark_partition_id())
     queries = scratch.keep(queries, "asked")
     queries = queries.select("rid", "id", "dim", "vec", F.concat_ws("-", "part", F.floor(place / QUERIES), "dim").alias("chunk"))
     queries = scratch.keep(queries, "queries")
@@ -229,9 +233,10 @@ def top_inner_products(vectors: DataFrame, asks: Column, k: int = 5, id_col: str
         work = scratch.keep(found.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= take), "work")
         if work.isEmpty():
             break
-        asking = work.select("q", "block").join(live.select(F.col("rid").alias("q"), "chunk", F.col("dim").alias("qdim"), "vec", "kth"), "q")
+        # pairs and matrices take far less room in files than in memory: no broadcast by the files' size
+        asking = work.select("q", "block").hint("merge").join(live.select(F.col("rid").alias("q"), "chunk", F.col("dim").alias("qdim"), "vec", "kth"), "q")
         asking = asking.groupBy("block", "chunk", "qdim").agg(F.collect_list(F.struct(F.col("q").alias("rid"), "vec", "kth")).alias("asks"))
-        forward = index.select("block", "dim", "ids", "rids", "flat")
+        forward = index.select("block", "dim", "ids", "rids", "flat").hint("merge")
         hits = asking.join(forward, "block").mapInArrow(lambda it: _score(it, k), HITS)
         better = Window.partitionBy("q").orderBy(F.desc("score"), "id")
         both = tops.select("q", "id", "score").unionByName(hits)

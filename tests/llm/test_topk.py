@@ -80,3 +80,30 @@ def test_blocks_in_order_of_bounds_until_the_kth_score():
     some[:, 0], some[:, 2], some[:, 3] = bound[rows == 0][20], bound[rows == 0][4], blocks[cols[rows == 0][4]]
     r2, c2, b2 = next_blocks(q[:1], some[:1], blocks, first, low, high, 40)
     assert list(c2) == list(cols[rows == 0][5:21])
+
+
+def test_no_copies_meet_in_the_driver(spark, capsys):
+    """Copies along the grid, and whole matrices, are joined without a broadcast."""
+    from quarry.operators.blocks import grid_join
+
+    left = spark.createDataFrame([(k, "x" * 100) for k in range(20)], "a int, p string")
+    right = spark.createDataFrame([(k, "y" * 100) for k in range(20)], "b int, r string")
+    pairs = grid_join(left, right, "a", "b", 5, 5)
+    assert sorted((x.a, x.b) for x in pairs.collect()) == [(a, b) for a in range(20) for b in range(20)]
+    pairs.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_full_chunks_with_many_shuffle_partitions(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(block_topk, "grid_shape", lambda *n: seen.append(n) or (1, 1))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = [r for r in vectors(2) if r[1] is None or len(r[1]) == 6]
+        got = rows_of(top_inner_products(frame(spark, rows), F.col("vec_id") % 20 == 0, block=9))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert got == brute(rows, 20, 5)
+    assert seen == [(1, 1)]  # 33 queries, 65 blocks: one chunk of each, not one per partition
