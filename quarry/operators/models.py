@@ -209,7 +209,7 @@ def _line_search(loss, adjusted, x, v, g, fx, pg, d, first: bool, last: float):
     evaluate(likely)
     slope = pg @ d
     value = v
-    for _ in range(21):
+    for turn in range(20):
         p, at = known[alpha]
         at_slope = at[3] @ d
         if value > fx + alpha * slope * 1e-4:
@@ -220,6 +220,8 @@ def _line_search(loss, adjusted, x, v, g, fx, pg, d, first: bool, last: float):
             factor = shrink
         else:
             return alpha, p, at
+        if turn == 19:  # where no step fits, as at a kink of the hinge loss, the last trial counts
+            return alpha, p, at
         alpha *= factor
         if not 1e-10 <= alpha <= 1e10:
             break
@@ -295,6 +297,49 @@ def fit_linear_svc(df, cols, label, C_: float = 1.0, n: int | None = None, max_i
     return fit(df, cols, label, C.LinearSVC(regParam=1.0 / (C_ * n), standardization=False, maxIter=max_iter))
 
 
+#: rows whose features are worked on at once: 64 features of them stay in a core's cache
+STRIP = 512
+
+
+def _rff_weights(n_cols: int, gamma: float, dims: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, math.sqrt(2.0 * gamma), size=(dims, n_cols)), rng.uniform(0.0, 2 * math.pi, size=dims)
+
+
+def _cos_turns(u: np.ndarray) -> np.ndarray:
+    """cos(2 pi u) to 1e-14; ``u`` is overwritten. Numpy's own cosine of doubles takes
+    three times as long: here an eighth of the angle goes through its series, and is doubled three times."""
+    out = np.rint(u)
+    u -= out
+    u *= u
+    series = [(-1) ** k * (math.pi / 4) ** (2 * k) / math.factorial(2 * k) for k in range(7)]
+    np.multiply(u, series[6], out=out)
+    for c in series[5:0:-1]:
+        out += c
+        out *= u
+    out += 1.0
+    for _ in range(3):
+        out *= out
+        out *= 2.0
+        out -= 1.0
+    return out
+
+
+def _fourier(x: np.ndarray, W: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Rows of random features of the columns ``x``."""
+    u = x.T @ (W.T / (2 * math.pi))
+    u += b / (2 * math.pi)
+    z = _cos_turns(u)
+    z *= math.sqrt(2.0 / len(b))
+    return z
+
+
+def _columns(xs, cols: list[str]) -> np.ndarray:
+    if any(x.null_count for x in xs):
+        raise ValueError(f"null in a feature column of {cols}")
+    return np.stack([x.to_numpy(zero_copy_only=False) for x in xs])
+
+
 def rff_vector(cols: list[str], gamma: float, dims: int, seed: int = 42) -> Column:
     """Random Fourier features for an RBF kernel exp(-gamma |x - y|^2)
     (Rahimi & Recht 2007): z_i(x) = sqrt(2/D) cos(w_i . x + b_i),
@@ -303,21 +348,15 @@ def rff_vector(cols: list[str], gamma: float, dims: int, seed: int = 42) -> Colu
     The D x d weights go to an Arrow function that maps whole batches with numpy:
     a higher-order SQL expression is interpreted, element by element, and took
     most of a fit's time. A null input is an error, as in any MLlib vector."""
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(dims, len(cols)))
-    b = rng.uniform(0.0, 2 * math.pi, size=dims)
+    W, b = _rff_weights(len(cols), gamma, dims, seed)
 
     @F.arrow_udf(VectorUDT())
     def features(*xs: pa.Array) -> pa.Array:
-        if any(x.null_count for x in xs):
-            raise ValueError(f"null in a feature column of {cols}")
-        n = len(xs[0])
-        z = np.zeros((n, dims))
-        for w, x in zip(W.T, xs):
-            z += np.multiply.outer(x.to_numpy(zero_copy_only=False), w)
-        z += b
-        np.cos(z, out=z)
-        z *= math.sqrt(2.0 / dims)
+        a = _columns(xs, cols)
+        n = a.shape[1]
+        z = np.empty((n, dims))
+        for i in range(0, n, STRIP):
+            z[i:i + STRIP] = _fourier(a[:, i:i + STRIP], W, b)
         # a column of dense vectors, as VectorUDT stores them
         values = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * dims, z.ravel())
         return pa.StructArray.from_arrays(
@@ -328,33 +367,320 @@ def rff_vector(cols: list[str], gamma: float, dims: int, seed: int = 42) -> Colu
 
 
 class RFFModel:
-    """Random-feature map + a linear MLlib model fitted on it."""
+    """Random-feature map + a linear model fitted on it, with the output columns of MLlib's
+    linear SVM (``classifies``) or linear regression. A prediction comes straight from
+    the columns; the feature vectors are made only where they are read."""
+
+    def __init__(self, cols: list[str], vec: Column, W: np.ndarray, b: np.ndarray, coefficients: np.ndarray, intercept: float,
+                 history: list[float], classifies: bool, scale: float = 1.0):
+        self.cols, self.vec, self.W, self.b = cols, vec, W, b
+        self.coefficients, self.intercept, self.scale = DenseVector(coefficients), intercept, scale
+        self.objective_history, self.classifies = history, classifies
+
+    def _margin(self) -> Column:
+        cols, W, b, w, intercept = self.cols, self.W, self.b, self.coefficients.toArray(), self.intercept
 
-    def __init__(self, vec: Column, model):
-        self.vec, self.model = vec, model
+        @F.arrow_udf("double")
+        def margin(*xs: pa.Array) -> pa.Array:
+            a = _columns(xs, cols)
+            strips = [_fourier(a[:, i:i + STRIP], W, b) @ w for i in range(0, a.shape[1], STRIP)]
+            return pa.array(np.concatenate([np.zeros(0), *strips]) + intercept)
+
+        return margin(*[F.col(c).cast("double") for c in cols])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df.withColumn("features", self.vec))
+        from pyspark.ml.functions import array_to_vector
+
+        out = df.withColumns({"features": self.vec, "prediction": self._margin()})
+        if not self.classifies:
+            return out
+        m = F.col("prediction")
+        out = out.withColumn("rawPrediction", array_to_vector(F.array(-m, m)))
+        # NaN is the largest number in SQL, MLlib calls it no positive margin
+        return out.withColumn("prediction", F.when((m > 0) & ~F.isnan(m), 1.0).otherwise(0.0))
+
+
+def _rff_blocks(df: DataFrame, cols: list[str], label: str, classes: bool):
+    """Training rows as an RDD of raw blocks, one per Arrow batch: the columns and the label, not
+    their features, which are many times as wide. What MLlib's fits refuse is an error."""
+
+    def pack(batches):
+        for batch in batches:
+            x, y = _columns(batch.columns[:-1], cols), batch.column(len(cols))
+            y = np.where(y.is_null().to_numpy(zero_copy_only=False), np.nan, y.to_numpy(zero_copy_only=False).astype(float))
+            if not np.isfinite(x).all():
+                raise ValueError(f"NaN or infinity in a feature column of {cols}")
+            if not (np.isin(y, (0.0, 1.0)) if classes else np.isfinite(y)).all():
+                raise ValueError(f"labels in {label} must be " + ("0 or 1" if classes else "finite"))
+            yield pa.RecordBatch.from_arrays([pa.array([np.vstack([x, y]).tobytes()], pa.binary())], ["block"])
+
+    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+    rows = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], F.col(label).cast("double").alias("y"))
+    return rows.mapInArrow(pack, "block binary").repartition(tasks).rdd.map(lambda r: bytes(r[0]))
+
+
+def _rff_strips(part, W: np.ndarray, b: np.ndarray):
+    """(features, labels) of the rows of some blocks, some rows at a time."""
+    d = W.shape[1]
+    for raw in part:
+        a = np.frombuffer(raw).reshape(d + 1, -1)
+        for i in range(0, a.shape[1], STRIP):
+            yield _fourier(a[:d, i:i + STRIP], W, b), a[d, i:i + STRIP]
+
+
+def _rff_moments(blocks, W: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, and mean and sample standard deviation of every feature."""
+
+    def moments(part):
+        n, mean, m2 = 0, np.zeros(len(b)), np.zeros(len(b))
+        for z, _ in _rff_strips(part, W, b):
+            k, own = len(z), z.mean(axis=0)
+            delta = own - mean
+            m2 += ((z - own) ** 2).sum(axis=0) + delta**2 * (n * k / (n + k))
+            mean += delta * (k / (n + k))
+            n += k
+        if n:
+            yield n, mean, m2
+
+    n, mean, m2 = 0, np.zeros(len(b)), np.zeros(len(b))
+    for k, own, more in blocks.mapPartitions(moments).collect():
+        delta = own - mean
+        m2 += more + delta**2 * (n * k / (n + k))
+        mean += delta * (k / (n + k))
+        n += k
+    if not n:
+        raise ValueError("a fit needs rows")
+    std = np.sqrt(m2 / max(1, n - 1))
+    # a constant feature differs by rounding only
+    return n, mean, np.where(std > 1e-13, std, 0.0)
+
+
+def hinge(y: np.ndarray, m: np.ndarray, points: np.ndarray):
+    """Loss of labels 0 / 1 and its slope by the margin."""
+    sign = 2.0 * y - 1.0
+    loss = 1.0 - sign * m
+    on = loss > 0
+    return np.where(on, loss, 0.0), np.where(on, -sign, 0.0), np.zeros_like(m)
+
+
+def huber(y: np.ndarray, m: np.ndarray, points: np.ndarray, epsilon: float = 1.35):
+    """Huber's loss with the scale sigma (Owen 2007), the last value of a point; its slopes by the margin and by sigma."""
+    sigma, r = points[:, -1], y - m
+    near, t = np.abs(r) <= sigma * epsilon, r / sigma
+    loss = 0.5 * np.where(near, sigma + r * t, sigma + 2.0 * epsilon * np.abs(r) - sigma * epsilon**2)
+    return loss, np.where(near, -t, np.where(r >= 0, -epsilon, epsilon)), 0.5 * (1.0 - np.where(near, t * t, epsilon**2))
+
+
+def _rff_loss(blocks, W: np.ndarray, b: np.ndarray, n: int, mean: np.ndarray, inv: np.ndarray, terms, l2: np.ndarray):
+    """Rows of points to rows of ``(value, gradient...)``: the mean loss over all rows plus
+    ``sum(l2 w^2) / 2``, in one pass that maps the rows again and keeps no features. A point holds
+    coefficients of the standardised features, the intercept and, with Huber's loss, sigma; a task
+    adds up its blocks, the driver gets one small array per task."""
+    dims = len(b)
+
+    def loss(points: np.ndarray) -> np.ndarray:
+        coef = points[:, :dims] * inv
+        offset = points[:, dims] - coef @ mean
+
+        def sums(part):
+            out = np.zeros((len(points), dims + 3))
+            for z, y in _rff_strips(part, W, b):
+                value, slope, more = terms(y[:, None], z @ coef.T + offset, points)
+                out[:, :3] += np.stack([value.sum(axis=0), slope.sum(axis=0), more.sum(axis=0)], axis=1)
+                out[:, 3:] += slope.T @ z
+            yield out
+
+        parts = np.stack(blocks.mapPartitions(sums).collect())
+        total = np.array([[math.fsum(v) for v in row] for row in np.moveaxis(parts, 0, -1)]) / n
+        w = points[:, :dims]
+        grad = (total[:, 3:] - total[:, [1]] * mean) * inv + l2 * w
+        value = total[:, [0]] + 0.5 * (l2 * w * w).sum(axis=1, keepdims=True)
+        return np.hstack([value, grad, total[:, [1]], total[:, [2]]])[:, :points.shape[1] + 1]
+
+    return loss
+
+
+def _bounded_direction(x: np.ndarray, g: np.ndarray, lower: np.ndarray, steps: list, grads: list, first: bool) -> np.ndarray:
+    """L-BFGS-B (Byrd et al. 1995): the generalised Cauchy point, then the free
+    values to the model's minimum. ``steps`` and ``grads``: oldest first."""
+    n, theta, W, M = len(x), 1.0, np.zeros((len(x), 0)), np.zeros((0, 0))
+    if steps:
+        S, Y = np.stack(steps, axis=1), np.stack(grads, axis=1)
+        theta = (Y[:, -1] @ Y[:, -1]) / (Y[:, -1] @ S[:, -1])
+        A = S.T @ Y
+        L, D = np.tril(A, -1), np.diag(np.diag(A))
+        W = np.hstack([Y, theta * S])
+        try:
+            M = np.linalg.inv(np.block([[-D, L.T], [L, theta * S.T @ S]]))
+        except np.linalg.LinAlgError:
+            raise _NoStep from None
+    ends = np.full(n, math.inf)
+    np.divide(x - lower, g, out=ends, where=g > 0)
+    d = np.where(ends == 0, 0.0, -g)
+    at, p, c = x.copy(), W.T @ d, np.zeros(W.shape[1])
+    f1, done = g @ d, 0.0
+    f2 = -theta * f1 - p @ M @ p
+    more = -f1 / f2
+    for i in np.argsort(ends, kind="stable"):
+        if ends[i] == 0:
+            continue
+        gone = ends[i] - done
+        if not gone <= more:
+            break
+        at[i] = lower[i]
+        c += gone * p
+        f1 += gone * f2 + g[i] ** 2 + theta * g[i] * (at[i] - x[i]) - g[i] * (W[i] @ M @ c)
+        f2 += -theta * g[i] ** 2 - 2.0 * g[i] * (W[i] @ M @ p) - g[i] ** 2 * (W[i] @ M @ W[i])
+        p += g[i] * W[i]
+        d[i], more, done = 0.0, -f1 / f2, ends[i]
+    more = max(more, 0.0)
+    at = np.maximum(np.where(d != 0, x + (done + more) * d, at), lower)
+    if not first:
+        c += more * p
+        free = np.flatnonzero(at > lower)
+        r = (g + theta * (at - x) - W @ (M @ c))[free]
+        B = theta * np.eye(len(free)) - W[free] @ M @ W[free].T
+        try:
+            u = -np.linalg.solve(B, r)
+        except np.linalg.LinAlgError:
+            raise _NoStep from None
+        room = np.full(len(free), math.inf)
+        np.divide(lower[free] - at[free], u, out=room, where=u < 0)
+        at[free] += min(1.0, room.min(initial=math.inf)) * u
+        at = np.maximum(at, lower)
+    if not np.isfinite(at).all():
+        raise _NoStep
+    return at - x
+
+
+def _wolfe(phi, value: float, slope: float, bound: float, rounds: int = 64) -> float:
+    """Step by the strong Wolfe conditions (Nocedal & Wright, 3.5 and 3.6): extend by 1.5, then zoom by cubics."""
+    if not slope <= 0:
+        raise _NoStep
+
+    def cubic(a, z):
+        d1 = a[2] + z[2] - 3 * (a[1] - z[1]) / (a[0] - z[0])
+        d2 = np.sqrt(d1 * d1 - a[2] * z[2])
+        t = z[0] - (z[0] - a[0]) * (z[2] + d2 - d1) / (z[2] - a[2] + 2 * d2)
+        if np.isnan(t):
+            raise _NoStep
+        return min(max(t, a[0] + 0.1 * (z[0] - a[0])), a[0] + 0.9 * (z[0] - a[0]))
+
+    def zoom(low, high):
+        for _ in range(rounds):
+            t = cubic(*sorted([low, high]))
+            at = (t, *phi(t))
+            if at[1] > value + 1e-4 * t * slope or at[1] >= low[1]:
+                high = at
+            else:
+                if abs(at[2]) <= 0.9 * abs(slope):
+                    return t
+                if at[2] * (high[0] - low[0]) >= 0:
+                    high = low
+                low = at
+        raise _NoStep
+
+    low, t = (0.0, value, slope), 1.0
+    for i in range(rounds):
+        at = (t, *phi(t))
+        if not np.isfinite(at[1]):
+            t /= 2.0
+            continue
+        if at[1] > value + 1e-4 * t * slope or (at[1] >= low[1] and i):
+            return zoom(low, at)
+        if abs(at[2]) <= 0.9 * abs(slope):
+            return t
+        if at[2] >= 0:
+            return zoom(at, low)
+        low = at
+        if t == bound:
+            return t
+        t = min(1.5 * t, bound)
+    raise _NoStep
+
+
+def lbfgsb(loss, x: np.ndarray, lower: np.ndarray, max_iter: int = 100, tol: float = 1e-6, memory: int = 10):
+    """Minimise ``loss`` over ``x >= lower`` by L-BFGS-B; returns the point and the objective after every step.
+
+    Takes the steps of MLlib's optimiser: its line search and its stopping rules. ``loss`` maps rows
+    of points to rows of ``(value, gradient...)``."""
+    row = loss(x[None])[0]
+    v, g = row[0], row[1:]
+    history, recent, steps, grads, failed = [v], [math.inf], [], [], False
+    with np.errstate(all="ignore"):
+        for it in range(max_iter + 1):
+            done = it == max_iter or (len(recent) > 1 and abs(v - max(recent)) <= tol * history[0])
+            if done or np.linalg.norm(g) <= max(tol * v, 1e-8) or np.abs(np.maximum(x - g, lower) - x).max() < 1e-5:
+                break
+            while True:
+                try:
+                    d = _bounded_direction(x, g, lower, steps, grads, it == 0)
+                    known: dict[float, tuple] = {}
+
+                    def phi(t, x=x, d=d, known=known):
+                        p = np.maximum(x + t * d, lower)
+                        known[t] = (p, loss(p[None])[0])
+                        return known[t][1][0], known[t][1][1:] @ d
+
+                    bound = np.full(len(x), math.inf)
+                    np.divide(lower - x, d, out=bound, where=d < 0)
+                    new, row = known[_wolfe(phi, v, g @ d, max(1.0, bound.min()))]
+                    break
+                except _NoStep:
+                    if failed:
+                        return x, history
+                    failed, steps, grads = True, [], []
+            steps, grads = [*steps, new - x][-memory:], [*grads, row[1:] - g][-memory:]
+            x, v, g, failed = new, row[0], row[1:], False
+            history.append(v)
+            recent = [*recent, v][-20:]
+    return x, history
+
+
+def _fit_rff(df, cols, label, gamma, dims, seed, classes: bool, minimise) -> RFFModel:
+    """Pack the rows once; ``minimise(n, loss, std, inv, mean)`` takes the steps, each a pass
+    over the packed columns that maps them to features again."""
+    W, b = _rff_weights(len(cols), gamma, dims, seed)
+    blocks = _rff_blocks(df, cols, label, classes).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n, mean, std = _rff_moments(blocks, W, b)
+        inv = np.divide(1.0, std, out=np.zeros_like(std), where=std > 0)
+        terms = hinge if classes else huber
+        w, history = minimise(n, lambda l2: _rff_loss(blocks, W, b, n, mean, inv, terms, l2), mean * inv, inv)
+    finally:
+        blocks.unpersist()
+    coef = w[:dims] * inv
+    return RFFModel(cols, rff_vector(cols, gamma, dims, seed), W, b, coef, float(w[dims] - coef @ mean),
+                    [float(h) for h in history], classes, 1.0 if classes else float(w[-1]))
 
 
 def fit_rff_svc(df, cols, label, gamma: float = 0.1, dims: int = 100, C_: float = 1.0, seed: int = 42,
                 max_iter: int = 50):
     """14.8 RBF SVM re-aimed: random Fourier features + linear SVM
-    (``C`` -> ``regParam = 1/(C n)``)."""
-    vec = rff_vector(cols, gamma, dims, seed)
-    d = df.withColumn("features", vec)
-    n = df.count()
-    est = C.LinearSVC(labelCol=label, regParam=1.0 / (C_ * n), standardization=False, maxIter=max_iter)
-    return RFFModel(vec, est.fit(d))
+    (``C`` -> ``regParam = 1/(C n)``, on the features as they are).
+
+    MLlib's ``LinearSVC`` keeps the features of all rows, ``dims`` doubles a row, in memory and on disk.
+    Here the rows are packed as they are and mapped again in each pass; steps and stopping are MLlib's."""
+
+    def minimise(n, loss, centre, inv):
+        zero = np.zeros(dims + 1)
+        return owlqn(loss(inv**2 / (C_ * n)), zero, zero, max_iter)
+
+    return _fit_rff(df, cols, label, gamma, dims, seed, True, minimise)
 
 
 def fit_rff_huber(df, cols, label, gamma: float = 0.1, dims: int = 100, reg: float = 0.0, seed: int = 42,
                   max_iter: int = 50):
-    """14.13 RBF SVR re-aimed: random Fourier features + Huber regression."""
-    vec = rff_vector(cols, gamma, dims, seed)
-    d = df.withColumn("features", vec)
-    est = Rg.LinearRegression(labelCol=label, loss="huber", regParam=reg, maxIter=max_iter)
-    return RFFModel(vec, est.fit(d))
+    """14.13 RBF SVR re-aimed: random Fourier features + Huber regression (``reg`` on the
+    standardised features), mapped again in each pass as in :func:`fit_rff_svc`."""
+
+    def minimise(n, loss, centre, inv):
+        start = np.ones(dims + 2)
+        start[dims] += centre.sum()
+        lower = np.append(np.full(dims + 1, -math.inf), np.finfo(float).tiny)
+        return lbfgsb(loss(np.full(dims, reg)), start, lower, max_iter)
+
+    return _fit_rff(df, cols, label, gamma, dims, seed, False, minimise)
 
 
 def fit_gbt(df, cols, label, rounds: int = 20, depth: int = 3, seed: int = 42):

@@ -1,6 +1,8 @@
 """Property checks for operators without an SQL twin (random output,
 models, positional machinery), against NumPy / pandas brute force."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -718,3 +720,74 @@ def test_random_features_models_learn_a_ring(spark, kind):
     else:
         p = Mo.score(Mo.fit_rff_huber(df, ["a", "b"], "r", gamma=0.5, dims=32), df).toPandas()
         assert (p.r - p.prediction).abs().mean() < 0.3 * (p.r - p.r.mean()).abs().mean()
+
+
+def _ring(spark, n=300, seed=1):
+    rng = np.random.default_rng(seed)
+    rows = [(float(a), float(b), int(a * a + b * b > 1.4), float(a * a + b * b), 3.0) for a, b in rng.normal(size=(n, 2))]
+    return spark.createDataFrame(rows, "a double, b double, y int, r double, c double")
+
+
+@pytest.mark.parametrize("kind,cols", [("svc", ["a", "b"]), ("huber", ["a", "b"]), ("svc", ["c"]), ("huber", ["c"])])
+def test_random_features_fits_take_mllibs_steps_and_keep_no_features(spark, kind, cols, monkeypatch):
+    from pyspark import RDD
+    from pyspark.ml import classification as C
+    from pyspark.ml import regression as Rg
+
+    from quarry.operators import models as Mo
+
+    df, steps_most = _ring(spark).coalesce(2), 12 if len(cols) == 2 else 1
+    mapped = df.withColumn("features", Mo.rff_vector(cols, 0.5, 16))
+    kept = []
+    persist = RDD.persist
+    monkeypatch.setattr(RDD, "persist", lambda self, *a: kept.append(self) or persist(self, *a))
+    if kind == "svc":
+        old = C.LinearSVC(labelCol="y", regParam=1.0 / (10.0 * 300), standardization=False, maxIter=steps_most).fit(mapped)
+        steps = old.summary().objectiveHistory
+        new = Mo.fit_rff_svc(df, cols, "y", gamma=0.5, dims=16, C_=10.0, max_iter=steps_most)
+    else:
+        old = Rg.LinearRegression(labelCol="r", loss="huber", regParam=0.01, maxIter=steps_most).fit(mapped)
+        steps = old.summary.objectiveHistory
+        new = Mo.fit_rff_huber(df, cols, "r", gamma=0.5, dims=16, reg=0.01, max_iter=steps_most)
+        assert new.scale == pytest.approx(old.scale, rel=1e-6)
+    # MLlib repeats the value where it starts its history anew
+    once = lambda h: [v for i, v in enumerate(h) if i == 0 or v != h[i - 1]]
+    assert once(new.objective_history) == pytest.approx(once(list(steps)), rel=1e-8)
+    assert np.allclose(new.coefficients.toArray(), old.coefficients.toArray(), rtol=1e-6, atol=1e-8)
+    assert new.intercept == pytest.approx(old.intercept, rel=1e-6)
+    # one packed table of columns and label, 8 bytes a value; not 16 features a row
+    if len(cols) == 2:
+        assert len(kept) == 1
+        assert sum(len(b) for b in Mo._rff_blocks(df, cols, "y", False).collect()) == 300 * 8 * 3
+    # predictions of the MLlib model, with its columns
+    a, b = old.transform(mapped), new.transform(df)
+    assert set(a.columns) == set(b.columns)
+    x, y = (np.array([r.prediction for r in d.orderBy("a", "b").select("prediction").collect()]) for d in (a, b))
+    assert np.allclose(x, y, rtol=1e-5, atol=1e-6)
+
+
+def test_random_features_fits_refuse_what_mllib_refuses(spark):
+    from quarry.operators import models as Mo
+
+    for rows, why in (([(None, 1, 1.0)], "null in a feature column"), ([(float("nan"), 1, 1.0)], "NaN or infinity"),
+                      ([(1.0, None, None)], "labels in"), ([(1.0, 2, float("inf"))], "labels in"), ([], "a fit needs rows")):
+        df = spark.createDataFrame(rows, "a double, y int, r double")
+        with pytest.raises(Exception, match=why):
+            Mo.fit_rff_svc(df, ["a"], "y", dims=4)
+        with pytest.raises(Exception, match=why):
+            Mo.fit_rff_huber(df, ["a"], "r", dims=4)
+
+
+def test_bounded_minimum_lies_on_the_bound():
+    from quarry.operators import models as Mo
+
+    A = np.array([[3.0, 1.0, 0.2], [1.0, 2.0, 0.5], [0.2, 0.5, 1.0]])
+    t = np.array([1.0, -2.0, -3.0])
+
+    def loss(points):
+        return np.stack([np.append((p - t) @ A @ (p - t) / 2, A @ (p - t)) for p in points])
+
+    x, history = Mo.lbfgsb(loss, np.ones(3), np.array([-math.inf, -math.inf, 0.5]), 100, 1e-12)
+    free = np.linalg.solve(A[:2, :2], A[:2, :2] @ t[:2] - A[:2, 2] * (0.5 - t[2]))
+    assert x[2] == 0.5 and np.allclose(x[:2], free, atol=1e-4)
+    assert all(b <= a for a, b in zip(history, history[1:]))
